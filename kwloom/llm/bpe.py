@@ -4,8 +4,8 @@ A pre-token is a doubly linked list of symbols and a heap of the pairs that may
 whose pair has changed since it was pushed is stale and skipped. The vocabulary file is read by the driver, which sends its
 bytes along; executors need no path.
 
-A text is cut before each run of white space, where no pre-token can reach across; the pieces and the pre-tokens in them are
-encoded once and kept in tables of bounded size, since prose repeats them.
+A text is cut where no pre-token can reach across; pieces are encoded once and kept in a table of bounded size (`pieces`), since
+prose repeats them.
 
 Cases: a null text counts as empty and gives no ids; repeated rows are encoded each; an empty table gives no rows; very long
 texts are worked on piece by piece; other columns are ignored.
@@ -19,15 +19,16 @@ import json
 import re
 from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from .pieces import KEPT, PieceTable
+
 #: The white space of the pre-tokeniser and the pattern of its pre-tokens.
 SPACE = r"\t-\r \x85\xa0  -     　"
 PRETOKEN = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{SPACE}\p{{L}}\p{{N}}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+"
-PIECE = re.compile(rf"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
-KEPT = 300_000
 
 
 def public_vocabulary() -> str:
@@ -64,7 +65,7 @@ class Codec:
         self.strings |= {i: s.encode() for s, i in self.special.items()}
         self.split = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         self.pretokens = regex.compile(PRETOKEN)
-        self.kept, self.words, self.pieces = kept, {}, {}
+        self.table = PieceTable(self._pieces, kept)
 
     def merge(self, symbols: list[int]) -> list[int]:
         """The ids left after all merges, lowest rank first, leftmost of equals."""
@@ -100,37 +101,34 @@ class Codec:
                     push(heap, (found[0], h, found[1]))
         return [s for s in symbols if s >= 0]
 
-    def _word(self, word: str) -> bytes:
-        found = self.words.get(word)
-        if found is None:
-            ids = [self.bytes[b] for b in word.encode("utf-8", "replace")]
-            found = b"".join([i.to_bytes(4, "little") for i in (self.merge(ids) if len(ids) > 1 else ids)])
-            if len(word) <= 64:
-                if len(self.words) >= self.kept:
-                    self.words.clear()
-                self.words[word] = found
-        return found
-
-    def _piece(self, piece: str) -> bytes:
-        found = b"".join([self._word(w) for w in self.pretokens.findall(piece)])
-        if len(piece) <= 64:
-            if len(self.pieces) >= self.kept:
-                self.pieces.clear()
-            self.pieces[piece] = found
-        return found
-
-    def _plain(self, text: str) -> bytes:
-        known, slow = self.pieces.get, self._piece
-        return b"".join([known(p) or slow(p) for p in PIECE.findall(text)])
+    def _pieces(self, pieces: list[str]) -> list[np.ndarray]:
+        """Ids of pieces between which no pre-token reaches."""
+        out = []
+        for piece in pieces:
+            ids: list[int] = []
+            for word in self.pretokens.findall(piece):
+                symbols = [self.bytes[b] for b in word.encode("utf-8", "replace")]
+                ids += self.merge(symbols) if len(symbols) > 1 else symbols
+            out.append(np.array(ids, np.uint32))
+        return out
+
+    def encode_all(self, texts: list[str | None]) -> list[bytes]:
+        """The ids of texts as little-endian unsigned 32-bit integers; strings of special tokens are special tokens."""
+        # a list of parts for each text: special tokens' ids as they are, all else to be encoded
+        parts, plain = [], []
+        for t in texts:
+            own: list[int | None] = []
+            for i, p in enumerate(self.split.split(t) if t and self.split and any(s in t for s in self.special) else [t or ""]):
+                own.append(self.special[p] if i % 2 else None)
+                if not i % 2:
+                    plain.append(p.encode("utf-8", "replace"))
+            parts.append(own)
+        made = iter(self.table.encode(plain))
+        return [b"".join([(next(made).astype("<u4").tobytes() if x is None else x.to_bytes(4, "little")) for x in own]) for own in parts]
 
     def encode(self, text: str | None) -> bytes:
-        """The ids of a text as little-endian unsigned 32-bit integers; strings of special tokens are special tokens."""
-        if not text:
-            return b""
-        if self.split is None or not any(s in text for s in self.special):
-            return self._plain(text)
-        parts = self.split.split(text)
-        return b"".join([self.special[p].to_bytes(4, "little") if i % 2 else self._plain(p) for i, p in enumerate(parts)])
+        """The ids of one text."""
+        return self.encode_all([text])[0]
 
     def decode(self, ids: bytes) -> str:
         """The text of ids; bytes that are no UTF-8 become U+FFFD."""
@@ -149,19 +147,20 @@ def codec_of(contents: bytes) -> Codec:
     return _CODECS[key]
 
 
+def digest(codec: Codec, ids: bytes) -> tuple[int, str, str]:
+    """The number of ids, their SHA-256, and that of the text that they decode to."""
+    return len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(codec.decode(ids).encode()).hexdigest()
+
+
 def encode(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
     """doc_id and ids (array of int) of every row of docs(doc_id, text)."""
-    return _mapped(docs, vocabulary, {"ids": (pa.list_(pa.int32()), "array<int>")}, lambda c, t: (memoryview(c.encode(t)).cast("i").tolist(),))
+    return _mapped(docs, vocabulary, {"ids": (pa.list_(pa.int32()), "array<int>")}, lambda codec, ids: (memoryview(ids).cast("i").tolist(),))
 
 
 def round_trip(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 of every row of docs(doc_id, text)."""
 
-    def both(codec: Codec, text: str | None) -> tuple:
-        ids = codec.encode(text)
-        return len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(codec.decode(ids).encode()).hexdigest()
-
-    return _mapped(docs, vocabulary, {"n_tokens": (pa.int64(), "bigint"), "ids_sha256": (pa.string(), "string"), "decoded_sha256": (pa.string(), "string")}, both)
+    return _mapped(docs, vocabulary, {"n_tokens": (pa.int64(), "bigint"), "ids_sha256": (pa.string(), "string"), "decoded_sha256": (pa.string(), "string")}, digest)
 
 
 def _mapped(docs: DataFrame, vocabulary: str | None, columns: dict, make) -> DataFrame:
@@ -174,7 +173,7 @@ def _mapped(docs: DataFrame, vocabulary: str | None, columns: dict, make) -> Dat
             texts = b.column("text")
             for at in range(0, b.num_rows, 500):
                 part = b.slice(at, 500)
-                rows = [make(codec, t) for t in texts.slice(at, 500).to_pylist()]
+                rows = [make(codec, ids) for ids in codec.encode_all(texts.slice(at, 500).to_pylist())]
                 made = [pa.array(x, t) for x, (t, _) in zip(zip(*rows, strict=True), columns.values(), strict=True)]
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), *made], ["doc_id", *columns])
 
@@ -191,13 +190,10 @@ def token_counts(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
     def run(batches):
         codec = codec_of(shared.value)
         for b in batches:
-            n, ids_sha, text_sha = [], [], []
-            for t in b.column("text").to_pylist():
-                ids = codec.encode(t)
-                n.append(len(ids) // 4)
-                ids_sha.append(hashlib.sha256(ids).hexdigest())
-                text_sha.append(hashlib.sha256(codec.decode(ids).encode()).hexdigest())
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(n, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(text_sha, pa.string())], [*b.schema.names, *added])
+            for at in range(0, b.num_rows, 500):
+                part = b.slice(at, 500)
+                n, ids_sha, text_sha = zip(*[digest(codec, ids) for ids in codec.encode_all(part.column("text").to_pylist())], strict=True)
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(n, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(text_sha, pa.string())], [*b.schema.names, *added])
 
     schema = T.StructType([*own.schema.fields, *(T.StructField(c, T.LongType() if c == "n_tokens" else T.StringType()) for c in added)])
     return own.mapInArrow(run, schema)
