@@ -29,9 +29,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ._util import cut, scratch
-from .bpe import PIECE, public_vocabulary
+from .bpe import public_vocabulary
+from .pieces import KEPT, PieceTable
 
-END, SHARD_BYTES, KEPT = 0, 16 << 20, 400_000
+END, SHARD_BYTES = 0, 16 << 20
 _HEAD, _OWN = struct.Struct("<QI"), struct.Struct("<BBq")
 
 
@@ -76,7 +77,7 @@ def unpack(payload: bytes) -> tuple[int | None, bytes]:
 
 
 class LibraryEncoder:
-    """The tokenizers library behind a bounded table of pieces: no pre-token reaches across the white space that begins one."""
+    """The tokenizers library behind a table of pieces, so that words which prose repeats are encoded once."""
 
     def __init__(self, contents: bytes, kept: int = KEPT) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -85,40 +86,36 @@ class LibraryEncoder:
         self.library = Tokenizer.from_str(contents.decode())
         self.library.no_truncation()
         self.library.no_padding()
-        self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
+        self.special = [t.content.encode() for t in self.library.get_added_tokens_decoder().values()]
         #: bytes of each id's string: one letter stands for one byte
         vocab = self.library.get_vocab(with_added_tokens=True)
         self.sizes = np.zeros(max(vocab.values()) + 1, np.int64)
         for token, i in vocab.items():
             self.sizes[i] = len(token)
-        self.kept, self.pieces = kept, {}
-
-    def _joined(self, pieces: list[str]) -> list[bytes]:
-        """Ids of pieces that begin with white space and end without: as one text, cut again by the bytes that ids stand for."""
-        ids = np.array(self.library.encode_batch_fast(["".join(pieces)], add_special_tokens=False)[0].ids, "<u4")
-        ends = np.searchsorted(np.cumsum(self.sizes[ids]), np.cumsum([len(p.encode("utf-8", "replace")) for p in pieces])) + 1
-        raw, ends = ids.tobytes(), (4 * ends).tolist()
-        return [raw[a:b] for a, b in zip([0, *ends], ends, strict=False)]
-
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+        self.table = PieceTable(self._pieces, kept)
+
+    def _pieces(self, pieces: list[str]) -> list[np.ndarray]:
+        """Ids of pieces. Those that begin with a space and end without white space are encoded as one text, which is cut again by
+        the bytes that ids stand for."""
+        out: list = [None] * len(pieces)
+        inner = [i for i, p in enumerate(pieces) if p[0] == " " and not p[-1].isspace()]
+        for at in range(0, len(inner), 2048):
+            some = inner[at : at + 2048]
+            ids = np.array(self.library.encode_batch_fast(["".join([pieces[i] for i in some])], add_special_tokens=False)[0].ids, np.uint32)
+            ends = np.searchsorted(np.cumsum(self.sizes[ids]), np.cumsum([len(pieces[i].encode()) for i in some])) + 1
+            for i, part in zip(some, np.split(ids, ends[:-1]), strict=True):
+                out[i] = part
+        rest = [i for i, x in enumerate(out) if x is None]
+        for i, e in zip(rest, self.library.encode_batch_fast([pieces[i] for i in rest], add_special_tokens=False), strict=True):
+            out[i] = np.array(e.ids, np.uint32)
+        return out
 
     def __call__(self, texts: list[str | None]) -> list[bytes]:
-        cut_up = [PIECE.findall(t) if t and not any(s in t for s in self.special) else [] for t in texts]
-        known = self.pieces
-        new = list({p for pieces in cut_up for p in pieces if p not in known})
-        if len(known) + len(new) > self.kept:
-            known.clear()
-            new = list({p for pieces in cut_up for p in pieces})
-        inner = [p for p in new if p[0].isspace() and not p[-1].isspace() and p[0] not in "\x1c\x1d\x1e\x1f"]
-        for part, ids in ((inner, self._joined), (list(set(new).difference(inner)), self._ids)):
-            for at in range(0, len(part), 2048):
-                some = part[at : at + 2048]
-                known.update(zip(some, ids(some), strict=True))
-        out = [b"".join([known[p] for p in pieces]) for pieces in cut_up]
-        for i, t in enumerate(texts):
-            if t and not cut_up[i]:
-                out[i] = self._ids([t])[0]
+        raw = [t.encode("utf-8", "replace") if t else b"" for t in texts]
+        special = {i for i, r in enumerate(raw) if any(s in r for s in self.special)}
+        out = [i.astype("<u4").tobytes() for i in self.table.encode([b"" if i in special else r for i, r in enumerate(raw)])]
+        for i in special:
+            out[i] = np.array(self.library.encode(texts[i], add_special_tokens=False).ids, "<u4").tobytes()
         return out
 
 
