@@ -1,17 +1,476 @@
-"""All queries of the library by name, with SQL that gives the same rows."""
+"""All queries of the library by name, with SQL that gives the same rows.
+
+The generated tables stand in for communities: documents are descriptions, conversations are posts of the community with the same
+number, part names are community names, events make weekly rankings.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from . import catalog_sql as sql
+from .config import KeywordConfig
+from .functions import scores, text
+from .operators import clean, ops, quality, terms, trend, warehouse
+from .plans import keywords as plans
+from .sources import html
+from .streaming import incremental
 
 FLAGSHIP = "doc_keywords_topk"
+CFG = KeywordConfig()
+Query = Callable[[SparkSession, str], DataFrame]
+_QUERIES: dict[str, Query] = {}
+
+
+def _query(f: Query) -> Query:
+    _QUERIES[f.__name__] = f
+    return f
+
+
+def _t(spark: SparkSession, d: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{d}/{name}.parquet")
+
+
+def _docs(spark: SparkSession, d: str) -> DataFrame:
+    return _t(spark, d, "documents").select("doc_id", "text")
+
+
+def _posts(spark: SparkSession, d: str) -> DataFrame:
+    return _t(spark, d, "conversations").select(F.col("conv_id").alias("doc_id"), F.col("turn").alias("post"), "text", (F.col("turn") * 3).alias("score"), F.col("turn").alias("comments"), (F.col("turn") * 0.5).alias("age_days"), (F.col("role") == "system").alias("is_promoted"))
+
+
+def _names(spark: SparkSession, d: str) -> DataFrame:
+    return _t(spark, d, "part").select(F.col("p_partkey").alias("doc_id"), F.col("p_name").alias("name"))
+
+
+def _rounded(df: DataFrame, *columns: str) -> DataFrame:
+    return df.select(*[F.round(c, 6).alias(c) if c in columns else F.col(c) for c in df.columns])
+
+
+def _top(spark: SparkSession, d: str) -> DataFrame:
+    return terms.top_k(plans.description_scores(_docs(spark, d), "doc_id", CFG), "doc_id", CFG.topk)
+
+
+def _sourced(spark: SparkSession, d: str) -> DataFrame:
+    """Ranked keywords with a source and an anchor, as cleaning and the quality measures need them."""
+    source = F.when(F.col("rank") % 3 == 0, "posts").when(F.col("rank") % 3 == 1, "description").otherwise("description+posts")
+    return _top(spark, d).select("doc_id", "rank", "term", F.round("score", 6).alias("score"), source.alias("source"), F.lit("the").alias("anchor"))
+
+
+# --- text --------------------------------------------------------------------------------------------------------------------
+
+
+@_query
+def text_tokens(spark, d):
+    w = text.tokens(F.col("text"))
+    return _docs(spark, d).select("doc_id", F.size(w).alias("n"), F.md5(F.array_join(w, " ")).alias("digest"))
+
+
+@_query
+def text_stop_filtered(spark, d):
+    w = text.stop_filtered(text.tokens(F.col("text")), CFG.stopwords)
+    return _docs(spark, d).select("doc_id", F.md5(F.array_join(w, " ", "|")).alias("digest"))
+
+
+@_query
+def text_sentences(spark, d):
+    s = text.sentences(F.col("text"))
+    return _docs(spark, d).select("doc_id", F.size(s).alias("n"), F.md5(F.array_join(F.transform(s, lambda x: F.array_join(x, " ")), "|")).alias("digest"))
+
+
+@_query
+def text_terms(spark, d):
+    c = F.col("text")
+    return _docs(spark, d).select("doc_id", text.dedupe_key(c).alias("dkey"), F.round(text.nonascii_ratio(c), 9).alias("ratio"), text.has_script(c).alias("script"))
+
+
+@_query
+def text_camel_split(spark, d):
+    return _t(spark, d, "customer").select("c_custkey", F.array_join(text.camel_split(F.col("c_name")), "|").alias("parts"))
+
+
+@_query
+def text_counts(spark, d):
+    shown = F.when(F.col("c_custkey") % 3 == 0, F.concat(F.format_string("%.1f", F.col("c_custkey") / 10), F.lit("K"))).when(F.col("c_custkey") % 3 == 1, F.format_number(F.col("c_custkey") * 1000, 0)).otherwise("none")
+    return _t(spark, d, "customer").select("c_custkey", text.count_text(shown).alias("count"))
+
+
+@_query
+def text_artifacts(spark, d):
+    e = F.explode(text.tokens(F.col("html"))).alias("w")
+    return _t(spark, d, "pages").select(e).groupBy("w").agg(F.count("*").alias("n")).select("w", "n", F.coalesce(text.drop_reason(F.col("w")), F.lit("kept")).alias("reason"))
+
+
+@_query
+def text_keys(spark, d):
+    name, url = F.when(F.col("page_id") % 2 == 0, F.concat(F.lit("r/Page"), F.col("page_id"))), F.concat(F.lit("https://x.example/r/P"), F.col("page_id"), F.lit("/top"))
+    link = F.concat(F.lit("/r/x/comments/ab"), F.col("page_id"), F.lit("/title"))
+    return _t(spark, d, "pages").select("page_id", text.community_key(name, url).alias("key"), text.crawl_name(url).alias("crawl"), text.post_id(link).alias("post"))
+
+
+@_query
+def text_theme_summary(spark, d):
+    return _docs(spark, d).select("doc_id", text.theme_summary(text.tokens(F.col("text"))).alias("line"))
+
+
+# --- the keyword core --------------------------------------------------------------------------------------------------------
+
+
+@_query
+def desc_document_frequency(spark, d):
+    return terms.document_frequency(plans.description_terms(_docs(spark, d), "doc_id", CFG), "doc_id").filter("df >= 2")
+
+
+@_query
+def desc_common_words(spark, d):
+    docs = _docs(spark, d)
+    return terms.common_words(terms.document_frequency(plans.description_terms(docs, "doc_id", CFG), "doc_id"), docs.count())
+
+
+@_query
+def doc_keywords_topk(spark, d):
+    return _rounded(_top(spark, d).select("doc_id", "rank", "term", "score"), "score")
+
+
+@_query
+def posts_keywords_topk(spark, d):
+    p = plans.posts_scores(_posts(spark, d), "doc_id", CFG)
+    return _rounded(terms.top_k(p.withColumn("score", F.round("score", 6)), "doc_id", CFG.topk).select("doc_id", "rank", "term", "score"), "score")
+
+
+@_query
+def posts_document_frequency(spark, d):
+    return terms.document_frequency(plans.posts_terms(_posts(spark, d), "doc_id", CFG), "doc_id").filter("df >= 2")
+
+
+@_query
+def name_keywords(spark, d):
+    return terms.name_scores(plans.name_terms(_names(spark, d), "doc_id", CFG), "doc_id")
+
+
+@_query
+def merged_sources(spark, d):
+    k = _sourced(spark, d)
+    parts = {"description": (k.filter("rank <= 15"), 1.0), "posts": (k.filter("rank >= 10"), 1.5), "name": (k.filter("rank = 1"), 3.0), "none": (k, 0.0)}
+    return _rounded(terms.normalise(terms.merge_sources(parts, "doc_id"), "doc_id"), "score", "weight")
+
+
+@_query
+def topk_with_phrase(spark, d):
+    k = _sourced(spark, d)
+    phrase = k.filter("rank = 20").select("doc_id", F.col("term").alias("phrase"))
+    return terms.top_k_with(k.drop("rank"), "doc_id", 10, phrase).select("doc_id", "rank", "term", "score")
+
+
+@_query
+def core_and_extended(spark, d):
+    k = _sourced(spark, d)
+    return terms.core_and_extended(k.filter("rank <= 8"), k.filter("rank >= 5"), "doc_id")[1].select("doc_id", "rank", "term")
+
+
+@_query
+def theme_penalised(spark, d):
+    k = _sourced(spark, d)
+    return _rounded(terms.theme_penalty(k, terms.theme(k.filter("rank <= 12"), "doc_id", 6), "doc_id", 0.65).select("doc_id", "rank", "term", "score"), "score")
+
+
+@_query
+def composed_keywords(spark, d):
+    p = plans.posts_scores(_posts(spark, d), "doc_id", CFG)
+    return _rounded(plans.composed_scores(p, plans.anchors(_names(spark, d), "doc_id", CFG), 100, terms.document_frequency(p, "doc_id"), "doc_id", CFG), "score")
+
+
+@_query
+def anchored_keywords(spark, d):
+    k = _sourced(spark, d).select("doc_id", "term", F.size(F.split("term", " ")).alias("n"), "score", (F.col("rank") / 100).alias("share"), F.lit("foo").alias("anchor"), F.lit("f o o").alias("phrase"))
+    return _rounded(terms.anchored_variants(k, "doc_id", CFG), "score")
+
+
+@_query
+def community_keywords(spark, d):
+    return _rounded(plans.keywords(_docs(spark, d), _posts(spark, d), _names(spark, d), "doc_id", CFG), "score", "weight")
+
+
+@_query
+def vector_similarity(spark, d):
+    e = _t(spark, d, "embeddings")
+    n = e.select((F.col("vec_id") - 1).alias("vec_id"), F.col("embedding").alias("next"))
+    return e.join(n, "vec_id").select("vec_id", F.round(scores.cosine(F.col("embedding"), F.col("next")), 6).alias("cosine"))
+
+
+@_query
+def reranked_keywords(spark, d):
+    k = _sourced(spark, d)
+    v = _t(spark, d, "embeddings").select("vec_id", F.col("embedding").alias("vector"))
+    per_term = k.select("term").distinct().withColumn("vec_id", F.length("term").cast("long")).join(v, "vec_id").select("term", "vector")
+    themes = v.select(F.col("vec_id").alias("doc_id"), "vector")
+    return _rounded(terms.rerank(k, per_term, themes, "doc_id", CFG, "posts").select("doc_id", "rank", "term", "score"), "score")
+
+
+# --- cleaning ----------------------------------------------------------------------------------------------------------------
+
+
+@_query
+def cleaned_keywords(spark, d):
+    return _rounded(clean.clean(_sourced(spark, d), "doc_id", min_score=2.0).select("doc_id", "term", "score", "weight", "source"), "score", "weight")
+
+
+@_query
+def cleaning_drops(spark, d):
+    return clean.drop_counts(clean.clean(_sourced(spark, d), "doc_id", min_score=2.0, stats=True), "doc_id")
+
+
+# --- warehouse ---------------------------------------------------------------------------------------------------------------
+
+
+def _community_rows(spark, d, seq):
+    c = _t(spark, d, "customer")
+    return c.select((F.col("c_custkey") + (seq - 1) * 100).alias("community_id"), F.concat(F.col("c_name"), F.lit(f"/{seq}")).alias("name"), (F.col("c_custkey") * seq).alias("rank"), F.when(F.col("c_custkey") % 4 == 0, "").otherwise(F.concat("c_mktsegment", F.lit(f" {seq}"))).alias("description"), F.lit(f"2024-01-0{seq}T00:00:00Z").alias("seen_at"), F.lit(f"2024-01-0{3 - seq}T00:00:00Z").alias("scraped_at"), F.lit(seq).alias("seq"))
+
+
+@_query
+def upserted_communities(spark, d):
+    return warehouse.upsert_communities(_community_rows(spark, d, 1), _community_rows(spark, d, 2))
+
+
+@_query
+def keyword_dictionary(spark, d):
+    p = _t(spark, d, "part")
+    known = p.groupBy(F.col("p_brand").alias("term")).agg(F.min("p_partkey").alias("id")).select("id", "term")
+    return warehouse.extend_dictionary(known, p.select(F.col("p_name").alias("term")).unionByName(p.select(F.col("p_brand").alias("term"))))
+
+
+@_query
+def upserted_links(spark, d):
+    r = _t(spark, d, "lineitem").select(F.col("l_suppkey").alias("community_id"), F.col("l_partkey").alias("keyword_id"), F.col("l_quantity").alias("score"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("seq"))
+    return warehouse.upsert_links(r, r.withColumn("score", F.col("score") + 1).withColumn("seq", F.col("seq") + 100_000_000))
+
+
+@_query
+def changed_ingests(spark, d):
+    o = _t(spark, d, "orders")
+    log = o.select(F.col("o_custkey").alias("input_file"), F.col("o_orderdate").alias("processed_at"), F.col("o_orderkey").alias("id"), F.col("o_orderstatus").alias("file_hash"), F.when(F.col("o_orderkey") % 5 == 0, "error").otherwise("ok").alias("status"))
+    return warehouse.changed_files(_t(spark, d, "customer").select(F.col("c_custkey").alias("input_file"), F.lit("F").alias("file_hash")), log)
+
+
+@_query
+def orphaned_links(spark, d):
+    links = _t(spark, d, "lineitem").select(F.col("l_suppkey").alias("community_id"), F.col("l_partkey").alias("keyword_id"))
+    return warehouse.orphans(links, _t(spark, d, "supplier").filter("s_acctbal > 0").select(F.col("s_suppkey").alias("community_id")), _t(spark, d, "part").filter("p_size > 10").select(F.col("p_partkey").alias("id")))
+
+
+@_query
+def one_per_page(spark, d):
+    r = _t(spark, d, "lineitem").select(F.col("l_suppkey").alias("page"), F.when(F.col("l_partkey") % 3 == 0, "").otherwise(F.col("l_partkey").cast("string")).alias("community_id"), F.col("l_returnflag").alias("name"), F.col("l_linestatus").alias("url"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("seq"))
+    return warehouse.one_per_page(r)
+
+
+# --- trends ------------------------------------------------------------------------------------------------------------------
+
+
+def _week(spark, d, week):
+    e = _t(spark, d, "events").filter(trend.snapshot_id(F.col("ts"), "week") == week)
+    n = e.groupBy(F.concat(F.lit("u"), F.col("user_id") % 997).alias("name")).agg((F.count("*") * 100).alias("subscribers"), F.min("event_id").alias("rank"))
+    return n
+
+
+def _changes(spark, d):
+    return trend.compare(_week(spark, d, "2024-W01"), _week(spark, d, "2024-W02"))
+
+
+@_query
+def weekly_changes(spark, d):
+    return _rounded(_changes(spark, d), "growth")
+
+
+@_query
+def weekly_summary(spark, d):
+    return trend.summary(_changes(spark, d), 300)
+
+
+@_query
+def weekly_largest(spark, d):
+    return trend.largest(_changes(spark, d), "subscriber_change").select("name", "subscriber_change")
+
+
+@_query
+def snapshot_ids(spark, d):
+    e = _t(spark, d, "events")
+    return e.groupBy(*[trend.snapshot_id(F.col("ts"), g).alias(g) for g in ("week", "day", "month")]).agg(F.count("*").alias("n"))
+
+
+# --- work lists --------------------------------------------------------------------------------------------------------------
+
+
+def _targets(spark, d):
+    return _t(spark, d, "supplier").select(F.col("s_name").alias("name"), F.when(F.col("s_suppkey") % 7 != 0, F.col("s_nationkey")).alias("rank"))
+
+
+def _results(spark, d):
+    kinds = ["", "net::ERR_CONNECTION_REFUSED at x", "Timeout 30000ms exceeded", "Target closed", "page crashed", "getaddrinfo ENOTFOUND", "odd"]
+    pick = F.element_at(F.array(*[F.lit(k) for k in kinds]), (F.col("s_suppkey") % 7 + 1).cast("int"))
+    return _t(spark, d, "supplier").select(F.col("s_name").alias("name"), pick.alias("error"))
+
+
+@_query
+def work_splits(spark, d):
+    t = ops.best_ranks(_targets(spark, d))
+    i, c, k = ops.split_interleaved(t, 7), ops.split_contiguous(t, 7), ops.split_chunks(t, 9)
+    return i.join(c.select("name", F.col("worker").alias("block")), "name").join(k.select("name", "chunk"), "name")
+
+
+@_query
+def crawl_order(spark, d):
+    return ops.crawl_order(ops.best_ranks(_targets(spark, d)), offset=5, limit=40)
+
+
+@_query
+def pending_targets(spark, d):
+    return ops.pending(_targets(spark, d), _results(spark, d))
+
+
+@_query
+def error_kinds(spark, d):
+    return ops.error_counts(_results(spark, d))
+
+
+@_query
+def retry_list(spark, d):
+    return ops.retry_list(_results(spark, d))
+
+
+@_query
+def required_fields(spark, d):
+    r = _t(spark, d, "orders").select((F.col("o_custkey")).alias("community_id"), F.when(F.col("o_orderkey") % 9 != 0, F.col("o_orderstatus")).alias("name"), F.when(F.col("o_orderkey") % 5 == 0, "").otherwise(F.col("o_orderpriority")).alias("url"), F.col("o_orderkey").alias("subscribers"))
+    return ops.required_fields(r, ["name", "url"])
+
+
+@_query
+def candidate_posts(spark, d):
+    p = _t(spark, d, "events").select((F.col("user_id") % 500).alias("community"), F.col("event_id").alias("pos"), F.col("value").alias("score"), F.when(F.col("event_type") != "error", F.col("event_type")).alias("kind"), (F.col("event_id") % 40 / 2).alias("age_days"))
+    return ops.candidate_posts(p, 10, ["view", "click"], 12.0, 5)
+
+
+@_query
+def sampled_files(spark, d):
+    return ops.hashed_sample(_targets(spark, d).select("name"), "name", 20)
+
+
+@_query
+def stratified_files(spark, d):
+    return ops.stratified_sample(_targets(spark, d).select("name"), "name", 5)
+
+
+# --- quality -----------------------------------------------------------------------------------------------------------------
+
+
+@_query
+def keyword_shares(spark, d):
+    return _rounded(quality.shares(_sourced(spark, d)), "unigrams", "phrases", "name", "description", "posts", "posts_composed")
+
+
+@_query
+def score_quantiles(spark, d):
+    k = _sourced(spark, d)
+    return quality.quantile_nearest(k, "score", 0.95).select(F.col("value").alias("nearest")).crossJoin(quality.quantile_floor(k, "score", 0.95).select(F.col("value").alias("floor"))).crossJoin(_rounded(quality.quantile_linear(k, "score", 0.5, 0.95), "p50", "p95"))
+
+
+@_query
+def score_statistics(spark, d):
+    return _rounded(quality.describe(_sourced(spark, d), "score"), "mean", "stdev")
+
+
+@_query
+def threshold_retention(spark, d):
+    return _rounded(quality.retention(_sourced(spark, d), "doc_id", [2, 5, 8, 12, 20]), "share", "mean_kept", "median_kept")
+
+
+@_query
+def rank_decay(spark, d):
+    return _rounded(quality.rank_decay(_sourced(spark, d)), "mean", "drop_ahead", "drop_before")
+
+
+@_query
+def variant_groups(spark, d):
+    e = F.explode(F.split("text", r"\s+")).alias("term")
+    g = quality.variant_groups(_docs(spark, d).select(e))
+    return g.select("dkey", F.size("variants").alias("n"), F.md5(F.array_join("variants", " ")).alias("digest"))
+
+
+@_query
+def redundant_pairs(spark, d):
+    return quality.redundant_pairs(_sourced(spark, d), "doc_id")
+
+
+@_query
+def source_mix(spark, d):
+    return _rounded(quality.source_mix(_sourced(spark, d)), "mean")
+
+
+@_query
+def tier_issues(spark, d):
+    return _rounded(quality.tier_issues(_sourced(spark, d)), "issues")
+
+
+@_query
+def dominant_words(spark, d):
+    return _rounded(quality.dominant_word(_sourced(spark, d), "doc_id", 0.1), "share")
+
+
+@_query
+def version_diff(spark, d):
+    k = _sourced(spark, d)
+    return quality.version_diff(k.filter("rank <= 15"), k.filter("score >= 5"), "doc_id")
+
+
+@_query
+def theme_alignment(spark, d):
+    k = _sourced(spark, d)
+    return _rounded(quality.theme_alignment(k, terms.theme(k.filter("rank > 3"), "doc_id", 6), "doc_id"), "alignment")
+
+
+@_query
+def score_separation(spark, d):
+    return _rounded(quality.separation(_sourced(spark, d), "doc_id"), "separation", "diversity")
+
+
+@_query
+def phrase_quality(spark, d):
+    k = _sourced(spark, d).filter("term like '% %'").select("term").distinct()
+    t = F.col("term")
+    return k.select("term", F.round(quality.coherence(t), 6).alias("coherence"), quality.mechanical(t).alias("mechanical"), quality.quality_issue(t).alias("issue"), quality.promotional(t).alias("promotional"))
+
+
+@_query
+def size_buckets(spark, d):
+    o = _t(spark, d, "orders").select(F.col("o_totalprice").alias("n"))
+    return o.groupBy(quality.size_bucket(F.col("n")).alias("bucket"), quality.size_bucket(F.col("n"), False).alias("exclusive")).agg(F.count("*").alias("n"))
+
+
+@_query
+def event_windows(spark, d):
+    return incremental.windowed_counts(_t(spark, d, "events"))
+
+
+# --- web pages ---------------------------------------------------------------------------------------------------------------
+
+
+@_query
+def page_parts(spark, d):
+    return html.page_parts(_t(spark, d, "pages"))
+
+
+@_query
+def page_selectors(spark, d):
+    return html.selector_survey(_t(spark, d, "pages"), ["a", "p", "h1", "div", "article", "li"])
 
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+def queries() -> dict[str, Query]:
+    return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return sql.build(CFG)
