@@ -107,7 +107,7 @@ def build(cfg: KeywordConfig) -> dict[str, str]:
         kd AS (SELECT raw AS dkey, count(*) AS df FROM (SELECT DISTINCT doc_id, raw FROM d0 WHERE raw <> '' AND contains(source, 'posts')) GROUP BY 1),
         d1 AS (SELECT doc_id, t2 AS term, score, source, {_key('t2')} AS dkey, (SELECT count(DISTINCT doc_id) FROM k) AS n FROM d0),
         d2 AS (SELECT d1.*, CASE WHEN score < 2.0 THEN 'score' WHEN {_reason('term')} IS NOT NULL THEN {_reason('term')} WHEN n >= 5 AND contains(source, 'posts') AND NOT contains({_key('term')}, 'the') AND coalesce(df, 0) / n >= 0.25 THEN 'df' WHEN dkey = '' THEN 'empty' END AS reason FROM d1 LEFT JOIN kd USING (dkey)),
-        d3 AS (SELECT *, row_number() OVER (PARTITION BY doc_id, dkey, reason IS NULL ORDER BY score DESC, CASE source WHEN 'description' THEN 2 ELSE 1 END, term) AS r FROM d2),
+        d3 AS (SELECT *, row_number() OVER (PARTITION BY doc_id, dkey, reason IS NULL ORDER BY score DESC, CASE source WHEN 'description' THEN 2 ELSE 1 END, term, source) AS r FROM d2),
         d4 AS (SELECT doc_id, term, score, source, CASE WHEN reason IS NULL AND r > 1 THEN 'duplicate' ELSE reason END AS reason FROM d3)"""
     coherent = """list_transform(range(1, len(w)), lambda i:
         (CASE WHEN abs(length(w[i]) - length(w[i + 1])) / greatest(greatest(length(w[i]), length(w[i + 1])), 1) < 0.5 THEN 0.3::DOUBLE ELSE 0.0::DOUBLE END)
@@ -135,9 +135,9 @@ def build(cfg: KeywordConfig) -> dict[str, str]:
         "merged_sources": keywords + """, m AS (SELECT doc_id, term, sum(score * w) AS score, array_to_string(list_sort(list_distinct(list(s))), '+') AS source FROM (
             SELECT *, 1.0 AS w, 'description' AS s FROM k WHERE rank <= 15 UNION ALL SELECT *, 1.5, 'posts' FROM k WHERE rank >= 10 UNION ALL SELECT *, 3.0, 'name' FROM k WHERE rank = 1) GROUP BY 1, 2)
             SELECT doc_id, term, round(score, 6) AS score, source, round(score / CASE WHEN sum(score) OVER o = 0 THEN 1 ELSE sum(score) OVER o END, 6) AS weight FROM m WINDOW o AS (PARTITION BY doc_id)""",
-        "topk_with_phrase": keywords + """, x AS (SELECT k.doc_id, k.term, k.score, k.term = p.term AS own, row_number() OVER (PARTITION BY k.doc_id ORDER BY k.score DESC, k.term) AS at FROM k LEFT JOIN (SELECT doc_id, term FROM k WHERE rank = 20) p USING (doc_id)),
-            y AS (SELECT *, max(CASE WHEN own THEN at END) OVER (PARTITION BY doc_id) AS own_at FROM x)
-            SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, term) AS INTEGER) AS rank, term, score FROM y WHERE coalesce(own, false) OR at <= CASE WHEN own_at > 10 THEN 9 ELSE 10 END""",
+        "topk_with_phrase": keywords + """, x AS (SELECT k.doc_id, k.term, k.score, k.term = p.term AS own, row_number() OVER (PARTITION BY k.doc_id ORDER BY k.score DESC, k.term) AS place FROM k LEFT JOIN (SELECT doc_id, term FROM k WHERE rank = 20) p USING (doc_id)),
+            y AS (SELECT *, max(CASE WHEN own THEN place END) OVER (PARTITION BY doc_id) AS own_at FROM x)
+            SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, term) AS INTEGER) AS rank, term, score FROM y WHERE coalesce(own, false) OR place <= CASE WHEN own_at > 10 THEN 9 ELSE 10 END""",
         "core_and_extended": keywords + f" SELECT doc_id, rank, term FROM k e WHERE rank >= 5 AND NOT EXISTS (SELECT 1 FROM k c WHERE c.rank <= 8 AND c.doc_id = e.doc_id AND {_key('c.term')} = {_key('e.term')})",
         "theme_penalised": keywords + f", {theme('rank <= 12')} SELECT k.doc_id, rank, term, round(CASE WHEN len(theme) > 0 AND NOT list_has_any(string_split(term, ' '), theme) THEN score * 0.65::DOUBLE ELSE score END, 6) AS score FROM k LEFT JOIN th USING (doc_id)",
         "anchored_keywords": keywords + f""", v AS (SELECT doc_id, 'f o o ' || term AS term, score * {cfg.anchor_multiplier}::DOUBLE AS score FROM k WHERE len(string_split(term, ' ')) <= 2 AND rank / 100 >= {cfg.anchor_generic_ratio} AND NOT contains(' ' || term || ' ', ' foo '))
@@ -170,13 +170,14 @@ def build(cfg: KeywordConfig) -> dict[str, str]:
         "score_statistics": keywords + " SELECT count(score) AS n, round(avg(score), 6) AS mean, round(stddev_pop(score), 6) AS stdev, min(score) AS least, max(score) AS most FROM k",
         "threshold_retention": keywords + ", per AS (SELECT t AS threshold, doc_id, count(*) FILTER (WHERE score >= t) AS kept, count(*) AS n FROM k, (SELECT unnest([2, 5, 8, 12, 20])::DOUBLE AS t) GROUP BY ALL) SELECT threshold, CAST(sum(kept) AS BIGINT) AS kept, round(sum(kept) / sum(n), 6) AS share, round(avg(kept), 6) AS mean_kept, round(quantile_cont(kept, 0.5), 6) AS median_kept FROM per GROUP BY 1",
         "rank_decay": keywords + ", m AS (SELECT rank, count(*) AS n, avg(score) AS mean FROM k GROUP BY 1) SELECT rank, n, round(mean, 6) AS mean, round((mean - lead(mean, 5) OVER o) / mean * 100, 6) AS drop_ahead, CASE WHEN n >= 10 THEN round((lag(mean, 1) OVER o - mean) / lag(mean, 1) OVER o * 100, 6) END AS drop_before FROM m WINDOW o AS (ORDER BY rank)",
-        "redundant_pairs": keywords + ", j AS (SELECT a.doc_id, a.rank AS rank_a, a.term AS a, b.rank AS rank_b, b.term AS b FROM k a JOIN k b ON a.doc_id = b.doc_id AND a.rank < b.rank), c AS (SELECT *, CASE WHEN contains(a, b) OR contains(b, a) THEN 'substring' WHEN len(list_intersect(string_split(a, ' '), string_split(b, ' '))) / len(list_distinct(list_concat(string_split(a, ' '), string_split(b, ' ')))) >= 0.7 THEN 'overlap' END AS kind FROM j) SELECT * FROM c WHERE kind IS NOT NULL",
+        "variant_groups": "WITH e AS (SELECT DISTINCT unnest(regexp_split_to_array(text, '\\s+')) AS term FROM documents), g AS (SELECT regexp_replace(lower(term), '[^0-9a-z]+', '', 'g') AS dkey, list_sort(list(term)) AS v FROM e GROUP BY 1) SELECT dkey, CAST(len(v) AS INTEGER) AS n, md5(array_to_string(v, ' ')) AS digest FROM g WHERE len(v) > 1 AND dkey <> ''",
+        "redundant_pairs": keywords + ", rj AS (SELECT a.doc_id, a.rank AS rank_a, a.term AS a, b.rank AS rank_b, b.term AS b FROM k a JOIN k b ON a.doc_id = b.doc_id AND a.rank < b.rank), c AS (SELECT *, CASE WHEN contains(a, b) OR contains(b, a) THEN 'substring' WHEN len(list_intersect(string_split(a, ' '), string_split(b, ' '))) / len(list_distinct(list_concat(string_split(a, ' '), string_split(b, ' ')))) >= 0.7 THEN 'overlap' END AS kind FROM rj) SELECT * FROM c WHERE kind IS NOT NULL",
         "source_mix": keywords + " SELECT source, count(*) AS n, round(avg(score), 6) AS mean, contains(source, '+') AS several FROM k GROUP BY source",
         "tier_issues": keywords + f" SELECT CASE WHEN score >= 50 THEN '50+' WHEN score >= 20 THEN '20-50' WHEN score >= 10 THEN '10-20' WHEN score >= 5 THEN '5-10' ELSE '0-5' END AS tier, count(*) AS n, {share(_issue('term'))} AS issues FROM k GROUP BY 1",
-        "dominant_words": keywords + ", w AS (SELECT doc_id, word, count(*) AS n FROM (SELECT doc_id, unnest(string_split(lower(term), ' ')) AS word FROM k) GROUP BY ALL), s AS (SELECT *, n / sum(n) OVER (PARTITION BY doc_id) AS share FROM w) SELECT doc_id, word, n, round(share, 6) AS share FROM s WHERE share > 0.1",
-        "version_diff": keywords + f""", a AS (SELECT DISTINCT doc_id, term FROM k WHERE rank <= 15), b AS (SELECT DISTINCT doc_id, term FROM k WHERE score >= 5),
-            x AS (SELECT coalesce(a.doc_id, b.doc_id) AS doc_id, coalesce(a.term, b.term) AS term, a.term IS NOT NULL AS was, b.term IS NOT NULL AS is_now FROM a FULL JOIN b ON a.doc_id = b.doc_id AND a.term = b.term),
-            d AS (SELECT doc_id, count(*) FILTER (WHERE is_now AND NOT was) AS gained, count(*) FILTER (WHERE was AND NOT is_now) AS lost, count(*) FILTER (WHERE was AND is_now) AS same, count(*) FILTER (WHERE was AND {_mechanical('term')}) AS mechanical_before, count(*) FILTER (WHERE is_now AND {_mechanical('term')}) AS mechanical_after FROM x WHERE doc_id IN (SELECT doc_id FROM a) AND doc_id IN (SELECT doc_id FROM b) GROUP BY 1)
+        "dominant_words": keywords + ", dw AS (SELECT doc_id, word, count(*) AS n FROM (SELECT doc_id, unnest(string_split(lower(term), ' ')) AS word FROM k) GROUP BY ALL), s AS (SELECT *, n / sum(n) OVER (PARTITION BY doc_id) AS share FROM dw) SELECT doc_id, word, n, round(share, 6) AS share FROM s WHERE share > 0.1",
+        "version_diff": keywords + f""", va AS (SELECT DISTINCT doc_id, term FROM k WHERE rank <= 15), vb AS (SELECT DISTINCT doc_id, term FROM k WHERE score >= 5),
+            x AS (SELECT coalesce(a.doc_id, b.doc_id) AS doc_id, coalesce(a.term, b.term) AS term, a.term IS NOT NULL AS was, b.term IS NOT NULL AS is_now FROM va a FULL JOIN vb b ON a.doc_id = b.doc_id AND a.term = b.term),
+            d AS (SELECT doc_id, count(*) FILTER (WHERE is_now AND NOT was) AS gained, count(*) FILTER (WHERE was AND NOT is_now) AS lost, count(*) FILTER (WHERE was AND is_now) AS same, count(*) FILTER (WHERE was AND {_mechanical('term')}) AS mechanical_before, count(*) FILTER (WHERE is_now AND {_mechanical('term')}) AS mechanical_after FROM x WHERE doc_id IN (SELECT doc_id FROM va) AND doc_id IN (SELECT doc_id FROM vb) GROUP BY 1)
             SELECT *, CASE WHEN mechanical_after < mechanical_before THEN 'better' WHEN mechanical_after > mechanical_before THEN 'worse' ELSE 'same' END AS verdict FROM d""",
         "theme_alignment": keywords + f", {theme('rank > 3')} SELECT k.doc_id, round(sum(len(list_filter(string_split(term, ' '), lambda t: list_contains(theme, t))) / len(string_split(term, ' ')) * score / rank), 6) AS alignment FROM k JOIN th USING (doc_id) WHERE rank <= 10 GROUP BY 1",
         "score_separation": keywords + ", z AS (SELECT *, count(*) OVER (PARTITION BY doc_id) AS n FROM k) SELECT doc_id, round((avg(score) FILTER (WHERE rank <= 5) - avg(score) FILTER (WHERE rank > n - 5)) / avg(score) FILTER (WHERE rank <= 5), 6) AS separation, count(DISTINCT source) FILTER (WHERE rank <= 10) / 10 AS diversity FROM z GROUP BY 1",

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -208,8 +209,6 @@ def segment(word: str, suffixes: Iterable[str] = SUFFIXES) -> list[str]:
 
 def segment_words(words: Column) -> Column:
     """segment() for arrays of words, in Arrow batches: the recursion has no expression."""
-    import pandas as pd
-
     @F.pandas_udf("array<string>")
     def cut(batch: pd.Series) -> pd.Series:
         return batch.map(lambda ws: None if ws is None else [x for w in ws for x in (segment(w) if w.islower() and len(w) >= 9 else [w])])

@@ -14,8 +14,12 @@ from ..functions import scores, text
 
 
 def grams(docs: DataFrame, key: str, words: Column, max_n: int) -> DataFrame:
-    """(key, gram, n, pos) of every n-gram in the token arrays `words`."""
-    return docs.select(key, F.explode(text.all_ngrams(words, max_n)).alias("g")).select(key, "g.gram", "g.n", "g.pos")
+    """(key, gram, n, pos) of every n-gram in the token arrays `words`.
+
+    The words are a column of their own first: the n-grams' expressions look at it once for each place.
+    """
+    w = docs.select(key, words.alias("_words"))
+    return w.select(key, F.explode(text.all_ngrams(F.col("_words"), max_n)).alias("g")).select(key, "g.gram", "g.n", "g.pos")
 
 
 def term_frequency(g: DataFrame, key: str) -> DataFrame:
@@ -102,7 +106,7 @@ def normalise(scored: DataFrame, key: str) -> DataFrame:
 def dedupe(scored: DataFrame, key: str) -> DataFrame:
     """Of terms that are alike but for case, spaces and punctuation the best; terms without ASCII letters or digits go."""
     d = scored.withColumn("dkey", text.dedupe_key(F.col("term"))).filter(F.col("dkey") != "")
-    order = Window.partitionBy(key, "dkey").orderBy(F.desc("score"), text.source_rank(F.col("source")), F.asc("term"))
+    order = Window.partitionBy(key, "dkey").orderBy(F.desc("score"), text.source_rank(F.col("source")), F.asc("term"), F.asc("source"))
     return d.withColumn("_r", F.row_number().over(order)).filter("_r = 1").drop("_r")
 
 

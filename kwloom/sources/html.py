@@ -103,7 +103,7 @@ def extracted(pages: DataFrame, make: Callable[[Node], list[dict]], schema: str,
     def run(batches):
         from pyspark.sql.pandas.types import to_arrow_schema
 
-        arrow = to_arrow_schema(full, timezone="UTC")
+        arrow = to_arrow_schema(full)
         for b in batches:
             for i, page in enumerate(b.column(html).to_pylist()):
                 keep = {f.name: b.column(f.name)[i].as_py() for f in own.fields}
