@@ -45,11 +45,15 @@ def stop_filtered(words: Column, stopwords: Iterable[str], min_len: int = 2, ext
 
 
 def ngrams(words: Column, n: int) -> Column:
-    """Space-joined runs of n tokens without a boundary, as structs (gram, n, pos)."""
-    none = F.array().cast("array<struct<gram:string,n:int,pos:int>>")
-    runs = F.transform(F.sequence(F.lit(1), F.greatest(F.size(words) - n + 1, F.lit(1))), lambda i: F.struct(F.slice(words, i, n).alias("w"), i.alias("pos")))
-    whole = F.filter(runs, lambda r: ~F.exists(r["w"], lambda t: t.isNull()))
-    return F.when(F.size(words) < n, none).otherwise(F.transform(whole, lambda r: F.struct(F.array_join(r["w"], " ").alias("gram"), F.lit(n).alias("n"), r["pos"].alias("pos"))))
+    """Space-joined runs of n tokens without a boundary, as structs (gram, n, pos).
+
+    Runs grow by a token at a time against the array shifted by one more place; a null in a run makes the run null.
+    """
+    runs = words
+    for k in range(2, n + 1):
+        runs = F.zip_with(runs, F.slice(words, F.lit(k), F.size(words)), lambda a, b: F.concat(a, F.lit(" "), b))
+    placed = F.transform(runs, lambda g, i: F.struct(g.alias("gram"), F.lit(n).alias("n"), (i + 1).alias("pos")))
+    return F.filter(placed, lambda r: r["gram"].isNotNull())
 
 
 def all_ngrams(words: Column, max_n: int) -> Column:
