@@ -87,6 +87,8 @@ def links(fps: DataFrame, hot: int = 512) -> DataFrame:
     """
     masks = F.array(*[F.lit(m) for m, _ in _grids()])
     rests = F.array(*[F.lit(r).cast("long") for _, r in _grids()])
+    # each fingerprint makes 70 rows: dealt to a fixed number of tasks first, or few small partitions would make all of them
+    fps = fps.repartition(int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     cells = fps.select("fp", _thermometer(F.col("fp")).alias("code")).select("fp", "code", F.posexplode(masks).alias("grid", "mask"))
     cells = cells.select("fp", "grid", F.xxhash64("grid", F.col("code").bitwiseAND(F.col("mask"))).alias("cell"))
     sized = cells.groupBy("cell").agg(F.count("*").alias("n")).filter("n > 1")
