@@ -141,8 +141,13 @@ class Model:
 def train(docs: DataFrame, rows: int = ROWS) -> Model | None:
     """The model of documents outside the held-out third; None without any."""
     learn = docs.select("doc_id", "text", "lang").filter((remainder("doc_id", 3) != 1) & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = learn.select("doc_id", "lang").distinct().withColumn("n", F.row_number().over(order)).filter(F.col("n") <= rows).select("doc_id", "lang")
+    # only hashes below a bound that leaves some four times `rows` of a language are ranked, so no task ranks a whole language
+    sizes = learn.groupBy("lang").agg(F.count("*").alias("size"))
+    few = len(sizes.take(BROADCAST_ROWS + 1)) <= BROADCAST_ROWS
+    hashed = learn.select("doc_id", "lang", F.xxhash64("doc_id").alias("h")).join(F.broadcast(sizes) if few else sizes, "lang")
+    low = hashed.filter(F.col("h") / F.lit(2.0**64) + 0.5 <= F.lit(4.0 * rows) / F.col("size"))
+    order = Window.partitionBy("lang").orderBy("h", "doc_id")
+    chosen = low.select("doc_id", "lang", "h").distinct().withColumn("n", F.row_number().over(order)).filter(F.col("n") <= rows).select("doc_id", "lang")
     small = len(chosen.take(BROADCAST_ROWS + 1)) <= BROADCAST_ROWS
     texts = learn.join(F.broadcast(chosen) if small else chosen, ["doc_id", "lang"]).select("lang", "text")
 
