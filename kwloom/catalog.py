@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import catalog_sql as sql
@@ -46,8 +46,13 @@ def _names(spark: SparkSession, d: str) -> DataFrame:
     return _t(spark, d, "part").select(F.col("p_partkey").alias("doc_id"), F.col("p_name").alias("name"))
 
 
+def _round6(c) -> Column:
+    """Six decimals, rounded half away from zero in binary arithmetic, as SQL engines without a decimal detour do."""
+    return F.round((F.col(c) if isinstance(c, str) else c) * 1e6) / 1e6
+
+
 def _rounded(df: DataFrame, *columns: str) -> DataFrame:
-    return df.select(*[F.round(c, 6).alias(c) if c in columns else F.col(c) for c in df.columns])
+    return df.select(*[_round6(c).alias(c) if c in columns else F.col(c) for c in df.columns])
 
 
 def _top(spark: SparkSession, d: str) -> DataFrame:
@@ -57,7 +62,7 @@ def _top(spark: SparkSession, d: str) -> DataFrame:
 def _sourced(spark: SparkSession, d: str) -> DataFrame:
     """Ranked keywords with a source and an anchor, as cleaning and the quality measures need them."""
     source = F.when(F.col("rank") % 3 == 0, "posts").when(F.col("rank") % 3 == 1, "description").otherwise("description+posts")
-    return _top(spark, d).select("doc_id", "rank", "term", F.round("score", 6).alias("score"), source.alias("source"), F.lit("the").alias("anchor"))
+    return _top(spark, d).select("doc_id", "rank", "term", _round6("score").alias("score"), source.alias("source"), F.lit("the").alias("anchor"))
 
 
 # --- text --------------------------------------------------------------------------------------------------------------------
@@ -138,7 +143,7 @@ def doc_keywords_topk(spark, d):
 @_query
 def posts_keywords_topk(spark, d):
     p = plans.posts_scores(_posts(spark, d), "doc_id", CFG)
-    return _rounded(terms.top_k(p.withColumn("score", F.round("score", 6)), "doc_id", CFG.topk).select("doc_id", "rank", "term", "score"), "score")
+    return _rounded(terms.top_k(p.withColumn("score", _round6("score")), "doc_id", CFG.topk).select("doc_id", "rank", "term", "score"), "score")
 
 
 @_query
@@ -198,7 +203,7 @@ def community_keywords(spark, d):
 def vector_similarity(spark, d):
     e = _t(spark, d, "embeddings")
     n = e.select((F.col("vec_id") - 1).alias("vec_id"), F.col("embedding").alias("next"))
-    return e.join(n, "vec_id").select("vec_id", F.round(scores.cosine(F.col("embedding"), F.col("next")), 6).alias("cosine"))
+    return e.join(n, "vec_id").select("vec_id", _round6(scores.cosine(F.col("embedding"), F.col("next"))).alias("cosine"))
 
 
 @_query
@@ -441,7 +446,7 @@ def score_separation(spark, d):
 def phrase_quality(spark, d):
     k = _sourced(spark, d).filter("term like '% %'").select("term").distinct()
     t = F.col("term")
-    return k.select("term", F.round(quality.coherence(t), 6).alias("coherence"), quality.mechanical(t).alias("mechanical"), quality.quality_issue(t).alias("issue"), quality.promotional(t).alias("promotional"))
+    return k.select("term", _round6(quality.coherence(t)).alias("coherence"), quality.mechanical(t).alias("mechanical"), quality.quality_issue(t).alias("issue"), quality.promotional(t).alias("promotional"))
 
 
 @_query
