@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from . import catalog_sql as sql
 from .config import KeywordConfig
 from .functions import scores, text
-from .operators import clean, ops, quality, terms, trend, warehouse
+from .operators import clean, ops, quality, reports, terms, trend, warehouse
 from .plans import keywords as plans
 from .sources import html
 from .streaming import incremental
@@ -449,6 +449,64 @@ def phrase_quality(spark, d):
     return k.select("term", _round6(quality.coherence(t)).alias("coherence"), quality.mechanical(t).alias("mechanical"), quality.quality_issue(t).alias("issue"), quality.promotional(t).alias("promotional"))
 
 
+@_query
+def phrase_issues(spark, d):
+    t = F.col("term")
+    shown = F.when(F.length(t) % 5 == 0, F.concat(F.upper(F.left(t, F.lit(1))), F.substring(t, 2, 1000))).otherwise(t)
+    k = _sourced(spark, d).filter("term like '% %'").select(shown.alias("term")).distinct()
+    return k.select("term", F.array_join(reports.phrase_issues(t), "|").alias("issues"), reports.unrelated(t).alias("unrelated"), reports.composed_class(t).alias("class"))
+
+
+def _composed(spark: SparkSession, d: str) -> DataFrame:
+    """Ranked keywords of which every other counts as composed."""
+    return _sourced(spark, d).withColumn("source", F.when(F.length("term") % 2 == 0, "posts_composed").otherwise("posts"))
+
+
+def _communities(spark: SparkSession, d: str) -> DataFrame:
+    return _docs(spark, d).withColumnRenamed("text", "description").join(_names(spark, d), "doc_id", "left")
+
+
+@_query
+def phrase_scores(spark, d):
+    return _rounded(_composed(spark, d).select("term", "source").distinct().withColumn("quality", reports.phrase_score(F.col("term"), F.col("source"))), "quality")
+
+
+@_query
+def community_themes(spark, d):
+    t = reports.community_themes(_communities(spark, d), "doc_id")
+    return t.select("doc_id", F.array_join("theme", " ").alias("theme"))
+
+
+def _versions(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    k = _composed(spark, d)
+    longer = k.drop("rank").withColumn("score", F.col("score") * F.when(F.length("term") % 2 == 0, 1.25).otherwise(1.0))
+    return k.filter("rank <= 15"), terms.top_k(longer, "doc_id", 15)
+
+
+@_query
+def version_scores(spark, d):
+    a, b = _versions(spark, d)
+    s = reports.version_scores(a, b, reports.community_themes(_communities(spark, d), "doc_id"), "doc_id")
+    return _rounded(s, "theme_gain", "phrase_gain", "spread_gain", "overall")
+
+
+@_query
+def topk_metrics(spark, d):
+    return _rounded(reports.topk_metrics(_composed(spark, d), "doc_id", CFG.topk, 5.0), "full", "low", "promotional")
+
+
+@_query
+def topk_advice(spark, d):
+    return reports.topk_advice(reports.topk_metrics(_composed(spark, d), "doc_id", CFG.topk), CFG.topk)
+
+
+@_query
+def side_by_side(spark, d):
+    a, b = _versions(spark, d)
+    s = reports.side_by_side(_communities(spark, d), a.filter("doc_id % 3 <> 0"), b.filter("doc_id % 5 <> 0"), _posts(spark, d), "doc_id")
+    return s.select("doc_id", "name", F.md5("about").alias("about"), *[F.array_join(c, "|").alias(c) for c in ("terms_a", "terms_b", "titles")])
+
+
 @_query
 def size_buckets(spark, d):
     o = _t(spark, d, "orders").select(F.col("o_totalprice").alias("n"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .config import CJK, CYRILLIC, DOMAINS, FILE_ENDINGS, GREEK, SHORT_WORDS, WEB_WORDS, KeywordConfig
+from .operators import reports
 from .operators.quality import ADDRESS, CONNECTORS, PROMOTION
 
 
@@ -53,6 +54,68 @@ def _issue(c: str) -> str:
     return f"({_repeats(c)} OR (len({w}) > 5 AND NOT list_has_any({w}, {_list(CONNECTORS)})) OR regexp_matches(lower({c}), '{ADDRESS}'))"
 
 
+def _pairs(like: str) -> str:
+    """The mean of an expression over neighbouring words of the list w."""
+    return f"(CASE WHEN len(w) < 2 THEN 1 ELSE list_sum(list_transform(range(1, len(w)), lambda i: {like})) / (len(w) - 1) END)"
+
+
+def _reports(keywords: str, cfg: KeywordConfig) -> dict[str, str]:
+    """SQL for the report heuristics; w are a term's lower-case words."""
+    a, b = "w[i]", "w[i + 1]"
+    longer = f"greatest(length({a}), length({b}), 1)"
+    lengths = f"(1 - abs(length({a}) - length({b})) / {longer}) * 0.3::DOUBLE"
+    same = f"len(list_intersect(list_distinct(string_split({a}, '')), list_distinct(string_split({b}, ''))))"
+    every = f"len(list_distinct(list_concat(string_split({a}, ''), string_split({b}, ''))))"
+    ends = f"(starts_with({a}, left({b}, 2)) OR starts_with({b}, left({a}, 2)) OR ends_with({a}, right({b}, 2)) OR ends_with({b}, right({a}, 2)))"
+    fragment = _pairs(f"{lengths} + {same} / {longer} * 0.4::DOUBLE + CASE WHEN {ends} AND length({a}) > 2 THEN 0.3::DOUBLE ELSE 0 END")
+    alike = f"(left({a}, 2) = left({b}, 2) OR right({a}, 2) = right({b}, 2))"
+    smooth = _pairs(f"{lengths} + {same} / {every} * 0.5::DOUBLE + CASE WHEN {alike} AND length({a}) > 2 AND length({b}) > 2 THEN 0.06::DOUBLE ELSE 0 END")
+    holds = lambda c, pieces: "(" + " OR ".join(f"contains({c}, '{p}')" for p in pieces) + ")"
+    count = lambda ws, test: f"len(list_filter({ws}, lambda x: {test}))"
+    fields = " + ".join(f"CAST({count('w', holds('x', pieces))} > 0 AS INTEGER)" for pieces in reports.FIELDS.values())
+    common = f"list_contains({_list(reports.COMMON)}, lower(x))"
+    unrelated = f"(len(w) >= 4 AND NOT list_has_any(w, {_list(reports.WHOLE)}) AND len(list_distinct(raw)) = len(raw) AND ({fields} > 2 OR ({count('raw', f'length(x) > 6 AND NOT {common}')} >= 2 AND {count('w', common)} > 0)))"
+    tests = {
+        "coherence": f"len(w) >= 4 AND least(1, {fragment}) < 0.3",
+        "names": f"{count('raw', f"length(x) > 3 AND regexp_matches(x, '{reports.TITLE}')")} > 0",
+        "repeats": "len(list_distinct(w)) < len(w)",
+        "letters": "regexp_matches(term, '[^\\x00-\\x7F]')",
+        "fragments": f"len(w) >= 5 AND {count('w', 'length(x) > 3')} = 0",
+        "structure": f"len(w) >= 4 AND NOT {holds('lower(term)', reports.STRUCTURE)}",
+    }
+    issues = "array_to_string(list_filter([" + ", ".join(f"CASE WHEN {t} THEN '{n}' END" for n, t in tests.items()) + "], lambda x: x IS NOT NULL), '|')"
+    kind = f"CASE WHEN {holds('lower(term)', reports.ADVERTS)} THEN 'promotional' WHEN len(list_distinct(w)) < len(w) OR (len(w) > 3 AND {count('w', 'length(x) > 2')} < len(w) * 0.6::DOUBLE) THEN 'low' WHEN {holds('lower(term)', reports.BRANDS)} AND len(w) >= 3 THEN 'high' ELSE 'medium' END"
+    well = f"(len(raw) >= 2 AND (NOT {holds('w[1]', reports.NAME_STARTS)} OR (len(raw) <= 5 AND NOT regexp_matches(array_to_string(raw[2:], ' '), '[0-9]|https?'))))"
+    score = f"{smooth} * 0.4::DOUBLE + CASE WHEN len(w) <= 3 THEN 0.3::DOUBLE WHEN len(w) = 4 THEN 0.2 ELSE 0.1 END + CASE WHEN regexp_matches(term, '{reports.ADDRESS}') THEN 0::DOUBLE ELSE 0.2 END + CASE WHEN contains(source, 'composed') AND NOT {well} THEN 0::DOUBLE ELSE 0.1 END"
+    words = "string_split(term, ' ') AS raw, string_split(lower(term), ' ') AS w"
+    made = keywords + f", kc AS (SELECT doc_id, rank, term, score, CASE WHEN length(term) % 2 = 0 THEN 'posts_composed' ELSE 'posts' END AS source, {words} FROM k)"
+    themes = "th2 AS (SELECT doc_id, p_name AS name, text AS description, list_concat(regexp_extract_all(replace(lower(coalesce(p_name, '')), 'r/', ''), '[a-z]+'), list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\\p{L}\\p{N}_]+'), lambda x: regexp_full_match(x, '[a-z]{3,}'))[1:10]) AS raw_theme FROM documents LEFT JOIN part ON p_partkey = doc_id)"
+    first = "list_filter(raw_theme, lambda x, i: i = 1 OR NOT list_contains(raw_theme[1:i - 1], x))"
+    versions = """, v1 AS (SELECT * FROM kc WHERE rank <= 15), v2 AS (SELECT * FROM (SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY s DESC, term) AS rank, term, s AS score, source, raw, w
+        FROM (SELECT *, score * CASE WHEN length(term) % 2 = 0 THEN 1.25::DOUBLE ELSE 1 END AS s FROM kc)) WHERE rank <= 15)"""
+
+    def measured(v: str) -> str:
+        cover = "len(list_intersect(list_distinct(list_filter(w, lambda x: regexp_matches(x, '[a-z]'))), raw_theme)) / greatest(len(list_distinct(list_filter(w, lambda x: regexp_matches(x, '[a-z]')))), 1)"
+        top, last = "avg(score) FILTER (WHERE rank <= 5)", "avg(score) FILTER (WHERE rank > n - 5)"
+        return f"m{v} AS (SELECT doc_id, sum({cover} / rank * score) FILTER (WHERE rank <= 10) AS theme, avg({score}) FILTER (WHERE rank <= 10) AS phrase, CASE WHEN max(n) >= 5 AND {top} > 0 THEN ({top} - {last}) / {top} ELSE 0 END AS spread FROM (SELECT *, count(*) OVER (PARTITION BY doc_id) AS n FROM v{v}) JOIN th2 USING (doc_id) GROUP BY 1)"
+
+    metrics = lambda fall: f""", fu AS (SELECT avg(CASE WHEN n >= {cfg.topk} THEN 1.0::DOUBLE ELSE 0 END) * 100 AS "full" FROM (SELECT count(*) AS n FROM kc GROUP BY doc_id)),
+        dm AS (SELECT rank, count(*) AS n, avg(score) AS mean FROM kc GROUP BY 1), dd AS (SELECT rank, CASE WHEN n >= 10 THEN (lag(mean) OVER (ORDER BY rank) - mean) / lag(mean) OVER (ORDER BY rank) * 100 END AS fall FROM dm),
+        mm AS (SELECT "full", (SELECT min(rank) FROM dd WHERE fall > {fall}) AS cliff, lw AS low, pr AS promotional FROM fu, (SELECT avg(CASE WHEN kind = 'low' THEN 1.0::DOUBLE ELSE 0 END) AS lw, avg(CASE WHEN kind = 'promotional' THEN 1.0::DOUBLE ELSE 0 END) AS pr FROM (SELECT {kind} AS kind FROM kc WHERE contains(source, 'composed'))))"""
+    best = lambda v, keep: f"(SELECT doc_id, string_agg(term, '|' ORDER BY rank) AS t FROM {v} WHERE {keep} GROUP BY 1)"
+    return {
+        "phrase_issues": keywords + f", pt AS (SELECT DISTINCT CASE WHEN length(term) % 5 = 0 THEN upper(left(term, 1)) || substr(term, 2) ELSE term END AS term FROM k WHERE contains(term, ' ')), pw AS (SELECT term, {words} FROM pt) SELECT term, {issues} AS issues, {unrelated} AS unrelated, {kind} AS class FROM pw",
+        "phrase_scores": made + f" SELECT DISTINCT term, source, round({score}, 6) AS quality FROM kc",
+        "community_themes": f"WITH {themes} SELECT doc_id, array_to_string({first}, ' ') AS theme FROM th2",
+        "version_scores": made + versions + f", {themes}, {measured('1')}, {measured('2')}, gains AS (SELECT doc_id, b.theme - a.theme AS t, b.phrase - a.phrase AS p, b.spread - a.spread AS s FROM m1 a JOIN m2 b USING (doc_id)), total AS (SELECT *, t * 0.4::DOUBLE + p * 0.4::DOUBLE + s * 0.2::DOUBLE AS overall FROM gains) SELECT doc_id, round(t, 6) + 0.0::DOUBLE AS theme_gain, round(p, 6) + 0.0::DOUBLE AS phrase_gain, round(s, 6) + 0.0::DOUBLE AS spread_gain, round(overall, 6) + 0.0::DOUBLE AS overall, CASE WHEN overall > {reports.LEAST_GAIN} THEN 'improvement' ELSE 'degradation' END AS verdict FROM total",
+        "topk_metrics": made + metrics(5.0) + ' SELECT round("full", 6) AS "full", cliff, round(low, 6) AS low, round(promotional, 6) AS promotional FROM mm',
+        "topk_advice": made + metrics(20.0) + f""" SELECT 'increase' AS action, CAST(CASE WHEN cliff > {cfg.topk} THEN least(cliff - 2, 60) ELSE 50 END AS INTEGER) AS new_topk, CASE WHEN cliff > {cfg.topk} THEN 'high' ELSE 'medium' END AS priority FROM mm WHERE "full" > 90
+            UNION ALL SELECT 'decrease', CAST(greatest(cliff - 2, 20) AS INTEGER), 'medium' FROM mm WHERE "full" < 50 AND cliff < {cfg.topk} UNION ALL SELECT 'quality_filter', NULL, 'high' FROM mm WHERE low > 0.3 UNION ALL SELECT 'promotion_filter', NULL, 'high' FROM mm WHERE promotional > 0.1""",
+        "side_by_side": made + versions + f""", {themes} SELECT th2.doc_id, name, md5(left(coalesce(description, ''), 200)) AS about, x.t AS terms_a, y.t AS terms_b, z.t AS titles FROM th2 JOIN {best('v1', 'doc_id % 3 <> 0')} x USING (doc_id) LEFT JOIN {best('v2', 'doc_id % 5 <> 0')} y USING (doc_id)
+            LEFT JOIN (SELECT conv_id AS doc_id, string_agg(text, '|' ORDER BY turn) AS t FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS r FROM conversations) WHERE r <= 5 GROUP BY 1) z USING (doc_id)""",
+    }
+
+
 def build(cfg: KeywordConfig) -> dict[str, str]:
     """SQL by query name."""
     stop = f"(list_contains({_list(cfg.stopwords)}, t) OR regexp_full_match(t, '\\p{{Nd}}+') OR (length(t) < {cfg.min_token_len} AND NOT list_contains({_list(SHORT_WORDS)}, t)))"
@@ -184,4 +247,4 @@ def build(cfg: KeywordConfig) -> dict[str, str]:
         "phrase_quality": keywords + f", p AS (SELECT DISTINCT term, string_split(lower(term), ' ') AS w FROM k WHERE contains(term, ' ')) SELECT term, round(list_sum({coherent}) / (len(w) - 1), 6) AS coherence, {_mechanical('term')} AS mechanical, {_issue('term')} AS issue, list_has_any(w, {_list(PROMOTION)}) AS promotional FROM p",
         "size_buckets": f"SELECT {bucket('>=')} AS bucket, {bucket('>')} AS exclusive, count(*) AS n FROM orders GROUP BY ALL",
         "event_windows": "SELECT date_trunc('day', ts) AS start, event_type, count(*) AS n FROM events GROUP BY ALL",
-    }
+    } | _reports(keywords, cfg)

@@ -1,0 +1,73 @@
+"""Report heuristics on hand-written phrases, versions and metrics."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from kwloom.operators import reports
+
+
+def one(spark, value, column):
+    return spark.createDataFrame([(value,)], "t string").select(column(F.col("t")).alias("x")).first().x
+
+
+def test_coherence_by_hand(spark):
+    # cat, car: lengths alike 0.3; two of three letters, of four in all; a common beginning
+    assert one(spark, "cat car", reports.fragment_coherence) == pytest.approx(0.3 + 0.4 * 2 / 3 + 0.3)
+    assert one(spark, "Cat car", reports.smooth_coherence) == pytest.approx(0.3 + 0.5 * 2 / 4 + 0.06)
+    assert one(spark, "cat", reports.smooth_coherence) == 1.0 and one(spark, "", reports.fragment_coherence) == 1.0
+    assert one(spark, "anna anna", reports.fragment_coherence) < 1.0  # letters count once, over all of the longer word
+    assert one(spark, "abc abc", reports.fragment_coherence) == 1.0
+
+
+def test_phrase_issues(spark):
+    got = lambda t: one(spark, t, reports.phrase_issues)
+    assert got("nice day") == [] and got("") == []
+    assert got("buy from Maria") == ["names"] and got("from MARIA") == [] and got("Al runs") == []
+    assert got("été été") == ["repeats", "letters"]
+    assert got("we go up on it") == ["fragments"]  # " on " shows structure
+    assert got("xq jfkdlsoepw bv mmmmmmmmm") == ["coherence", "structure"]
+
+
+def test_unrelated_and_classes(spark):
+    assert one(spark, "pizza phone sad school", reports.unrelated) is True
+    assert one(spark, "pizza phone and school", reports.unrelated) is False  # a connector
+    assert one(spark, "pizza phone sad sad", reports.unrelated) is False  # a repeat
+    assert one(spark, "gardening by mountain lights", reports.unrelated) is True  # long words with a common one
+    assert one(spark, None, reports.unrelated) is False
+    kinds = {"big sale today": "promotional", "foo bar foo": "low", "a b cd efg": "low", "ask gaming people": "high", "plain words": "medium"}
+    assert {t: one(spark, t, reports.composed_class) for t in kinds} == kinds
+    assert [one(spark, t, reports.well_composed) for t in ("alone", "two words", "reddit one two three four", "reddit one two three four five", "reddit top 10")] == [False, True, True, False, False]
+
+
+def test_versions(spark):
+    rows = "doc int, rank int, term string, score double, source string"
+    a = spark.createDataFrame([(1, 1, "cat car", 4.0, "posts"), (1, 2, "dog", 2.0, "posts"), (2, 1, "x", 1.0, "posts")], rows)
+    b = spark.createDataFrame([(1, 1, "dog", 4.0, "posts"), (1, 2, "cat car", 2.0, "posts"), (3, 1, "x", 1.0, "posts")], rows)
+    themes = reports.community_themes(spark.createDataFrame([(1, "r/Dog", "The dog, 9 x9 of a Été house")], "doc int, name string, description string"), "doc")
+    assert themes.first().theme == ["dog", "the", "house"]
+    got = reports.version_scores(a, b, themes, "doc").collect()
+    assert [r.doc for r in got] == [1]
+    assert (got[0].theme_gain, got[0].spread_gain, got[0].verdict) == (4.0 - 1.0, 0.0, "improvement")
+    same = reports.version_scores(a, a, themes, "doc").collect()
+    assert {(r.doc, r.overall, r.verdict) for r in same} == {(1, 0.0, "degradation"), (2, 0.0, "degradation")}
+    assert reports.version_scores(a.limit(0), b, themes, "doc").collect() == []
+
+
+def test_advice(spark):
+    def advice(*row):
+        m = spark.createDataFrame([row], "full double, cliff int, low double, promotional double")
+        return [tuple(r) for r in reports.topk_advice(m, 40).collect()]
+
+    assert advice(95.0, 45, 0.0, 0.0) == [("increase", 43, "high")] and advice(95.0, 90, 0.0, 0.0) == [("increase", 60, "high")]
+    assert advice(95.0, None, None, None) == [("increase", 50, "medium")]
+    assert advice(10.0, 12, 0.4, 0.2) == [("decrease", 20, "medium"), ("quality_filter", None, "high"), ("promotion_filter", None, "high")]
+    assert advice(70.0, 12, 0.3, 0.1) == []
+
+
+def test_side_by_side(spark):
+    c = spark.createDataFrame([(1, "one", "x" * 300), (2, "two", None), (3, "none", "y")], "doc int, name string, description string")
+    k = spark.createDataFrame([(1, 2, "b"), (1, 1, "a"), (2, 1, "c")], "doc int, rank int, term string")
+    p = spark.createDataFrame([(1, i, f"t{i}") for i in range(9)], "doc int, post int, text string")
+    got = {r.doc: r for r in reports.side_by_side(c, k, k.filter("doc = 1 and rank = 1"), p, "doc").collect()}
+    assert set(got) == {1, 2} and (got[1].terms_a, got[1].terms_b, got[1].titles) == (["a", "b"], ["a"], ["t0", "t1", "t2", "t3", "t4"])
+    assert len(got[1].about) == 200 and (got[2].about, got[2].terms_b, got[2].titles) == ("", None, None)
