@@ -28,13 +28,13 @@ def sentences(text: Column) -> Column:
 
 
 def bounded(parts: Column) -> Column:
-    """Sentences' tokens in one array, with a null between sentences."""
-    return F.aggregate(parts, F.array().cast("array<string>"), lambda a, s: F.when(F.size(a) == 0, s).otherwise(F.concat(a, F.array(F.lit(None).cast("string")), s)))
+    """Sentences' tokens in one array, with a null after each sentence."""
+    return F.flatten(F.transform(parts, lambda s: F.concat(s, F.array(F.lit(None).cast("string")))))
 
 
 def is_stop(token: Column, stopwords: Iterable[str], min_len: int = 2, extra: Column | None = None) -> Column:
     """Whether a token is no keyword: a stopword, digits, a year, or too short."""
-    stop = F.array_contains(strings(stopwords), token) | token.rlike(r"^\p{Nd}+$") | ((F.length(token) < min_len) & ~F.array_contains(strings(SHORT_WORDS), token))
+    stop = token.isin(list(stopwords)) | token.rlike(r"^\p{Nd}+$") | ((F.length(token) < min_len) & ~F.array_contains(strings(SHORT_WORDS), token))
     return stop | F.array_contains(extra, token) if extra is not None else stop
 
 

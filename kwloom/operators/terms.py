@@ -13,6 +13,15 @@ from ..config import KeywordConfig
 from ..functions import scores, text
 
 
+def spread(docs: DataFrame) -> DataFrame:
+    """The rows, dealt to all cores if so few bytes that the files alone might not occupy them; larger tables stay as they are read."""
+    spark = docs.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    per_task = int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
+    size = int(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return docs.repartition(cores) if size < cores * per_task else docs
+
+
 def grams(docs: DataFrame, key: str, words: Column, max_n: int) -> DataFrame:
     """(key, gram, n, pos) of every n-gram in the token arrays `words`.
 

@@ -13,7 +13,7 @@ from ..operators import terms
 def description_terms(docs: DataFrame, key: str, cfg: KeywordConfig, extra: list[str] | None = None) -> DataFrame:
     """(key, term, n, tf, pos) of docs(key, text): n-grams within sentences, none across a stopword."""
     words = text.stop_filtered(text.bounded(text.sentences(F.col("text"))), cfg.stopwords, cfg.min_token_len, text.strings(extra) if extra else None)
-    return terms.term_frequency(terms.grams(docs, key, words, cfg.max_ngram), key)
+    return terms.term_frequency(terms.grams(terms.spread(docs), key, words, cfg.max_ngram), key)
 
 
 def description_scores(docs: DataFrame, key: str, cfg: KeywordConfig) -> DataFrame:
@@ -37,7 +37,7 @@ def posts_terms(posts: DataFrame, key: str, cfg: KeywordConfig) -> DataFrame:
     """(key, term, n, tf, weighted, pos) of posts(key, post, text, score, comments, age_days, is_promoted)."""
     words = text.stop_filtered(text.tokens(F.col("text")), cfg.stopwords, cfg.min_token_len)
     weight = scores.post_weight(F.col("age_days"), F.col("score"), F.col("comments"), cfg.halflife_days, cfg.engagement_alpha)
-    p = usable_posts(posts, cfg).select(key, "post", weight.alias("w"), words.alias("_words"))
+    p = usable_posts(terms.spread(posts), cfg).select(key, "post", weight.alias("w"), words.alias("_words"))
     p = p.select(key, "post", "w", F.explode(text.all_ngrams(F.col("_words"), cfg.max_ngram)).alias("g"))
     one = p.groupBy(key, "post", "w", F.col("g.gram").alias("term"), F.col("g.n").alias("n")).agg(F.count("*").alias("c"), F.min("g.pos").alias("pos"))
     return one.groupBy(key, "term", "n").agg(F.sum("c").alias("tf"), F.sum(F.col("c") * F.col("w")).alias("weighted"), F.min("pos").alias("pos"))
