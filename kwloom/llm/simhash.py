@@ -167,6 +167,7 @@ def near_duplicates(docs: DataFrame, hot: int = 512) -> DataFrame:
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The documents of which no other one of their near-duplicate class has a smaller doc_id; of repeated rows one stays."""
-    kept = near_duplicates(docs).filter("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").select(docs.columns).dropDuplicates(["doc_id"]).select(docs.columns)
+    """One document of each class of near copies; the pipeline's stage has a rule of its own, see nearcopies."""
+    from . import nearcopies
+
+    return nearcopies.keep_one(docs)
