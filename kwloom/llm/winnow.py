@@ -163,6 +163,7 @@ def _run(a: str, b: str):
 
 
 def decontaminated(docs: DataFrame, bench: DataFrame) -> DataFrame:
-    """The documents of which no word is hit; a hit document's id goes, with all rows that have it."""
-    dirty = contamination(docs, bench).filter("contaminated").select("doc_id").distinct()
-    return docs.join(dirty, "doc_id", "left_anti").select(docs.columns)
+    """The documents of which no word is hit. A row goes by its own text: its doc_id may be null or that of other texts."""
+    texts = docs.select(F.xxhash64("text").alias("doc_id"), "text")
+    dirty = contamination(texts, bench).filter("contaminated").select(F.col("doc_id").alias("_hit_text")).distinct()
+    return docs.join(dirty, F.xxhash64("text") == F.col("_hit_text"), "left_anti").select(docs.columns)

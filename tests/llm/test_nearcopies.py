@@ -68,3 +68,11 @@ def test_copies_with_a_few_changed_words_are_found(spark):
 def test_columns_and_empty_table(spark):
     assert nearcopies.keep_one(docs(spark)).columns == docs(spark).columns
     assert nearcopies.keep_one(none(spark)).count() == 0
+
+
+def test_null_and_shared_ids(spark):
+    rows = [(None, "a clean text"), (None, "another clean text"), (7, "two texts"), (7, "of one id"), (7, "of one id"), (None, "x y z"), (3, "X y z"), (None, "null alone"), (None, "null alone")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    kept = sorted(((r.doc_id, r.text) for r in nearcopies.keep_one(df).collect()), key=str)
+    want = [(None, "a clean text"), (None, "another clean text"), (7, "two texts"), (7, "of one id"), (3, "X y z"), (None, "null alone")]
+    assert kept == sorted(want, key=str)

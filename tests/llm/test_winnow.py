@@ -61,3 +61,11 @@ def test_empty_tables(spark):
     assert winnow.contamination(none(spark), b).count() == 0
     assert winnow.contamination(docs(spark), b.limit(0)).filter("contaminated").count() == 0
     assert winnow.decontaminated(docs(spark), b).count() == len(documents())
+
+
+def test_rows_are_dropped_by_their_own_text(spark):
+    passage = " ".join("abcdefghijkl")
+    b = spark.createDataFrame([(1, passage)], "item_id bigint, text string")
+    d = spark.createDataFrame([(None, passage), (None, "clean"), (1, passage + " x"), (1, "clean too"), (2, None)], "doc_id bigint, text string")
+    kept = {(r.doc_id, r.text) for r in winnow.decontaminated(d, b).collect()}
+    assert kept == {(None, "clean"), (1, "clean too"), (2, None)}
