@@ -5,9 +5,9 @@ SPAN words in a row keep the same hash there, so joining the kept hashes of docu
 item of fewer than SPAN words must be met as a whole; its only fingerprint is the hash of all its words, and documents are looked
 up under the few lengths below SPAN that some item has.
 
-Documents first pass a bit table of the benchmark's fingerprints. It is 2**22 bits whatever the benchmark's size, so it may be
-broadcast; it only lets too much through. What passes carries its neighbouring words, is joined on the hash, and the hit is
-extended word by word to both sides, so that no hash decides a result.
+Documents first pass a bit table of the benchmark's fingerprints, some 32 bits each and 2**TABLE_BITS (8 MB) at most, so it may be
+broadcast; it only lets too much through. Only what passes is winnowed, carries its neighbouring words, is joined on the hash with groups of
+items alike there, and the hit is extended word by word to both sides, so that no hash decides a result.
 
 Cases: null and empty texts have no words and no hits; an item without words hits nothing; repeated document rows each get the
 same result; an item_id given twice counts once; empty tables give no hits or no rows; other columns are ignored.
@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from ._util import SpanHasher, blocks, cut, hashed_words, words_of
 
-SPAN, K, TABLE_BITS = 10, 5, 22
+SPAN, K, TABLE_BITS = 10, 5, 26
 
 
 def winnowed(grams: np.ndarray, window: int) -> np.ndarray:
@@ -47,105 +47,113 @@ def gram_hashes(words: np.ndarray, n: int) -> np.ndarray:
 
 
 def _benchmark_prints(bench: DataFrame, span: int, k: int) -> DataFrame:
-    """item_id, words, at, gram (hash), n (words in the gram) of each fingerprint."""
-    kind = bench.schema["item_id"].dataType.simpleString()
+    """item (id as text), item_words, item_at, gram (hash), n (words in the gram), whole (a short item) of each fingerprint."""
 
     def prints(batches):
         hasher = SpanHasher()
         for b in batches:
             out = []
-            for item, text in zip(b.column("item_id").to_pylist(), b.column("text").to_pylist(), strict=True):
+            for item, text in zip(b.column("item").to_pylist(), b.column("text").to_pylist(), strict=True):
                 h = hashed_words([text], hasher)[0]
                 if not len(h) or item is None:
                     continue
                 words = [w.decode("utf-8", "replace") for w in words_of(text)]
-                n = min(len(h), k) if len(h) >= span else len(h)
+                whole = len(h) < span
+                n = len(h) if whole else k
                 grams = gram_hashes(h, n)
-                for at in winnowed(grams, span - k + 1) if len(h) >= span else [0]:
+                for at in [0] if whole else winnowed(grams, span - k + 1):
                     left, right = max(0, at - (span - n)), min(len(words), at + span)
-                    out.append((item, words[left:right], int(at - left), int(grams[at].astype(np.int64)), n))
+                    out.append((item, words[left:right], int(at - left), int(grams[at].astype(np.int64)), n, whole))
             if out:
-                cols = list(zip(*out, strict=True))
-                yield pa.RecordBatch.from_arrays([pa.array(cols[0], b.column("item_id").type), pa.array(cols[1], pa.list_(pa.string())), pa.array(cols[2], pa.int32()), pa.array(cols[3], pa.int64()), pa.array(cols[4], pa.int32())], ["item_id", "item_words", "item_at", "gram", "n"])
+                kinds = [pa.string(), pa.list_(pa.string()), pa.int32(), pa.int64(), pa.int32(), pa.bool_()]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], ["item", "item_words", "item_at", "gram", "n", "whole"])
 
-    return bench.select("item_id", "text").mapInArrow(prints, f"item_id {kind}, item_words array<string>, item_at int, gram bigint, n int")
+    return bench.select(F.col("item_id").cast("string").alias("item"), "text").mapInArrow(prints, "item string, item_words array<string>, item_at int, gram bigint, n int, whole boolean")
 
 
-def _bit_table(prints: DataFrame, bits: int) -> tuple[np.ndarray, list[int]]:
-    """The benchmark's fingerprints as set bits of a table of fixed size, and the gram lengths that occur."""
+def _bit_table(prints: DataFrame, most: int) -> tuple[np.ndarray, int, list[tuple[int, bool]]]:
+    """The benchmark's fingerprints as a packed bit table, its size in bits (a power of two), and which (n, whole) occur.
+
+    The table has some 32 bits a fingerprint, 2**most at most; a fuller one only lets more through.
+    """
+    kinds = [(r.n, r.whole) for r in prints.select("n", "whole").distinct().collect()]  # at most span
+    bits = min(most, max(12, (32 * prints.count()).bit_length()))
 
     def fold(batches):
-        seen, lengths = np.zeros(1 << bits, bool), set()
+        seen, any_ = np.zeros(1 << bits, bool), False
         for b in batches:
-            seen[(b.column("gram").to_numpy().view(np.uint64) >> np.uint64(64 - bits)).astype(np.int64)] = True
-            lengths |= set(b.column("n").to_pylist())
-        if lengths:
-            yield pa.RecordBatch.from_arrays([pa.array([np.packbits(seen).tobytes()]), pa.array([sorted(lengths)], pa.list_(pa.int32()))], ["seen", "lengths"])
-
-    table, lengths = np.zeros(1 << bits >> 3, np.uint8), set()
-    parts = prints.select("gram", "n").coalesce(16).mapInArrow(fold, "seen binary, lengths array<int>")
-    for row in parts.toLocalIterator():
+            seen[(b.column("gram").to_numpy().view(np.uint64) >> np.uint64(64 - bits)).astype(np.int64)] = any_ = True
+        if any_:
+            yield pa.RecordBatch.from_arrays([pa.array([np.packbits(seen, bitorder="little").tobytes()])], ["seen"])
+
+    table = np.zeros(1 << bits >> 3, np.uint8)
+    for row in prints.select("gram").coalesce(16).mapInArrow(fold, "seen binary").toLocalIterator():
         table |= np.frombuffer(bytes(row.seen), np.uint8)
-        lengths |= set(row.lengths)
-    return np.unpackbits(table).astype(bool), sorted(lengths)
+    return table, bits, sorted(kinds)
 
 
 def contamination(docs: DataFrame, bench: DataFrame, span: int = SPAN, k: int = K, table_bits: int = TABLE_BITS) -> DataFrame:
     """doc_id, n_words, n_hit, n_items, items_sha256, contaminated of every row of docs(doc_id, text) against bench(item_id, text)."""
     spark = docs.sparkSession
-    prints = cut(_benchmark_prints(bench, span, k))
-    table, lengths = _bit_table(prints, table_bits)
-    shared = spark.sparkContext.broadcast((table, lengths))
+    # items that share a fingerprint and the words around it are one group: documents meet groups, not items
+    alike = ["gram", "n", "whole", "item_at", "item_words"]
+    groups = cut(_benchmark_prints(bench, span, k).groupBy(alike).agg(F.collect_set("item").alias("items")).withColumn("grp", F.monotonically_increasing_id()))
+    shared = spark.sparkContext.broadcast(_bit_table(groups, table_bits))
     kind = docs.schema["doc_id"].dataType.simpleString()
-    hit = pa.struct([("gram", pa.int64()), ("n", pa.int32()), ("start", pa.int32()), ("at", pa.int32()), ("words", pa.list_(pa.string()))])
+    hit = pa.struct([("gram", pa.int64()), ("n", pa.int32()), ("whole", pa.bool_()), ("start", pa.int32()), ("at", pa.int32()), ("words", pa.list_(pa.string()))])
 
     def find(batches):
-        hasher, (seen, sizes) = SpanHasher(), shared.value
-        shift = np.uint64(64 - table_bits)
+        hasher, (seen, bits, kinds) = SpanHasher(), shared.value
+        shift = np.uint64(64 - bits)
         for b in batches:
-            texts, n_words, hits, keys = b.column("text").to_pylist(), [], [], []
+            texts = b.column("text").to_pylist()
             for first, last in blocks(texts):
                 h, starts, ends, before, raw = hashed_words(texts[first:last], hasher)
-                grams = {n: gram_hashes(h, n) for n in sizes}
-                passing = {n: np.flatnonzero(seen[(g >> shift).astype(np.int64)]) for n, g in grams.items()}
-                for d in range(last - first):
-                    lo, hi = int(before[d]), int(before[d + 1])
-                    n_words.append(hi - lo)
-                    found, key = [], None
-                    for n in sizes:
-                        p = passing[n]
-                        p = p[np.searchsorted(p, lo) : np.searchsorted(p, hi - n + 1)]
-                        if n == k and len(p):
-                            kept = winnowed(grams[n][lo : hi - n + 1], span - k + 1) + lo
-                            p = np.intersect1d(p, kept) if n not in short else p
-                        for at in p.tolist():
-                            left, right = max(lo, at - (span - n)), min(hi, at + span)
+                hits: dict[int, list] = {}
+                for n, whole in kinds:
+                    g = gram_hashes(h, n)
+                    slot = (g >> shift).astype(np.int64)
+                    p = np.flatnonzero(seen[slot >> 3] >> (slot & 7).astype(np.uint8) & 1)
+                    doc = np.searchsorted(before, p, "right") - 1
+                    inside = p + n <= before[doc + 1]
+                    p, doc = p[inside], doc[inside]
+                    edges = np.flatnonzero(np.diff(doc, prepend=-1, append=len(texts)))
+                    for lo, hi in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+                        d, mine = int(doc[lo]), p[lo:hi]
+                        begin, end = int(before[d]), int(before[d + 1])
+                        if not whole:
+                            mine = mine[np.isin(mine - begin, winnowed(g[begin : end - n + 1], span - n + 1), assume_unique=True)]
+                        for at in mine.tolist():
+                            left, right = max(begin, at - (span - n)), min(end, at + span)
                             words = [raw[starts[i] : ends[i]].decode("utf-8", "replace") for i in range(left, right)]
-                            found.append({"gram": int(grams[n][at].astype(np.int64)), "n": n, "start": left - lo, "at": at - left, "words": words})
-                    hits.append(found)
-                    keys.append(int(hasher(np.frombuffer(raw, np.uint8), starts[lo : lo + 1], ends[hi - 1 : hi])[0].astype(np.int64)) if found else key)
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(n_words, pa.int64()), pa.array(hits, pa.list_(hit)), pa.array(keys, pa.int64())], ["doc_id", "n_words", "hits", "text_key"])
-
-    # a short item of exactly k words shares its gram length with the kept hashes of long ones
-    short = {k} if prints.filter((F.col("n") == k) & (F.size("item_words") == k)).limit(1).count() else set()
-    rows = cut(docs.select("doc_id", "text").mapInArrow(find, f"doc_id {kind}, n_words bigint, hits array<struct<gram:bigint,n:int,start:int,at:int,words:array<string>>>, text_key bigint"))
-    met = rows.select("doc_id", "text_key", F.explode("hits").alias("h")).select("doc_id", "text_key", "h.*").join(prints, ["gram", "n"])
+                            hits.setdefault(d, []).append({"gram": int(g[at].astype(np.int64)), "n": n, "whole": whole, "start": left - begin, "at": at - left, "words": words})
+                some = np.array(sorted(hits), np.int64)
+                keys = np.zeros(last - first, np.int64)
+                if len(some):
+                    keys[some] = hasher(hasher.last[0], starts[before[some]], ends[before[some + 1] - 1]).view(np.int64)
+                mask = np.ones(last - first, bool)
+                mask[some] = False
+                yield pa.RecordBatch.from_arrays(
+                    [b.column("doc_id").slice(first, last - first), pa.array(np.diff(before)), pa.array([hits.get(d) for d in range(last - first)], pa.list_(hit)), pa.array(keys, mask=mask)],
+                    ["doc_id", "n_words", "hits", "text_key"],
+                )
+
+    rows = cut(docs.select("doc_id", "text").mapInArrow(find, f"doc_id {kind}, n_words bigint, hits array<struct<gram:bigint,n:int,whole:boolean,start:int,at:int,words:array<string>>>, text_key bigint"))
+    met = rows.filter("text_key is not null").select("doc_id", "text_key", F.explode("hits").alias("h")).select("doc_id", "text_key", "h.*").join(groups.drop("items"), ["gram", "n", "whole"])
     # words alike to the left of the gram and from its start on; the hit must hold the whole gram
     left = _run("reverse(slice(words, 1, at))", "reverse(slice(item_words, 1, item_at))")
     right = _run("slice(words, at + 1, size(words))", "slice(item_words, item_at + 1, size(item_words))")
     met = met.withColumn("left", left).withColumn("right", right)
-    whole = F.size("item_words") == F.col("n")
-    met = met.filter((F.col("right") >= F.col("n")) & ((F.col("left") + F.col("right") >= span) | (whole & (F.col("n") < span))))
-    spans = met.select("doc_id", "text_key", "item_id", (F.col("start") + F.col("at") - F.col("left")).alias("a"), (F.col("start") + F.col("at") + F.col("right")).alias("b"))
-    per_doc = spans.groupBy("doc_id", "text_key").agg(
-        F.array_sort(F.collect_set(F.struct("a", "b"))).alias("spans"),
-        F.array_sort(F.collect_set(F.col("item_id").cast("string"))).alias("items"),
-    )
+    met = met.filter((F.col("right") >= F.col("n")) & (F.col("whole") | (F.col("left") + F.col("right") >= span)))
+    spans = cut(met.select("doc_id", "text_key", "grp", (F.col("start") + F.col("at") - F.col("left")).alias("a"), (F.col("start") + F.col("at") + F.col("right")).alias("b")))
+    places = spans.groupBy("doc_id", "text_key").agg(F.array_sort(F.collect_set(F.struct("a", "b"))).alias("spans"))
+    items = spans.select("doc_id", "text_key", "grp").distinct().join(groups.select("grp", F.explode("items").alias("item")), "grp").groupBy("doc_id", "text_key").agg(F.array_sort(F.collect_set("item")).alias("items"))
     n_hit = F.expr("aggregate(spans, named_struct('to', 0, 'n', 0L), (s, x) -> named_struct('to', greatest(s.to, x.b), 'n', s.n + greatest(0, x.b - greatest(s.to, x.a))), s -> s.n)")
-    per_doc = per_doc.select("doc_id", "text_key", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"))
+    alike = lambda a, b: F.col(f"{a}.doc_id").eqNullSafe(F.col(f"{b}.doc_id")) & (F.col(f"{a}.text_key") == F.col(f"{b}.text_key"))
+    per_doc = places.alias("s").join(items.alias("i"), alike("s", "i")).select("s.doc_id", "s.text_key", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"))
     clean = rows.filter("text_key is null")
     hit_rows = rows.filter("text_key is not null").select("doc_id", "n_words", "text_key")
-    joined = hit_rows.alias("r").join(per_doc.alias("p"), F.col("r.doc_id").eqNullSafe(F.col("p.doc_id")) & (F.col("r.text_key") == F.col("p.text_key")), "left").select("r.doc_id", "n_words", "n_hit", "n_items", "items_sha256")
+    joined = hit_rows.alias("r").join(per_doc.alias("p"), alike("r", "p"), "left").select("r.doc_id", "n_words", "n_hit", "n_items", "items_sha256")
     none = clean.select("doc_id", "n_words", F.lit(None).cast("long").alias("n_hit"), F.lit(None).cast("long").alias("n_items"), F.lit(None).cast("string").alias("items_sha256"))
     return joined.unionByName(none).select(
         "doc_id",
