@@ -101,16 +101,17 @@ class Codec:
                     push(heap, (found[0], h, found[1]))
         return [s for s in symbols if s >= 0]
 
-    def _pieces(self, pieces: list[str]) -> list[np.ndarray]:
-        """Ids of pieces between which no pre-token reaches."""
-        out = []
+    def _pieces(self, pieces: list[str], sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of pieces between which no pre-token reaches, where each one's begin and how many they are."""
+        ids: list[int] = []
+        ends = []
         for piece in pieces:
-            ids: list[int] = []
             for word in self.pretokens.findall(piece):
                 symbols = [self.bytes[b] for b in word.encode("utf-8", "replace")]
                 ids += self.merge(symbols) if len(symbols) > 1 else symbols
-            out.append(np.array(ids, np.uint32))
-        return out
+            ends.append(len(ids))
+        counts = np.diff(np.array(ends, np.int64), prepend=0)
+        return np.array(ids, np.uint32), np.array(ends, np.int64) - counts, counts
 
     def encode_all(self, texts: list[str | None]) -> list[bytes]:
         """The ids of texts as little-endian unsigned 32-bit integers; strings of special tokens are special tokens."""
@@ -185,7 +186,7 @@ def token_counts(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
     contents = Path(vocabulary or public_vocabulary()).read_bytes()
     shared = docs.sparkSession.sparkContext.broadcast(contents)
     added = ["n_tokens", "ids_sha256", "decoded_sha256"]
-    own = docs.select([c for c in docs.columns if c not in added])
+    own = docs.select([docs[f"`{c}`"] for c in docs.columns if c.lower() not in added])
 
     def run(batches):
         codec = codec_of(shared.value)

@@ -42,9 +42,9 @@ def cuts(buf: np.ndarray, starts: np.ndarray) -> np.ndarray:
 
 
 class PieceTable:
-    """Ids of texts, by way of a function that gives the ids of many pieces."""
+    """Ids of texts, by way of a function that takes pieces and their sizes in bytes and gives ids in a row, with where each piece's begin and how many they are."""
 
-    def __init__(self, ids_of: Callable[[list[str]], list[np.ndarray]], kept: int = KEPT) -> None:
+    def __init__(self, ids_of: Callable[[list[str], np.ndarray], tuple[np.ndarray, np.ndarray, np.ndarray]], kept: int = KEPT) -> None:
         self.ids_of, self.kept = ids_of, kept
         self.bits = int(2.5 * kept).bit_length()
         self._clear()
@@ -123,11 +123,10 @@ class PieceTable:
         if len(missing):
             tops = starts[missing] + size[missing]
             strings = [raw[a:b] for a, b in zip(starts[missing].tolist(), tops.tolist(), strict=True)]
-            number: dict[bytes, int] = {}
-            which = np.array([number.setdefault(s, len(number)) for s in strings])
-            made = self.ids_of([s.decode("utf-8", "replace") for s in number])
-            counts = np.array([len(m) for m in made], np.int64)
-            begin = self._append(np.concatenate(made)) + np.cumsum(counts) - counts
+            number = {s: i for i, s in enumerate(dict.fromkeys(strings))}
+            which = np.fromiter(map(number.__getitem__, strings), np.int64, len(strings))
+            made, begin, counts = self.ids_of([s.decode("utf-8", "replace") for s in number], np.fromiter(map(len, number), np.int64, len(number)))
+            begin = begin + self._append(made)
             at[missing], n[missing] = begin[which], counts[which]
             first = np.full(len(number), -1, np.int64)
             first[which[::-1]] = missing[::-1]

@@ -10,12 +10,14 @@ are written by Spark's text writer, which writes a string's bytes as they are an
 has, so any store that Spark writes to will do and a lost task leaves no half file. The index (Parquet) has doc_id, shard,
 offset, length, start (ids before the document) and n_tokens; a shuffled reader seeks with it.
 
-Cases: a null text has the end id only; a null doc_id sorts first; repeated rows are written each, ties in doc_id by their ids;
+Cases: a null text has the end id only; a null doc_id sorts first; repeated rows are written each, ties in doc_id by a hash of their texts;
 an empty table writes no record; other columns are ignored.
 """
 
 from __future__ import annotations
 
+import hashlib
+import json
 import os
 import re
 import struct
@@ -24,9 +26,8 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ._util import cut, scratch
 from .bpe import public_vocabulary
@@ -86,6 +87,9 @@ class LibraryEncoder:
         self.library = Tokenizer.from_str(contents.decode())
         self.library.no_truncation()
         self.library.no_padding()
+        spec = json.loads(contents)
+        before = spec.get("pre_tokenizer") or {}
+        self.cuttable = before.get("type") == "ByteLevel" and not before.get("add_prefix_space") and before.get("use_regex", True) and not spec.get("normalizer")
         self.special = [t.content.encode() for t in self.library.get_added_tokens_decoder().values()]
         #: bytes of each id's string: one letter stands for one byte
         vocab = self.library.get_vocab(with_added_tokens=True)
@@ -94,42 +98,46 @@ class LibraryEncoder:
             self.sizes[i] = len(token)
         self.table = PieceTable(self._pieces, kept)
 
-    def _pieces(self, pieces: list[str]) -> list[np.ndarray]:
-        """Ids of pieces. Those that begin with a space and end without white space are encoded as one text, which is cut again by
-        the bytes that ids stand for."""
-        out: list = [None] * len(pieces)
-        inner = [i for i, p in enumerate(pieces) if p[0] == " " and not p[-1].isspace()]
+    def _pieces(self, pieces: list[str], sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of pieces, where each one's begin and how many they are. Those that begin with a space and end without white space are
+        encoded as one text, which is cut again by the bytes that ids stand for."""
+        joins = np.fromiter((p[0] == " " and not p[-1].isspace() for p in pieces), bool, len(pieces))
+        inner, begin, counts, made, filled = np.flatnonzero(joins), np.zeros(len(pieces), np.int64), np.zeros(len(pieces), np.int64), [], 0
         for at in range(0, len(inner), 2048):
             some = inner[at : at + 2048]
-            ids = np.array(self.library.encode_batch_fast(["".join([pieces[i] for i in some])], add_special_tokens=False)[0].ids, np.uint32)
-            ends = np.searchsorted(np.cumsum(self.sizes[ids]), np.cumsum([len(pieces[i].encode()) for i in some])) + 1
-            for i, part in zip(some, np.split(ids, ends[:-1]), strict=True):
-                out[i] = part
-        rest = [i for i, x in enumerate(out) if x is None]
+            ids = np.array(self.library.encode_batch_fast(["".join([pieces[i] for i in some.tolist()])], add_special_tokens=False)[0].ids, np.uint32)
+            ends = np.searchsorted(np.cumsum(self.sizes[ids]), np.cumsum(sizes[some])) + 1
+            counts[some] = np.diff(ends, prepend=0)
+            begin[some] = filled + ends - counts[some]
+            filled += len(ids)
+            made.append(ids)
+        rest = np.flatnonzero(~joins).tolist()
         for i, e in zip(rest, self.library.encode_batch_fast([pieces[i] for i in rest], add_special_tokens=False), strict=True):
-            out[i] = np.array(e.ids, np.uint32)
-        return out
+            ids = e.ids
+            begin[i], counts[i] = filled, len(ids)
+            filled += len(ids)
+            made.append(np.array(ids, np.uint32))
+        return np.concatenate(made), begin, counts
 
     def __call__(self, texts: list[str | None]) -> list[bytes]:
         raw = [t.encode("utf-8", "replace") if t else b"" for t in texts]
-        special = {i for i, r in enumerate(raw) if any(s in r for s in self.special)}
+        # texts with a special token, and all under a pre-tokeniser that pieces know nothing of, go to the library whole
+        special = {i for i, r in enumerate(raw) if not self.cuttable or any(s in r for s in self.special)}
         out = [i.astype("<u4").tobytes() for i in self.table.encode([b"" if i in special else r for i, r in enumerate(raw)])]
         for i in special:
-            out[i] = np.array(self.library.encode(texts[i], add_special_tokens=False).ids, "<u4").tobytes()
+            out[i] = np.array(self.library.encode(texts[i] or "", add_special_tokens=False).ids, "<u4").tobytes()
         return out
 
 
-_ENCODERS: dict[int, LibraryEncoder] = {}
+_ENCODERS: dict[str, LibraryEncoder] = {}
 
 
-def _bounds(docs: DataFrame, shard_bytes: int) -> list:
-    """The first doc_id of each shard but the first, so that shards hold about shard_bytes of text; every shard is a range."""
-    total = docs.agg(F.sum(F.octet_length("text")), F.count("*")).first()
-    n = int(((total[0] or 0) + 16 * (total[1] or 0)) // shard_bytes) + 1
-    if n == 1:
-        return []
-    cuts = docs.approxQuantile("doc_id", [i / n for i in range(1, n)], 0.1 / n)
-    return sorted({int(c) for c in cuts})
+def encoder_of(contents: bytes) -> LibraryEncoder:
+    """A worker's encoder for a vocabulary, made once."""
+    key = hashlib.sha256(contents).hexdigest()
+    if key not in _ENCODERS:
+        _ENCODERS[key] = LibraryEncoder(contents)
+    return _ENCODERS[key]
 
 
 def write_tokens(docs: DataFrame, path: str, vocabulary: str | None = None, end: int = END, shard_bytes: int = SHARD_BYTES) -> None:
@@ -137,24 +145,23 @@ def write_tokens(docs: DataFrame, path: str, vocabulary: str | None = None, end:
     spark = docs.sparkSession
     contents = spark.sparkContext.broadcast(Path(vocabulary or public_vocabulary()).read_bytes())
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    bounds = _bounds(docs, shard_bytes)
-    edges = np.array(bounds, np.int64)
+    total = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)), F.count("*")).first()
+    shards = (total[0] + 16 * total[1]) // shard_bytes + 1
 
     def encode(batches):
-        if 0 not in _ENCODERS or _ENCODERS[0][0] != len(contents.value):
-            _ENCODERS[0] = (len(contents.value), LibraryEncoder(contents.value))
-        encoder = _ENCODERS[0][1]
+        encoder = encoder_of(contents.value)
         for b in batches:
             for at in range(0, b.num_rows, 256):
                 keys = b.column("doc_id").slice(at, 256).to_pylist()
                 ids = encoder(b.column("text").slice(at, 256).to_pylist())
-                shard = [0 if k is None else int(np.searchsorted(edges, k, "right")) for k in keys]
-                framed = [frame(pack(k, i + end.to_bytes(4, "little"))) for k, i in zip(keys, ids, strict=True)]
-                yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(shard, pa.int32()), pa.array(framed, pa.binary())], ["doc_id", "shard", "record"])
-
-    encoded = docs.mapInArrow(encode, "doc_id bigint, shard int, record binary")
-    placed = encoded.repartitionById(len(bounds) + 1, "shard").sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "record")
-    placed.select(F.col("record").cast("string").alias("value")).write.option("compression", "none").text(f"{path}/shards")
+                yield pa.RecordBatch.from_arrays([pa.array([frame(pack(k, i + end.to_bytes(4, "little"))) for k, i in zip(keys, ids, strict=True)], pa.binary())], ["record"])
+
+    # shards are ranges of (doc_id, text, row): neither an id that many rows share nor a text that they share makes one shard
+    row = F.monotonically_increasing_id()
+    order = [F.col("doc_id").asc_nulls_first(), "hash", "row"]
+    placed = docs.withColumns({"hash": F.xxhash64("text"), "row": row}).repartitionByRange(shards, *order).sortWithinPartitions(*order)
+    encoded = placed.select("doc_id", "text").mapInArrow(encode, "record binary")
+    encoded.select(F.col("record").cast("string").alias("value")).write.option("compression", "none").text(f"{path}/shards")
     _write_index(spark, path)
 
 
@@ -187,11 +194,9 @@ def _write_index(spark, path: str) -> None:
         yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array([shard] * len(keys), pa.int32()), pa.array(offsets, pa.int64()), pa.array(lengths, pa.int64()), pa.array(at, pa.int64()), pa.array(counts, pa.int64())], ["doc_id", "shard", "offset", "length", "at", "n_tokens"])
 
     found = cut(_read(spark, path, entries, "doc_id bigint, shard int, offset bigint, length bigint, at bigint, n_tokens bigint"))
-    starts, before = [], 0
-    for row in found.groupBy("shard").agg(F.sum("n_tokens").alias("n")).orderBy("shard").toLocalIterator():  # a row a shard
-        starts.append((row.shard, before))
-        before += row.n
-    first = spark.createDataFrame(starts, T.StructType([T.StructField("shard", T.IntegerType()), T.StructField("first", T.LongType())]))
+    # one task adds up a row a shard
+    before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+    first = found.groupBy("shard").agg(F.sum("n_tokens").alias("n")).select("shard", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
     index = found.join(first, "shard").select("doc_id", "shard", "offset", "length", (F.col("first") + F.col("at")).alias("start"), "n_tokens")
     index.write.parquet(f"{path}/index")
 
