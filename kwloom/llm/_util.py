@@ -19,10 +19,12 @@ _LOCAL: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a temporary one where that is unset (tests)."""
+    """The folder that driver and executors share: spark.checkpoint.dir, or a temporary one where that is unset and all runs in one process (tests)."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if found:
         return found.rstrip("/")
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     app = spark.sparkContext.applicationId
     if app not in _LOCAL:
         _LOCAL[app] = tempfile.mkdtemp(prefix="kwloom-")
@@ -30,6 +32,13 @@ def shared_dir(spark: SparkSession) -> str:
     return f"file://{_LOCAL[app]}"
 
 
+def modest_batches(spark: SparkSession) -> None:
+    """Hand rows to Python in batches of 8 MB: with Spark's own 64 MB a worker holds thousands of whole texts several times over. Another setting stays."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(name) == "67108864b":
+        spark.conf.set(name, "8388608b")
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A new path in the shared folder."""
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
@@ -103,7 +112,7 @@ def word_spans(buf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return edges[::2], edges[1::2]
 
 
-def blocks(texts: list[str | None], size: int = 1 << 20):
+def blocks(texts: list[str | None], size: int = 1 << 18):
     """Consecutive runs of texts of about `size` characters; a longer text is a run of its own."""
     first, total = 0, 0
     for i, t in enumerate(texts):
@@ -124,3 +133,36 @@ def hashed_words(texts: list[str | None], hasher: SpanHasher) -> tuple[np.ndarra
     at = np.zeros(len(parts) + 1, np.int64)
     np.cumsum([len(p) + 1 for p in parts], out=at[1:])
     return hasher(buf, starts, ends), starts, ends, np.searchsorted(starts, at), raw
+
+
+class HashTable:
+    """Keys of 64 bits with a row of costs each: open addressing in arrays."""
+
+    def __init__(self, keys: np.ndarray, rows: np.ndarray) -> None:
+        self.bits = max(4, int(len(keys) * 2.5).bit_length())
+        self.keys = np.zeros(1 << self.bits, np.uint64)
+        self.rows = np.zeros((1 << self.bits, rows.shape[1]), np.float32)
+        left, slot = np.arange(len(keys)), self._slot(keys)
+        while len(left):
+            free = self.keys[slot[left]] == 0
+            put = left[free]
+            _, first = np.unique(slot[put], return_index=True)
+            put = put[first]
+            self.keys[slot[put]], self.rows[slot[put]] = keys[put], rows[put]
+            left = left[self.keys[slot[left]] != keys[left]]
+            slot[left] = slot[left] + 1 & (1 << self.bits) - 1
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return (mix(keys) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """The slot of each key, -1 where there is none."""
+        slot = self._slot(keys)
+        there = self.keys[slot]
+        open_ = np.flatnonzero((there != keys) & (there != 0))
+        while len(open_):
+            slot[open_] = slot[open_] + 1 & (1 << self.bits) - 1
+            there[open_] = self.keys[slot[open_]]
+            open_ = open_[(there[open_] != keys[open_]) & (there[open_] != 0)]
+        slot[there != keys] = -1
+        return slot
