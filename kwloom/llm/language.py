@@ -6,8 +6,8 @@ byte; below order 0 all bytes are alike. Statistics are frozen and nothing is ex
 text is a sum of looked-up costs. Trees of all languages are one table: a (context, symbol) key has a vector with its whole cost
 in each language, escapes included; a context key has a vector with the escape costs.
 
-Learning uses at most `rows` documents of each language, those with the smallest hash of doc_id: a documented bound. The counts are
-made on the executors.
+Learning uses at most `rows` distinct texts of each language, of at most `longest` bytes each, those with the smallest hash: a documented
+bound. The counts are made on the executors. What the driver gathers and broadcasts is bounded by rows * longest bytes a language.
 
 Cases: a null text, or one without a letter, is "und" with score 0; without any training rows every text is; ties go to the
 language first in order; repeated rows are predicted each; an empty table gives no rows; other columns are ignored.
@@ -20,9 +20,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._util import blocks, mix, remainder
+from ._util import HashTable, blocks, modest_batches, remainder
 
-ORDER, ROWS, UNKNOWN, BROADCAST_ROWS = 4, 300, "und", 100_000
+ORDER, ROWS, LONGEST, UNKNOWN, BROADCAST_ROWS = 4, 300, 1 << 20, "und", 100_000
 
 
 def _padded(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
@@ -46,39 +46,6 @@ def _keys(buf: np.ndarray, at: np.ndarray, order: int) -> np.ndarray:
     return out
 
 
-class Table:
-    """Keys of 64 bits with a row of costs each: open addressing in arrays."""
-
-    def __init__(self, keys: np.ndarray, rows: np.ndarray) -> None:
-        self.bits = max(4, int(len(keys) * 2.5).bit_length())
-        self.keys = np.zeros(1 << self.bits, np.uint64)
-        self.rows = np.zeros((1 << self.bits, rows.shape[1]), np.float32)
-        left, slot = np.arange(len(keys)), self._slot(keys)
-        while len(left):
-            free = self.keys[slot[left]] == 0
-            put = left[free]
-            _, first = np.unique(slot[put], return_index=True)
-            put = put[first]
-            self.keys[slot[put]], self.rows[slot[put]] = keys[put], rows[put]
-            left = left[self.keys[slot[left]] != keys[left]]
-            slot[left] = slot[left] + 1 & (1 << self.bits) - 1
-
-    def _slot(self, keys: np.ndarray) -> np.ndarray:
-        return (mix(keys) >> np.uint64(64 - self.bits)).astype(np.int64)
-
-    def find(self, keys: np.ndarray) -> np.ndarray:
-        """The slot of each key, -1 where there is none."""
-        slot = self._slot(keys)
-        there = self.keys[slot]
-        open_ = np.flatnonzero((there != keys) & (there != 0))
-        while len(open_):
-            slot[open_] = slot[open_] + 1 & (1 << self.bits) - 1
-            there[open_] = self.keys[slot[open_]]
-            open_ = open_[(there[open_] != keys[open_]) & (there[open_] != 0)]
-        slot[there != keys] = -1
-        return slot
-
-
 class Model:
     """The languages' frozen statistics: from arrays language (number), key, count."""
 
@@ -101,7 +68,7 @@ class Model:
             symbols, which = np.unique(keys, return_inverse=True)
             cost = escape[np.searchsorted(contexts, symbols >> np.uint64(8))] + (8.0 if k == 0 else lower(symbols))
             cost[which, lang] = -np.log2(counts / (total + kinds)[place, lang])
-            self.symbols[k], self.contexts[k] = Table(symbols, cost), Table(contexts, escape)
+            self.symbols[k], self.contexts[k] = HashTable(symbols, cost), HashTable(contexts, escape)
             lower = self._shorter(k)
 
     def _shorter(self, k: int):
@@ -138,18 +105,19 @@ class Model:
         return out
 
 
-def train(docs: DataFrame, rows: int = ROWS) -> Model | None:
+def train(docs: DataFrame, rows: int = ROWS, longest: int = LONGEST) -> Model | None:
     """The model of documents outside the held-out third; None without any."""
-    learn = docs.select("doc_id", "text", "lang").filter((remainder("doc_id", 3) != 1) & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    # only hashes below a bound that leaves some four times `rows` of a language are ranked, so no task ranks a whole language
-    sizes = learn.groupBy("lang").agg(F.count("*").alias("size"))
+    learn = docs.select("text", "lang", F.xxhash64("text").alias("h")).filter((remainder("doc_id", 3) != 1) & F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.octet_length("text") <= longest))
+    # only hashes below a bound that leaves some four times `rows` distinct texts of a language are ranked, so no task ranks a whole language
+    sizes = learn.groupBy("lang").agg(F.approx_count_distinct("h", 0.02).alias("size"))
     few = len(sizes.take(BROADCAST_ROWS + 1)) <= BROADCAST_ROWS
-    hashed = learn.select("doc_id", "lang", F.xxhash64("doc_id").alias("h")).join(F.broadcast(sizes) if few else sizes, "lang")
+    hashed = learn.select("lang", "h").join(F.broadcast(sizes) if few else sizes, "lang")
     low = hashed.filter(F.col("h") / F.lit(2.0**64) + 0.5 <= F.lit(4.0 * rows) / F.col("size"))
-    order = Window.partitionBy("lang").orderBy("h", "doc_id")
-    chosen = low.select("doc_id", "lang", "h").distinct().withColumn("n", F.row_number().over(order)).filter(F.col("n") <= rows).select("doc_id", "lang")
+    order = Window.partitionBy("lang").orderBy("h")
+    chosen = low.select("lang", "h").distinct().withColumn("n", F.row_number().over(order)).filter(F.col("n") <= rows).select("lang", "h")
     small = len(chosen.take(BROADCAST_ROWS + 1)) <= BROADCAST_ROWS
-    texts = learn.join(F.broadcast(chosen) if small else chosen, ["doc_id", "lang"]).select("lang", "text")
+    # of copies of a text one is learnt from; each task leaves at most one of each for the shuffle
+    texts = learn.join(F.broadcast(chosen) if small else chosen, ["lang", "h"]).groupBy("lang", "h").agg(F.first("text").alias("text")).select("lang", "text")
 
     def count(batches):
         for b in batches:
@@ -179,6 +147,8 @@ def identify(docs: DataFrame, rows: int = ROWS) -> DataFrame:
     has of all, of their probabilities to the power 1 over the root of the bytes: longer texts are surer, but not all are 1."""
     import regex
 
+    modest_batches(docs.sparkSession)
+
     shared = docs.sparkSession.sparkContext.broadcast(train(docs, rows))
     letter = regex.compile(r"\p{L}")
     kind = docs.schema["doc_id"].dataType.simpleString()
