@@ -1,7 +1,7 @@
 """Licence scan with a positional rare-token index, in DataFrame functions alone.
 
 Templates (notices and bare phrases) are kept as postings token -> (template, position), for their rarest tokens. IDFs come from the
-whole corpus: in how many documents each licence word occurs. A document looks up its licence words; each word and posting names the
+whole corpus: in how many of all documents each licence word occurs (one aggregate over the table, a row a licence word). A document looks up its licence words; each word and posting names the
 place where the template would begin, and words of one template that name the same place are the intersection of its postings.
 Such a place counts when the words found there hold enough of the template's IDF and its mandatory key phrase stands at its
 place word by word. The bare phrases are templates that are all key phrase, so their places are exact.
@@ -45,8 +45,9 @@ NOTICES = [
 RARE, SHARE = 5, 0.6
 #: A text with no match of this has none of the templates' key phrases.
 GATE = r"(?i)licen[cs]e|permission|redistribution|cc0|rights[^0-9A-Za-z\x{80}-\x{10FFFF}]+reserved|cc[^0-9A-Za-z\x{80}-\x{10FFFF}]+by"
-WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+#: ASCII that is in no word.
+BETWEEN = "".join(chr(c) for c in range(128) if not chr(c).isalnum())
 
 
 def templates() -> list[dict]:
@@ -66,28 +67,34 @@ def vocabulary() -> list[str]:
 
 def _words(text: Column) -> Column:
     """The text's words in lower case (A-Z only)."""
-    return F.regexp_extract_all(F.translate(text, UPPER, LOWER), F.lit(f"({WORD})"), F.lit(1))
+    plain = F.trim(F.translate(text, UPPER + BETWEEN, LOWER + " " * len(BETWEEN)))
+    return F.when(plain == "", F.array().cast("array<string>")).otherwise(F.split(plain, " +"))
 
 
-def inverse_frequencies(candidates: DataFrame, n_docs: int) -> dict[str, float]:
-    """The IDF of each licence word over n_docs documents of which candidates(words) are all that can have a template.
-
-    A document without a match of GATE is counted as having none of the words: it can't be told apart by them either.
-    """
+def document_frequencies(docs: DataFrame) -> dict[str, int]:
+    """In how many of all documents each licence word occurs; under the empty word, how many documents there are."""
     known = F.array(*[F.lit(w) for w in vocabulary()])
-    df = candidates.select(F.explode(F.array_intersect("words", known)).alias("w")).groupBy("w").count().collect()  # a row a licence word
-    counts = {r.w: r["count"] for r in df}
-    return {w: math.log((1 + n_docs) / (1 + counts.get(w, 0))) + 1 for w in vocabulary()}
+    held = F.array_append(F.array_intersect(_words(F.coalesce("text", F.lit(""))), known), F.lit(""))
+    return {r.w: r["count"] for r in docs.select(F.explode(held).alias("w")).groupBy("w").count().collect()}  # a row a licence word
+
+
+def inverse_frequencies(counts: dict[str, int]) -> dict[str, float]:
+    """The IDF of each licence word."""
+    return {w: math.log((1 + counts.get("", 0)) / (1 + counts.get(w, 0))) + 1 for w in vocabulary()}
 
 
 def _named(word: str, at: int) -> Column:
     return F.transform(F.filter("found", lambda x: x["w"] == F.lit(word)), lambda x: x["i"] - F.lit(at))
 
 
+def _rare(t: dict, idf: dict[str, float]) -> list[int]:
+    """The template's rarest words, by place; a bare phrase is looked up by its one rarest word: the key phrase then decides."""
+    return sorted(range(len(t["words"])), key=lambda i: (-idf[t["words"][i]], i))[: 1 if t["bare"] else RARE]
+
+
 def _places(t: dict, idf: dict[str, float]) -> Column:
     """Where the template begins: sorted places at which enough of its rare words' IDF and its key phrase stand."""
-    # a bare phrase is looked up by its one rarest word: the key phrase then decides
-    rare = sorted(range(len(t["words"])), key=lambda i: (-idf[t["words"][i]], i))[: 1 if t["bare"] else RARE]
+    rare = _rare(t, idf)
     # places of each rare word in the document, less its place in the template
     lists = [_named(t["words"][i], i) for i in rare]
     named = F.array_distinct(F.flatten(F.array(*lists)))
@@ -119,15 +126,13 @@ def _share(t: dict, idf: dict[str, float], places: Column) -> Column:
 def scan(docs: DataFrame) -> DataFrame:
     """doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score of every row of docs(doc_id, text)."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    gated = docs.select("doc_id", text.alias("text"))
-    gate = F.col("text").rlike(GATE)
-    candidates = gated.filter(gate).select(_words(F.col("text")).alias("words"))
-    idf = inverse_frequencies(candidates, docs.count())
-    known = F.array(*[F.lit(w) for w in vocabulary()])
+    idf, every = inverse_frequencies(document_frequencies(docs)), templates()
+    rows = docs.select("doc_id", F.col("text").rlike(GATE).alias("gate"), _words(text).alias("words"))
     empty = F.array().cast("array<string>")
-    rows = gated.select("doc_id", F.regexp_count("text", F.lit(WORD)).cast("long").alias("n_words"), F.when(gate, _words(F.col("text"))).otherwise(empty).alias("words"))
-    rows = rows.withColumn("found", F.filter(F.transform("words", lambda w, i: F.struct(w.alias("w"), i.alias("i"))), lambda x: F.array_contains(known, x["w"])))
-    every = templates()
+    rows = rows.select("doc_id", F.size("words").cast("long").alias("n_words"), F.when(F.col("gate"), F.col("words")).otherwise(empty).alias("words"))
+    # the places of the words that some template is looked up by
+    sought = F.array(*[F.lit(w) for w in sorted({t["words"][i] for t in every for i in _rare(t, idf)})])
+    rows = rows.withColumn("found", F.filter(F.transform("words", lambda w, i: F.struct(w.alias("w"), i.alias("i"))), lambda x: F.array_contains(sought, x["w"])))
     rows = rows.select("doc_id", "n_words", "words", *[_places(t, idf).alias(f"t{j}") for j, t in enumerate(every)])
     bare = [f"t{j}" for j, t in enumerate(every) if t["bare"]]
     none = F.lit(None).cast("string")
