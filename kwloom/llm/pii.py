@@ -1,12 +1,15 @@
 """Personal data: fixed patterns, and a character-level bidirectional LSTM with CRF transitions that adds spans.
 
 The network is written and trained in numpy from labelled spans; examples are generated with a fixed seed (`examples`), so every
-run has the same weights and none of the corpus is learnt. Every kind of span holds a digit or an @: windows that have none, nor a
-neighbour with one, can't touch a span and are not decoded. Each character takes the emission of the window in which it
-lies nearest to the middle, and each run of windows that touch is decoded as one sequence, so spans cross window borders.
+run has the same weights and none of the corpus is learnt. Every kind of span holds a digit, an @ or a spelt-out one ("at" in brackets or
+before a spelt-out "dot"): windows that have none, nor a neighbour with one, can't touch a span and are not decoded. Each character takes the
+emission of the window in which it lies nearest to the middle, and each run of windows that touch is decoded as one sequence, so spans cross
+window borders. A run of more than LONGEST strides is decoded in pieces that overlap by MARGIN strides on either side; a span belongs to
+the piece in whose own part it begins, so memory is bounded whatever the text.
 
-An added span must not touch one of the patterns' spans and must pass the same count of digits, part sizes or Luhn sum as those;
-the patterns' phone numbers begin with a plus, the network's need not.
+The network adds what the patterns don't take: phone numbers without a plus, spelt-out mail addresses, addresses and card numbers
+with other separators. An added span touches none of the patterns' spans, has a marginal probability under the CRF of SURE or more at its every
+character, and as many digits, parts or the Luhn sum that its kind must have.
 
 Cases: a null text counts as empty; repeated rows are treated each; an empty table gives no rows; a text of any length is worked
 on in whole (only its places with digits or @ cost time); other columns are ignored.
@@ -23,14 +26,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ._util import blocks, modest_batches
+
 KINDS = ("email", "ip", "card", "phone")
-WINDOW, STRIDE, BATCH = 64, 32, 512
+WINDOW, STRIDE, BATCH, LONGEST, MARGIN, SURE = 64, 32, 512, 256, 4, 0.8
 _EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 #: A digit before a match would have been part of it, so looking behind keeps the scan linear in runs of digits.
 _IP = re.compile(r"(?<![0-9])[0-9]++(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-_TRIGGER = re.compile(r"[0-9@]")
+_TRIGGER = re.compile(r"[0-9@]|[(\[{] ?at ?[)\]}]|\bat (?=[\w-]+ dot )")
+_SPELT = re.compile(r"[\w.%+-]+(@| @ | at | ?[(\[{] ?at ?[)\]}] ?)[\w-]+((\.| dot | ?[(\[{] ?dot ?[)\]}] ?)[\w-]+)+")
 _LOCAL_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 
 
@@ -87,7 +93,7 @@ def joined(spans: list[tuple[int, int, int]]) -> str:
 def char_ids(text: str) -> np.ndarray:
     """ASCII as it is; 128 for letters beyond it, 129 for the rest."""
     codes = np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32)
-    ids = np.minimum(codes, 128).astype(np.int64)
+    ids = np.minimum(codes, 128).astype(np.uint8)
     far = np.flatnonzero(codes > 127)
     if len(far):
         ids[far] = [128 if text[i].isalpha() else 129 for i in far]
@@ -163,6 +169,23 @@ class Tagger:
             tags[t - 1] = back[t, at, tags[t]]
         return tags
 
+    def marginals(self, e: np.ndarray, tags: np.ndarray) -> np.ndarray:
+        """The probability of each given tag (steps, sequences), all other tags left open."""
+        trans, ahead, back = np.exp(self.p["trans"] + self.allowed()), np.empty_like(e), np.ones_like(e)
+        start = self.p["start"] + e[0]
+        start[:, 2::2] -= 1e4
+        x = np.exp(e - e.max(2, keepdims=True))
+        ahead[0] = np.exp(start - start.max(1, keepdims=True))
+        for t in range(1, len(e)):  # each step is scaled to a sum of one
+            ahead[t] = ahead[t - 1] @ trans * x[t]
+            ahead[t] /= ahead[t].sum(1, keepdims=True)
+        for t in range(len(e) - 2, -1, -1):
+            back[t] = (back[t + 1] * x[t + 1]) @ trans.T
+            back[t] /= back[t].sum(1, keepdims=True)
+        both = ahead * back
+        own = np.take_along_axis(both, tags[:, :, None].astype(np.int64), 2)[:, :, 0]
+        return own / both.sum(2)
+
     def gradients(self, ids: np.ndarray, tags: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
         """The mean negative log-likelihood of tags (steps, sequences) and its gradients."""
         e, x, both, *seen = self.emissions(ids, keep=True)
@@ -223,9 +246,8 @@ class Tagger:
         return self
 
 
-def examples(n: int = 1500, seed: int = 9) -> tuple[np.ndarray, np.ndarray]:
-    """Generated windows and their tags, a column each: invented prose with spans of every kind, and with other digits."""
-    rng = np.random.default_rng(seed)
+def passage(rng: np.random.Generator, length: int) -> tuple[str, list[int]]:
+    """Generated text and the tag of each character: invented prose with spans of every kind, and with other digits."""
     pick = lambda s: s[rng.integers(len(s))]
     some = lambda s, a, b: "".join(pick(s) for _ in range(rng.integers(a, b + 1)))
     digits, small, mixed = "0123456789", "abcdefghijklmnopqrstuvwxyz", "abcdefghijklmnopqrstuvwxyzéèöñüABCDEFGHIJ"
@@ -233,28 +255,45 @@ def examples(n: int = 1500, seed: int = 9) -> tuple[np.ndarray, np.ndarray]:
     def card() -> str:
         body = some(digits, 15, 15)
         d = body + next(c for c in digits if luhn(body + c))
-        return d if rng.random() < 0.5 else pick(" -").join(d[i : i + 4] for i in range(0, 16, 4))
+        return d if rng.random() < 0.4 else pick([" ", "-", ".", "/", "  ", " - "]).join(d[i : i + 4] for i in range(0, 16, 4))
 
     def phone() -> str:
         area, rest = some(digits, 3, 3), f"{some(digits, 3, 3)}{pick('-. ')}{some(digits, 4, 4)}"
         return pick(["+1 ", "+44 ", "+49 ", "+1-", ""]) + pick([f"({area}) ", f"{area}-", f"{area} ", f"{area}."]) + rest
 
+    def mail() -> str:
+        name, host = some(small, 2, 8) + pick(["", ".", "_", "-"]) + some(small + digits, 1, 5), some(small + digits, 3, 7) + pick([".com", ".example.com", ".org", ".co.uk"])
+        form = rng.random()
+        if form < 0.6:
+            return f"{name}@{host}"
+        dot = pick([" dot ", " (dot) ", " [dot] "])
+        if form < 0.7:
+            return f"{name} at {host.replace('.', ' dot ')}"
+        return name + pick([" (at) ", " [at] ", "(at)", "[at]", " @ "]) + (host if form < 0.85 else host.replace(".", dot))
+
     make = {
-        0: lambda: some(small, 2, 8) + pick(["", ".", "_", "-"]) + some(small + digits, 1, 5) + "@" + some(small + digits, 3, 7) + pick([".com", ".example.com", ".org", ".co.uk"]),
-        1: lambda: ".".join(str(rng.integers(0, 256)) for _ in range(4)),
+        0: mail,
+        1: lambda: pick([".", ".", ".", " . ", "[.]", "(.)"]).join(str(rng.integers(0, 256)) for _ in range(4)),
         2: card,
         3: phone,
     }
-    other = [lambda: some(digits, 1, 8), lambda: f"{rng.integers(1900, 2100)}-{some(digits, 2, 2)}-{some(digits, 2, 2)}", lambda: some("0123456789abcdef", 20, 40), lambda: f"{some(digits, 1, 3)}.{some(digits, 1, 2)}", lambda: "@" + some(small, 3, 8), lambda: f"v{some(digits, 1, 2)}.{some(digits, 1, 2)}.{some(digits, 1, 2)}", lambda: some(digits, 20, 30)]
+    other = [lambda: some(digits, 1, 8), lambda: f"{rng.integers(1900, 2100)}-{some(digits, 2, 2)}-{some(digits, 2, 2)}", lambda: some("0123456789abcdef", 20, 40), lambda: f"{some(digits, 1, 3)}.{some(digits, 1, 2)}", lambda: "@" + some(small, 3, 8), lambda: f"v{some(digits, 1, 2)}.{some(digits, 1, 2)}.{some(digits, 1, 2)}", lambda: some(digits, 20, 30), lambda: f"at {some(small, 2, 6)}", lambda: f"dot {some(small, 2, 6)}", lambda: f"{some(small, 2, 6)} @ {some(digits, 1, 3)}", lambda: "/".join(some(digits, 2, 4) for _ in range(3)), lambda: f"{some(digits, 1, 2)}:{some(digits, 2, 2)}", lambda: ", ".join(some(digits, 1, 4) for _ in range(3)), lambda: f"{some(digits, 1, 3)} . {some(digits, 1, 3)}"]
+    text, tag = "", []
+    while len(text) < length:
+        r = rng.random()
+        kind = int(rng.integers(4)) if r < 0.16 else -1
+        piece = make[kind]() if kind >= 0 else pick(other)() if r < 0.28 else some(mixed, 1, 9) + pick(["", "", "", ",", ".", ":"])
+        tag += ([1 + 2 * kind] + [2 + 2 * kind] * (len(piece) - 1) if kind >= 0 else [0] * len(piece)) + [0]
+        text += piece + pick([" ", " ", " ", "\n"])
+    return text, tag
+
+
+def examples(n: int = 2500, seed: int = 9) -> tuple[np.ndarray, np.ndarray]:
+    """Generated windows and their tags, a column each."""
+    rng = np.random.default_rng(seed)
     ids, tags = np.empty((WINDOW, n), np.int64), np.zeros((WINDOW, n), np.int64)
     for j in range(n):
-        text, tag = "", []
-        while len(text) < 2 * WINDOW:
-            r = rng.random()
-            kind = int(rng.integers(4)) if r < 0.16 else -1
-            piece = make[kind]() if kind >= 0 else pick(other)() if r < 0.28 else some(mixed, 1, 9) + pick(["", "", "", ",", ".", ":"])
-            tag += ([1 + 2 * kind] + [2 + 2 * kind] * (len(piece) - 1) if kind >= 0 else [0] * len(piece)) + [0]
-            text += piece + pick([" ", " ", " ", "\n"])
+        text, tag = passage(rng, 2 * WINDOW)
         at = int(rng.integers(0, WINDOW))
         ids[:, j], tags[:, j] = char_ids(text[at : at + WINDOW]), tag[at : at + WINDOW]
         if tags[0, j] and tags[0, j] % 2 == 0:  # the window begins within a span: its rest begins here
@@ -265,7 +304,7 @@ def examples(n: int = 1500, seed: int = 9) -> tuple[np.ndarray, np.ndarray]:
 _TRAINED: dict[int, Tagger] = {}
 
 
-def trained(steps: int = 260) -> Tagger:
+def trained(steps: int = 900) -> Tagger:
     """The tagger for the generated examples; made once in a process."""
     if steps not in _TRAINED:
         _TRAINED[steps] = Tagger().learn(*examples(), steps)
@@ -292,40 +331,53 @@ def _runs(text: str) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out]
 
 
+def _pieces(runs: list[tuple[int, int]]) -> list[tuple[int, int, int, int]]:
+    """Runs as pieces (first, last, own first, own last) of stride numbers; those of one run overlap, their own parts don't."""
+    return [(max(a, i - MARGIN), min(b, i + LONGEST + MARGIN), i, min(b, i + LONGEST)) for a, b in runs for i in range(a, b, LONGEST)]
+
+
 def decode(tagger: Tagger, texts: list[str]) -> list[list[tuple[int, int, int]]]:
-    """(start, kind number, end) of the network's spans in each text, decoded run by run."""
-    half, runs, windows = STRIDE // 2, [], []
-    for d, text in enumerate(texts):
-        ids = np.zeros(0, np.int64)
-        for a, b in _runs(text):
-            if not len(ids):  # spaces around, so that every stride is the middle of some window
-                ids = np.full(len(text) + 3 * STRIDE, 32, np.int64)
-                ids[half : half + len(text)] = char_ids(text)
-            runs.append((d, a, b, len(windows)))
-            windows += [ids[s * STRIDE : s * STRIDE + WINDOW] for s in range(a, b)]
-    if not runs:
-        return [[] for _ in texts]
-    middle = np.empty((len(windows), STRIDE, tagger.TAGS), np.float32)
-    for at in range(0, len(windows), BATCH):
-        e = tagger.emissions(np.stack(windows[at : at + BATCH], axis=1))
-        middle[at : at + BATCH] = e[half : half + STRIDE].transpose(1, 0, 2)
+    """(start, kind number, end) of the network's spans in each text that it is sure of, decoded piece by piece."""
     out: list[list] = [[] for _ in texts]
-    lengths: dict[int, list] = {}
-    for run in runs:
-        lengths.setdefault(run[2] - run[1], []).append(run)
-    for n, same in lengths.items():
-        for at in range(0, len(same), max(1, BATCH // n)):
-            part = same[at : at + max(1, BATCH // n)]
-            e = np.stack([middle[first : first + n].reshape(n * STRIDE, -1) for *_, first in part], axis=1)
-            for (d, a, _, _), tags in zip(part, tagger.viterbi(e).T, strict=True):
-                begins = np.flatnonzero(tags % 2 == 1)
-                for i in begins.tolist():
-                    j = i + 1
-                    while j < len(tags) and tags[j] == tags[i] + 1:
-                        j += 1
-                    start, end = a * STRIDE + i, min(a * STRIDE + j, len(texts[d]))
-                    out[d].append((start, int(tags[i]) // 2, end))
-    return out
+    waiting: list = []  # (text, piece, ids of its windows)
+
+    def work() -> None:
+        lengths: dict[int, list] = {}
+        for one in waiting:
+            lengths.setdefault(one[1][1] - one[1][0], []).append(one)
+        for n, same in lengths.items():
+            for at in range(0, len(same), max(1, BATCH // n)):
+                part = same[at : at + max(1, BATCH // n)]
+                e = tagger.emissions(np.concatenate([x for *_, x in part], axis=1))[STRIDE // 2 : STRIDE // 2 + STRIDE]
+                e = e.reshape(STRIDE, len(part), n, -1).transpose(2, 0, 1, 3).reshape(n * STRIDE, len(part), -1)
+                tags = tagger.viterbi(e)
+                sure = tagger.marginals(e, tags) if tags.any() else None
+                for j, (d, (a, _, own, end_of), _) in enumerate(part):
+                    for i in np.flatnonzero(tags[:, j] % 2 == 1).tolist():
+                        to = i + 1
+                        while to < len(tags) and tags[to, j] == tags[i, j] + 1:
+                            to += 1
+                        if own <= a + i // STRIDE < end_of and sure[i:to, j].min() >= SURE:
+                            out[d].append((a * STRIDE + i, int(tags[i, j]) // 2, min(a * STRIDE + to, len(texts[d]))))
+        waiting.clear()
+
+    held = 0
+    for d, text in enumerate(texts):
+        pieces = _pieces(_runs(text))
+        if not pieces:
+            continue
+        # spaces around, so that every stride is the middle of some window
+        ids = np.full(len(text) + 3 * STRIDE, 32, np.uint8)
+        ids[STRIDE // 2 : STRIDE // 2 + len(text)] = char_ids(text)
+        views = np.lib.stride_tricks.sliding_window_view(ids, WINDOW)
+        for piece in pieces:
+            waiting.append((d, piece, views[piece[0] * STRIDE : piece[1] * STRIDE : STRIDE].T))
+            held += piece[1] - piece[0]
+            if held >= 8 * BATCH:
+                work()
+                held = 0
+    work()
+    return [sorted(x) for x in out]
 
 
 def all_spans(tagger: Tagger, texts: list[str | None]) -> list[tuple[list, list]]:
@@ -334,41 +386,49 @@ def all_spans(tagger: Tagger, texts: list[str | None]) -> list[tuple[list, list]
     some = [i for i, t in enumerate(texts) if t and _TRIGGER.search(t)]
     out = [(b, b) for b in base]
     for i, found in zip(some, decode(tagger, [texts[i] for i in some]), strict=True):
-        taken, extra, text = base[i], [], texts[i]
-        for start, kind, end in sorted(found):
-            while end > start and not (text[end - 1].isalnum()):
+        taken, extra, text, at = base[i], [], texts[i], 0
+        reach = np.maximum.accumulate([b for _, _, b in taken]) if taken else []  # up to where the first spans reach
+        for start, kind, end in found:
+            while end > start and not text[end - 1].isalnum():
                 end -= 1
             while start < end and not (text[start].isalnum() or text[start] in "+("):
                 start += 1
-            clash = any(a < end and start < b for a, _, b in taken) or extra and extra[-1][2] > start
+            while at < len(taken) and taken[at][0] < end:
+                at += 1
+            clash = at and reach[at - 1] > start or extra and extra[-1][2] > start
             alone = (start == 0 or not text[start - 1].isalnum()) and (end == len(text) or not text[end].isalnum())
-            if not clash and alone and _likely(kind, text[start:end]):
+            if not clash and alone and _plausible(kind, text[start:end]):
                 extra.append((start, kind, end))
         out[i] = (taken, sorted(taken + extra))
     return out
 
 
-def _likely(kind: int, s: str) -> bool:
-    if kind == 3:
-        return valid("phone", s) and re.fullmatch(r"\+?[0-9().\x20-]+", s) is not None and len(re.findall(r"[0-9]+", s)) >= 3
+def _plausible(kind: int, s: str) -> bool:
+    """Whether a span that the network is sure of has the digits and parts without which it can't be of its kind."""
     if kind == 0:
-        return _EMAIL.fullmatch(s) is not None
-    return bool(re.fullmatch(r"[0-9.]+" if kind == 1 else r"[0-9\x20-]+", s)) and s.count(".") == 3 * (kind == 1) and "" not in s.split(".") and valid(KINDS[kind], s)
+        return _SPELT.fullmatch(s) is not None
+    if kind == 1:
+        parts = re.findall(r"[0-9]+", s)
+        return len(parts) == 4 and all(len(p) <= 3 and int(p) <= 255 for p in parts) and s.count(".") == 3
+    return valid(KINDS[kind], s) and re.search(r"[A-Za-z]", s) is None and (kind == 2 or len(re.findall(r"[0-9]+", s)) >= 3)
 
 
 def find(docs: DataFrame) -> DataFrame:
     """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans of every row of docs(doc_id, text)."""
+    modest_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(trained())
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
         for b in batches:
             cols: list[list] = [[] for _ in range(6)]
-            for base, spans in all_spans(shared.value, b.column("text").to_pylist()):
-                for k in range(4):
-                    cols[k].append(sum(x[1] == k for x in base))
-                cols[4].append(hashlib.sha256(joined(base).encode()).hexdigest())
-                cols[5].append(joined(spans))
+            texts = b.column("text").to_pylist()
+            for first, last in blocks(texts):
+                for base, spans in all_spans(shared.value, texts[first:last]):
+                    for k in range(4):
+                        cols[k].append(sum(x[1] == k for x in base))
+                    cols[4].append(hashlib.sha256(joined(base).encode()).hexdigest())
+                    cols[5].append(joined(spans))
             kinds = [pa.int64()] * 4 + [pa.string()] * 2
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), *(pa.array(c, t) for c, t in zip(cols, kinds, strict=True))], ["doc_id", *(f"n_{k}" for k in KINDS), "base_sha256", "spans"])
 
@@ -390,12 +450,16 @@ def mask(text: str, spans: list[tuple[int, int, int]]) -> str:
 
 def masked(docs: DataFrame) -> DataFrame:
     """The documents with personal data masked in their texts, and n_chars, where they have it, as the texts then are."""
+    modest_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(trained())
 
     def run(batches):
         for b in batches:
             texts = b.column("text").to_pylist()
-            new = [mask(t, spans) if spans else t for t, (_, spans) in zip(texts, all_spans(shared.value, texts), strict=True)]
+            new = []
+            for first, last in blocks(texts):
+                some = texts[first:last]
+                new += [mask(t, spans) if spans else t for t, (_, spans) in zip(some, all_spans(shared.value, some), strict=True)]
             at = b.schema.get_field_index("text")
             yield b.set_column(at, b.schema.field(at), pa.array(new, b.schema.field(at).type))
 
