@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ._util import SpanHasher, blocks, hashed_words, mix, remainder
+from ._util import SpanHasher, blocks, hashed_words, mix, modest_batches, remainder
 
 BITS, ROWS, THRESHOLD, STEMS = 20, 6_000, 0.3, (4, 6)
 
@@ -95,13 +95,14 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = ROWS, bits: int = BITS
 
 def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, rows: int = ROWS, bits: int = BITS) -> DataFrame:
     """doc_id, held_out, score, predicted of every row of docs(doc_id, text)."""
-    return _scored(docs.select("doc_id", "text"), labels, docs, rows, bits).select(
-        "doc_id", F.coalesce(remainder("doc_id", 4) == 2, F.lit(False)).alias("held_out"), F.col("_score").alias("score"), (F.col("_score") >= threshold).cast("int").alias("predicted")
-    )
+    scored = _mapped(docs.select("doc_id", "text"), train(docs, labels, rows, bits), bits, lambda b, p: ([b.column("doc_id"), pa.array(p)], ["doc_id", "score"]), [docs.schema["doc_id"], T.StructField("score", T.DoubleType())])
+    return scored.select("doc_id", F.coalesce(remainder("doc_id", 4) == 2, F.lit(False)).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
 
 
-def _scored(rows_in: DataFrame, labels: DataFrame, docs: DataFrame, rows: int, bits: int) -> DataFrame:
-    shared = docs.sparkSession.sparkContext.broadcast(train(docs, labels, rows, bits))
+def _mapped(docs: DataFrame, model: tuple, bits: int, make, fields: list) -> DataFrame:
+    """What `make` returns (columns and names) for each batch of docs and its rows' scores."""
+    modest_batches(docs.sparkSession)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def score(batches):
         used, weights, bias = shared.value
@@ -110,7 +111,7 @@ def _scored(rows_in: DataFrame, labels: DataFrame, docs: DataFrame, rows: int, b
         kept, hasher = np.zeros(1 << bits, bool), SpanHasher()
         kept[used] = True
         for b in batches:
-            texts, sums = b.column("text").to_pylist(), np.zeros(b.num_rows)
+            texts, sums = b.column(b.schema.get_field_index("text")).to_pylist(), np.zeros(b.num_rows)
             for first, last in blocks(texts):
                 at, starts = features(texts[first:last], hasher, bits)
                 doc = np.repeat(np.arange(last - first), np.diff(starts))
@@ -119,11 +120,17 @@ def _scored(rows_in: DataFrame, labels: DataFrame, docs: DataFrame, rows: int, b
                 sums[first:last] = np.bincount(both >> bits, dense[both & (1 << bits) - 1], last - first)
             with np.errstate(over="ignore"):
                 p = 1 / (1 + np.exp(-(sums + bias)))
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(p)], [*b.schema.names, "_score"])
+            columns, names = make(b, p)
+            yield pa.RecordBatch.from_arrays(columns, names)
 
-    return rows_in.mapInArrow(score, T.StructType([*rows_in.schema.fields, T.StructField("_score", T.DoubleType())]))
+    return docs.mapInArrow(score, T.StructType(fields))
 
 
 def acceptable(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The documents that score below the threshold."""
-    return _scored(docs, labels, docs, ROWS, BITS).filter(F.col("_score") < threshold).select(docs.columns)
+    """The documents that score below the threshold, with all their columns whatever their names; a null doc_id or text is scored like any other."""
+
+    def keep(b, p):
+        kept = b.filter(pa.array(p < threshold))
+        return kept.columns, kept.schema.names
+
+    return _mapped(docs, train(docs, labels), BITS, keep, docs.schema.fields)
