@@ -2,15 +2,18 @@
 
 Vectors are centred, scaled to length one and rotated by a seeded random orthogonal matrix; the signs of the result are the code,
 packed to one bit a dimension. With o the unit vector and x its code's unit vector, <o, q> is estimated by <x, q> / <x, o>; its
-error is at most eps * sqrt((1 - <x, o>^2) / <x, o>^2 / (D - 1)) * |q| but for a vanishing share of pairs. Candidates whose bound can still beat the
-tenth best upper bound of a block are reranked by the exact distance on the original vectors.
+error is at most eps * sqrt((1 - <x, o>^2) / <x, o>^2 / (D - 1)) * |q| but for a vanishing share of pairs. Candidates whose lower bound can still
+beat the (k+1)th best upper bound of all are reranked by the exact distance on the original vectors. (The query keeps its real components, which
+popcounts can't take: a block of codes is unpacked to signs for one matrix product.)
 
-Every row is in the index. Queries and candidates meet in blocks: a candidate goes to one chunk, a query to one block of queries,
-and each (chunk, block) is one bounded task; a chunk hands on its ten best per query.
+Every distinct vector is in the index, with the k + 1 smallest ids that have it: ties go to smaller ids, so no other row of a vector
+can be among the nearest, and a vector that a third of all rows share costs no more than any other. Queries and candidates meet in blocks: a
+candidate goes to one chunk, a query to one block of queries, and each (chunk, block) is one bounded task. Only codes and two
+numbers a candidate travel there (codes are small, so chunks are large and both sides are copied little); original vectors join what has survived.
 
 Cases: vectors that are null, all zero, of another length than most, or hold null or non-finite components take no part; ties go
 to the smaller vec_id; repeated rows of a vec_id count once (the first by their contents); fewer candidates than k give all of
-them; an empty table gives no rows; other columns are ignored.
+them; an empty table gives no rows; a null vec_id takes no part; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -22,7 +25,7 @@ from pyspark.sql import functions as F
 
 from ._util import cut
 
-K, EPS, SEED, CHUNK, BLOCK = 10, 4.0, 11, 20_000, 2_000
+K, EPS, SEED, CHUNK, BLOCK = 10, 4.0, 11, 200_000, 20_000
 
 
 def rotation(dim: int, seed: int = SEED) -> np.ndarray:
@@ -39,14 +42,6 @@ def codes(vectors: np.ndarray, centre: np.ndarray, turn: np.ndarray) -> tuple[np
     return np.packbits(unit > 0, axis=1), norm, np.abs(unit).sum(1) / np.sqrt(vectors.shape[1])
 
 
-def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Euclidean distances of rows, summed in order of the components."""
-    total = np.zeros(len(a))
-    for j in range(a.shape[1]):
-        total += (a[:, j] - b[:, j]) ** 2
-    return np.sqrt(total)
-
-
 def usable(vectors: DataFrame) -> tuple[DataFrame, int]:
     """vec_id and embedding (doubles) of the vectors that take part, and their length."""
     v = vectors.select("vec_id", F.col("embedding").cast("array<double>").alias("embedding"))
@@ -60,7 +55,7 @@ def usable(vectors: DataFrame) -> tuple[DataFrame, int]:
 
 
 def index(vectors: DataFrame, dim: int, seed: int = SEED) -> tuple[DataFrame, np.ndarray]:
-    """vec_id, embedding, code, norm, agree of every vector, and the centre (the mean of all)."""
+    """gid, code, norm, agree of every vector of vectors(gid, embedding), and the centre (the mean of all)."""
     mean = vectors.select([F.avg(F.col("embedding")[i]).alias(f"m{i}") for i in range(dim)]).first()
     centre = np.array(mean, float)
 
@@ -69,66 +64,85 @@ def index(vectors: DataFrame, dim: int, seed: int = SEED) -> tuple[DataFrame, np
         for f in frames:
             if len(f):
                 code, norm, agree = codes(np.stack(f.embedding.to_numpy()).astype(float), centre, turn)
-                yield f.assign(code=[c.tobytes() for c in code], norm=norm, agree=agree)
+                yield pd.DataFrame({"gid": f.gid, "code": [c.tobytes() for c in code], "norm": norm, "agree": agree})
+
+    return vectors.select("gid", "embedding").mapInPandas(build, f"gid {vectors.schema['gid'].dataType.simpleString()}, code binary, norm double, agree double"), centre
+
 
-    return vectors.mapInPandas(build, f"vec_id {vectors.schema['vec_id'].dataType.simpleString()}, embedding array<double>, code binary, norm double, agree double"), centre
+def distinct_vectors(rows: DataFrame, k: int) -> DataFrame:
+    """embedding, ids (the k + 1 smallest vec_ids that have it) and gid (the smallest) of every distinct vector."""
+    order = Window.partitionBy("embedding").orderBy("vec_id")
+    least = rows.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= k + 1)
+    return least.groupBy("embedding").agg(F.array_sort(F.collect_list("vec_id")).alias("ids")).withColumn("gid", F.col("ids")[0])
 
 
 def search(vectors: DataFrame, queries: str, k: int = K, eps: float = EPS, seed: int = SEED, chunk: int = CHUNK, block: int = BLOCK) -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest other vectors of each vector for which the SQL condition `queries` holds."""
+    spark = vectors.sparkSession
     kind = vectors.schema["vec_id"].dataType.simpleString()
     usual, dim = usable(vectors)
-    schema = f"query_id {kind}, vec_id {kind}, score double"
     if not dim:
-        return vectors.sparkSession.createDataFrame([], f"query_id {kind}, rank int, vec_id {kind}, score double")
+        return spark.createDataFrame([], f"query_id {kind}, rank int, vec_id {kind}, score double")
     usual = cut(usual)
-    coded, centre = index(usual, dim, seed)
-    asked = usual.filter(queries)
-    n, m = usual.count(), asked.count()
-    chunks, groups = n // chunk + 1, m // block + 1
-    part = lambda of: F.pmod(F.xxhash64("vec_id"), F.lit(of)).cast("int")
+    each = cut(distinct_vectors(usual, k))
+    asked = cut(usual.filter(queries).join(each.select("embedding", "gid"), "embedding").select(F.col("vec_id").alias("query_id"), F.col("gid").alias("qid")))
+    sought = cut(each.join(asked.select(F.col("qid").alias("gid")).distinct(), "gid", "left_semi").select("gid", "embedding"))
+    coded, centre = index(each, dim, seed)
+    n, m = each.count(), sought.count()
+    # blocks are small enough for every core to have some
+    chunks, groups = n // chunk + 1, max(m // block + 1, min(m // 64 + 1, spark.sparkContext.defaultParallelism))
+    part = lambda of: F.pmod(F.xxhash64("gid"), F.lit(of)).cast("int")
     every = lambda of: F.explode(F.sequence(F.lit(0), F.lit(of - 1)))
     left = coded.select("*", part(chunks).alias("chunk"), every(groups).alias("block"))
-    right = asked.select("*", part(groups).alias("block"), every(chunks).alias("chunk"))
+    right = sought.select("*", part(groups).alias("block"), every(chunks).alias("chunk"))
 
     def meet(c: pd.DataFrame, q: pd.DataFrame) -> pd.DataFrame:
         if not len(c) or not len(q):
-            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
-        c = c.sort_values("vec_id", kind="stable")
-        turn, ids, original = rotation(dim, seed), c.vec_id.to_numpy(), np.stack(c.embedding.to_numpy()).astype(float)
+            return pd.DataFrame({"qid": [], "gid": [], "lower": [], "upper": []})
+        turn, ids = rotation(dim, seed), c.gid.to_numpy()
         bits = np.unpackbits(np.frombuffer(b"".join(c.code), np.uint8).reshape(len(c), -1), axis=1, count=dim)
         norm, agree = c.norm.to_numpy(), np.maximum(c.agree.to_numpy(), 1e-9)
         signs = (2.0 * bits - 1).astype(np.float32) / np.float32(np.sqrt(dim))
         slack = eps * np.sqrt(np.maximum(0, 1 - agree**2) / agree**2 / max(1, dim - 1))
         out = []
-        for at in range(0, len(q), 64):
-            some = q.iloc[at : at + 64]
-            asked_at = np.stack(some.embedding.to_numpy()).astype(float)
-            off = asked_at - centre
+        for at in range(0, len(q), 32):
+            some = q.iloc[at : at + 32]
+            off = np.stack(some.embedding.to_numpy()).astype(float) - centre
             size = np.sqrt((off * off).sum(1))
             inner = (off @ turn).astype(np.float32) @ signs.T / agree.astype(np.float32)
             square = norm[None, :] ** 2 + (size**2)[:, None] - 2 * norm[None, :] * inner
             loose = 2 * norm[None, :] * slack[None, :] * size[:, None] + 1e-5 * (norm[None, :] ** 2 + (size**2)[:, None])
-            for i, query in enumerate(some.vec_id.to_numpy()):
-                other = ids != query
-                upper = np.where(other, square[i] + loose[i], np.inf)
-                best = np.partition(upper, k - 1)[k - 1] if len(upper) > k else np.inf
-                near = np.flatnonzero(other & (square[i] - loose[i] <= best))
-                exact = distances(original[near], np.broadcast_to(asked_at[i], (len(near), dim)))
-                top = np.lexsort((ids[near], exact))[:k]
-                out.append(pd.DataFrame({"query_id": query, "vec_id": ids[near][top], "score": exact[top]}))
+            for i, query in enumerate(some.gid.to_numpy()):
+                upper = square[i] + loose[i]
+                best = np.partition(upper, k)[k] if len(upper) > k + 1 else np.inf
+                near = np.flatnonzero(square[i] - loose[i] <= best)
+                out.append(pd.DataFrame({"qid": query, "gid": ids[near], "lower": square[i, near] - loose[i, near], "upper": upper[near]}))
         return pd.concat(out)
 
-    found = left.groupBy("chunk", "block").cogroup(right.groupBy("chunk", "block")).applyInPandas(meet, schema)
+    met = left.groupBy("chunk", "block").cogroup(right.groupBy("chunk", "block")).applyInPandas(meet, f"qid {kind}, gid {kind}, lower double, upper double")
+    met = cut(met)
+    best = Window.partitionBy("qid").orderBy("upper")
+    bound = met.withColumn("n", F.row_number().over(best)).filter(F.col("n") <= k + 1).groupBy("qid").agg(F.max(F.when(F.col("n") == k + 1, F.col("upper"))).alias("bound"))
+    near = met.join(bound, "qid").filter(F.col("bound").isNull() | (F.col("lower") <= F.col("bound"))).select("qid", "gid")
+    both = near.join(each, "gid").join(sought.select(F.col("gid").alias("qid"), F.col("embedding").alias("other")), "qid")
+    # summed in order of the components
+    exact = F.sqrt(F.aggregate(F.zip_with("embedding", "other", lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda a, x: a + x))
+    row = both.select("qid", F.explode("ids").alias("vec_id"), exact.alias("score"))
+    order = Window.partitionBy("qid").orderBy("score", "vec_id")
+    top = row.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= k + 1).drop("n")
+    # the query itself is among the nearest k + 1 of its vector, or all of these are as near
+    found = asked.join(top, "qid").filter("vec_id <> query_id")
     order = Window.partitionBy("query_id").orderBy("score", "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
 ORACLE = """
-WITH v AS (
+WITH f AS (
   SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
     AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+u AS (SELECT len(e) AS size FROM f GROUP BY 1 ORDER BY count(*) DESC, size DESC LIMIT 1),
+v AS (SELECT vec_id, min(e) AS e FROM f WHERE len(e) = (SELECT size FROM u) GROUP BY vec_id),
 d AS (
   SELECT q.vec_id AS query_id, c.vec_id AS vec_id, list_distance(q.e, c.e) AS score
   FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0),
