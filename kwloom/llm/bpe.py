@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from ._util import modest_batches
 from .pieces import KEPT, PieceTable
 
 #: The white space of the pre-tokeniser and the pattern of its pre-tokens.
@@ -165,6 +166,7 @@ def round_trip(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
 
 
 def _mapped(docs: DataFrame, vocabulary: str | None, columns: dict, make) -> DataFrame:
+    modest_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(Path(vocabulary or public_vocabulary()).read_bytes())
     kind = docs.schema["doc_id"].dataType.simpleString()
 
@@ -183,6 +185,7 @@ def _mapped(docs: DataFrame, vocabulary: str | None, columns: dict, make) -> Dat
 
 def token_counts(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
     """The rows of docs with n_tokens, ids_sha256 and decoded_sha256 beside all their own columns of other names."""
+    modest_batches(docs.sparkSession)
     contents = Path(vocabulary or public_vocabulary()).read_bytes()
     shared = docs.sparkSession.sparkContext.broadcast(contents)
     added = ["n_tokens", "ids_sha256", "decoded_sha256"]

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._util import cut
+from ._util import cut, modest_batches
 
 WORDS, SEED, BITS = 4, 42, 4
 AXES, SEGMENTS_PER_AXIS = 8, 4
@@ -57,6 +57,7 @@ def fingerprints(docs: DataFrame, words: int = WORDS, seed: int = SEED) -> DataF
             found = [fingerprint_text(t, words, seed) for t in b.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(np.array(found, np.uint64).view(np.int64))], ["doc_id", "fp"])
 
+    modest_batches(docs.sparkSession)
     return docs.select("doc_id", "text").mapInArrow(score, f"doc_id {kind.simpleString()}, fp bigint")
 
 

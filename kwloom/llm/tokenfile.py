@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._util import cut, scratch
+from ._util import cut, modest_batches, scratch
 from .bpe import public_vocabulary
 from .pieces import KEPT, PieceTable
 
@@ -143,6 +143,7 @@ def encoder_of(contents: bytes) -> LibraryEncoder:
 def write_tokens(docs: DataFrame, path: str, vocabulary: str | None = None, end: int = END, shard_bytes: int = SHARD_BYTES) -> None:
     """Encode docs(doc_id, text) with the tokenizers library and write the shards under path/shards and the index under path/index."""
     spark = docs.sparkSession
+    modest_batches(spark)
     contents = spark.sparkContext.broadcast(Path(vocabulary or public_vocabulary()).read_bytes())
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     total = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)), F.count("*")).first()

@@ -21,7 +21,7 @@ from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._util import SpanHasher, blocks, cut, hashed_words, words_of
+from ._util import SpanHasher, blocks, cut, hashed_words, modest_batches, words_of
 
 SPAN, K, TABLE_BITS = 10, 5, 26
 
@@ -95,6 +95,7 @@ def _bit_table(prints: DataFrame, most: int) -> tuple[np.ndarray, int, list[tupl
 def contamination(docs: DataFrame, bench: DataFrame, span: int = SPAN, k: int = K, table_bits: int = TABLE_BITS) -> DataFrame:
     """doc_id, n_words, n_hit, n_items, items_sha256, contaminated of every row of docs(doc_id, text) against bench(item_id, text)."""
     spark = docs.sparkSession
+    modest_batches(spark)
     # items that share a fingerprint and the words around it are one group: documents meet groups, not items
     alike = ["gram", "n", "whole", "item_at", "item_words"]
     groups = cut(_benchmark_prints(bench, span, k).groupBy(alike).agg(F.collect_set("item").alias("items")).withColumn("grp", F.monotonically_increasing_id()))

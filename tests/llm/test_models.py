@@ -6,8 +6,10 @@ import zlib
 from collections import Counter
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from kwloom.llm import language, license, neighbours, perplexity, pii, toxicity
+from kwloom.llm._util import SpanHasher
 
 from .fixtures import SCHEMA, docs, documents, none
 
@@ -31,10 +33,35 @@ def test_toxicity(spark):
     assert sum(right) > 0.95 * len(right)
     kept = {x.doc_id for x in toxicity.acceptable(d, labels).collect()}
     assert kept == {x.doc_id for x in got if not x.predicted}
+    odd = d.withColumn("_score", F.lit(1)).withColumn("_SCORE_", F.lit("x"))
+    assert toxicity.acceptable(odd, labels).columns == odd.columns and toxicity.acceptable(odd, labels).count() == toxicity.acceptable(d, labels).count()
+    lost = spark.createDataFrame([(None, "scum idiot " * 20_000), (None, None)], "doc_id bigint, text string")
+    assert [r.predicted for r in toxicity.toxicity(lost, spark.createDataFrame([(i, 1, int(i % 4 == 0)) for i in range(1200)], "doc_id bigint, quality int, toxic int")).collect()] == [0, 0]
     assert toxicity.toxicity(none(spark), labels).count() == 0
     assert {x.score for x in toxicity.toxicity(d, labels.limit(0)).collect()} == {0.0}
 
 
+def test_ftrl_matches_a_plain_form():
+    """The vectorised learner against the update rule written out for one coordinate at a time."""
+    r = random.Random(9)
+    rows = [(sorted(r.sample(range(12), r.randint(1, 6))), r.randint(0, 1)) for _ in range(300)]
+    m = toxicity.Ftrl(4)
+    z, n = Counter(), Counter()
+
+    def weight(i):
+        l1 = 0.0 if i == 16 else 2.0
+        return 0.0 if abs(z[i]) <= l1 else -(z[i] - math.copysign(l1, z[i])) / ((1.0 + math.sqrt(n[i])) / 0.3 + 0.5)
+
+    for at, label in rows:
+        m.learn(np.append(at, 16), label)
+        w = {i: weight(i) for i in [*at, 16]}
+        g = 1 / (1 + math.exp(-sum(w.values()))) - label
+        for i, x in w.items():
+            z[i] += g - (math.sqrt(n[i] + g * g) - math.sqrt(n[i])) / 0.3 * x
+            n[i] += g * g
+    assert np.allclose(m.weights(np.arange(17)), [weight(i) for i in range(17)])
+
+
 def base(text):
     return sorted((m.start(), k, m.end()) for k, p in enumerate(PATTERNS) for m in re.finditer(p, text or "") if pii.valid(pii.KINDS[k], m[0]))
 
@@ -70,10 +97,25 @@ def test_pii_network(spark):
         assert abs((up - down) / 2e-4 - g[at]) < 2e-3, name
     _, spans = pii.all_spans(tagger, ["please call (743) 555-3824 now, thanks"])[0]
     assert spans == [(12, 3, 26)]
+    texts = ["mail john_d4 at example dot com today", "we met at noon. Then dot by dot", "at 10.30 on 2001-02-03, " + "12 " * 400]
+    assert [len(s) - len(b) for b, s in pii.all_spans(tagger, texts)] == [1, 0, 0]
+    rng, want, added = np.random.default_rng(123), set(), set()
+    for n in range(60):
+        text, tag = pii.passage(rng, 600)
+        begins = [i for i in range(len(text)) if tag[i] % 2]
+        gold = {(i, tag[i] // 2, next((j for j in range(i + 1, len(text)) if tag[j] != tag[i] + 1), len(text))) for i in begins}
+        b, spans = pii.all_spans(tagger, [text])[0]
+        want |= {(n, *g) for g in gold if not any(y[0] < g[2] and g[0] < y[2] for y in b)}
+        added |= {(n, *x) for x in set(spans) - set(b)}
+    assert len(added & want) > 0.98 * len(added) and len(added & want) > 0.75 * len(want)
+    # a run of many pieces gives the spans of its parts
+    part = "call (743) 555-3824 or 10 . 20 . 30 . 40 now 17 and 18; "
+    one, many = pii.all_spans(tagger, [part * 8])[0][1], pii.all_spans(tagger, [part * 800])[0][1]
+    assert len(one) == 16 and len(many) >= 0.99 * 1600
     assert pii.mask("a b@c.de 1", [(2, 0, 8)]) == "a [EMAIL] 1"
     out = {r.doc_id: r for r in pii.masked(docs(spark)).collect()}
     for i, t, *_ in documents():
-        assert (out[i].text != t) == bool(base(t)) and out[i].n_chars == (None if t is None else len(out[i].text))
+        assert (out[i].text != t) >= bool(base(t)) and out[i].n_chars == (None if t is None else len(out[i].text))
     long = "x" * 100_000 + " 10.0.0.1 " + "7" * 100_000
     assert pii.base_spans(long) == base("y" * 100_000 + " 10.0.0.1 ")
 
@@ -97,6 +139,11 @@ def test_license(spark):
     assert by[203].labels == "apache,apache-2.0" and abs(by[203].score - 1) < 1e-9
     assert "gpl-3.0" in by[51].labels and "mit-notice" in by[51].labels and by[205].labels == "mit-grant"
     assert license.scan(none(spark)).count() == 0
+    counts = license.document_frequencies(spark.createDataFrame(rows, SCHEMA))
+    sets = [set(re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (r[1] or "").translate(LOW))) for r in rows]
+    assert {w: sum(w in x for x in sets) for w in license.vocabulary()} == {w: counts.get(w, 0) for w in license.vocabulary()} and counts[""] == len(rows)
+    long = spark.createDataFrame([(None, "x " * 200_000 + "released under the MIT license"), (1, None)], "doc_id bigint, text string")
+    assert [(r.doc_id, r.n_words, r.base_labels, r.labels) for r in license.scan(long).orderBy("n_words").collect()] == [(1, 0, "", ""), (None, 200_005, "mit", "mit,mit-notice")]
 
 
 def test_perplexity(spark):
@@ -115,22 +162,79 @@ def test_perplexity(spark):
     assert {(r.n_known, r.train_tokens) for r in perplexity.scores(docs(spark).filter("crc32(cast(doc_id as string)) % 10 = 0")).collect()} == {(0, 0)}
 
 
+def small_model(texts, bits=10):
+    """The model of texts in this process, and counts by hash: what the executors' tables hold."""
+    data = perplexity.tokens(texts, SpanHasher())
+    hashes, at, n = np.unique(data[0], return_index=True, return_counts=True)
+    pairs = np.zeros(1 << perplexity.ENDINGS + perplexity.NEIGHBOURS)
+    np.add.at(pairs, data[1] << perplexity.NEIGHBOURS | perplexity.before(data[1], data[2], 1, 0) >> perplexity.ENDINGS - perplexity.NEIGHBOURS, 1)
+    classes = perplexity.word_classes(pairs.reshape(1 << perplexity.ENDINGS, -1))
+    counts, kinds = np.zeros((2, perplexity.CLASSES, perplexity.GROUPS))
+    m = perplexity.Model(classes, counts, kinds, bits)
+    c, g = m.place(hashes, data[1][at])
+    np.add.at(counts, (c, g), n)
+    np.add.at(kinds, (c, g), 1)
+    return perplexity.Model(classes, counts, kinds, bits), data, dict(zip(hashes.tolist(), n.tolist(), strict=True)), data[1][at]
+
+
 def test_perplexity_is_a_distribution_and_learns():
     r = random.Random(1)
-    top = [(b"w%d" % i, 100 - i) for i in range(70)] + [(perplexity.END, 20)]
-    total = sum(n for _, n in top) + 30
-    m = perplexity.Model([w for w, _ in top], np.array([n for _, n in top], float), 30.0)
-    text = " ".join(f"w{i % 7}" if r.random() < 0.9 else f"w{r.randint(0, 99)}" for i in range(3000))
-    words, starts, _ = perplexity._flat([perplexity.tokens(text)])
-    before = m.log_probabilities(m.ids(words), starts).mean()
-    for _ in range(4):
-        outer, inner = np.zeros(m.outer.shape), np.zeros(m.inner.shape)
-        m.gradients(m.ids(words), starts, outer, inner)
-        m.step(outer, inner, len(words), 0.5)
-    assert m.log_probabilities(m.ids(words), starts).mean() > before + 0.1
-    context = m.ids(words)[:5]
-    p = [m.log_probabilities(np.append(context, i), np.array([0]))[-1] for i in [*range(len(top)), m.rare * perplexity.SIZE]]
-    assert abs(np.exp(p).sum() - 1) < 1e-4 and total
+    texts = [" ".join(f"w{i % 7}a" if r.random() < 0.9 else f"{r.randint(0, 99)}b" for i in range(300)) for _ in range(10)]
+    m, data, counts, endings = small_model(texts)
+    zero = m.log_probabilities(*data).mean()
+    sums = np.zeros(m.outer.shape, np.float32), np.zeros(m.inner.shape, np.float32)
+    m.add_counts(*data, sums)
+    m.first_step(sums)
+    first = m.log_probabilities(*data).mean()
+    for _ in range(3):
+        sums = np.zeros(m.outer.shape, np.float32), np.zeros(m.inner.shape, np.float32)
+        m.add_gradients(*data, sums)
+        m.step(sums, 1.0)
+    assert m.log_probabilities(*data).mean() > first > zero + 0.3
+    # over all words and, in each group, one unseen word the probabilities add up to 1 in any context
+    classes, groups = m.place(data[0], data[1])
+    outer, inner = m.rows(data[0], classes, data[2])
+    at = 5
+    logits = m._logits(m.outer, outer[[at]], m.outer_share)
+    total = 0.0
+    for c in range(perplexity.CLASSES):
+        rows = m.rows(data[0], np.where(np.arange(len(classes)) == at, c, classes), data[2])[1][[at]]
+        own = np.exp(m._logits(m.inner, rows, m.inner_share[[c]]))[0]
+        held = np.zeros(perplexity.GROUPS)
+        for h, e in zip(np.array(list(counts), np.uint64), endings, strict=True):
+            k, g = m.place(np.array([h]), np.array([e]))
+            held[g[0]] += (counts[int(h)] + 0.1) * (k[0] == c)
+        total += np.exp(logits)[0, c] / np.exp(logits).sum() * (own / own.sum() * (held + 0.1) / m.mass[c]).sum()
+    assert abs(total - 1) < 1e-4
+
+
+def test_perplexity_gradients_match_differences():
+    m, data, *_ = small_model(["a b c a b d", "b c a", ""], bits=6)
+    rng = np.random.default_rng(0)
+    m.outer[:] = rng.standard_normal(m.outer.shape) / 3
+    m.inner[:] = rng.standard_normal(m.inner.shape) / 3
+    sums = np.zeros(m.outer.shape, np.float32), np.zeros(m.inner.shape, np.float32)
+    m.add_gradients(*data, sums)
+    classes = m.place(data[0], data[1])[0]
+    for weights, rows, g in zip((m.outer, m.inner), m.rows(data[0], classes, data[2]), sums, strict=True):
+        row, col = int(rows[3, 0]), 2
+        weights[row, col] += 1e-2
+        up = m.log_probabilities(*data).sum()
+        weights[row, col] -= 2e-2
+        down = m.log_probabilities(*data).sum()
+        weights[row, col] += 1e-2
+        assert abs((down - up) / 2e-2 - g[row, col]) < 1e-2
+
+
+def test_perplexity_learns_from_every_word_and_counts_like_a_dictionary(spark):
+    counts = perplexity.word_counts(docs(spark)).toPandas()
+    words = counts[counts.ending >= 0]
+    want = Counter(w for r in documents() if held(r[0], 10) for w in [*(r[1] or "").translate(LOW).encode().split(), b"\n"])
+    assert sorted(words.n) == sorted(want.values())
+    assert counts[counts.ending < 0].n.sum() == sum(want.values())
+    long = spark.createDataFrame([(1, "long " * 60_000), (None, "no id"), (2, "x" * 300_000)], "doc_id bigint, text string")
+    got = {r.doc_id: r for r in perplexity.scores(long).collect()}
+    assert got[1].n_tokens == 60_001 and got[None].n_tokens == 3 and got[None].n_known == 1 and not got[None].held_out and got[2].n_tokens == 2
 
 
 def test_language(spark):
@@ -145,6 +249,16 @@ def test_language(spark):
     assert {g.lang_pred for g in language.identify(docs(spark).selectExpr("doc_id", "text", "cast(null as string) lang")).collect()} == {"und"}
 
 
+def test_language_of_many_copies_is_learnt(spark):
+    copies = [(i, "der die und das nicht ist mit auf", "de", None, 0, "") for i in [next(k for k in range(99) if held(k, 3) != 1)] * 20_000]
+    rows = [*copies, *[(i, f"the of and to in is {i}", "en", None, 0, "") for i in range(50)]]
+    df = spark.createDataFrame(rows, SCHEMA)
+    assert language.train(df, rows=10).languages == ["de", "en"]
+    probe = spark.createDataFrame([(None, "das ist nicht", "en", None, 0, ""), (7, "in the " * 30_000, None, None, 0, "")], SCHEMA)
+    got = {r.doc_id: (r.lang_pred, r.held_out) for r in language.identify(df.unionByName(probe)).filter("doc_id is null or doc_id = 7").distinct().collect() if r.doc_id is None}
+    assert got == {None: ("de", False)}
+
+
 def test_language_costs_match_a_plain_tree():
     texts = {"a": ["banana band", "ananas"], "b": ["abba cabbage"]}
     counts = {x: Counter((k, bytes(4 + 0)[:0] + (bytes(4) + t.encode())[i + 4 - k : i + 5]) for t in ts for i in range(len(t.encode())) for k in range(5)) for x, ts in texts.items()}
@@ -186,6 +300,10 @@ def test_neighbours(spark):
     hit = len({(a, c) for a, _, c, _ in got} & {(a, c) for a, _, c, _ in want}) / len(want)
     assert hit > 0.99 and len(got) == len(want)
     assert np.allclose([g[3] for g in got], [w[3] for w in sorted(want)], rtol=1e-9)
+    # copies of a vector: the smaller ids are nearest, and a repeated vec_id counts with its smallest vector
+    same = spark.createDataFrame([*[(i, [1.0, 2.0], 0) for i in range(40)], *[(100 + i, [float(i), 0.5], 0) for i in range(5)], (3, [9.0, 9.0], 0)], "vec_id bigint, embedding array<float>, score int")
+    near = sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in neighbours.search(same, "vec_id in (0, 20, 39)", chunk=7, block=1).collect())
+    assert near == [(q, n + 1, i, 0.0) for q in (0, 20, 39) for n, i in enumerate([i for i in range(40) if i != q][:10])]
     few = neighbours.search(df.filter("vec_id < 4"), "vec_id = 0").collect()
     assert sorted(r.vec_id for r in few) == [1, 2, 3]
     assert neighbours.search(df.limit(0), "vec_id = 0").count() == 0

@@ -39,7 +39,7 @@ def edited(r, words, n):
     return words
 
 
-@pytest.mark.parametrize("sample", [10, 10_000])
+@pytest.mark.parametrize("sample", [1, 8])
 def test_classes_match_brute_force(spark, sample):
     r = random.Random(sample)
     line = [f"line{i}" for i in range(30)]

@@ -35,6 +35,8 @@ def test_round_trip(spark):
     assert got == want
     assert bpe.round_trip(none(spark)).count() == 0
     assert {c for c in bpe.token_counts(docs(spark)).columns} == {*docs(spark).columns, "n_tokens", "ids_sha256", "decoded_sha256"}
+    clash = docs(spark).withColumnRenamed("score", "N_TOKENS")
+    assert bpe.token_counts(clash).select("n_tokens").count() == len(documents())
     assert [r.ids for r in bpe.encode(docs(spark).filter("doc_id = 0")).collect()] == [ids_of(documents()[0][1]).tolist()]
 
 
@@ -64,6 +66,25 @@ def test_digest(spark):
     assert tokenfile.token_file_digest(none(spark)).count() == 0
 
 
+def test_rows_of_one_id_fill_several_shards(spark, tmp_path):
+    rows = [(7, "the same text again")] * 300 + [(None, f"no id {i}") for i in range(300)] + [(7, f"text {i}") for i in range(300)]
+    path = f"file://{tmp_path}/t"
+    tokenfile.write_tokens(spark.createDataFrame(rows, "doc_id bigint, text string"), path, shard_bytes=3000)
+    read = tokenfile.read_tokens(spark, path).orderBy("shard", "offset").collect()
+    assert [r.doc_id for r in read] == [None] * 300 + [7] * 600 and len({r.shard for r in read}) > 6
+    assert sorted(bytes(r.ids) for r in read) == sorted(ids_of(t).tobytes() + bytes(4) for _, t in rows)
+    index = spark.read.parquet(f"{path}/index").orderBy("shard", "offset").collect()
+    assert [r.start for r in index] == np.cumsum([0, *(r.n_tokens for r in index)])[:-1].tolist()
+
+
+def test_encoders_go_by_the_vocabularys_contents():
+    contents = open(bpe.public_vocabulary(), "rb").read()
+    other = contents.replace(b'"add_prefix_space":false', b'"add_prefix_space":true ', 1) if b'"add_prefix_space":false' in contents else contents.replace(b'"add_prefix_space": false', b'"add_prefix_space": true ', 1)
+    assert len(other) == len(contents) and other != contents
+    a, b = tokenfile.encoder_of(contents), tokenfile.encoder_of(other)
+    assert a is not b and b(["a word"])[0] == np.array(Tokenizer.from_str(other.decode()).encode("a word", add_special_tokens=False).ids, "<u4").tobytes() != a(["a word"])[0]
+
+
 def test_damage_is_found():
     data = bytearray(tokenfile.frame(tokenfile.pack(1, bytes(8))) + b"\n")
     assert [x[0] for x in tokenfile.records(bytes(data))] == [0]
