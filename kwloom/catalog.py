@@ -12,9 +12,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import catalog_sql as sql
+from . import catalog_sql_measures as sql_measures
 from .config import KeywordConfig
 from .functions import scores, text
-from .operators import clean, ops, quality, reports, terms, trend, warehouse
+from .operators import clean, measures, ops, quality, reports, terms, trend, warehouse
 from .plans import keywords as plans
 from .sources import html
 from .streaming import incremental
@@ -126,7 +127,7 @@ def text_theme_summary(spark, d):
 
 @_query
 def desc_document_frequency(spark, d):
-    return terms.document_frequency(plans.description_terms(_docs(spark, d), "doc_id", CFG), "doc_id").filter("df >= 2")
+    return terms.document_frequency(plans.description_terms(_docs(spark, d), "doc_id", CFG), "doc_id")
 
 
 @_query
@@ -148,7 +149,7 @@ def posts_keywords_topk(spark, d):
 
 @_query
 def posts_document_frequency(spark, d):
-    return terms.document_frequency(plans.posts_terms(_posts(spark, d), "doc_id", CFG), "doc_id").filter("df >= 2")
+    return terms.document_frequency(plans.posts_terms(_posts(spark, d), "doc_id", CFG), "doc_id")
 
 
 @_query
@@ -518,6 +519,178 @@ def event_windows(spark, d):
     return incremental.windowed_counts(_t(spark, d, "events"))
 
 
+# --- measures ----------------------------------------------------------------------------------------------------------------
+
+
+def _mixed(spark: SparkSession, d: str) -> DataFrame:
+    """Ranked keywords of which every other is composed and the rest are from posts, some of these from descriptions too."""
+    source = F.when(F.length("term") % 2 == 0, "posts_composed").when(F.col("rank") % 3 == 0, "posts").otherwise("description+posts")
+    return _sourced(spark, d).withColumn("source", source)
+
+
+def _best_theme(k: DataFrame) -> DataFrame:
+    return k.filter("rank <= 4").groupBy("doc_id").agg(F.array_distinct(F.flatten(F.collect_list(F.split("term", " ")))).alias("theme"))
+
+
+def _off(spark: SparkSession, d: str) -> DataFrame:
+    k = _mixed(spark, d)
+    return measures.off_theme(k, _best_theme(k.filter("doc_id % 3 = 0")), "doc_id")
+
+
+@_query
+def off_theme_rate(spark, d):
+    return _rounded(measures.off_theme_rate(_off(spark, d)), "rate")
+
+
+@_query
+def off_theme_terms(spark, d):
+    return measures.off_theme_terms(_off(spark, d))
+
+
+def _seeded(spark: SparkSession, d: str) -> DataFrame:
+    """Composed terms: each document's best term before those of odd length, beside the terms that these come from."""
+    k = _sourced(spark, d).withColumn("source", F.lit("posts"))
+    anchor = k.filter("rank = 1").select("doc_id", F.col("term").alias("phrase"), F.substring_index("term", " ", 1).alias("token"))
+    lead = F.when(F.col("rank") % 2 == 0, F.col("phrase")).otherwise(F.col("token"))
+    made = k.filter("rank > 1 and length(term) % 2 = 1").join(anchor, "doc_id").select("doc_id", (F.col("rank") + 100).alias("rank"), F.concat_ws(" ", lead, "term").alias("term"), (F.col("score") * 2.5 + F.col("rank")).alias("score"), F.lit("posts_composed").alias("source"))
+    return measures.composed_seeds(k.select("doc_id", "rank", "term", "score", "source").unionByName(made), anchor, "doc_id")
+
+
+@_query
+def composed_seeds(spark, d):
+    return _rounded(_seeded(spark, d).select("doc_id", "rank", "term", "seed", "seed_score", "ratio"), "ratio")
+
+
+@_query
+def composed_statistics(spark, d):
+    return _rounded(measures.composed_statistics(_seeded(spark, d)), "mean_rank", "mean_ratio", "median_ratio", "least_ratio", "most_ratio")
+
+
+@_query
+def composition_rates(spark, d):
+    return _rounded(measures.composition_rates(_mixed(spark, d), "doc_id"), "mean", "median")
+
+
+@_query
+def new_composed(spark, d):
+    k = _mixed(spark, d)
+    return measures.new_composed(k.filter("rank % 4 <> 0"), k, "doc_id").select("doc_id", "term", "score")
+
+
+@_query
+def term_variants(spark, d):
+    k = _sourced(spark, d).filter("rank <= 8")
+    shown = k.select("doc_id", F.explode(F.array(F.col("term"), F.when(F.length("term") % 3 == 0, F.translate("term", "aei", "AEI")), F.when(F.length("term") % 4 == 0, F.translate("term", " ", "-")), F.when(F.length("term") % 5 == 0, F.concat("term", F.lit("!"))))).alias("term"))
+    return measures.variants(shown.filter("term is not null"), "doc_id").select("doc_id", "kind", "form", F.array_join("terms", "|").alias("terms"))
+
+
+@_query
+def dominant_sources(spark, d):
+    k = _mixed(spark, d).withColumn("source", F.when(F.col("doc_id") % 4 == 0, "posts").otherwise(F.col("source")))
+    return _rounded(measures.dominant_sources(k, "doc_id"), "share")
+
+
+@_query
+def score_anomalies(spark, d):
+    return _rounded(measures.score_anomalies(_sourced(spark, d), "doc_id", 2.0), "mean", "ratio")
+
+
+@_query
+def topk_scenarios(spark, d):
+    return _rounded(measures.topk_scenarios(_sourced(spark, d), "doc_id", [8, 10, 15, 20], now=10, ahead=5), "mean")
+
+
+@_query
+def tail_ranks(spark, d):
+    return _rounded(measures.tail_ranks(_sourced(spark, d), 5, 24, 5), "mean", "median", "fine")
+
+
+@_query
+def source_issues(spark, d):
+    return _rounded(measures.source_issues(_mixed(spark, d)), "mean", "issues")
+
+
+@_query
+def good_examples(spark, d):
+    return measures.good_examples(_mixed(spark, d), "doc_id", score=5.0)
+
+
+@_query
+def first_issues(spark, d):
+    t = _sourced(spark, d).select("term").distinct()
+    kind = measures.first_issue(F.col("term"), ["the of", "thing"], ["season 3", "shop"])
+    return t.groupBy(F.coalesce(kind, F.lit("none")).alias("kind")).agg(F.count("*").alias("n"))
+
+
+def _leaked(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    k = _mixed(spark, d)
+    return measures.leaks(k, ["on the", "and the"], ["in", "ing", "de"]), k
+
+
+@_query
+def leak_rates(spark, d):
+    return _rounded(measures.leak_rates(*_leaked(spark, d)), "rate")
+
+
+@_query
+def leak_grade(spark, d):
+    return _rounded(measures.leak_grade(*_leaked(spark, d)), "rate")
+
+
+@_query
+def keywords_with_pages(spark, d):
+    pages = _t(spark, d, "pages").select((F.col("page_id") * 2).alias("doc_id"), "url")
+    return measures.with_page(_sourced(spark, d).select("doc_id", "rank", "term"), pages, "doc_id")
+
+
+@_query
+def communities_with_posts(spark, d):
+    docs = _docs(spark, d).select(text.community_key(F.concat(F.lit("r/C"), "doc_id"), F.lit(None).cast("string")).alias("key"))
+    front = _posts(spark, d).select(text.community_key(F.lit(None).cast("string"), F.concat(F.lit("/r/c"), "doc_id", F.lit("/"))).alias("key")).distinct()
+    return measures.requiring(docs, front).withColumn("cached", F.lit(False)).unionByName(measures.missing_from(docs, front).withColumn("cached", F.lit(True)))
+
+
+@_query
+def available_targets(spark, d):
+    return measures.available(ops.best_ranks(_targets(spark, d)), _results(spark, d).filter("error = ''").select(F.lower("name").alias("name")))
+
+
+@_query
+def top_posts(spark, d):
+    p = _t(spark, d, "events").select((F.col("user_id") % 500).alias("doc_id"), F.col("event_id").alias("post"), F.floor("value").cast("long").alias("score"), (F.col("event_id") % 7).alias("comments"))
+    return measures.top_posts(p, "doc_id", 5)
+
+
+@_query
+def source_posts(spark, d):
+    posts = _posts(spark, d)
+    phrases = terms.top_k(plans.posts_scores(posts, "doc_id", CFG), "doc_id", 12).filter("n >= 2").select("doc_id", "term")
+    return _rounded(measures.source_posts(phrases, posts, "doc_id"), "overlap")
+
+
+@_query
+def comment_tree(spark, d):
+    c = _t(spark, d, "lineitem").select(F.col("l_orderkey").alias("post"), F.col("l_linenumber").alias("comment"), F.when(F.col("l_linenumber") > 1, F.floor(F.col("l_linenumber") / 2).cast("int") + F.when(F.col("l_partkey") % 11 == 0, 50).otherwise(0)).alias("parent"))
+    return measures.comment_tree(c)
+
+
+@_query
+def best_dataset(spark, d):
+    s = _t(spark, d, "supplier").select(F.col("s_name").alias("name"), (F.col("s_suppkey") % 9).alias("max_page"), (F.col("s_suppkey") % 5 == 0).alias("complete"))
+    return measures.best_dataset(s)
+
+
+@_query
+def failed_targets(spark, d):
+    o = _t(spark, d, "orders").select(F.split(F.when(F.col("o_orderkey") % 10 == 0, F.concat_ws(",", "o_orderpriority", "o_orderstatus")).otherwise(""), ",").alias("failed"))
+    return measures.failed_targets(o)
+
+
+@_query
+def category_improvement(spark, d):
+    return _rounded(measures.category_improvement(_t(spark, d, "lineitem").select(F.col("l_returnflag").alias("category"), (F.col("l_suppkey") % 7).alias("before"), (F.col("l_partkey") % 9).alias("after"))), "rate")
+
+
 # --- web pages ---------------------------------------------------------------------------------------------------------------
 
 
@@ -536,4 +709,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return sql.build(CFG)
+    return sql.build(CFG) | sql_measures.build(CFG)

@@ -116,8 +116,8 @@ def _reports(keywords: str, cfg: KeywordConfig) -> dict[str, str]:
     }
 
 
-def build(cfg: KeywordConfig) -> dict[str, str]:
-    """SQL by query name."""
+def common_tables(cfg: KeywordConfig) -> dict[str, str]:
+    """CTEs that many queries begin with: description terms (desc), these ranked (top), the best k (keywords); posts terms, and these ranked."""
     stop = f"(list_contains({_list(cfg.stopwords)}, t) OR regexp_full_match(t, '\\p{{Nd}}+') OR (length(t) < {cfg.min_token_len} AND NOT list_contains({_list(SHORT_WORDS)}, t)))"
     sentences = f"list_filter(list_transform(regexp_split_to_array(coalesce(text, ''), '[.!?\\n]+'), lambda s: {_tokens('s')}), lambda s: len(s) > 0)"
 
@@ -147,13 +147,29 @@ def build(cfg: KeywordConfig) -> dict[str, str]:
 
     minimum = f"(n = 2 AND df < {cfg.min_df_bigram}) OR (n = 3 AND df < {cfg.min_df_trigram})"
     top = desc + scored("(SELECT count(*) FROM documents)", "tf", cfg.desc_idf_power, cfg.desc_boosts, f"{minimum} OR (n = 1 AND df / (SELECT count(*) FROM documents) >= {cfg.desc_generic_ratio})", "false")
-    keywords = top + f", k AS (SELECT doc_id, CAST(rank AS INTEGER) AS rank, term, round(score, 6) AS score, CASE rank % 3 WHEN 0 THEN 'posts' WHEN 1 THEN 'description' ELSE 'description+posts' END AS source FROM rk WHERE rank <= {cfg.topk})"
+    keywords = top + f", k AS MATERIALIZED (SELECT doc_id, CAST(rank AS INTEGER) AS rank, term, round(score, 6) AS score, CASE rank % 3 WHEN 0 THEN 'posts' WHEN 1 THEN 'description' ELSE 'description+posts' END AS source FROM rk WHERE rank <= {cfg.topk})"
     posts = f"""WITH p AS (SELECT conv_id AS doc_id, turn, {_tokens('text')} AS ws, pow(0.5, turn * 0.5 / {cfg.halflife_days}) AS wt FROM conversations WHERE role <> 'system'),
         src AS (SELECT * FROM p WHERE len(ws) > 0), {grams('ws', 'src', 'doc_id, turn, wt')},
         tf AS (SELECT doc_id, term, n, sum(c)::BIGINT AS tf, sum(c * wt) AS weighted, min(pos) AS pos FROM (SELECT doc_id, turn, wt, term, n, count(*) AS c, min(pos) AS pos FROM g GROUP BY ALL) GROUP BY ALL),
         df AS (SELECT term, count(*) AS df FROM tf GROUP BY term), nd AS (SELECT count(DISTINCT doc_id) AS nd FROM tf)"""
     phrase = f"(n >= 2 AND df / (SELECT nd FROM nd) >= {cfg.posts_generic_phrase_ratio})"
     posts_top = posts + scored("(SELECT nd FROM nd)", "weighted", cfg.posts_idf_power, cfg.posts_boosts, f"{minimum} OR {phrase}", phrase)
+    return {"stop": stop, "sentences": sentences, "desc": desc, "top": top, "keywords": keywords, "posts": posts, "posts_top": posts_top}
+
+
+def _coherence() -> str:
+    """SQL for the mean likeness of neighbouring words of the list w."""
+    each = """list_transform(range(1, len(w)), lambda i:
+        (CASE WHEN abs(length(w[i]) - length(w[i + 1])) / greatest(greatest(length(w[i]), length(w[i + 1])), 1) < 0.5 THEN 0.3::DOUBLE ELSE 0.0::DOUBLE END)
+        + 0.4::DOUBLE * len(list_intersect(string_split(w[i], ''), string_split(w[i + 1], ''))) / greatest(len(list_distinct(list_concat(string_split(w[i], ''), string_split(w[i + 1], '')))), 1)
+        + (CASE WHEN w[i][1:2] = w[i + 1][1:2] OR right(w[i], 2) = right(w[i + 1], 2) THEN 0.3::DOUBLE ELSE 0.0::DOUBLE END))"""
+    return f"(list_sum({each}) / (len(w) - 1))"
+
+def build(cfg: KeywordConfig) -> dict[str, str]:
+    """SQL by query name."""
+    core = common_tables(cfg)
+    stop, sentences = core["stop"], core["sentences"]
+    desc, top, keywords, posts, posts_top = core["desc"], core["top"], core["keywords"], core["posts"], core["posts_top"]
 
     week = lambda w: f"SELECT 'u' || (user_id % 997) AS name, count(*) * 100 AS subscribers, min(event_id) AS rank FROM events WHERE strftime(ts, '%G-W%V') = '{w}' GROUP BY 1"
     changes = f"""WITH b AS ({week('2024-W01')}), a AS ({week('2024-W02')}), ch AS (
@@ -172,10 +188,6 @@ def build(cfg: KeywordConfig) -> dict[str, str]:
         d2 AS (SELECT d1.*, CASE WHEN score < 2.0 THEN 'score' WHEN {_reason('term')} IS NOT NULL THEN {_reason('term')} WHEN n >= 5 AND contains(source, 'posts') AND NOT contains({_key('term')}, 'the') AND coalesce(df, 0) / n >= 0.25 THEN 'df' WHEN dkey = '' THEN 'empty' END AS reason FROM d1 LEFT JOIN kd USING (dkey)),
         d3 AS (SELECT *, row_number() OVER (PARTITION BY doc_id, dkey, reason IS NULL ORDER BY score DESC, CASE source WHEN 'description' THEN 2 ELSE 1 END, term, source) AS r FROM d2),
         d4 AS (SELECT doc_id, term, score, source, CASE WHEN reason IS NULL AND r > 1 THEN 'duplicate' ELSE reason END AS reason FROM d3)"""
-    coherent = """list_transform(range(1, len(w)), lambda i:
-        (CASE WHEN abs(length(w[i]) - length(w[i + 1])) / greatest(greatest(length(w[i]), length(w[i + 1])), 1) < 0.5 THEN 0.3::DOUBLE ELSE 0.0::DOUBLE END)
-        + 0.4::DOUBLE * len(list_intersect(string_split(w[i], ''), string_split(w[i + 1], ''))) / greatest(len(list_distinct(list_concat(string_split(w[i], ''), string_split(w[i + 1], '')))), 1)
-        + (CASE WHEN w[i][1:2] = w[i + 1][1:2] OR right(w[i], 2) = right(w[i + 1], 2) THEN 0.3::DOUBLE ELSE 0.0::DOUBLE END))"""
     has = lambda s: f"list_contains(string_split(source, '+'), '{s}')"
     share = lambda c: f"round(avg(CASE WHEN {c} THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END), 6)"
     cosine = lambda a, b: f"(list_dot_product({a}::DOUBLE[], {b}::DOUBLE[]) / (sqrt(list_dot_product({a}::DOUBLE[], {a}::DOUBLE[])) * sqrt(list_dot_product({b}::DOUBLE[], {b}::DOUBLE[]))))"
@@ -190,11 +202,11 @@ def build(cfg: KeywordConfig) -> dict[str, str]:
         "text_artifacts": f"WITH e AS (SELECT w, count(*) AS n FROM (SELECT unnest({_tokens('html')}) AS w FROM pages) GROUP BY w) SELECT w, n, coalesce({_reason('w')}, 'kept') AS reason FROM e",
         "text_keys": "SELECT page_id, CASE WHEN page_id % 2 = 0 THEN 'page' ELSE 'p' END || page_id AS key, 'P' || page_id AS crawl, 't3_ab' || page_id AS post FROM pages",
         "text_theme_summary": f"WITH l AS (SELECT doc_id, 'Theme: ' || array_to_string({_tokens('text')}, ' ; ') AS line FROM documents) SELECT doc_id, CASE WHEN length(line) > 120 THEN rtrim(line[1:119]) || '…' ELSE line END AS line FROM l",
-        "desc_document_frequency": desc + " SELECT term, df FROM df WHERE df >= 2",
+        "desc_document_frequency": desc + " SELECT term, df FROM df",
         "desc_common_words": desc + ", nn AS (SELECT count(*) AS n FROM documents) SELECT term FROM df, nn WHERE NOT contains(term, ' ') AND n >= 5 AND df >= greatest(2, round_even(0.05 * n, 0)) AND df / n >= 0.10",
         "doc_keywords_topk": keywords + " SELECT doc_id, rank, term, score FROM k",
         "posts_keywords_topk": posts_top + f" SELECT doc_id, CAST(rank AS INTEGER) AS rank, term, score FROM (SELECT doc_id, term, round(score, 6) AS score, row_number() OVER (PARTITION BY doc_id ORDER BY round(score, 6) DESC, term) AS rank FROM es) WHERE rank <= {cfg.topk}",
-        "posts_document_frequency": posts + " SELECT term, df FROM df WHERE df >= 2",
+        "posts_document_frequency": posts + " SELECT term, df FROM df",
         "merged_sources": keywords + """, m AS (SELECT doc_id, term, sum(score * w) AS score, array_to_string(list_sort(list_distinct(list(s))), '+') AS source FROM (
             SELECT *, 1.0 AS w, 'description' AS s FROM k WHERE rank <= 15 UNION ALL SELECT *, 1.5, 'posts' FROM k WHERE rank >= 10 UNION ALL SELECT *, 3.0, 'name' FROM k WHERE rank = 1) GROUP BY 1, 2)
             SELECT doc_id, term, round(score, 6) AS score, source, round(score / CASE WHEN sum(score) OVER o = 0 THEN 1 ELSE sum(score) OVER o END, 6) AS weight FROM m WINDOW o AS (PARTITION BY doc_id)""",
@@ -244,7 +256,7 @@ def build(cfg: KeywordConfig) -> dict[str, str]:
             SELECT *, CASE WHEN mechanical_after < mechanical_before THEN 'better' WHEN mechanical_after > mechanical_before THEN 'worse' ELSE 'same' END AS verdict FROM d""",
         "theme_alignment": keywords + f", {theme('rank > 3')} SELECT k.doc_id, round(sum(len(list_filter(string_split(term, ' '), lambda t: list_contains(theme, t))) / len(string_split(term, ' ')) * score / rank), 6) AS alignment FROM k JOIN th USING (doc_id) WHERE rank <= 10 GROUP BY 1",
         "score_separation": keywords + ", z AS (SELECT *, count(*) OVER (PARTITION BY doc_id) AS n FROM k) SELECT doc_id, round((avg(score) FILTER (WHERE rank <= 5) - avg(score) FILTER (WHERE rank > n - 5)) / avg(score) FILTER (WHERE rank <= 5), 6) AS separation, count(DISTINCT source) FILTER (WHERE rank <= 10) / 10 AS diversity FROM z GROUP BY 1",
-        "phrase_quality": keywords + f", p AS (SELECT DISTINCT term, string_split(lower(term), ' ') AS w FROM k WHERE contains(term, ' ')) SELECT term, round(list_sum({coherent}) / (len(w) - 1), 6) AS coherence, {_mechanical('term')} AS mechanical, {_issue('term')} AS issue, list_has_any(w, {_list(PROMOTION)}) AS promotional FROM p",
+        "phrase_quality": keywords + f", p AS (SELECT DISTINCT term, string_split(lower(term), ' ') AS w FROM k WHERE contains(term, ' ')) SELECT term, round({_coherence()}, 6) AS coherence, {_mechanical('term')} AS mechanical, {_issue('term')} AS issue, list_has_any(w, {_list(PROMOTION)}) AS promotional FROM p",
         "size_buckets": f"SELECT {bucket('>=')} AS bucket, {bucket('>')} AS exclusive, count(*) AS n FROM orders GROUP BY ALL",
         "event_windows": "SELECT date_trunc('day', ts) AS start, event_type, count(*) AS n FROM events GROUP BY ALL",
     } | _reports(keywords, cfg)

@@ -2,35 +2,20 @@
 
 from __future__ import annotations
 
-import calendar
 from dataclasses import dataclass, field
 
-# Function words that are never keywords.
-FUNCTION_WORDS = (
-    "a an the and or but if then else than for to from in on at of by with without into onto off over under about after before "
-    "as is am are was were be been being this that these those it its they their them you your we our us he she his her hers "
-    "i me my mine no not only also very more most less least so such can cannot cant could should would do does did doing done "
-    "will wont won shall may might must all any some many much few several various own same other another each every either neither "
-    "here there where when why how what which who whom whose"
-).split()
-
-# Words that community descriptions share.
-BOILERPLATE = (
-    "welcome subreddit community official unofficial dedicated place space home discussion discuss talk share sharing please read rules "
-    "join related anything everything everyone anyone someone something stuff news updates help focused focusedon focus series tv forum sub reddit r "
-    "world global international including etc nother amp sn safe great gaming gallery guys"
-).split()
-
-# Generic words dropped in the singular and the plural, verbs that also drop other endings, and numbers in words.
-GENERIC_NOUNS = "post fan show movie film game videogame collection picture video photo image pic".split()
-OTHER_FORMS = "posting things work works working include includes".split()
-NUMBERS = "one two three four five six seven eight nine ten".split()
-
-
-def default_stopwords() -> list[str]:
-    """The stopword list: the fixed lists, plurals of the generic nouns, and month names with their abbreviations."""
-    months = [m.lower() for m in [*calendar.month_name[1:], *calendar.month_abbr[1:]]] + ["sept"]
-    return sorted({*FUNCTION_WORDS, *BOILERPLATE, *OTHER_FORMS, *NUMBERS, *months, *GENERIC_NOUNS, *(n + "s" for n in GENERIC_NOUNS), "galleries"} - {"galleries"})
+# Words that are never keywords.
+STOPWORDS = """
+    a about after all also am amp an and another any anyone anything apr april are as at aug august be been before being but by can cannot cant collection
+    collections community could dec december dedicated did discuss discussion do does doing done each eight either else etc every everyone everything fan
+    fans feb february few film films five focus focused focusedon for forum four from gallery game games gaming global great guys he help her here hers
+    his home how i if image images in include includes including international into is it its jan january join jul july jun june least less many mar march
+    may me might mine more most movie movies much must my neither news nine no not nother nov november oct october of off official on one only onto or
+    other our over own photo photos pic pics picture pictures place please post posting posts r read reddit related rules safe same sep sept september
+    series seven several shall share sharing she should show shows six sn so some someone something space stuff sub subreddit such talk ten than that the
+    their them then there these they things this those three to tv two under unofficial updates us various very video videogame videogames videos was we
+    welcome were what when where which who whom whose why will with without won wont work working works world would you your
+""".split()
 
 
 # Acronyms and what they stand for.
@@ -81,7 +66,7 @@ class KeywordConfig:
     topk: int = 25
     max_ngram: int = 3
     min_token_len: int = 2
-    stopwords: tuple[str, ...] = field(default_factory=lambda: tuple(default_stopwords()))
+    stopwords: tuple[str, ...] = field(default_factory=lambda: tuple(STOPWORDS))
     name_weight: float = 3.0
     desc_weight: float = 1.0
     posts_weight: float = 1.5

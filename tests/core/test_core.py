@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from kwloom import catalog
-from kwloom.config import KeywordConfig, default_stopwords
+from kwloom.config import STOPWORDS, KeywordConfig
 from kwloom.functions import text
 from kwloom.operators import clean, ops, quality, terms, trend, warehouse
 from kwloom.plans import keywords as plans
@@ -34,7 +34,7 @@ def test_text_functions(spark):
     assert text.segment("southernfood") == ["southern", "food"] and text.segment("short") == ["short"]
     assert one(spark, "a b", lambda c: text.ngrams(text.tokens(c), 3)) == []
     assert one(spark, "posts+name", text.source_rank) == 1
-    assert "movies" in default_stopwords() and "sept" in default_stopwords()
+    assert "movies" in STOPWORDS and "sept" in STOPWORDS
 
 
 def test_ngrams_do_not_cross_stopwords_or_sentences(spark):
