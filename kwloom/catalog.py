@@ -185,8 +185,27 @@ def theme_penalised(spark, d):
 
 @_query
 def composed_keywords(spark, d):
-    p = plans.posts_scores(_posts(spark, d), "doc_id", CFG)
-    return _rounded(plans.composed_scores(p, plans.anchors(_names(spark, d), "doc_id", CFG), 100, terms.document_frequency(p, "doc_id"), "doc_id", CFG), "score")
+    tf = plans.posts_terms(_posts(spark, d), "doc_id", CFG)
+    seeds = terms.seed_base(plans.posts_scores(_posts(spark, d), "doc_id", CFG, tf), tf, "doc_id", CFG.compose_seeds)
+    return _rounded(plans.composed_scores(seeds, plans.anchors(_names(spark, d), "doc_id", CFG), plans.posts_documents(tf, "doc_id"), terms.document_frequency(tf, "doc_id"), "doc_id", CFG), "score")
+
+
+@_query
+def core_keywords(spark, d):
+    return _rounded(plans.core_and_extended(_docs(spark, d), _posts(spark, d), _names(spark, d), "doc_id", CFG)[0], "score", "weight")
+
+
+@_query
+def extended_keywords(spark, d):
+    return _rounded(plans.core_and_extended(_docs(spark, d), _posts(spark, d), _names(spark, d), "doc_id", CFG)[1], "score", "weight")
+
+
+@_query
+def reranked_communities(spark, d):
+    docs, posts, names = _docs(spark, d), _posts(spark, d), _names(spark, d)
+    v = _t(spark, d, "embeddings").select("vec_id", F.col("embedding").alias("vector"))
+    words = plans.posts_terms(posts, "doc_id", CFG).select("term").distinct().withColumn("vec_id", F.length("term").cast("long")).join(v, "vec_id").select("term", "vector")
+    return _rounded(plans.keywords(docs, posts, names, "doc_id", CFG, words, v.select(F.col("vec_id").alias("doc_id"), "vector")), "score", "weight")
 
 
 @_query
@@ -262,6 +281,20 @@ def changed_ingests(spark, d):
     return warehouse.changed_files(_t(spark, d, "customer").select(F.col("c_custkey").alias("input_file"), F.lit("F").alias("file_hash")), log)
 
 
+@_query
+def ingest_log_rows(spark, d):
+    o = _t(spark, d, "orders")
+    log = o.select(F.col("o_orderkey").alias("id"))
+    loads = _t(spark, d, "supplier").select(F.col("s_name").alias("input_file"), F.md5("s_name").alias("file_hash"), F.lit("2024-01-01").alias("processed_at"), F.when(F.col("s_suppkey") % 4 == 0, "broken line").alias("error"))
+    return warehouse.log_rows(loads, log)
+
+
+@_query
+def warehouse_integrity(spark, d):
+    links = _t(spark, d, "lineitem").select(F.col("l_suppkey").alias("community_id"), F.col("l_partkey").alias("keyword_id"))
+    return warehouse.integrity(_t(spark, d, "supplier").filter("s_acctbal > 0").select(F.col("s_suppkey").alias("community_id")), _t(spark, d, "part").filter("p_size > 10").select(F.col("p_partkey").alias("id")), links)
+
+
 @_query
 def orphaned_links(spark, d):
     links = _t(spark, d, "lineitem").select(F.col("l_suppkey").alias("community_id"), F.col("l_partkey").alias("keyword_id"))

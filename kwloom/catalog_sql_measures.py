@@ -8,6 +8,14 @@ from .operators.measures import LOW_VALUE, TAIL_ADVERTS
 from .operators.quality import CONNECTORS
 
 
+def _marked(c: str) -> str:
+    """SQL that puts a bar where the parts of a name meet."""
+    out = f"regexp_replace({c}, '[^0-9A-Za-z]+', '|', 'g')"
+    for left, right in (("[a-z0-9]", "[A-Z]"), ("[A-Z]", "[A-Z][a-z]"), ("[A-Za-z]", "[0-9]"), ("[0-9]", "[A-Za-z]")):
+        out = f"regexp_replace({out}, '({left})({right})', '\\1|\\2', 'g')"
+    return out
+
+
 def build(cfg: KeywordConfig) -> dict[str, str]:
     """SQL by query name."""
     core = common_tables(cfg)
@@ -65,4 +73,10 @@ def build(cfg: KeywordConfig) -> dict[str, str]:
         "best_dataset": "SELECT s_name AS name, s_suppkey % 9 AS max_page, s_suppkey % 5 = 0 AS complete FROM supplier ORDER BY 2 DESC, 3 DESC, 1 LIMIT 1",
         "failed_targets": "WITH o AS (SELECT unnest(CASE WHEN o_orderkey % 10 = 0 THEN [o_orderpriority, o_orderstatus] ELSE [] END) AS name FROM orders) SELECT DISTINCT name FROM o WHERE name <> ''",
         "category_improvement": "WITH r AS (SELECT l_returnflag AS category, count(*) AS n, avg(CASE WHEN l_partkey % 9 > l_suppkey % 7 THEN 1.0::DOUBLE ELSE 0 END) AS rate FROM lineitem GROUP BY 1) SELECT category, n, round(rate, 6) AS rate, CASE WHEN rate > 0.6 THEN 'high' WHEN rate >= 0.3 THEN 'medium' ELSE 'low' END AS tier FROM r",
+        "ingest_log_rows": "SELECT (SELECT max(o_orderkey) FROM orders) + row_number() OVER (ORDER BY s_name) AS id, s_name AS input_file, md5(s_name) AS file_hash, '2024-01-01' AS processed_at, CASE WHEN s_suppkey % 4 = 0 THEN 'error' ELSE 'ok' END AS status, CASE WHEN s_suppkey % 4 = 0 THEN 'broken line' END AS error FROM supplier",
+        "warehouse_integrity": "WITH c AS (SELECT s_suppkey FROM supplier WHERE s_acctbal > 0), k AS (SELECT p_partkey FROM part WHERE p_size > 10) SELECT (SELECT count(*) FROM c) AS communities, (SELECT count(*) FROM k) AS keywords, (SELECT count(*) FROM lineitem) AS links, (SELECT count(*) FROM lineitem WHERE l_suppkey NOT IN (SELECT * FROM c)) AS no_community, (SELECT count(*) FROM lineitem WHERE l_partkey NOT IN (SELECT * FROM k)) AS no_keyword",
+        "sampled_files": "SELECT name FROM (SELECT s_name AS name FROM supplier ORDER BY md5('13:' || s_name), s_name LIMIT 20)",
+        "stratified_files": "WITH t AS (SELECT s_name AS name, CAST(ntile(3) OVER (ORDER BY s_name) AS INTEGER) AS third FROM supplier), r AS (SELECT *, row_number() OVER (PARTITION BY third ORDER BY md5('13:' || name), name) AS r FROM t) SELECT name, third FROM r WHERE r <= 5",
+        "text_camel_split": "SELECT c_custkey, CASE WHEN upper(c_name) = c_name AND lower(c_name) <> c_name AND length(c_name) <= 5 THEN c_name ELSE array_to_string(list_filter(string_split(" + _marked("c_name") + ", '|'), lambda x: x <> ''), '|') END AS parts FROM customer",
+        "name_keywords": "WITH n AS (SELECT p_partkey AS doc_id, list_filter(string_split(p_name, ' '), lambda t: NOT " + core["stop"] + ") AS w FROM part), p AS (SELECT doc_id, array_to_string(w, ' ') AS phrase, w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) AS pairs FROM n), t AS (SELECT DISTINCT doc_id, phrase, unnest(list_distinct(list_concat([phrase], w, pairs))) AS term FROM p) SELECT doc_id, term, (CASE len(string_split(term, ' ')) WHEN 1 THEN 1.0 WHEN 2 THEN 1.5 ELSE 2.5 END * CASE WHEN term = phrase AND contains(term, ' ') THEN 2.0 ELSE 1.0 END)::DOUBLE AS score FROM t WHERE term <> ''",
     }

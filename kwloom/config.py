@@ -103,6 +103,16 @@ class KeywordConfig:
     compose_min_base: float = 3.0
     compose_max_ratio: float = 2.0
     token_with_phrase: bool = False
+    compose_seeds: str = "hybrid"
+    seed_embed_alpha: float = 0.6
+    seed_pool: int = 200
+    dynamic_common: bool = True
+    anchor_generics: bool = True
+    require_posts: bool = False
+    ensure_name: bool = True
+    drop_nonlatin: bool = False
+    term_nonascii_ratio: float = -1.0
+    core_topk: int | None = None
     theme_k: int = 6
     theme_penalty: float = 0.65
     embed_alpha: float = 0.35

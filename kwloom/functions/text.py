@@ -102,6 +102,27 @@ def crawl_name(name: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(bare, r"(?i)^r/", ""), r"/.*$", "")
 
 
+def display_key(name: Column) -> Column:
+    """A community's bare name in its own case."""
+    return F.regexp_replace(F.regexp_replace(F.trim(F.coalesce(name, F.lit(""))), "(?i)^r/+", ""), "^/+|/+$", "")
+
+
+def canonical_key(name: Column) -> Column:
+    return F.lower(display_key(name))
+
+
+def recased(term: Column, key: Column, display: Column, phrase: Column, title: Column) -> Column:
+    """A term for display: the title in place of the anchor phrase at its start, or the name in its own case in place of the key."""
+    starts = lambda a: (F.coalesce(a, F.lit("")) != "") & F.startswith(term, F.concat(a, F.lit(" ")))
+    rest = lambda a: F.substring(term, F.length(a) + 1, F.length(term))
+    return F.when(starts(phrase) & (F.coalesce(title, F.lit("")) != ""), F.concat(title, rest(phrase))).when(starts(key) & (F.coalesce(display, F.lit("")) != ""), F.concat(display, rest(key))).otherwise(term)
+
+
+def display_word(word: Column) -> Column:
+    """A word of a name for display: upper case and mixed case stay, lower case begins with a capital."""
+    return F.when((F.lower(word) == word) & (F.upper(word) != word), F.initcap(word)).otherwise(word)
+
+
 def count_text(text: Column) -> Column:
     """The number in "1,234" or "1.4K" (the first digits of anything else, 0 without)."""
     s = F.upper(F.trim(F.regexp_replace(F.coalesce(text, F.lit("")), ",", "")))

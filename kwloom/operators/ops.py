@@ -24,19 +24,47 @@ def pending(targets: DataFrame, done: DataFrame) -> DataFrame:
     return targets.join(done.filter("error is null or error = ''").select("name"), "name", "left_anti")
 
 
+def leading_bytes(column: str) -> Column:
+    """A number that grows with a string's order: its first seven bytes."""
+    return F.conv(F.rpad(F.hex(F.substring(F.encode(F.coalesce(F.col(column).cast("string"), F.lit("")), "utf-8"), 1, 7)), 14, "0"), 16, 10).cast("long")
+
+
+def numbered(rows: DataFrame, by: Column, order: list[str], name: str = "at", bins: int = 256) -> DataFrame:
+    """rows with their place (from 0) in `order`; `by` is a number that doesn't fall in that order.
+
+    Rows are dealt to bins between approximate quantiles of `by`, which are counted, and numbered within each: no task sorts all rows (but for rows
+    of one `by`). The bins depend on values alone, so it doesn't matter how often or where they are computed.
+    """
+    cuts = rows.agg(F.percentile_approx(by, F.array(*[F.lit(i / bins) for i in range(1, bins)]), F.lit(10_000)).alias("_cuts"))
+    dealt = rows.crossJoin(F.broadcast(cuts)).withColumn("_bin", F.size(F.filter(F.coalesce("_cuts", F.array().cast("array<bigint>")), lambda c: c < by))).drop("_cuts")  # one row
+    sizes = dealt.groupBy("_bin").agg(F.count("*").alias("_size"))
+    before = sizes.select("_bin", (F.sum("_size").over(Window.orderBy("_bin")) - F.col("_size")).alias("_before"))  # a row a bin
+    placed = dealt.withColumn("_i", F.row_number().over(Window.partitionBy("_bin").orderBy(*order)))
+    return placed.join(F.broadcast(before), "_bin").withColumn(name, (F.col("_before") + F.col("_i") - 1).cast("long")).drop("_bin", "_i", "_before")
+
+
+def _by_rank(targets: DataFrame) -> DataFrame:
+    return numbered(targets, F.col("rank"), ["rank", "name"], "_at")
+
+
 def split_interleaved(targets: DataFrame, workers: int) -> DataFrame:
     """worker: targets dealt in turn by rank and name."""
-    return targets.withColumn("worker", ((F.row_number().over(Window.orderBy("rank", "name")) - 1) % workers).cast("int"))
+    return _by_rank(targets).withColumn("worker", (F.col("_at") % workers).cast("int")).drop("_at")
 
 
 def split_contiguous(targets: DataFrame, workers: int) -> DataFrame:
     """worker: runs of targets whose sizes differ by one at most, longer ones first."""
-    return targets.withColumn("worker", F.ntile(workers).over(Window.orderBy("rank", "name")) - 1)
+    n = targets.agg(F.count("*").alias("_n"))
+    t = _by_rank(targets).crossJoin(F.broadcast(n))  # one row
+    size, longer = F.floor(F.col("_n") / workers), F.col("_n") % workers
+    first = longer * (size + 1)
+    worker = F.when(F.col("_at") < first, F.floor(F.col("_at") / (size + 1))).otherwise(longer + F.floor((F.col("_at") - first) / F.greatest(size, F.lit(1))))
+    return t.withColumn("worker", worker.cast("int")).drop("_at", "_n")
 
 
 def split_chunks(targets: DataFrame, size: int) -> DataFrame:
     """chunk: runs of `size` targets."""
-    return targets.withColumn("chunk", F.floor((F.row_number().over(Window.orderBy("rank", "name")) - 1) / size).cast("int"))
+    return _by_rank(targets).withColumn("chunk", F.floor(F.col("_at") / size).cast("int")).drop("_at")
 
 
 def error_class(message: Column) -> Column:
@@ -60,15 +88,23 @@ def retry_list(results: DataFrame) -> DataFrame:
     return results.filter(F.coalesce("error", F.lit("")) != "").select(F.concat(F.lit("r/"), "name").alias("value")).distinct().orderBy("value")
 
 
+def _drawn(column: str, seed: int) -> Column:
+    return F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(column).cast("string")))
+
+
 def hashed_sample(files: DataFrame, column: str, n: int, seed: int = 13) -> DataFrame:
     """n rows in an order that a seed decides, then sorted: a sampling operator."""
-    return files.orderBy(F.xxhash64(F.col(column), F.lit(seed)), column).limit(n).orderBy(column)
+    return files.orderBy(_drawn(column, seed), column).limit(n).orderBy(column)
 
 
 def stratified_sample(files: DataFrame, column: str, per_third: int, seed: int = 13) -> DataFrame:
-    """As many rows of the early, middle and late third by a column: a sampling operator."""
-    thirds = files.withColumn("third", F.ntile(3).over(Window.orderBy(column)))
-    order = Window.partitionBy("third").orderBy(F.xxhash64(F.col(column), F.lit(seed)), column)
+    """As many rows of the early, middle and late third by a column (longer thirds first): a sampling operator."""
+    n = files.agg(F.count("*").alias("_n"))
+    size, longer = F.floor(F.col("_n") / 3), F.col("_n") % 3
+    first = longer * (size + 1)
+    third = F.when(F.col("_at") < first, F.floor(F.col("_at") / (size + 1))).otherwise(longer + F.floor((F.col("_at") - first) / F.greatest(size, F.lit(1)))) + 1
+    thirds = numbered(files, leading_bytes(column), [column], "_at").crossJoin(F.broadcast(n)).withColumn("third", third.cast("int")).drop("_at", "_n")  # one row
+    order = Window.partitionBy("third").orderBy(_drawn(column, seed), column)
     return thirds.withColumn("_r", F.row_number().over(order)).filter(F.col("_r") <= per_third).drop("_r")
 
 

@@ -77,24 +77,39 @@ def shares(keywords: DataFrame) -> DataFrame:
 
 def quantile_nearest(values: DataFrame, column: str, p: float) -> DataFrame:
     """The value at place round-half-even(p * (n - 1)) of the sorted column."""
-    return _at(values, column, F.expr(f"cast(bround({p}D * (n - 1)) as bigint)"))
+    return at_places(values, column, {"value": F.expr(f"cast(bround({p}D * (n - 1)) as bigint)")}).filter("value is not null")
 
 
 def quantile_floor(values: DataFrame, column: str, p: float) -> DataFrame:
     """The value at place floor(n * p), the last at most."""
-    return _at(values, column, F.least(F.floor(F.lit(p) * F.col("n")).cast("bigint"), F.col("n") - 1))
+    return at_places(values, column, {"value": F.least(F.floor(F.lit(p) * F.col("n")).cast("bigint"), F.col("n") - 1)}).filter("value is not null")
 
 
-def _at(values: DataFrame, column: str, place: Column) -> DataFrame:
-    """The value at a place of the sorted column, by counts of equal values: no task sorts all rows."""
-    runs = values.filter(F.col(column).isNotNull()).groupBy(F.col(column).alias("value")).agg(F.count("*").alias("c"))
-    n = runs.agg(F.sum("c").alias("n"))
-    upto = F.sum("c").over(Window.orderBy("value"))
-    return runs.withColumn("to", upto).crossJoin(F.broadcast(n)).filter((place < F.col("to")) & (place >= F.col("to") - F.col("c"))).select("value")
+def at_places(values: DataFrame, column: str, places: dict[str, Column], bins: int = 64) -> DataFrame:
+    """One row with the values at places (from 0, by the number n of values) of the sorted column; null without values.
+
+    Values are dealt to bins between approximate quantiles and the bins counted; only bins that hold a place are sorted, each in a task of its own.
+    """
+    v = values.select(F.col(column).alias("value")).filter("value is not null")
+    head = v.agg(F.count("*").alias("n"), F.percentile_approx("value", F.array(*[F.lit(i / bins) for i in range(1, bins)]), F.lit(10_000)).alias("cuts"))
+    runs = v.groupBy("value").agg(F.count("*").alias("c")).crossJoin(F.broadcast(head))  # one row
+    runs = runs.withColumn("bin", F.size(F.filter("cuts", lambda x: x < F.col("value")))).drop("cuts")
+    sizes = runs.groupBy("bin").agg(F.sum("c").alias("size"), F.first("n").alias("n"))
+    sizes = sizes.withColumn("before", F.sum("size").over(Window.orderBy("bin")) - F.col("size"))  # a row a bin
+    held = F.lit(False)
+    for place in places.values():
+        held = held | ((place >= F.col("before")) & (place < F.col("before") + F.col("size")))
+    some = runs.join(F.broadcast(sizes.filter(held).select("bin", "before")), "bin")
+    some = some.withColumn("to", F.col("before") + F.sum("c").over(Window.partitionBy("bin").orderBy("value")))
+    return some.agg(*[F.max(F.when((place < F.col("to")) & (place >= F.col("to") - F.col("c")), F.col("value"))).alias(name) for name, place in places.items()])
 
 
 def quantile_linear(values: DataFrame, column: str, *ps: float) -> DataFrame:
-    return values.agg(*[F.percentile(column, F.lit(p)).alias(f"p{round(100 * p)}") for p in ps])
+    """One row: for each p the value at p * (n - 1) of the sorted column, between two neighbours in proportion."""
+    spots = {f"{side}{i}": getattr(F, f)(F.lit(p) * (F.col("n") - 1)).cast("bigint") for i, p in enumerate(ps) for side, f in (("low", "floor"), ("high", "ceil"))}
+    found = at_places(values, column, spots).crossJoin(values.agg(F.count(column).alias("n")))  # one row each
+    part = lambda p: F.lit(p) * (F.col("n") - 1) - F.floor(F.lit(p) * (F.col("n") - 1))
+    return found.select(*[(F.col(f"low{i}") + (F.col(f"high{i}") - F.col(f"low{i}")) * part(p)).alias(f"p{round(100 * p)}") for i, p in enumerate(ps)])
 
 
 def describe(values: DataFrame, column: str) -> DataFrame:

@@ -47,12 +47,14 @@ def common_words(df: DataFrame, n_docs: int, ratio: float = 0.10, share: float =
     return df.filter((~F.col("term").contains(" ")) & F.lit(n_docs >= 5) & (F.col("df") >= least) & (F.col("df") / F.lit(n_docs) >= ratio)).select("term")
 
 
-def tfidf(tf: DataFrame, df: DataFrame, n_docs: int, cfg: KeywordConfig, posts: bool = False, weight: str = "tf") -> DataFrame:
+def tfidf(tf: DataFrame, df: DataFrame, n_docs: int | DataFrame, cfg: KeywordConfig, posts: bool = False, weight: str = "tf") -> DataFrame:
     """tf with df, kept and score: what pruning leaves and its damped TF-IDF; pruned rows stay, marked, for ensure_phrases."""
     ratio, phrase_ratio = (cfg.posts_generic_ratio, cfg.posts_generic_phrase_ratio) if posts else (cfg.desc_generic_ratio, cfg.desc_generic_phrase_ratio)
     power, boosts = (cfg.posts_idf_power, cfg.posts_boosts) if posts else (cfg.desc_idf_power, cfg.desc_boosts)
     j = tf.join(df, "term", "left").withColumn("df", F.coalesce("df", F.lit(0)))
-    share = F.col("df") / F.lit(max(1, n_docs))
+    # the number of documents: known, or a frame of one row
+    j = j.crossJoin(F.broadcast(n_docs.select(F.col(n_docs.columns[0]).alias("_docs")))) if isinstance(n_docs, DataFrame) else j.withColumn("_docs", F.lit(n_docs))
+    share = F.col("df") / F.greatest(F.col("_docs"), F.lit(1))
     kept = ~((F.col("n") == 2) & (F.col("df") < cfg.min_df_bigram)) & ~((F.col("n") == 3) & (F.col("df") < cfg.min_df_trigram))
     generic = F.lit(False)
     if ratio is not None:
@@ -60,15 +62,16 @@ def tfidf(tf: DataFrame, df: DataFrame, n_docs: int, cfg: KeywordConfig, posts:
     if phrase_ratio is not None:
         generic = (F.col("n") >= 2) & (share >= phrase_ratio)
         kept = kept & ~generic
-    score = F.col(weight) * scores.damped(scores.idf(F.col("df"), F.lit(n_docs)), power) * scores.phrase_boost(F.col("n"), boosts)
-    return j.withColumn("kept", kept).withColumn("generic", generic).withColumn("score", F.when(kept, score))
+    score = F.col(weight) * scores.damped(scores.idf(F.col("df"), F.col("_docs")), power) * scores.phrase_boost(F.col("n"), boosts)
+    return j.withColumn("kept", kept).withColumn("generic", generic).withColumn("score", F.when(kept, score)).drop("_docs")
 
 
 def ensure_phrases(scored: DataFrame, key: str, cfg: KeywordConfig, posts: bool = False) -> DataFrame:
     """Kept terms, and of each document's pruned phrases the k most frequent, scored by frequency."""
     boosts = cfg.posts_boosts if posts else cfg.desc_boosts
     spare = (~F.col("kept")) & (F.col("n") >= 2) & (~F.col("generic"))
-    order = Window.partitionBy(key, "spare").orderBy(F.desc("tf"), F.asc("n"), F.asc("pos"), F.asc("term"))
+    # by document alone: the ranking that follows needs no second shuffle
+    order = Window.partitionBy(key).orderBy(F.desc("spare"), F.desc("tf"), F.asc("n"), F.asc("pos"), F.asc("term"))
     r = scored.withColumn("spare", spare).withColumn("place", F.row_number().over(order))
     r = r.filter(F.col("kept") | (F.col("spare") & (F.col("place") <= cfg.ensure_k)))
     return r.withColumn("score", F.coalesce("score", F.col("tf") * scores.phrase_boost(F.col("n"), boosts))).drop("spare", "place", "kept", "generic")
@@ -178,6 +181,27 @@ def theme_penalty(posts: DataFrame, themes: DataFrame, key: str, factor: float)
     return j.withColumn("score", F.when(F.coalesce(off, F.lit(False)), F.col("score") * factor).otherwise(F.col("score"))).drop("theme")
 
 
+def seed_base(posts: DataFrame, local: DataFrame, key: str, source: str) -> DataFrame:
+    """(key, term, order_score, base_score): seeds by TF-IDF, by local frequency, or by TF-IDF where there is one (hybrid); the scale is always TF-IDF, 0 without."""
+    scored = posts.select(key, "term", F.col("score").alias("base_score"))
+    if source == "posts_tfidf":
+        return scored.withColumn("order_score", F.col("base_score"))
+    every = scored.join(local.select(key, "term", F.col("tf").cast("double").alias("tf")), [key, "term"], "right" if source == "posts_local_tf" else "full_outer")
+    order = F.col("tf") if source == "posts_local_tf" else F.coalesce("base_score", "tf")
+    return every.select(key, "term", order.alias("order_score"), F.coalesce("base_score", F.lit(0.0)).alias("base_score"))
+
+
+def rerank_seeds(seeds: DataFrame, vectors: DataFrame, themes: DataFrame, key: str, alpha: float, pool: int) -> DataFrame:
+    """Each document's `pool` best seeds by a blend of their score's share of the best and their similarity to the theme; the rest by the share."""
+    order = Window.partitionBy(key).orderBy(F.desc("order_score"), "term")
+    best = F.max("order_score").over(Window.partitionBy(key))
+    s = seeds.withColumn("_p", F.row_number().over(order)).withColumn("_n", F.col("order_score") / F.when(best == 0, 1.0).otherwise(best))
+    s = s.join(vectors, "term", "left").join(themes.select(key, F.col("vector").alias("_theme")), key, "left")
+    like = (scores.cosine(F.col("vector"), F.col("_theme")) + 1.0) / 2.0
+    on = (F.col("_p") <= pool) & F.col("vector").isNotNull() & F.col("_theme").isNotNull()
+    return s.withColumn("order_score", F.when(on, (1.0 - alpha) * F.col("_n") + alpha * like).otherwise(F.col("_n"))).drop("_p", "_n", "vector", "_theme")
+
+
 def rerank(scored: DataFrame, vectors: DataFrame, themes: DataFrame, key: str, cfg: KeywordConfig, pool: str = "union") -> DataFrame:
     """The best terms of a pool, times (1 - alpha) + alpha * similarity to the theme; vectors(term, vector), themes(key, vector)."""
     inside = scored.withColumn("_in", text.in_embed_pool(F.col("source"), pool))

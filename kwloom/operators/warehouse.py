@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .ops import leading_bytes, numbered
+
 OVERWRITTEN = ["name", "url", "rank", "subscribers_count", "source_page", "source_path"]
 NON_EMPTY = ["full_url", "displayed_count", "description", "icon_url"]
 
@@ -28,17 +30,10 @@ def upsert_communities(old: DataFrame, new: DataFrame) -> DataFrame:
 
 
 def extend_dictionary(known: DataFrame, terms: DataFrame) -> DataFrame:
-    """known(id, term) and new terms with ids that follow the highest; a term keeps its id.
-
-    Ids come from the terms' order, in ranges dealt by partition, so no task sees all new terms.
-    """
-    new = terms.select("term").distinct().join(known, "term", "left_anti").repartitionByRange("term").sortWithinPartitions("term")
-    new = new.withColumn("p", F.spark_partition_id()).withColumn("i", F.row_number().over(Window.partitionBy("p").orderBy("term")))
-    sizes = new.groupBy("p").agg(F.count("*").alias("size"))
-    before = sizes.withColumn("before", F.sum("size").over(Window.orderBy("p")) - F.col("size")).select("p", "before")  # a row a partition
+    """known(id, term) and new terms with ids that follow the highest, in the terms' order; a term keeps its id."""
+    new = numbered(terms.select("term").distinct().join(known, "term", "left_anti"), leading_bytes("term"), ["term"])
     top = known.agg(F.coalesce(F.max("id"), F.lit(0)).alias("top"))
-    numbered = new.join(F.broadcast(before), "p").crossJoin(F.broadcast(top)).select((F.col("top") + F.col("before") + F.col("i")).cast("long").alias("id"), "term")
-    return known.select("id", "term").unionByName(numbered)
+    return known.select("id", "term").unionByName(new.crossJoin(F.broadcast(top)).select((F.col("top") + F.col("at") + 1).cast("long").alias("id"), "term"))  # one row
 
 
 def upsert_links(old: DataFrame, new: DataFrame) -> DataFrame:
@@ -71,3 +66,41 @@ def one_per_page(rows: DataFrame) -> DataFrame:
     ident = F.coalesce(F.nullif(F.col("community_id"), F.lit("")), F.concat_ws("\u0001", "name", "url"))
     order = Window.partitionBy("page", ident).orderBy("seq")
     return rows.withColumn("_r", F.row_number().over(order)).filter("_r = 1").drop("_r")
+
+
+def log_rows(loads: DataFrame, log: DataFrame) -> DataFrame:
+    """Rows for the ingest log from loads(input_file, file_hash, processed_at, error): ids follow the log's highest in order of file; a load with an error says so."""
+    top = log.agg(F.coalesce(F.max("id"), F.lit(0)).alias("_top"))
+    new = numbered(loads, leading_bytes("input_file"), ["input_file", "processed_at"], "_at").crossJoin(F.broadcast(top))  # one row
+    bad = F.coalesce("error", F.lit("")) != ""
+    return new.select((F.col("_top") + F.col("_at") + 1).cast("long").alias("id"), "input_file", "file_hash", "processed_at", F.when(bad, "error").otherwise("ok").alias("status"), F.when(bad, F.col("error")).alias("error"))
+
+
+def file_hashes(contents: DataFrame) -> DataFrame:
+    """(input_file, file_hash): SHA-256 of whole files as the binaryFile source reads them (path, content)."""
+    return contents.select(F.col("path").alias("input_file"), F.sha2("content", 256).alias("file_hash"))
+
+
+def key_set_hash(keys: DataFrame, column: str) -> DataFrame:
+    """One row: a hash of the set of keys, whatever their order: the sum and the exclusive-or of the hashes of distinct keys, hashed once more."""
+    h = keys.select(F.col(column).cast("string").alias("k")).distinct().select(F.xxhash64("k").alias("h"))
+    return h.agg(F.count("*").alias("n"), F.bit_xor("h").alias("x"), F.sum(F.col("h").cast("decimal(38,0)")).alias("s")).select("n", F.sha1(F.concat_ws(":", "n", "x", "s")).alias("key_hash"))
+
+
+def integrity(communities: DataFrame, dictionary: DataFrame, links: DataFrame) -> DataFrame:
+    """One row of counts: the three tables' rows and the links without a community or keyword."""
+    counts = communities.agg(F.count("*").alias("communities")).crossJoin(dictionary.agg(F.count("*").alias("keywords"))).crossJoin(links.agg(F.count("*").alias("links")))  # one row each
+    return counts.crossJoin(orphans(links, communities, dictionary))
+
+
+def write_warehouse(tables: dict[str, DataFrame], path: str, rebuild: bool = False, dry_run: bool = False) -> dict[str, int]:
+    """Write each table as Parquet under path and return its rows: over what was there if rebuilding, else only where nothing is; a dry run writes nothing.
+
+    A table that was read from its own place must be checkpointed or written elsewhere first, as with any overwrite in Spark.
+    """
+    counts = {}
+    for name, table in tables.items():
+        if not dry_run:
+            table.write.mode("overwrite" if rebuild else "errorifexists").parquet(f"{path}/{name}")
+        counts[name] = (table.sparkSession.read.parquet(f"{path}/{name}") if not dry_run else table).count()
+    return counts

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,11 +18,18 @@ def description_terms(docs: DataFrame, key: str, cfg: KeywordConfig, extra: list
     return terms.term_frequency(terms.grams(terms.spread(docs), key, words, cfg.max_ngram), key)
 
 
-def description_scores(docs: DataFrame, key: str, cfg: KeywordConfig) -> DataFrame:
-    """(key, term, n, tf, pos, df, score) of descriptions, phrases ensured. All documents count, also those without terms."""
-    tf = description_terms(docs, key, cfg)
-    n = docs.count()
-    return terms.ensure_phrases(terms.tfidf(tf, terms.document_frequency(tf, key), n, cfg), key, cfg)
+def description_scores(docs: DataFrame, key: str, cfg: KeywordConfig, dynamic: bool = False) -> DataFrame:
+    """(key, term, n, tf, pos, df, score) of descriptions, phrases ensured. All documents count, also those without terms.
+
+    dynamic: words that most documents share end an n-gram as stopwords do (the frequencies are those of all terms). At most as many words
+    as ten mean documents hold can be in a tenth of all documents, so their list is small.
+    """
+    tf, n = description_terms(docs, key, cfg), docs.count()
+    df = terms.document_frequency(tf, key)
+    if dynamic and cfg.desc_generic_ratio is not None:
+        common = [r.term for r in terms.common_words(df, n, cfg.desc_generic_ratio).collect()]
+        tf = description_terms(docs, key, cfg, sorted(common)) if common else tf
+    return terms.ensure_phrases(terms.tfidf(tf, df, n, cfg), key, cfg)
 
 
 def usable_posts(posts: DataFrame, cfg: KeywordConfig) -> DataFrame:
@@ -43,11 +52,15 @@ def posts_terms(posts: DataFrame, key: str, cfg: KeywordConfig) -> DataFrame:
     return one.groupBy(key, "term", "n").agg(F.sum("c").alias("tf"), F.sum(F.col("c") * F.col("w")).alias("weighted"), F.min("pos").alias("pos"))
 
 
-def posts_scores(posts: DataFrame, key: str, cfg: KeywordConfig) -> DataFrame:
-    """(key, term, n, tf, weighted, pos, df, score); only communities with a term count as documents."""
-    tf = posts_terms(posts, key, cfg)
-    n = tf.agg(F.countDistinct(key)).first()[0]
-    return terms.ensure_phrases(terms.tfidf(tf, terms.document_frequency(tf, key), n, cfg, posts=True, weight="weighted"), key, cfg, posts=True)
+def posts_scores(posts: DataFrame, key: str, cfg: KeywordConfig, tf: DataFrame | None = None) -> DataFrame:
+    """(key, term, n, tf, weighted, pos, df, score); only communities with a term count as documents. tf: what posts_terms gives, if it is there already."""
+    tf = posts_terms(posts, key, cfg) if tf is None else tf
+    return terms.ensure_phrases(terms.tfidf(tf, terms.document_frequency(tf, key), posts_documents(tf, key), cfg, posts=True, weight="weighted"), key, cfg, posts=True)
+
+
+def posts_documents(tf: DataFrame, key: str) -> DataFrame:
+    """One row: the communities with a term."""
+    return tf.agg(F.countDistinct(key).alias("n"))
 
 
 def name_terms(names: DataFrame, key: str, cfg: KeywordConfig) -> DataFrame:
@@ -61,31 +74,96 @@ def name_terms(names: DataFrame, key: str, cfg: KeywordConfig) -> DataFrame:
     pairs = F.when(F.size("kept") >= 2, F.zip_with(F.slice("kept", F.lit(1), F.greatest(F.size("kept") - 1, F.lit(0))), F.slice("kept", F.lit(2), F.greatest(F.size("kept") - 1, F.lit(0))), lambda a, b: F.concat_ws(" ", a, b))).otherwise(F.array().cast("array<string>"))
     phrase = F.array_join("kept", " ")
     every = F.array_distinct(F.filter(F.concat(F.array(phrase), "kept", pairs, "more"), lambda t: t != ""))
-    return c.select(key, phrase.alias("_phrase"), F.explode(every).alias("term")).select(key, "term", ((F.col("term") == F.col("_phrase")) & F.col("term").contains(" ")).alias("full"))
+    return c.select(key, phrase.alias("_phrase"), F.posexplode(every).alias("pos", "term")).select(key, "term", ((F.col("term") == F.col("_phrase")) & F.col("term").contains(" ")).alias("full"), "pos")
 
 
-def anchors(names: DataFrame, key: str, cfg: KeywordConfig) -> DataFrame:
-    """(key, token, phrase): the longest single word of each name, and the name's words as a phrase."""
-    t = name_terms(names, key, cfg).filter(~F.col("term").contains(" ")).groupBy(key).agg(F.max_by("term", F.struct(F.length("term"), "term")).alias("token"))
-    return names.select(key, F.array_join(text.tokens(F.col("name")), " ").alias("phrase")).join(t, key, "left")
+def name_phrases(names: DataFrame, key: str) -> DataFrame:
+    """(key, phrase, shown): all words of a name, stopwords too, in lower case and for display."""
+    bare = text.display_key(F.col("name"))
+    rough = F.filter(F.split(F.regexp_replace(bare, r"[_\-.\s]+", " "), " "), lambda t: t != "")
+    cut = names.select(key, text.segment_words(F.flatten(F.transform(rough, text.camel_split))).alias("parts"))
+    return cut.select(key, F.lower(F.array_join("parts", " ")).alias("phrase"), F.array_join(F.transform("parts", text.display_word), " ").alias("shown"))
 
 
-def composed_scores(posts: DataFrame, anchor: DataFrame, n_docs: int, df: DataFrame, key: str, cfg: KeywordConfig) -> DataFrame:
-    """Composed (key, term, score) from scored posts terms and anchors(key, token, phrase)."""
-    a = anchor.join(df.select(F.col("term").alias("phrase"), F.col("df").alias("phrase_df")), "phrase", "left").join(df.select(F.col("term").alias("token"), F.col("df").alias("token_df")), "token", "left")
-    factor = scores.anchor_factor(F.coalesce("phrase_df", F.lit(0)), F.coalesce("token_df", F.lit(0)), F.lit(n_docs), cfg.posts_idf_power, cfg.compose_mode, cfg.compose_alpha, cfg.compose_floor, cfg.compose_cap, cfg.compose_multiplier)
+def anchors(names: DataFrame, key: str, cfg: KeywordConfig) -> DataFrame:
+    """(key, token, phrase, ckey) of names(key, name[, title]): the first longest single word, else the canonical key; the title's words; the canonical key."""
+    t = name_terms(names, key, cfg).filter(~F.col("term").contains(" ")).groupBy(key).agg(F.max_by("term", F.struct(F.length("term").alias("l"), (-F.col("pos")).alias("p"))).alias("token"))
+    title = F.col("title") if "title" in names.columns else F.col("name")
+    ckey = text.canonical_key(F.col("name"))
+    return names.select(key, F.array_join(text.tokens(title), " ").alias("phrase"), ckey.alias("ckey")).join(t, key, "left").select(key, F.coalesce("token", F.nullif("ckey", F.lit(""))).alias("token"), "phrase", "ckey")
+
+
+def composed_scores(seeds: DataFrame, anchor: DataFrame, n_docs: DataFrame, df: DataFrame, key: str, cfg: KeywordConfig) -> DataFrame:
+    """Composed (key, term, score) from seeds(key, term, order_score, base_score) and anchors(key, phrase, ckey); n_docs has one row."""
+    a = anchor.select(key, "phrase", F.col("ckey").alias("token"))
+    a = a.join(df.select(F.col("term").alias("phrase"), F.col("df").alias("phrase_df")), "phrase", "left").join(df.select(F.col("term").alias("token"), F.col("df").alias("token_df")), "token", "left")
+    a = a.crossJoin(F.broadcast(n_docs.select(F.greatest(F.col(n_docs.columns[0]), F.lit(1)).alias("_docs"))))
+    factor = scores.anchor_factor(F.coalesce("phrase_df", F.lit(0)), F.coalesce("token_df", F.lit(0)), F.col("_docs"), cfg.posts_idf_power, cfg.compose_mode, cfg.compose_alpha, cfg.compose_floor, cfg.compose_cap, cfg.compose_multiplier)
     a = a.select(key, "token", "phrase", factor.alias("factor"))
-    return terms.compose(posts.select(key, "term", F.col("score").alias("order_score"), F.col("score").alias("base_score")).join(a, key), key, cfg)
-
-
-def keywords(docs: DataFrame, posts: DataFrame, names: DataFrame, key: str, cfg: KeywordConfig) -> DataFrame:
-    """(key, rank, term, score, weight, source): all sources merged, near-duplicates dropped, weights over all terms, the best k."""
-    desc, post = description_scores(docs, key, cfg), posts_scores(posts, key, cfg)
-    themes = terms.theme(desc, key, cfg.theme_k)
-    composed = composed_scores(post, anchors(names, key, cfg), max(1, posts.select(key).distinct().count()), terms.document_frequency(post, key), key, cfg)
-    penalised = terms.theme_penalty(post, themes, key, cfg.theme_penalty)
-    named = terms.name_scores(name_terms(names, key, cfg), key)
-    w = cfg.composed_weight if cfg.composed_weight is not None else cfg.posts_weight
-    merged = terms.merge_sources({"description": (desc, cfg.desc_weight), "name": (named, cfg.name_weight), "posts": (penalised, cfg.posts_weight), "posts_composed": (composed, w)}, key)
-    cleaned = terms.dedupe(merged.withColumn("term", text.collapse_repeats(F.col("term"))), key)
-    return terms.top_k(terms.normalise(cleaned, key), key, cfg.topk).select(key, "rank", "term", "score", "weight", "source")
+    return terms.compose(seeds.join(a, key), key, cfg)
+
+
+def themes(desc: DataFrame, named: DataFrame, key: str, cfg: KeywordConfig) -> DataFrame:
+    """(key, theme): the words of each community's name and of its best description terms."""
+    best = terms.theme(desc, key, cfg.theme_k).select(key, "theme")
+    own = named.groupBy(key).agg(F.array_distinct(F.flatten(F.collect_list(F.split("term", " ")))).alias("own"))
+    none = F.array().cast("array<string>")
+    return best.join(own, key, "full_outer").select(key, F.array_union(F.coalesce("own", none), F.coalesce("theme", none)).alias("theme"))
+
+
+def _finished(merged: DataFrame, phrases: DataFrame, key: str, cfg: KeywordConfig, k: int) -> DataFrame:
+    """Merged terms cleaned, weighted over all, the best k of each community, its whole name among them."""
+    m = merged.withColumn("term", text.collapse_repeats(F.col("term")))
+    if cfg.drop_nonlatin:
+        m = m.filter(~text.has_script(F.col("term")))
+    if cfg.term_nonascii_ratio >= 0:
+        m = m.filter(text.nonascii_ratio(F.col("term")) <= cfg.term_nonascii_ratio)
+    weighted = terms.normalise(terms.dedupe(m, key), key)
+    top = terms.top_k_with(weighted, key, k, phrases) if cfg.ensure_name else terms.top_k(weighted, key, k)
+    return top.select(key, "rank", "term", "score", "weight", "source")
+
+
+def sources(docs: DataFrame, posts: DataFrame, names: DataFrame, key: str, cfg: KeywordConfig, vectors: DataFrame | None = None, theme_vectors: DataFrame | None = None) -> dict[str, DataFrame]:
+    """The scored terms of each source, every option of cfg applied, and `phrases`, the names as phrases.
+
+    vectors(term, vector) and theme_vectors(key, vector) rank seeds by the theme where they are given.
+    """
+    if cfg.require_posts:
+        with_posts = posts.select(key).distinct()
+        docs, names = docs.join(with_posts, key, "left_semi"), names.join(with_posts, key, "left_semi")
+    desc, tf = description_scores(docs, key, cfg, cfg.dynamic_common), posts_terms(posts, key, cfg)
+    df, n = terms.document_frequency(tf, key), posts_documents(tf, key)
+    post = posts_scores(posts, key, cfg, tf).select(key, "term", "n", "df", "score")
+    named, anchor = name_terms(names, key, cfg), anchors(names, key, cfg)
+    if cfg.anchor_generics:
+        marked = post.crossJoin(F.broadcast(n.select(F.col("n").alias("_docs")))).withColumn("share", F.col("df") / F.col("_docs")).join(anchor.select(key, F.col("token").alias("anchor"), "phrase"), key, "left")
+        post = terms.anchored_variants(marked.withColumn("anchor", F.coalesce("anchor", F.lit(""))), key, cfg)
+    seeds = terms.seed_base(post, tf, key, cfg.compose_seeds)
+    if vectors is not None and theme_vectors is not None:
+        seeds = terms.rerank_seeds(seeds, vectors, theme_vectors, key, cfg.seed_embed_alpha, cfg.seed_pool)
+    composed = composed_scores(seeds, anchor, n, df, key, cfg)
+    penalised = terms.theme_penalty(post, themes(desc, named, key, cfg), key, cfg.theme_penalty)
+    phrases = name_phrases(names, key).filter("phrase like '% %'").select(key, "phrase")
+    return {"description": desc, "name": terms.name_scores(named, key), "posts": penalised, "posts_composed": composed, "phrases": phrases}
+
+
+def _merged(found: dict[str, DataFrame], which: list[str], key: str, cfg: KeywordConfig, vectors: DataFrame | None, theme_vectors: DataFrame | None) -> DataFrame:
+    composed = cfg.composed_weight if cfg.composed_weight is not None else cfg.posts_weight
+    weights = {"description": cfg.desc_weight, "name": cfg.name_weight, "posts": cfg.posts_weight, "posts_composed": composed}
+    merged = terms.merge_sources({s: (found[s], weights[s]) for s in which}, key)
+    return terms.rerank(merged, vectors, theme_vectors, key, cfg) if vectors is not None and theme_vectors is not None else merged
+
+
+def keywords(docs: DataFrame, posts: DataFrame, names: DataFrame, key: str, cfg: KeywordConfig, vectors: DataFrame | None = None, theme_vectors: DataFrame | None = None) -> DataFrame:
+    """(key, rank, term, score, weight, source): all sources merged, reranked where vectors are given, cleaned, the best k."""
+    found = sources(docs, posts, names, key, cfg, vectors, theme_vectors)
+    return _finished(_merged(found, ["description", "name", "posts", "posts_composed"], key, cfg, vectors, theme_vectors), found["phrases"], key, cfg, cfg.topk)
+
+
+def core_and_extended(docs: DataFrame, posts: DataFrame, names: DataFrame, key: str, cfg: KeywordConfig) -> tuple[DataFrame, DataFrame]:
+    """Two ranked lists: from descriptions and names, and from posts and compositions, without a term of the first."""
+    found = sources(docs, posts, names, key, cfg)
+    core = _finished(_merged(found, ["description", "name"], key, cfg, None, None), found["phrases"], key, cfg, cfg.core_topk or cfg.topk)
+    plain = replace(cfg, ensure_name=False)
+    extended = _merged(found, ["posts", "posts_composed"], key, cfg, None, None)
+    return core, _finished(terms.core_and_extended(core, extended, key)[1], found["phrases"], key, plain, cfg.topk)
