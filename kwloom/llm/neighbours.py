@@ -2,14 +2,14 @@
 
 Vectors are centred, scaled to length one and rotated by a seeded random orthogonal matrix; the signs of the result are the code,
 packed to one bit a dimension. With o the unit vector and x its code's unit vector, <o, q> is estimated by <x, q> / <x, o>; its
-error is at most eps * sqrt((1 - <x, o>^2) / <x, o>^2 / (D - 1)) * |q| but for a vanishing share of pairs. Candidates whose lower bound can still
-beat the (k+1)th best upper bound of all are reranked by the exact distance on the original vectors. (The query keeps its real components, which
-popcounts can't take: a block of codes is unpacked to signs for one matrix product.)
+error is at most eps * sqrt((1 - <x, o>^2) / <x, o>^2 / (D - 1)) * |q| but for a vanishing share of pairs. The candidates of best estimate are
+measured on the original vectors first; then all whose lower bound can still beat the (k+1)th best of these. (The query keeps its real components,
+which popcounts can't take: a block of codes is unpacked to signs for one matrix product.)
 
 Every distinct vector is in the index, with the k + 1 smallest ids that have it: ties go to smaller ids, so no other row of a vector
 can be among the nearest, and a vector that a third of all rows share costs no more than any other. Queries and candidates meet in blocks: a
-candidate goes to one chunk, a query to one block of queries, and each (chunk, block) is one bounded task. Only codes and two
-numbers a candidate travel there (codes are small, so chunks are large and both sides are copied little); original vectors join what has survived.
+candidate goes to one chunk, a query to one block of queries, and each (chunk, block) is one bounded task that hands on its k + 1 best per
+query. Original vectors travel along as bytes: with one bit a dimension the bounds leave more candidates than it costs to copy all to a few large blocks.
 
 Cases: vectors that are null, all zero, of another length than most, or hold null or non-finite components take no part; ties go
 to the smaller vec_id; repeated rows of a vec_id count once (the first by their contents); fewer candidates than k give all of
@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from ._util import cut
 
-K, EPS, SEED, CHUNK, BLOCK = 10, 4.0, 11, 200_000, 20_000
+K, EPS, SEED, CHUNK, BLOCK = 10, 4.0, 11, 50_000, 20_000
 
 
 def rotation(dim: int, seed: int = SEED) -> np.ndarray:
@@ -42,6 +42,14 @@ def codes(vectors: np.ndarray, centre: np.ndarray, turn: np.ndarray) -> tuple[np
     return np.packbits(unit > 0, axis=1), norm, np.abs(unit).sum(1) / np.sqrt(vectors.shape[1])
 
 
+def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Euclidean distances of the rows of a from the vector b, summed in order of the components."""
+    total = np.zeros(len(a))
+    for j in range(a.shape[1]):
+        total += (a[:, j] - b[j]) ** 2
+    return np.sqrt(total)
+
+
 def usable(vectors: DataFrame) -> tuple[DataFrame, int]:
     """vec_id and embedding (doubles) of the vectors that take part, and their length."""
     v = vectors.select("vec_id", F.col("embedding").cast("array<double>").alias("embedding"))
@@ -55,7 +63,7 @@ def usable(vectors: DataFrame) -> tuple[DataFrame, int]:
 
 
 def index(vectors: DataFrame, dim: int, seed: int = SEED) -> tuple[DataFrame, np.ndarray]:
-    """gid, code, norm, agree of every vector of vectors(gid, embedding), and the centre (the mean of all)."""
+    """gid, original (doubles as bytes), code, norm, agree of every vector of vectors(gid, embedding), and the centre (the mean of all)."""
     mean = vectors.select([F.avg(F.col("embedding")[i]).alias(f"m{i}") for i in range(dim)]).first()
     centre = np.array(mean, float)
 
@@ -63,10 +71,11 @@ def index(vectors: DataFrame, dim: int, seed: int = SEED) -> tuple[DataFrame, np
         turn = rotation(dim, seed)
         for f in frames:
             if len(f):
-                code, norm, agree = codes(np.stack(f.embedding.to_numpy()).astype(float), centre, turn)
-                yield pd.DataFrame({"gid": f.gid, "code": [c.tobytes() for c in code], "norm": norm, "agree": agree})
+                vectors_of = np.stack(f.embedding.to_numpy()).astype(float)
+                code, norm, agree = codes(vectors_of, centre, turn)
+                yield pd.DataFrame({"gid": f.gid, "original": [v.tobytes() for v in vectors_of], "code": [c.tobytes() for c in code], "norm": norm, "agree": agree})
 
-    return vectors.select("gid", "embedding").mapInPandas(build, f"gid {vectors.schema['gid'].dataType.simpleString()}, code binary, norm double, agree double"), centre
+    return vectors.select("gid", "embedding").mapInPandas(build, f"gid {vectors.schema['gid'].dataType.simpleString()}, original binary, code binary, norm double, agree double"), centre
 
 
 def distinct_vectors(rows: DataFrame, k: int) -> DataFrame:
@@ -98,8 +107,9 @@ def search(vectors: DataFrame, queries: str, k: int = K, eps: float = EPS, seed:
 
     def meet(c: pd.DataFrame, q: pd.DataFrame) -> pd.DataFrame:
         if not len(c) or not len(q):
-            return pd.DataFrame({"qid": [], "gid": [], "lower": [], "upper": []})
-        turn, ids = rotation(dim, seed), c.gid.to_numpy()
+            return pd.DataFrame({"qid": [], "gid": [], "score": []})
+        c = c.sort_values("gid", kind="stable")
+        turn, ids, original = rotation(dim, seed), c.gid.to_numpy(), np.frombuffer(b"".join(c.original), float).reshape(len(c), dim)
         bits = np.unpackbits(np.frombuffer(b"".join(c.code), np.uint8).reshape(len(c), -1), axis=1, count=dim)
         norm, agree = c.norm.to_numpy(), np.maximum(c.agree.to_numpy(), 1e-9)
         signs = (2.0 * bits - 1).astype(np.float32) / np.float32(np.sqrt(dim))
@@ -107,27 +117,28 @@ def search(vectors: DataFrame, queries: str, k: int = K, eps: float = EPS, seed:
         out = []
         for at in range(0, len(q), 32):
             some = q.iloc[at : at + 32]
-            off = np.stack(some.embedding.to_numpy()).astype(float) - centre
+            asked_at = np.stack(some.embedding.to_numpy()).astype(float)
+            off = asked_at - centre
             size = np.sqrt((off * off).sum(1))
             inner = (off @ turn).astype(np.float32) @ signs.T / agree.astype(np.float32)
             square = norm[None, :] ** 2 + (size**2)[:, None] - 2 * norm[None, :] * inner
             loose = 2 * norm[None, :] * slack[None, :] * size[:, None] + 1e-5 * (norm[None, :] ** 2 + (size**2)[:, None])
             for i, query in enumerate(some.gid.to_numpy()):
-                upper = square[i] + loose[i]
-                best = np.partition(upper, k)[k] if len(upper) > k + 1 else np.inf
-                near = np.flatnonzero(square[i] - loose[i] <= best)
-                out.append(pd.DataFrame({"qid": query, "gid": ids[near], "lower": square[i, near] - loose[i, near], "upper": upper[near]}))
+                near = np.arange(len(ids))
+                if len(ids) > 8 * (k + 1):
+                    first = np.argpartition(square[i], 8 * (k + 1))[: 8 * (k + 1)]
+                    reach = np.partition(distances(original[first], asked_at[i]), k)[k]
+                    near = np.flatnonzero(square[i] - loose[i] <= reach * reach)
+                exact = distances(original[near], asked_at[i])
+                top = np.lexsort((ids[near], exact))[: k + 1]
+                out.append(pd.DataFrame({"qid": query, "gid": ids[near][top], "score": exact[top]}))
         return pd.concat(out)
 
-    met = left.groupBy("chunk", "block").cogroup(right.groupBy("chunk", "block")).applyInPandas(meet, f"qid {kind}, gid {kind}, lower double, upper double")
-    met = cut(met)
-    best = Window.partitionBy("qid").orderBy("upper")
-    bound = met.withColumn("n", F.row_number().over(best)).filter(F.col("n") <= k + 1).groupBy("qid").agg(F.max(F.when(F.col("n") == k + 1, F.col("upper"))).alias("bound"))
-    near = met.join(bound, "qid").filter(F.col("bound").isNull() | (F.col("lower") <= F.col("bound"))).select("qid", "gid")
-    both = near.join(each, "gid").join(sought.select(F.col("gid").alias("qid"), F.col("embedding").alias("other")), "qid")
-    # summed in order of the components
-    exact = F.sqrt(F.aggregate(F.zip_with("embedding", "other", lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda a, x: a + x))
-    row = both.select("qid", F.explode("ids").alias("vec_id"), exact.alias("score"))
+    met = left.groupBy("chunk", "block").cogroup(right.groupBy("chunk", "block")).applyInPandas(meet, f"qid {kind}, gid {kind}, score double")
+    order = Window.partitionBy("qid").orderBy("score", "gid")
+    best = met.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= k + 1).drop("n")
+    # of vectors as near as each other the one with the smaller id comes first, so no row left out here is nearer than k + 1 others
+    row = best.join(each.select("gid", "ids"), "gid").select("qid", F.explode("ids").alias("vec_id"), "score")
     order = Window.partitionBy("qid").orderBy("score", "vec_id")
     top = row.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= k + 1).drop("n")
     # the query itself is among the nearest k + 1 of its vector, or all of these are as near
