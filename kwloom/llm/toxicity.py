@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ._util import SpanHasher, blocks, hashed_words, mix, modest_batches, remainder
+from ._util import SpanHasher, blocks, hashed_words, mix, modest_batches, remainder, words_of
 
 BITS, ROWS, THRESHOLD, STEMS = 20, 6_000, 0.3, (4, 6)
 
@@ -127,10 +127,12 @@ def _mapped(docs: DataFrame, model: tuple, bits: int, make, fields: list) -> Dat
 
 
 def acceptable(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The documents that score below the threshold, with all their columns whatever their names; a null doc_id or text is scored like any other."""
+    """The documents that score below the threshold, and those without a word, which have nothing to be rejected for; with all their columns
+    whatever their names. A null doc_id is no matter."""
 
     def keep(b, p):
-        kept = b.filter(pa.array(p < threshold))
+        wordless = [not words_of(t) for t in b.column(b.schema.get_field_index("text")).to_pylist()] if (p >= threshold).any() else False
+        kept = b.filter(pa.array((p < threshold) | wordless))
         return kept.columns, kept.schema.names
 
     return _mapped(docs, train(docs, labels), BITS, keep, docs.schema.fields)
