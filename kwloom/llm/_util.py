@@ -52,6 +52,14 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that df doesn't have, whatever the case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def remainder(col: str, of: int) -> Column:
     """crc32 of the id as text, modulo `of`; null for a null id, which then is in no split."""
     return F.crc32(F.col(col).cast("string").cast("binary")) % F.lit(of)

@@ -21,7 +21,7 @@ from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._util import SpanHasher, blocks, cut, hashed_words, modest_batches, words_of
+from ._util import SpanHasher, blocks, cut, fresh, hashed_words, modest_batches, words_of
 
 SPAN, K, TABLE_BITS = 10, 5, 26
 
@@ -174,5 +174,6 @@ def _run(a: str, b: str):
 def decontaminated(docs: DataFrame, bench: DataFrame) -> DataFrame:
     """The documents of which no word is hit. A row goes by its own text: its doc_id may be null or that of other texts."""
     texts = docs.select(F.xxhash64("text").alias("doc_id"), "text")
-    dirty = contamination(texts, bench).filter("contaminated").select(F.col("doc_id").alias("_hit_text")).distinct()
-    return docs.join(dirty, F.xxhash64("text") == F.col("_hit_text"), "left_anti").select(docs.columns)
+    hit = fresh(docs, "_hit_text")
+    dirty = contamination(texts, bench).filter("contaminated").select(F.col("doc_id").alias(hit)).distinct()
+    return docs.join(dirty, F.xxhash64("text") == F.col(hit), "left_anti")

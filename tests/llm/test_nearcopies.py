@@ -67,6 +67,8 @@ def test_copies_with_a_few_changed_words_are_found(spark):
 
 def test_columns_and_empty_table(spark):
     assert nearcopies.keep_one(docs(spark)).columns == docs(spark).columns
+    clash = spark.createDataFrame([(1, "a b c", "mine", 5), (2, "a b c", "other", 6), (3, "d", "third", 7)], "doc_id int, text string, _text_key string, _Rows int")
+    assert sorted(tuple(r) for r in nearcopies.keep_one(clash).collect()) == [(1, "a b c", "mine", 5), (3, "d", "third", 7)]
     assert nearcopies.keep_one(none(spark)).count() == 0
 
 

@@ -3,6 +3,7 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from kwloom.llm import winnow
 
@@ -69,3 +70,5 @@ def test_rows_are_dropped_by_their_own_text(spark):
     d = spark.createDataFrame([(None, passage), (None, "clean"), (1, passage + " x"), (1, "clean too"), (2, None)], "doc_id bigint, text string")
     kept = {(r.doc_id, r.text) for r in winnow.decontaminated(d, b).collect()}
     assert kept == {(None, "clean"), (1, "clean too"), (2, None)}
+    own = winnow.decontaminated(d.withColumn("_hit_text", F.lit(1)), b)
+    assert own.columns == ["doc_id", "text", "_hit_text"] and own.count() == 3
