@@ -8,7 +8,7 @@ import tempfile
 import uuid
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Bytes of a text that are not part of a word: ASCII except letters and digits; A-Z become a-z.
@@ -65,6 +65,24 @@ def remainder(col: str, of: int) -> Column:
     return F.crc32(F.col(col).cast("string").cast("binary")) % F.lit(of)
 
 
+def labelled(docs: DataFrame, labels: DataFrame, label: str, learn: Column, rows: int, size: int) -> DataFrame:
+    """key (hash of doc_id), text and label of labelled rows of docs(doc_id, text) for which `learn` holds, one of each (doc_id, text).
+
+    Ids go by their hash, and of an id's texts those with the smallest hash come first: at most `rows` of them, and as many as have `size`
+    bytes together (one in any case). A label given twice counts as 1 if any is. What is broadcast and returned is bounded by that.
+    """
+    ids = (
+        labels.select("doc_id", F.col(label).cast("int").alias("label")).filter(learn & F.col("doc_id").isNotNull() & F.col("label").isNotNull())
+        .groupBy("doc_id").agg(F.max("label").alias("label")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
+    )
+    own = docs.select("doc_id", "text", F.xxhash64("text").alias("h"), F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("bytes"))
+    found = own.drop("text").join(F.broadcast(ids), "doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id", "h").limit(rows)
+    # a window over `rows` rows at most
+    sofar = F.sum("bytes").over(Window.orderBy(F.xxhash64("doc_id"), "doc_id", "h"))
+    chosen = found.withColumn("sofar", sofar).filter((F.col("sofar") <= size) | (F.col("sofar") == F.col("bytes"))).select("doc_id", "h", "label")
+    return own.join(F.broadcast(chosen), ["doc_id", "h"]).groupBy("doc_id", "h", "label").agg(F.first("text").alias("text")).select(F.xxhash64("doc_id").alias("key"), "text", "label")
+
+
 def words_of(text: str | None) -> list[bytes]:
     """Lower-case (A-Z only) words of a text, as UTF-8: runs of ASCII letters, digits and anything beyond ASCII."""
     return text.encode("utf-8", "replace").translate(WORD_TABLE).split() if text else []

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, language, license, neighbours, perplexity, pii, simhash, tokenfile, toxicity, winnow
+from . import bpe, filters, language, lexical, license, neighbours, perplexity, pii, quality, simhash, tokenfile, toxicity, winnow
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -53,10 +53,22 @@ def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.search(_table(spark, sf_dir, "embeddings"), "vec_id % 100 = 0")
 
 
+def op11_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op12_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op13_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filters.audit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    every = (op1_toxicity, op2_pii, op3_license, op4_perplexity, op5_bpe, op6_language, op7_simhash, op8_tokenfile, op9_winnow, op10_neighbours)
+    every = (op1_toxicity, op2_pii, op3_license, op4_perplexity, op5_bpe, op6_language, op7_simhash, op8_tokenfile, op9_winnow, op10_neighbours, op11_quality, op12_lexical, op13_filters)
     return {f.__name__: f for f in every}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op10_neighbours": neighbours.ORACLE}
+    return {"op10_neighbours": neighbours.ORACLE, "op12_lexical": lexical.ORACLE, "op13_filters": filters.ORACLE}
