@@ -6,8 +6,9 @@ byte; below order 0 all bytes are alike. Statistics are frozen and nothing is ex
 text is a sum of looked-up costs. Trees of all languages are one table: a (context, symbol) key has a vector with its whole cost
 in each language, escapes included; a context key has a vector with the escape costs.
 
-Learning uses at most `rows` distinct texts of each language, of at most `longest` bytes each, those with the smallest hash: a documented
-bound. The counts are made on the executors. What the driver gathers and broadcasts is bounded by rows * longest bytes a language.
+Learning uses at most `rows` distinct texts of each language, those with the smallest hash, as many as have `size` characters together (one
+in any case), and of a longer text than `longest` characters its first ones: a documented bound. The counts are made on the executors. What the
+driver gathers and broadcasts is bounded by size + longest characters a language.
 
 Cases: a null text, or one without a letter, is "und" with score 0; without any training rows every text is; ties go to the
 language first in order; repeated rows are predicted each; an empty table gives no rows; other columns are ignored.
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 
 from ._util import HashTable, blocks, modest_batches, remainder
 
-ORDER, ROWS, LONGEST, UNKNOWN, BROADCAST_ROWS = 4, 300, 1 << 20, "und", 100_000
+ORDER, ROWS, LONGEST, SIZE, UNKNOWN, BROADCAST_ROWS = 4, 300, 1 << 20, 16 << 20, "und", 100_000
 
 
 def _padded(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
@@ -105,16 +106,17 @@ class Model:
         return out
 
 
-def train(docs: DataFrame, rows: int = ROWS, longest: int = LONGEST) -> Model | None:
+def train(docs: DataFrame, rows: int = ROWS, longest: int = LONGEST, size: int = SIZE) -> Model | None:
     """The model of documents outside the held-out third; None without any."""
-    learn = docs.select("text", "lang", F.xxhash64("text").alias("h")).filter((remainder("doc_id", 3) != 1) & F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.octet_length("text") <= longest))
+    learn = docs.select(F.substring("text", 1, longest).alias("text"), "lang", F.xxhash64("text").alias("h"), F.least(F.length("text"), F.lit(longest)).cast("long").alias("chars")).filter((remainder("doc_id", 3) != 1) & F.col("lang").isNotNull() & F.col("text").isNotNull())
     # only hashes below a bound that leaves some four times `rows` distinct texts of a language are ranked, so no task ranks a whole language
     sizes = learn.groupBy("lang").agg(F.approx_count_distinct("h", 0.02).alias("size"))
     few = len(sizes.take(BROADCAST_ROWS + 1)) <= BROADCAST_ROWS
-    hashed = learn.select("lang", "h").join(F.broadcast(sizes) if few else sizes, "lang")
+    hashed = learn.select("lang", "h", "chars").join(F.broadcast(sizes) if few else sizes, "lang")
     low = hashed.filter(F.col("h") / F.lit(2.0**64) + 0.5 <= F.lit(4.0 * rows) / F.col("size"))
     order = Window.partitionBy("lang").orderBy("h")
-    chosen = low.select("lang", "h").distinct().withColumn("n", F.row_number().over(order)).filter(F.col("n") <= rows).select("lang", "h")
+    chosen = low.groupBy("lang", "h").agg(F.max("chars").alias("chars")).withColumn("n", F.row_number().over(order)).filter(F.col("n") <= rows)
+    chosen = chosen.withColumn("sofar", F.sum("chars").over(order)).filter((F.col("n") == 1) | (F.col("sofar") <= size)).select("lang", "h")
     small = len(chosen.take(BROADCAST_ROWS + 1)) <= BROADCAST_ROWS
     # of copies of a text one is learnt from; each task leaves at most one of each for the shuffle
     texts = learn.join(F.broadcast(chosen) if small else chosen, ["lang", "h"]).groupBy("lang", "h").agg(F.first("text").alias("text")).select("lang", "text")

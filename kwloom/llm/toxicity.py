@@ -4,8 +4,8 @@ Features are the distinct unigrams, bigrams and skip-bigrams (one word left out)
 and six bytes, which inflected forms share; all hashed to `bits` bits. Only whether they occur has a part in a score. Learning keeps a rate per coordinate and an L1 term that leaves most weights at
 zero, so what is broadcast for scoring is a short list of (feature, weight).
 
-The learner sees at most `rows` labelled documents, those with the smallest hash of doc_id: a documented bound, the same at every
-size of the table. Everything is scored, whole.
+The learner sees at most `rows` labelled rows, those with the smallest hash of doc_id, one of each (doc_id, text), and `size` bytes of
+text: a documented bound, the same at every size of the table. Everything is scored, whole.
 
 Cases: a null or empty text scores the bias alone; a label that is null takes no part, one given twice counts as toxic if any is;
 without usable labels every score is 0; repeated rows are scored each; an empty table gives no rows; other columns are ignored.
@@ -19,9 +19,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ._util import SpanHasher, blocks, hashed_words, mix, modest_batches, remainder, words_of
+from ._util import SpanHasher, blocks, hashed_words, labelled, mix, modest_batches, remainder, words_of
 
-BITS, ROWS, THRESHOLD, STEMS = 20, 6_000, 0.3, (4, 6)
+BITS, ROWS, SIZE, THRESHOLD, STEMS = 20, 6_000, 64 << 20, 0.3, (4, 6)
 
 
 class Ftrl:
@@ -62,23 +62,16 @@ def features(texts: list[str | None], hasher: SpanHasher, bits: int = BITS) -> t
     return hashed[order], np.searchsorted(owner[order], np.arange(len(texts) + 1))
 
 
-def train(docs: DataFrame, labels: DataFrame, rows: int = ROWS, bits: int = BITS, epochs: int = 4) -> tuple[np.ndarray, np.ndarray, float]:
+def train(docs: DataFrame, labels: DataFrame, rows: int = ROWS, size: int = SIZE, bits: int = BITS, epochs: int = 4) -> tuple[np.ndarray, np.ndarray, float]:
     """Feature numbers and weights that are not zero, and the bias, learnt from labelled documents outside the held-out quarter."""
-    chosen = (
-        labels.select("doc_id", F.col("toxic").cast("int").alias("toxic"))
-        .filter((remainder("doc_id", 4) != 2) & F.col("toxic").isNotNull())
-        .groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-        .orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
-    )
-    # at most `rows` ids and labels: small enough to broadcast whatever the table's size
-    texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select(F.xxhash64("doc_id").alias("key"), "text", "toxic")
+    texts = labelled(docs, labels, "toxic", remainder("doc_id", 4) != 2, rows, size)
 
     def count(batches):
         hasher = SpanHasher()
         for b in batches:
             at, starts = features(b.column("text").to_pylist(), hasher, bits)
             found = [np.unique(at[s:e]).astype(np.int32) for s, e in zip(starts, starts[1:], strict=False)]
-            yield pa.RecordBatch.from_arrays([b.column("key"), b.column("toxic"), pa.array([f.tobytes() for f in found], pa.binary())], ["key", "toxic", "at"])
+            yield pa.RecordBatch.from_arrays([b.column("key"), b.column("label"), pa.array([f.tobytes() for f in found], pa.binary())], ["key", "toxic", "at"])
 
     sample = texts.mapInArrow(count, "key bigint, toxic int, at binary").toPandas()
     order = sorted(range(len(sample)), key=lambda i: (int(sample.key[i]), sample["at"][i]))
@@ -95,7 +88,7 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = ROWS, bits: int = BITS
 
 def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, rows: int = ROWS, bits: int = BITS) -> DataFrame:
     """doc_id, held_out, score, predicted of every row of docs(doc_id, text)."""
-    scored = _mapped(docs.select("doc_id", "text"), train(docs, labels, rows, bits), bits, lambda b, p: ([b.column("doc_id"), pa.array(p)], ["doc_id", "score"]), [docs.schema["doc_id"], T.StructField("score", T.DoubleType())])
+    scored = _mapped(docs.select("doc_id", "text"), train(docs, labels, rows, bits=bits), bits, lambda b, p: ([b.column("doc_id"), pa.array(p)], ["doc_id", "score"]), [docs.schema["doc_id"], T.StructField("score", T.DoubleType())])
     return scored.select("doc_id", F.coalesce(remainder("doc_id", 4) == 2, F.lit(False)).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
 
 

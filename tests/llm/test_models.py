@@ -9,7 +9,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from kwloom.llm import language, license, neighbours, perplexity, pii, toxicity
-from kwloom.llm._util import SpanHasher
+from kwloom.llm._util import SpanHasher, labelled
 
 from .fixtures import SCHEMA, docs, documents, none
 
@@ -41,6 +41,20 @@ def test_toxicity(spark):
     assert {x.score for x in toxicity.toxicity(d, labels.limit(0)).collect()} == {0.0}
 
 
+def test_labelled_rows_are_bounded(spark):
+    """One id with very many rows, and long texts: at most `rows` rows and `size` bytes are learnt from, of each (id, text) one."""
+    hot = spark.createDataFrame([(1, f"text {i % 5000}") for i in range(20_000)] + [(2, "x" * 1000), (2, "x" * 1000), (3, "y" * 10), (4, None), (None, "z"), (5, "no label")], "doc_id bigint, text string")
+    marks = spark.createDataFrame([(1, 1), (2, 0), (2, 1), (3, 0), (4, 1), (None, 1), (5, None)], "doc_id bigint, toxic int")
+    every = labelled(hot, marks, "toxic", F.lit(True), 10_000, 1 << 30).collect()
+    assert Counter((len(r.text or ""), r.label) for r in every if (r.text or "")[:4] != "text") == {(1000, 1): 1, (10, 0): 1, (0, 1): 1} and len(every) == 5003
+    assert len(labelled(hot, marks, "toxic", F.lit(True), 10, 1 << 30).collect()) == 10
+    some = labelled(hot, marks, "toxic", F.lit(True), 10_000, 500).collect()
+    assert 0 < len(some) and (sum(len(r.text or "") for r in some) <= 500 or len(some) == 1)
+    assert len(labelled(hot, marks, "toxic", F.lit(True), 10_000, 0).collect()) >= 1
+    used, _, _ = toxicity.train(hot, marks, rows=10)
+    assert len(used) < 200
+
+
 def test_ftrl_matches_a_plain_form():
     """The vectorised learner against the update rule written out for one coordinate at a time."""
     r = random.Random(9)
@@ -259,6 +273,16 @@ def test_language_of_many_copies_is_learnt(spark):
     assert got == {None: ("de", False)}
 
 
+def test_language_of_long_texts_is_learnt(spark):
+    r = random.Random(8)
+    long = lambda: " ".join(r.choice("der die und das nicht ist mit auf".split()) for _ in range(400))
+    rows = [(i, long(), "de") for i in range(6)] + [(i + 50, f"the of and to in is that it was {i}", "en") for i in range(12)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    cut, bounded = language.train(df, longest=200), language.train(df, size=100)
+    assert cut.languages == bounded.languages == ["de", "en"]
+    assert [m.bits(["das ist nicht mit", "it was the"]).argmin(1).tolist() for m in (cut, bounded)] == [[0, 1], [0, 1]]
+
+
 def test_language_costs_match_a_plain_tree():
     texts = {"a": ["banana band", "ananas"], "b": ["abba cabbage"]}
     counts = {x: Counter((k, bytes(4 + 0)[:0] + (bytes(4) + t.encode())[i + 4 - k : i + 5]) for t in ts for i in range(len(t.encode())) for k in range(5)) for x, ts in texts.items()}
