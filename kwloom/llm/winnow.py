@@ -10,7 +10,8 @@ broadcast; it only lets too much through. Only what passes is winnowed, carries
 items alike there, and the hit is extended word by word to both sides, so that no hash decides a result.
 
 Cases: null and empty texts have no words and no hits; an item without words hits nothing; repeated document rows each get the
-same result; an item_id given twice counts once; empty tables give no hits or no rows; other columns are ignored.
+same result; a null doc_id is an id as any other; an item_id given twice counts once; items with a null item_id hit words as any and
+count as one item together, but the digest of ids leaves them out; empty tables give no hits or no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -47,7 +48,7 @@ def gram_hashes(words: np.ndarray, n: int) -> np.ndarray:
 
 
 def _benchmark_prints(bench: DataFrame, span: int, k: int) -> DataFrame:
-    """item (id as text), item_words, item_at, gram (hash), n (words in the gram), whole (a short item) of each fingerprint."""
+    """item (id as text behind a sign, or nothing for null), item_words, item_at, gram (hash), n (words in the gram), whole (a short item) of each fingerprint."""
 
     def prints(batches):
         hasher = SpanHasher()
@@ -55,7 +56,7 @@ def _benchmark_prints(bench: DataFrame, span: int, k: int) -> DataFrame:
             out = []
             for item, text in zip(b.column("item").to_pylist(), b.column("text").to_pylist(), strict=True):
                 h = hashed_words([text], hasher)[0]
-                if not len(h) or item is None:
+                if not len(h):
                     continue
                 words = [w.decode("utf-8", "replace") for w in words_of(text)]
                 whole = len(h) < span
@@ -68,7 +69,8 @@ def _benchmark_prints(bench: DataFrame, span: int, k: int) -> DataFrame:
                 kinds = [pa.string(), pa.list_(pa.string()), pa.int32(), pa.int64(), pa.int32(), pa.bool_()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], ["item", "item_words", "item_at", "gram", "n", "whole"])
 
-    return bench.select(F.col("item_id").cast("string").alias("item"), "text").mapInArrow(prints, "item string, item_words array<string>, item_at int, gram bigint, n int, whole boolean")
+    named = F.coalesce(F.concat(F.lit("="), F.col("item_id").cast("string")), F.lit(""))  # the empty name is that of a null id
+    return bench.select(named.alias("item"), "text").mapInArrow(prints, "item string, item_words array<string>, item_at int, gram bigint, n int, whole boolean")
 
 
 def _bit_table(prints: DataFrame, most: int) -> tuple[np.ndarray, int, list[tuple[int, bool]]]:
@@ -151,7 +153,7 @@ def contamination(docs: DataFrame, bench: DataFrame, span: int = SPAN, k: int =
     items = spans.select("doc_id", "text_key", "grp").distinct().join(groups.select("grp", F.explode("items").alias("item")), "grp").groupBy("doc_id", "text_key").agg(F.array_sort(F.collect_set("item")).alias("items"))
     n_hit = F.expr("aggregate(spans, named_struct('to', 0, 'n', 0L), (s, x) -> named_struct('to', greatest(s.to, x.b), 'n', s.n + greatest(0, x.b - greatest(s.to, x.a))), s -> s.n)")
     alike = lambda a, b: F.col(f"{a}.doc_id").eqNullSafe(F.col(f"{b}.doc_id")) & (F.col(f"{a}.text_key") == F.col(f"{b}.text_key"))
-    per_doc = places.alias("s").join(items.alias("i"), alike("s", "i")).select("s.doc_id", "s.text_key", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"))
+    per_doc = places.alias("s").join(items.alias("i"), alike("s", "i")).select("s.doc_id", "s.text_key", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join(F.transform(F.filter("items", lambda x: x != ""), lambda x: x.substr(F.lit(2), F.length(x))), ","), 256).alias("items_sha256"))
     clean = rows.filter("text_key is null")
     hit_rows = rows.filter("text_key is not null").select("doc_id", "n_words", "text_key")
     joined = hit_rows.alias("r").join(per_doc.alias("p"), alike("r", "p"), "left").select("r.doc_id", "n_words", "n_hit", "n_items", "items_sha256")

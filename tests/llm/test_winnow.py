@@ -27,15 +27,15 @@ def brute(doc, bench):
         for i in range(len(w) - n + 1):
             if n and tuple(w[i : i + n]) in windows:
                 hit |= set(range(i, i + n))
-                items.add(str(item))
-    return len(w), len(hit), len(items), hashlib.sha256(",".join(sorted(items)).encode()).hexdigest(), bool(hit)
+                items.add(item)
+    return len(w), len(hit), len(items), hashlib.sha256(",".join(sorted(str(x) for x in items if x is not None)).encode()).hexdigest(), bool(hit)
 
 
 def check(spark, documents, bench):
     d = spark.createDataFrame(documents, "doc_id bigint, text string")
     b = spark.createDataFrame(bench, "item_id bigint, text string")
     got = sorted(tuple(r) for r in winnow.contamination(d, b).collect())
-    assert got == sorted((i, *brute(t, [x for x in bench if x[0] is not None])) for i, t in documents)
+    assert got == sorted((i, *brute(t, bench)) for i, t in documents)
 
 
 @pytest.mark.parametrize("seed", range(3))
@@ -45,7 +45,7 @@ def test_hits_match_brute_force(spark, seed):
     text = lambda n: " ".join(r.choice(some) for _ in range(n))
     bench = [(i, text(n)) for i, n in enumerate([0, 1, 2, 4, 5, 6, 9, 10, 11, 25, 40, 40])]
     if seed == 0:
-        bench = [*bench[6:], (99, "only five words are here"), (100, None), (101, ""), (10, bench[10][1])]
+        bench = [*bench[6:], (99, "only five words are here"), (100, None), (101, ""), (10, bench[10][1]), (None, bench[9][1]), (None, bench[11][1]), (None, text(12))]
     docs = []
     for i in range(40):
         t = text(r.randint(0, 60))
@@ -57,6 +57,14 @@ def test_hits_match_brute_force(spark, seed):
     check(spark, [*docs, docs[0], docs[1], (77, None), (78, ""), (79, "only five words are here and only five words are here")], bench)
 
 
+def test_items_without_an_id_hit_words_too(spark):
+    bench = [(None, " ".join("abcdefghijkl")), (None, "x y z"), (3, "x y z")]
+    check(spark, [(1, " ".join("zabcdefghijklm")), (2, "q x y z q " * 20_000), (3, "nothing")], bench)
+    lost = spark.createDataFrame([(None, bench[0][1]), (None, "clean")], "doc_id bigint, text string")
+    got = winnow.contamination(lost, spark.createDataFrame(bench, "item_id bigint, text string")).collect()
+    assert sorted((r.n_words, r.n_hit, r.n_items) for r in got) == [(1, 0, 0), (12, 12, 1)]
+
+
 def test_empty_tables(spark):
     b = spark.createDataFrame([(1, " ".join("abcdefghijkl"))], "item_id bigint, text string")
     assert winnow.contamination(none(spark), b).count() == 0
