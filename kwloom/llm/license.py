@@ -145,5 +145,6 @@ def scan(docs: DataFrame) -> DataFrame:
         F.array_max(F.flatten(F.array(*bare))).cast("long").alias("last_word"),
         label(True).alias("base_labels"),
         label(False).alias("labels"),
-        F.greatest(*[_share(t, idf, F.col(f"t{j}")) for j, t in enumerate(every)]).alias("score"),
+        # parts of a whole may add up to a little over one
+        F.least(F.lit(1.0), F.greatest(*[_share(t, idf, F.col(f"t{j}")) for j, t in enumerate(every)])).alias("score"),
     )
