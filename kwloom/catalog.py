@@ -7,17 +7,20 @@ number, part names are community names, events make weekly rankings.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import catalog_sql as sql
+from . import catalog_sql_lists as sql_lists
 from . import catalog_sql_measures as sql_measures
-from .config import KeywordConfig
+from .config import SHORT_WORDS, KeywordConfig
 from .functions import scores, text
-from .operators import clean, measures, ops, quality, reports, terms, trend, warehouse
+from .operators import clean, measures, ops, quality, redundancy, reports, segment, subjects, terms, trend, warehouse, wordlists
 from .plans import keywords as plans
-from .sources import html
+from .sources import html, lookup, warehouse_store
+from .sources.storage import shared_folder
 from .streaming import incremental
 
 FLAGSHIP = "doc_keywords_topk"
@@ -154,7 +157,31 @@ def posts_document_frequency(spark, d):
 
 @_query
 def name_keywords(spark, d):
-    return terms.name_scores(plans.name_terms(_names(spark, d), "doc_id", CFG), "doc_id")
+    n = _names(spark, d)
+    return terms.name_scores(plans.name_terms(n, "doc_id", CFG), plans.name_phrases(n, "doc_id"), "doc_id")
+
+
+def _glued(spark: SparkSession, d: str) -> DataFrame:
+    """Names made of the first three words of each post, glued: (doc_id, name)."""
+    w = F.filter(text.tokens(F.col("text")), lambda t: t.rlike("^[a-z]+$"))
+    n = _t(spark, d, "conversations").select((F.col("conv_id") * 1000 + F.col("turn")).alias("doc_id"), F.array_join(F.slice(w, 1, 3), "").alias("name"))
+    return n.filter("length(name) >= 9").groupBy("doc_id").agg(F.min("name").alias("name"))
+
+
+def _counts(spark: SparkSession, d: str) -> DataFrame:
+    return segment.word_counts(_docs(spark, d).select(F.explode(text.tokens(F.col("text"))).alias("word")))
+
+
+@_query
+def segmented_words(spark, d):
+    s = segment.cuts(_glued(spark, d), _counts(spark, d), "name")
+    return s.select("word", F.array_join("parts", " ").alias("parts"))
+
+
+@_query
+def glued_name_keywords(spark, d):
+    n, counts = _glued(spark, d), _counts(spark, d)
+    return terms.name_scores(plans.name_terms(n, "doc_id", CFG, counts), plans.name_phrases(n, "doc_id", counts), "doc_id")
 
 
 @_query
@@ -274,6 +301,23 @@ def upserted_links(spark, d):
     return warehouse.upsert_links(r, r.withColumn("score", F.col("score") + 1).withColumn("seq", F.col("seq") + 100_000_000))
 
 
+@_query
+def warehouse_loads(spark, d):
+    """Suppliers' parts as keyword lists, loaded in two halves, the first of them once more, into a warehouse in the shared folder."""
+    r = _t(spark, d, "lineitem").groupBy("l_suppkey", "l_partkey").agg(F.min("l_orderkey").alias("first"), F.sum("l_quantity").alias("score"))
+    r = r.join(_t(spark, d, "part").select(F.col("p_partkey").alias("l_partkey"), "p_name", "p_brand"), "l_partkey")
+    listed = lambda term, source: F.transform(F.array_sort(F.collect_list(F.struct("first", "l_partkey", "score", F.col(term).alias("term")))), lambda x: F.struct(x["term"].alias("term"), F.lit(1.0).alias("weight"), x["score"].cast("double").alias("score"), F.lit(source).alias("source")))
+    lists = lambda rows, file, term: rows.groupBy("l_suppkey").agg(listed(term, file).alias("keywords")).select(F.lit(file).alias("input_file"), F.col("l_suppkey").alias("seq"), F.col("l_suppkey").cast("string").alias("community_id"), F.concat(F.lit("r/"), F.col("l_suppkey").cast("string")).alias("name"), F.col("l_suppkey").alias("rank"), "keywords")
+    w = warehouse_store.Warehouse(spark, shared_folder(spark, "warehouse"))
+    file = lambda name: spark.createDataFrame([(name, f"hash of {name}")], "input_file string, file_hash string")
+    one, two = lists(r.filter("l_partkey % 3 < 2"), "one", "p_name"), lists(r.filter("l_partkey % 3 > 0"), "two", "p_brand")
+    w.load_keywords(one, file("one"), "2024-01-01")
+    w.load_keywords(two.unionByName(lists(r.filter("l_partkey % 6 = 1"), "two", "p_name").withColumn("seq", F.col("seq") + 1_000_000_000)), file("two"), "2024-01-02")
+    w.load_keywords(one, file("one"), "2024-01-03")
+    words = w.table("keywords").withColumnRenamed("id", "keyword_id")
+    return w.table("links").join(words, "keyword_id").select("community_id", "term", "rank", "score", "source", "version")
+
+
 @_query
 def changed_ingests(spark, d):
     o = _t(spark, d, "orders")
@@ -724,9 +768,177 @@ def category_improvement(spark, d):
     return _rounded(measures.category_improvement(_t(spark, d, "lineitem").select(F.col("l_returnflag").alias("category"), (F.col("l_suppkey") % 7).alias("before"), (F.col("l_partkey") % 9).alias("after"))), "rate")
 
 
+# --- redundancy and word lists -----------------------------------------------------------------------------------------------
+
+
+def _varied(spark: SparkSession, d: str) -> DataFrame:
+    """Each document's best terms beside forms of them without spaces, with a first word more, and with a word repeated."""
+    t, at, v = F.col("term"), F.col("rank"), F.col("v")
+    forms = F.array(t, F.when(at % 3 == 0, F.replace(t, F.lit(" "), F.lit(""))), F.when(at % 2 == 0, F.concat(F.lit("x "), t)), F.when(at % 4 == 1, F.concat_ws(" ", t, F.substring_index(t, " ", 1))))
+    e = _sourced(spark, d).filter("rank <= 8").select("doc_id", "rank", "score", "source", F.posexplode(forms).alias("v", "term")).filter("term is not null")
+    e = e.select("doc_id", (at * 4 + v).alias("at"), _round6(F.col("score") + v / 8).alias("score"), "source", "term")
+    first = e.withColumn("_f", F.row_number().over(Window.partitionBy("doc_id", "term").orderBy("at"))).filter("_f = 1")
+    return first.select("doc_id", F.row_number().over(Window.partitionBy("doc_id").orderBy("at")).alias("rank"), "term", "score", F.when(F.col("at") % 2 == 0, "posts_composed").otherwise(F.col("source")).alias("source"))
+
+
+@_query
+def redundancy_groups(spark, d):
+    k, out = _varied(spark, d), None
+    for kind in redundancy.KINDS:
+        g = redundancy.groups(k, "doc_id", kind).select("doc_id", F.lit(kind).alias("kind"), "lead", "rank", "term")
+        out = g if out is None else out.unionByName(g)
+    return out
+
+
+@_query
+def best_variants(spark, d):
+    return redundancy.best_variants(_varied(spark, d), _names(spark, d), "doc_id")
+
+
+@_query
+def repeated_compositions(spark, d):
+    return redundancy.repeated_compositions(_varied(spark, d), "doc_id").select("doc_id", F.array_join("terms", "|").alias("terms"), "place")
+
+
+def _placed(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """Ranked terms with words of games, news and brands put in, and names that do or don't speak of them."""
+    t, at = F.col("term"), F.col("rank")
+    term = F.when(at % 5 == 0, F.concat(t, F.lit(" Steam deck"))).when(at % 7 == 0, F.concat(F.lit("breaking news "), t)).when(at % 4 == 0, F.concat(t, F.lit(" game city time"))).when(at % 6 == 1, F.concat(F.lit("youtube "), t, F.lit(" tonight"))).otherwise(t)
+    k = _sourced(spark, d).select("doc_id", "rank", term.alias("term"), "score", F.when(at % 2 == 0, "posts_composed").otherwise("posts").alias("source"))
+    kind = F.col("doc_id") % 4
+    name = F.concat(F.when(kind == 0, "r/Gaming").when(kind == 1, "r/worldnews").when(kind == 2, "r/Steam_").otherwise("r/x"), "doc_id")
+    return k, _docs(spark, d).filter("doc_id % 9 <> 0").select("doc_id", name.alias("name"))
+
+
+@_query
+def context_mismatches(spark, d):
+    return wordlists.mismatches(*_placed(spark, d), "doc_id")
+
+
+@_query
+def brand_misuse(spark, d):
+    return wordlists.brand_misuse(*_placed(spark, d), "doc_id")
+
+
+@_query
+def fragmented_compositions(spark, d):
+    return wordlists.fragmented(_placed(spark, d)[0], "doc_id").select("doc_id", "rank", "term", F.array_join("lists", " ").alias("fields"))
+
+
+@_query
+def generic_unigrams(spark, d):
+    k = _sourced(spark, d).select("doc_id", "rank", "term")
+    return quality.generic_unigrams(k, quality.zipf(_counts(spark, d)), 5.5, CFG.stopwords).filter("generic").select("doc_id", "rank", "term")
+
+
+@_query
+def frequent_word_terms(spark, d):
+    words = quality.frequent_words(quality.zipf(_counts(spark, d)), 6.5, SHORT_WORDS)
+    return terms.document_frequency(plans.description_terms(_docs(spark, d), "doc_id", replace(CFG, frequent_words=tuple(words))), "doc_id")
+
+
+def _subject_grams(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Terms of posts, a list of subjects made of the descriptions' pairs of words, and posts' scores."""
+    grams = plans.posts_terms(_posts(spark, d), "doc_id", CFG)
+    w = text.tokens(F.col("text"))
+    pairs = F.explode(F.zip_with(F.slice(w, F.lit(1), F.greatest(F.size(w) - 1, F.lit(0))), F.slice(w, F.lit(2), F.greatest(F.size(w) - 1, F.lit(0))), lambda a, b: F.concat_ws("  ", F.translate(a, "aeiou", "AEIOU"), b)))
+    return grams, _docs(spark, d).select(pairs.alias("subject")), grams.select("doc_id", "term", F.col("tf").cast("double").alias("score"))
+
+
+@_query
+def subject_seeds(spark, d):
+    grams, listed, _ = _subject_grams(spark, d)
+    return subjects.seeds(grams, listed, "doc_id")
+
+
+@_query
+def subject_compositions(spark, d):
+    grams, listed, scored = _subject_grams(spark, d)
+    anchor = _names(spark, d).select("doc_id", F.col("name").alias("phrase"), F.substring_index("name", " ", -1).alias("token"))
+    return _rounded(subjects.compose(subjects.seeds(grams, listed, "doc_id"), scored, anchor, "doc_id", multiplier=0.9), "score")
+
+
+@_query
+def community_inspection(spark, d):
+    k = _mixed(spark, d)
+    c = _names(spark, d).withColumn("url", F.concat(F.lit("/r/C"), "doc_id", F.lit("x/")))
+    i = lookup.inspect(k, c, _posts(spark, d), "doc_id", 10, 3, 4).filter("terms is not null")
+    return _rounded(i.select("doc_id", F.array_join(F.transform("terms", lambda x: x["term"]), "|").alias("terms"), "description", "posts", "posts_composed", F.array_join("theme", " ").alias("theme"), F.md5(F.array_join("titles", "|")).alias("titles")), "description", "posts", "posts_composed")
+
+
 # --- web pages ---------------------------------------------------------------------------------------------------------------
 
 
+def _attributes(**values: Column | str) -> Column:
+    """Attributes of an element, by name (a _ stands for a -); values hold neither quotes nor ampersands."""
+    parts = [x for name, v in values.items() for x in (F.lit(f' {name.replace("_", "-")}="'), v if isinstance(v, Column) else F.col(v).cast("string"), F.lit('"'))]
+    return F.concat(*parts)
+
+
+def _pages(rows: DataFrame, key: str, order: str, element: Column, around: tuple[str, str] = ("<html><body><div class='list'>", "</div></body></html>")) -> DataFrame:
+    """A page (key, html) of the elements of each key, in order."""
+    listed = F.array_sort(F.collect_list(F.struct(F.col(order).alias("_o"), element.alias("_e"))))
+    return rows.groupBy(key).agg(F.concat(F.lit(around[0]), F.array_join(F.transform(listed, lambda x: x["_e"]), "\n<p>&nbsp;</p>"), F.lit(around[1])).alias("html"))
+
+
+@_query
+def html_communities(spark, d):
+    c = _t(spark, d, "customer").withColumn("page", F.col("c_nationkey") + 1)
+    shown = F.concat(F.floor(F.abs("c_acctbal")).cast("string"), F.lit(" members"))
+    e = F.concat(F.lit("<div"), _attributes(data_community_id="c_custkey", data_prefixed_name=F.concat(F.lit("r/"), "c_name"), data_subscribers_count=F.when(F.col("c_custkey") % 5 != 0, F.floor(F.abs("c_acctbal")).cast("string")).otherwise("none"), data_public_description_text="c_mktsegment", data_icon_url=F.concat(F.lit("https://i.example/"), F.col("c_custkey").cast("string"))), F.lit("><a"), _attributes(href=F.concat(F.lit("/r/"), "c_name", F.lit("/"))), F.lit("><b>open</b></a><h6> "), shown, F.lit(" </h6></div>"))
+    return html.communities(_pages(c, "page", "c_custkey", e)).select("page", "rank", "community_id", "name", "url", "displayed_count", "description", "icon_url", "subscribers_count")
+
+
+@_query
+def html_posts(spark, d):
+    o = _t(spark, d, "orders").select("o_custkey", "o_orderkey", F.concat(F.lit("Clerk "), F.col("o_custkey").cast("string")).alias("o_clerk"), "o_orderpriority", "o_orderstatus", F.floor("o_totalprice").cast("long").alias("price"))
+    title = F.concat(F.lit("Order "), F.col("o_orderkey").cast("string"), F.lit(" "), "o_orderpriority")
+    body = F.when(F.col("o_orderkey") % 3 == 0, F.concat(F.lit("<div slot='text-body'><p>short</p></div><p>General discussion of this and that</p><p>"), title, F.lit(" was placed by "), "o_clerk", F.lit("</p>"))).otherwise(F.lit("<p>r/somewhere else entirely, and more</p>"))
+    flair = F.when(F.col("o_orderstatus") == "F", F.concat(F.lit("<shreddit-post-flair><div class='flair-content'>"), "o_orderpriority", F.lit("</div></shreddit-post-flair>"))).otherwise("")
+    e = F.concat(F.lit("<shreddit-post"), _attributes(post_title=title, permalink=F.concat(F.lit("/r/x/comments/"), F.col("o_orderkey").cast("string"), F.lit("/t/")), score=F.concat((F.col("price") % 1000 / 10).cast("string"), F.lit("K")), comment_count=F.format_number(F.col("price"), 0), id=F.concat(F.lit("t3_"), F.col("o_orderkey").cast("string")), post_type="o_orderstatus", author="o_clerk"), F.when(F.col("o_orderkey") % 7 == 0, " promoted").otherwise(""), F.lit("><img src='https://i.example/"), F.col("o_orderkey").cast("string"), F.lit(".png'>"), flair, body, F.lit("</shreddit-post>"))
+    p = html.posts(_pages(o, "o_custkey", "o_orderkey", e), "https://h.example")
+    return p.select(F.col("o_custkey").alias("page"), "pos", "title", "permalink", "post_id", "post_type", "author", "content_preview", F.array_join("flair", "|").alias("flair"), "thumbnail_url", "is_promoted", "score", "comments")
+
+
+@_query
+def html_comments(spark, d):
+    c = _t(spark, d, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(F.max(F.struct("l_suppkey", F.floor("l_quantity").cast("int").alias("n"), "l_returnflag", F.col("l_shipdate").cast("date").cast("string").alias("at"))).alias("x"))
+    c = c.select("l_orderkey", "l_linenumber", F.concat(F.lit("ship "), F.col("x.l_suppkey").cast("string")).alias("l_shipmode"), "x.l_returnflag", "x.n", "x.at")
+    own, n = F.concat(F.lit("t1_"), F.col("l_orderkey").cast("string"), F.lit("_"), F.col("l_linenumber").cast("string")), F.col("l_linenumber")
+    e = F.concat(F.lit("<shreddit-comment"), _attributes(thingid=own, parentid=F.when(n > 1, F.concat(F.lit("t1_"), F.col("l_orderkey").cast("string"), F.lit("_"), (n - 1).cast("string"))).otherwise(""), depth=(n - 1).cast("string"), author="l_shipmode", score="n", award_count=(F.col("n") % 3).cast("string"), content_type="l_returnflag"), F.lit("><time"), _attributes(datetime="at"), F.lit("></time><span data-award-id='a1' data-count='2'>Gold</span><div id='"), own, F.lit("-post-rtjson-content'><p>Shipped <i>by</i> "), "l_shipmode", F.lit("</p></div></shreddit-comment>"))
+    x = html.comments(_pages(c, "l_orderkey", "l_linenumber", e), max_depth=4)
+    return x.select(F.col("l_orderkey").alias("page"), "pos", "id", "parent_id", "depth", "author", "score", "award_count", "content_type", "created_ts", F.col("text").alias("body"), F.transform("awards", lambda a: F.concat_ws(":", a["id"], a["count"], a["name"])).alias("awards")).withColumn("awards", F.array_join("awards", "|"))
+
+
+@_query
+def html_metadata(spark, d):
+    s = _t(spark, d, "supplier")
+    number, whole = F.col("s_suppkey").cast("string"), F.floor(F.abs("s_acctbal"))
+    rules = F.concat(F.lit("<div data-rule='1'"), _attributes(data_description=F.concat(F.lit("about "), number)), F.lit(">Be kind</div><span class='rule-title big'>Stay on topic</span>"))
+    head = F.when(F.col("s_suppkey") % 2 == 0, F.concat(F.lit("<shreddit-subreddit-header"), _attributes(description="s_name", subscribers=F.concat((whole / 10).cast("string"), F.lit("K")), active=F.format_number(whole, 0)), F.lit("></shreddit-subreddit-header>"))).otherwise(F.concat(F.lit("<meta name='description'"), _attributes(content=F.concat(F.lit("all about "), "s_name")), F.lit(">")))
+    pages = s.select("s_suppkey", F.concat(F.lit("<html><head><script>var a = 1;</script><title> "), "s_name", F.lit(" </title>"), head, F.lit("</head><body><h1>No "), number, F.lit("</h1>"), rules, F.lit("</body>")).alias("html"))
+    m = html.metadata(pages)
+    return m.select("s_suppkey", "title", "description", "subscribers", "online_users", F.array_join(F.transform("rules", lambda r: F.concat_ws(":", r["title"], r["description"])), "|").alias("rules"), "title_old")
+
+
+@_query
+def html_embedded_communities(spark, d):
+    c = _t(spark, d, "customer").select("c_nationkey", "c_custkey", F.struct(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), F.floor(F.abs("c_acctbal")).alias("subscribers"), F.when(F.col("c_custkey") % 3 > 0, F.col("c_mktsegment")).alias("description")).alias("c"))
+    state = F.to_json(F.struct(F.struct(F.array(F.struct(F.lit("x").alias("y"))).alias("other"), F.transform(F.array_sort(F.collect_list(F.struct("c_custkey", "c"))), lambda x: x["c"]).alias("communities")).alias("deep"), F.lit(1).alias("v")))
+    pages = c.groupBy("c_nationkey").agg(F.concat(F.lit("<html><script>window.s = "), state, F.lit(";</script><script>no json { here</script></html>")).alias("html"))
+    return html.embedded_communities(pages).select(F.col("c_nationkey").alias("page"), "pos", "community_id", "name", "subscribers_count", "description")
+
+
+@_query
+def html_post_details(spark, d):
+    o = _t(spark, d, "orders").select("o_orderkey", F.concat(F.lit("Clerk "), F.col("o_custkey").cast("string")).alias("o_clerk"), "o_orderpriority", "o_custkey")
+    n = F.col("o_orderkey").cast("string")
+    media = F.concat(F.lit("<img src='https://i.example/"), F.col("o_custkey").cast("string"), F.lit(".png'><img src='https://i.example/"), F.col("o_custkey").cast("string"), F.lit(".png'><img><video src='v"), n, F.lit(".mp4'></video>"), F.when(F.col("o_orderkey") % 2 == 0, "<iframe src='https://e.example'></iframe>").otherwise(""))
+    e = F.concat(F.lit("<shreddit-post"), _attributes(post_title=F.concat(F.lit("Order "), n), post_type="o_orderpriority"), F.lit("><div slot='text-body'><p>by</p><p>"), "o_clerk", F.lit("</p></div>"), media, F.lit("</shreddit-post>"))
+    p = html.post_details(o.select("o_orderkey", e.alias("html")))
+    return p.select("o_orderkey", "post_title", "text_body", F.element_at("attrs", "post_type").alias("post_type"), F.size("attrs").alias("attrs"), *[F.array_join(f"media_{k}", "|").alias(k) for k in ("images", "videos", "embeds")])
+
+
 @_query
 def page_parts(spark, d):
     return html.page_parts(_t(spark, d, "pages"))
@@ -742,4 +954,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return sql.build(CFG) | sql_measures.build(CFG)
+    return sql.build(CFG) | sql_measures.build(CFG) | sql_lists.build(CFG)

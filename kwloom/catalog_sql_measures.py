@@ -78,5 +78,4 @@ def build(cfg: KeywordConfig) -> dict[str, str]:
         "sampled_files": "SELECT name FROM (SELECT s_name AS name FROM supplier ORDER BY md5('13:' || s_name), s_name LIMIT 20)",
         "stratified_files": "WITH t AS (SELECT s_name AS name, CAST(ntile(3) OVER (ORDER BY s_name) AS INTEGER) AS third FROM supplier), r AS (SELECT *, row_number() OVER (PARTITION BY third ORDER BY md5('13:' || name), name) AS r FROM t) SELECT name, third FROM r WHERE r <= 5",
         "text_camel_split": "SELECT c_custkey, CASE WHEN upper(c_name) = c_name AND lower(c_name) <> c_name AND length(c_name) <= 5 THEN c_name ELSE array_to_string(list_filter(string_split(" + _marked("c_name") + ", '|'), lambda x: x <> ''), '|') END AS parts FROM customer",
-        "name_keywords": "WITH n AS (SELECT p_partkey AS doc_id, list_filter(string_split(p_name, ' '), lambda t: NOT " + core["stop"] + ") AS w FROM part), p AS (SELECT doc_id, array_to_string(w, ' ') AS phrase, w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) AS pairs FROM n), t AS (SELECT DISTINCT doc_id, phrase, unnest(list_distinct(list_concat([phrase], w, pairs))) AS term FROM p) SELECT doc_id, term, (CASE len(string_split(term, ' ')) WHEN 1 THEN 1.0 WHEN 2 THEN 1.5 ELSE 2.5 END * CASE WHEN term = phrase AND contains(term, ' ') THEN 2.0 ELSE 1.0 END)::DOUBLE AS score FROM t WHERE term <> ''",
     }

@@ -91,6 +91,9 @@ class KeywordConfig:
     drop_nonlatin_posts: bool = False
     max_nonascii_ratio: float = -1.0
     include_preview: bool = False
+    posts_stopwords: tuple[str, ...] = ()
+    posts_phrases: tuple[str, ...] = ()
+    frequent_words: tuple[str, ...] = ()
     compose_multiplier: float = 1.0
     compose_top_m: int = 20
     compose_unigrams: bool = False
@@ -117,3 +120,4 @@ class KeywordConfig:
     theme_penalty: float = 0.65
     embed_alpha: float = 0.35
     embed_k: int = 100
+    segment_by_counts: bool = False

@@ -1,10 +1,9 @@
-"""Text functions on columns. All are Catalyst expressions but `segment_word`."""
+"""Text functions on columns, all Catalyst expressions, and `segment`, which operators.segment applies to distinct words."""
 
 from __future__ import annotations
 
 from collections.abc import Iterable
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -32,16 +31,15 @@ def bounded(parts: Column) -> Column:
     return F.flatten(F.transform(parts, lambda s: F.concat(s, F.array(F.lit(None).cast("string")))))
 
 
-def is_stop(token: Column, stopwords: Iterable[str], min_len: int = 2, extra: Column | None = None) -> Column:
+def is_stop(token: Column, stopwords: Iterable[str], min_len: int = 2) -> Column:
     """Whether a token is no keyword: a stopword, digits, a year, or too short."""
-    stop = token.isin(list(stopwords)) | token.rlike(r"^\p{Nd}+$") | ((F.length(token) < min_len) & ~F.array_contains(strings(SHORT_WORDS), token))
-    return stop | F.array_contains(extra, token) if extra is not None else stop
+    return token.isin(list(stopwords)) | token.rlike(r"^\p{Nd}+$") | ((F.length(token) < min_len) & ~token.isin(SHORT_WORDS))
 
 
-def stop_filtered(words: Column, stopwords: Iterable[str], min_len: int = 2, extra: Column | None = None) -> Column:
+def stop_filtered(words: Column, stopwords: Iterable[str], min_len: int = 2) -> Column:
     """Tokens with a null (a boundary that no n-gram crosses) for each that is dropped."""
     stops = list(stopwords)
-    return F.transform(words, lambda t: F.when(t.isNull() | is_stop(t, stops, min_len, extra), F.lit(None).cast("string")).otherwise(t))
+    return F.transform(words, lambda t: F.when(t.isNull() | is_stop(t, stops, min_len), F.lit(None).cast("string")).otherwise(t))
 
 
 def ngrams(words: Column, n: int) -> Column:
@@ -231,11 +229,3 @@ def segment(word: str, suffixes: Iterable[str] = SUFFIXES) -> list[str]:
         parts = [word[:at], word[at:]]
     return [x for p in parts for x in (segment(p, suffixes) if p.isalpha() and len(p) > 10 else [p])]
 
-
-def segment_words(words: Column) -> Column:
-    """segment() for arrays of words, in Arrow batches: the recursion has no expression."""
-    @F.pandas_udf("array<string>")
-    def cut(batch: pd.Series) -> pd.Series:
-        return batch.map(lambda ws: None if ws is None else [x for w in ws for x in (segment(w) if w.islower() and len(w) >= 9 else [w])])
-
-    return cut(words)

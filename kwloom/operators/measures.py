@@ -51,6 +51,8 @@ def off_theme_terms(flagged: DataFrame, most: int = 40, per_length: int = 30) ->
     kinds = F.array(F.lit("all"), F.when(words == 1, "unigram").when(words == 2, "bigram").otherwise("trigram"))
     order = Window.partitionBy("kind").orderBy(F.desc("n"), "term")
     placed = n.select("term", "n", F.explode(kinds).alias("kind")).withColumn("place", F.row_number().over(order))
+    # the plain limit is one that Spark applies in each task before terms are dealt out by kind
+    placed = placed.filter(F.col("place") <= max(most, per_length))
     return placed.filter(F.col("place") <= F.when(F.col("kind") == "all", most).otherwise(per_length)).select("kind", "place", "term", "n")
 
 
@@ -67,17 +69,23 @@ def composed_seeds(keywords: DataFrame, anchors: DataFrame, key: str) -> DataFra
 
 def composed_statistics(seeded: DataFrame) -> DataFrame:
     """Counts, ranks and ratios of composed terms."""
-    return seeded.agg(
+    all_rows = seeded.agg(
         F.count("*").alias("n"), F.avg("rank").alias("mean_rank"), F.min("rank").alias("best_rank"), F.max("rank").alias("last_rank"),
-        F.count("ratio").alias("ratios"), F.avg("ratio").alias("mean_ratio"), F.percentile(F.round("ratio", 6), F.lit(0.5)).alias("median_ratio"), F.min("ratio").alias("least_ratio"), F.max("ratio").alias("most_ratio"),
-    )
+        F.count("ratio").alias("ratios"), F.avg("ratio").alias("mean_ratio"), F.min("ratio").alias("least_ratio"), F.max("ratio").alias("most_ratio"),
+    )
+    return all_rows.crossJoin(_median(seeded.select(F.round("ratio", 6).alias("ratio")), "ratio", "median_ratio"))  # one row each
+
+
+def _median(values: DataFrame, column: str, name: str) -> DataFrame:
+    """One row: the median, found without gathering the values in a task."""
+    return quality.quantile_linear(values, column, 0.5).withColumnRenamed("p50", name)
 
 
 def composition_rates(keywords: DataFrame, key: str, top: int = 10) -> DataFrame:
     """Over documents: mean and median share of composed terms in their best ones, and how many are over a half and over four fifths."""
     per = keywords.filter(F.col("rank") <= top).groupBy(key).agg(_rate(F.col("source").contains("composed")).alias("rate"))
     over = lambda x: F.sum((F.col("rate") > x).cast("long"))
-    return per.agg(F.count("*").alias("documents"), F.avg("rate").alias("mean"), F.percentile("rate", F.lit(0.5)).alias("median"), over(0.5).alias("over_half"), over(0.8).alias("over_four_fifths"))
+    return per.agg(F.count("*").alias("documents"), F.avg("rate").alias("mean"), over(0.5).alias("over_half"), over(0.8).alias("over_four_fifths")).crossJoin(_median(per, "rate", "median"))  # one row each
 
 
 def new_composed(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
@@ -129,8 +137,10 @@ def tail_ranks(keywords: DataFrame, first: int = 35, last: int = 60, width: int
     advert = F.lower("term").rlike("|".join(TAIL_ADVERTS))
     w = F.split("term", " ")
     flawed = advert | (F.size(F.array_distinct(w)) < F.size(w))
-    g = keywords.filter(F.col("rank").between(first, last)).groupBy(start.alias("from_rank"))
-    return g.agg(F.count("*").alias("n"), F.avg("score").alias("mean"), F.percentile("score", F.lit(0.5)).alias("median"), _rate(~flawed).alias("fine"))
+    rows = keywords.filter(F.col("rank").between(first, last)).withColumn("from_rank", start)
+    out = rows.groupBy("from_rank").agg(F.count("*").alias("n"), F.avg("score").alias("mean"), _rate(~flawed).alias("fine"))
+    medians = quality.quantile_linear(rows, "score", 0.5, by=("from_rank",)).withColumnRenamed("p50", "median")
+    return out.join(F.broadcast(medians), "from_rank", "left")  # a row a group of ranks
 
 
 def source_issues(keywords: DataFrame, top: int = 20) -> DataFrame:

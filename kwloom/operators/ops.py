@@ -24,27 +24,48 @@ def pending(targets: DataFrame, done: DataFrame) -> DataFrame:
     return targets.join(done.filter("error is null or error = ''").select("name"), "name", "left_anti")
 
 
-def leading_bytes(column: str) -> Column:
-    """A number that grows with a string's order: its first seven bytes."""
-    return F.conv(F.rpad(F.hex(F.substring(F.encode(F.coalesce(F.col(column).cast("string"), F.lit("")), "utf-8"), 1, 7)), 14, "0"), 16, 10).cast("long")
+def numbered(rows: DataFrame, order: list[str], name: str = "at", per_bin: int = 250_000, most: int = 4096) -> DataFrame:
+    """rows with their place (from 0) in `order`.
 
-
-def numbered(rows: DataFrame, by: Column, order: list[str], name: str = "at", bins: int = 256) -> DataFrame:
-    """rows with their place (from 0) in `order`; `by` is a number that doesn't fall in that order.
-
-    Rows are dealt to bins between approximate quantiles of `by`, which are counted, and numbered within each: no task sorts all rows (but for rows
-    of one `by`). The bins depend on values alone, so it doesn't matter how often or where they are computed.
+    Rows are dealt to bins of some `per_bin` rows (`most` bins at most), between cuts that are rows themselves: of those with the smallest hashes, some 64 a bin,
+    each so many-th in order. Bins are counted, and numbered each by itself, so no task sorts all rows, whatever the values have in common (but for rows alike in
+    all of `order`). Cuts depend on values alone, so it doesn't matter how often or where they are computed.
     """
-    cuts = rows.agg(F.percentile_approx(by, F.array(*[F.lit(i / bins) for i in range(1, bins)]), F.lit(10_000)).alias("_cuts"))
-    dealt = rows.crossJoin(F.broadcast(cuts)).withColumn("_bin", F.size(F.filter(F.coalesce("_cuts", F.array().cast("array<bigint>")), lambda c: c < by))).drop("_cuts")  # one row
+    dealt = binned(rows, order, per_bin, most)
     sizes = dealt.groupBy("_bin").agg(F.count("*").alias("_size"))
     before = sizes.select("_bin", (F.sum("_size").over(Window.orderBy("_bin")) - F.col("_size")).alias("_before"))  # a row a bin
     placed = dealt.withColumn("_i", F.row_number().over(Window.partitionBy("_bin").orderBy(*order)))
     return placed.join(F.broadcast(before), "_bin").withColumn(name, (F.col("_before") + F.col("_i") - 1).cast("long")).drop("_bin", "_i", "_before")
 
 
+def binned(rows: DataFrame, order: list[str], per_bin: int, most: int = 4096) -> DataFrame:
+    """rows with `_bin`, a number that grows with `order`: see numbered."""
+    place = F.struct(*order)
+    bins = F.least(F.lit(most), F.floor(F.col("_n") / per_bin) + 1).cast("int")
+    n = rows.agg(F.count("*").alias("_n"))
+    some = rows.select(*order).crossJoin(F.broadcast(n))  # one row
+    some = some.filter(F.xxhash64(*order) / F.lit(2.0**64) + 0.5 <= 64.0 * bins / F.col("_n")).select(place.alias("_p"), "_n").distinct()
+    cuts = some.agg(F.array_sort(F.collect_list("_p")).alias("_s"), F.max("_n").alias("_n"))
+    nth = F.transform(F.sequence(F.lit(1), F.greatest(bins - 1, F.lit(1))), lambda i: F.try_element_at("_s", F.ceil(i * F.size("_s") / bins).cast("int")))
+    cuts = cuts.select(F.when(bins > 1, nth).otherwise(F.slice("_s", 1, 0)).alias("_cuts"))
+    return rows.crossJoin(F.broadcast(cuts)).withColumn("_bin", _below("_cuts", place, most)).drop("_cuts")  # one row
+
+
+def _below(cuts: str, value: Column, most: int) -> Column:
+    """How many of the sorted cuts are less than the value, by halving; 0 without cuts."""
+    whole = F.struct(F.lit(0).alias("lo"), F.coalesce(F.size(cuts), F.lit(0)).alias("hi"))
+
+    def halve(s: Column, _: Column) -> Column:
+        mid = F.floor((s["lo"] + s["hi"]) / 2).cast("int")
+        less = F.coalesce(F.get(cuts, mid) < value, F.lit(False))
+        done = s["lo"] >= s["hi"]
+        return F.struct(F.when(~done & less, mid + 1).otherwise(s["lo"]).alias("lo"), F.when(~done & ~less, mid).otherwise(s["hi"]).alias("hi"))
+
+    return F.aggregate(F.sequence(F.lit(1), F.lit(most.bit_length())), whole, halve, lambda s: s["lo"])
+
+
 def _by_rank(targets: DataFrame) -> DataFrame:
-    return numbered(targets, F.col("rank"), ["rank", "name"], "_at")
+    return numbered(targets, ["rank", "name"], "_at")
 
 
 def split_interleaved(targets: DataFrame, workers: int) -> DataFrame:
@@ -103,7 +124,7 @@ def stratified_sample(files: DataFrame, column: str, per_third: int, seed: int =
     size, longer = F.floor(F.col("_n") / 3), F.col("_n") % 3
     first = longer * (size + 1)
     third = F.when(F.col("_at") < first, F.floor(F.col("_at") / (size + 1))).otherwise(longer + F.floor((F.col("_at") - first) / F.greatest(size, F.lit(1)))) + 1
-    thirds = numbered(files, leading_bytes(column), [column], "_at").crossJoin(F.broadcast(n)).withColumn("third", third.cast("int")).drop("_at", "_n")  # one row
+    thirds = numbered(files, [column], "_at").crossJoin(F.broadcast(n)).withColumn("third", third.cast("int")).drop("_at", "_n")  # one row
     order = Window.partitionBy("third").orderBy(_drawn(column, seed), column)
     return thirds.withColumn("_r", F.row_number().over(order)).filter(F.col("_r") <= per_third).drop("_r")
 

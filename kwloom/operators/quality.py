@@ -85,31 +85,34 @@ def quantile_floor(values: DataFrame, column: str, p: float) -> DataFrame:
     return at_places(values, column, {"value": F.least(F.floor(F.lit(p) * F.col("n")).cast("bigint"), F.col("n") - 1)}).filter("value is not null")
 
 
-def at_places(values: DataFrame, column: str, places: dict[str, Column], bins: int = 64) -> DataFrame:
-    """One row with the values at places (from 0, by the number n of values) of the sorted column; null without values.
+def at_places(values: DataFrame, column: str, places: dict[str, Column], bins: int = 64, by: tuple[str, ...] = ()) -> DataFrame:
+    """One row with the values at places (from 0, by the number n of values) of the sorted column; null without values. by: a row for each group, of a few.
 
     Values are dealt to bins between approximate quantiles and the bins counted; only bins that hold a place are sorted, each in a task of its own.
     """
-    v = values.select(F.col(column).alias("value")).filter("value is not null")
-    head = v.agg(F.count("*").alias("n"), F.percentile_approx("value", F.array(*[F.lit(i / bins) for i in range(1, bins)]), F.lit(10_000)).alias("cuts"))
-    runs = v.groupBy("value").agg(F.count("*").alias("c")).crossJoin(F.broadcast(head))  # one row
+    v = values.select(*by, F.col(column).alias("value")).filter("value is not null")
+    head = v.groupBy(*by).agg(F.count("*").alias("n"), F.percentile_approx("value", F.array(*[F.lit(i / bins) for i in range(1, bins)]), F.lit(10_000)).alias("cuts"))
+    runs = v.groupBy(*by, "value").agg(F.count("*").alias("c"))
+    runs = runs.join(F.broadcast(head), list(by)) if by else runs.crossJoin(F.broadcast(head))  # a row a group
     runs = runs.withColumn("bin", F.size(F.filter("cuts", lambda x: x < F.col("value")))).drop("cuts")
-    sizes = runs.groupBy("bin").agg(F.sum("c").alias("size"), F.first("n").alias("n"))
-    sizes = sizes.withColumn("before", F.sum("size").over(Window.orderBy("bin")) - F.col("size"))  # a row a bin
+    sizes = runs.groupBy(*by, "bin").agg(F.sum("c").alias("size"), F.first("n").alias("n"))
+    sizes = sizes.withColumn("before", F.sum("size").over(Window.partitionBy(*by).orderBy("bin")) - F.col("size"))  # a row a bin
     held = F.lit(False)
     for place in places.values():
         held = held | ((place >= F.col("before")) & (place < F.col("before") + F.col("size")))
-    some = runs.join(F.broadcast(sizes.filter(held).select("bin", "before")), "bin")
-    some = some.withColumn("to", F.col("before") + F.sum("c").over(Window.partitionBy("bin").orderBy("value")))
-    return some.agg(*[F.max(F.when((place < F.col("to")) & (place >= F.col("to") - F.col("c")), F.col("value"))).alias(name) for name, place in places.items()])
+    some = runs.join(F.broadcast(sizes.filter(held).select(*by, "bin", "before")), [*by, "bin"])
+    some = some.withColumn("to", F.col("before") + F.sum("c").over(Window.partitionBy(*by, "bin").orderBy("value")))
+    found = [F.max(F.when((place < F.col("to")) & (place >= F.col("to") - F.col("c")), F.col("value"))).alias(name) for name, place in places.items()]
+    return some.groupBy(*by).agg(*found, F.max("n").alias("n")) if by else some.agg(*found)
 
 
-def quantile_linear(values: DataFrame, column: str, *ps: float) -> DataFrame:
-    """One row: for each p the value at p * (n - 1) of the sorted column, between two neighbours in proportion."""
+def quantile_linear(values: DataFrame, column: str, *ps: float, by: tuple[str, ...] = ()) -> DataFrame:
+    """One row (by: a row a group): for each p the value at p * (n - 1) of the sorted column, between two neighbours in proportion."""
     spots = {f"{side}{i}": getattr(F, f)(F.lit(p) * (F.col("n") - 1)).cast("bigint") for i, p in enumerate(ps) for side, f in (("low", "floor"), ("high", "ceil"))}
-    found = at_places(values, column, spots).crossJoin(values.agg(F.count(column).alias("n")))  # one row each
+    found = at_places(values, column, spots, by=by)
+    found = found if by else found.crossJoin(values.agg(F.count(column).alias("n")))  # one row each
     part = lambda p: F.lit(p) * (F.col("n") - 1) - F.floor(F.lit(p) * (F.col("n") - 1))
-    return found.select(*[(F.col(f"low{i}") + (F.col(f"high{i}") - F.col(f"low{i}")) * part(p)).alias(f"p{round(100 * p)}") for i, p in enumerate(ps)])
+    return found.select(*by, *[(F.col(f"low{i}") + (F.col(f"high{i}") - F.col(f"low{i}")) * part(p)).alias(f"p{round(100 * p)}") for i, p in enumerate(ps)])
 
 
 def describe(values: DataFrame, column: str) -> DataFrame:
@@ -132,12 +135,42 @@ def rank_decay(keywords: DataFrame, step: int = 5) -> DataFrame:
     return by.select("rank", "n", "mean", (F.try_divide(m - F.lead("mean", step).over(order), m) * 100).alias("drop_ahead"), F.when(F.col("n") >= 10, F.try_divide(F.lag("mean", 1).over(order) - m, F.lag("mean", 1).over(order)) * 100).alias("drop_before"))
 
 
+def zipf(counts: DataFrame) -> DataFrame:
+    """(word, zipf) of (word, n): the decimal logarithm of a word's occurrences in 10**9 words."""
+    total = counts.agg(F.sum("n").alias("_all"))
+    return counts.crossJoin(F.broadcast(total)).select("word", F.log10(F.lit(1e9) * F.col("n") / F.col("_all")).alias("zipf"))  # one row
+
+
+def frequent_words(frequencies: DataFrame, threshold: float, kept: list[str]) -> list[str]:
+    """The words of frequencies(word, zipf) at or above a threshold, but those that are kept in any case.
+
+    Frequencies sum to one, so at most 10**(9 - threshold) words reach it: a list of proven size, refused where that could pass 10**6.
+    """
+    if threshold < 3:
+        raise ValueError("a threshold below 3 lets too many words through for a list")
+    return sorted(r.word for r in frequencies.filter((F.col("zipf") >= threshold) & ~F.col("word").isin(kept)).select("word").distinct().toLocalIterator())
+
+
+def generic_unigrams(keywords: DataFrame, frequencies: DataFrame, threshold: float, stopwords: list[str]) -> DataFrame:
+    """The rows of keywords with a flag `generic`: a single word that is a stopword or as frequent as the threshold; each distinct word meets the table once."""
+    low = F.lower(F.trim("term"))
+    words = keywords.select(low.alias("word")).filter((F.col("word") != "") & ~F.col("word").contains(" ")).distinct()
+    listed = words.join(frequencies.select("word", "zipf"), "word", "left").select("word", (F.col("word").isin(list(stopwords)) | F.coalesce(F.col("zipf") >= threshold, F.lit(False))).alias("generic"))
+    out = keywords.withColumn("_w", low).join(listed.filter("generic").withColumnRenamed("word", "_w"), "_w", "left").drop("_w")
+    return out.withColumn("generic", F.coalesce("generic", F.lit(False)))
+
+
 def variant_groups(keywords: DataFrame) -> DataFrame:
     """(dkey, variants): spellings that differ only by case, spaces or punctuation."""
     d = F.regexp_replace(F.lower("term"), "[^0-9a-z]+", "").alias("dkey")
     return keywords.groupBy(d).agg(F.array_sort(F.collect_set("term")).alias("variants")).filter("size(variants) > 1 and dkey <> ''")
 
 
+def first_rows(keywords: DataFrame, key: str, k: int) -> DataFrame:
+    """The first k rows of each document's list, by rank."""
+    return keywords.withColumn("_r", F.row_number().over(Window.partitionBy(key).orderBy("rank"))).filter(F.col("_r") <= k).drop("_r")
+
+
 def redundant_pairs(keywords: DataFrame, key: str, limit: float = 0.7) -> DataFrame:
     """Pairs of a document's keywords (ranked, so of a bounded list) of which one holds the other or most words are shared."""
     a = keywords.select(key, F.col("rank").alias("rank_a"), F.col("term").alias("a"))

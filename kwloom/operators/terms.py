@@ -93,11 +93,12 @@ def top_k_with(scored: DataFrame, key: str, k: int, phrases: DataFrame) -> DataF
     return kept.withColumn("rank", F.row_number().over(order)).drop("own", "own_at", "at", "phrase")
 
 
-def name_scores(names: DataFrame, key: str) -> DataFrame:
-    """(key, term, score) of (key, term, full): 1, 1.5 or 2.5 by the number of words; the full phrase gets it twice."""
+def name_scores(names: DataFrame, phrases: DataFrame, key: str) -> DataFrame:
+    """(key, term, score): 1, 1.5 or 2.5 for a term of names(key, term) by its words, and as much once more for the whole name, phrases(key, phrase), stopwords
+    and all, a name of one word too."""
     n = text.word_count(F.col("term"))
-    bonus = F.when(n >= 3, 2.5).when(n == 2, 1.5).otherwise(1.0)
-    return names.groupBy(key, "term").agg(F.max("full").alias("full")).select(key, "term", (bonus * F.when(F.col("full"), 2.0).otherwise(1.0)).alias("score"))
+    every = names.select(key, "term").distinct().unionByName(phrases.filter("phrase <> ''").select(key, F.col("phrase").alias("term")).distinct())
+    return every.groupBy(key, "term").agg(F.sum(F.when(n >= 3, 2.5).when(n == 2, 1.5).otherwise(1.0)).alias("score"))
 
 
 def merge_sources(sources: dict[str, tuple[DataFrame, float]], key: str) -> DataFrame:

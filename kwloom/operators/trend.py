@@ -17,6 +17,12 @@ def is_week_id(s: Column) -> Column:
     return s.rlike("^[0-9]{4}-W[0-9]{2}$")
 
 
+def snapshots(listing: DataFrame) -> DataFrame:
+    """(name, week, at): of folder names(name) those of weekly snapshots, a suffix of the time allowed, oldest first by week, then suffix."""
+    week = F.regexp_extract("name", r"^([0-9]{4}-W[0-9]{2})(?:_[0-9]{6})?$", 1)
+    return listing.select("name", week.alias("week"), F.regexp_extract("name", "_([0-9]{6})$", 1).alias("at")).filter(is_week_id(F.col("week")))
+
+
 def compare(before: DataFrame, after: DataFrame) -> DataFrame:
     """name, status, ranks, subscribers, their changes and growth of (name, rank, subscribers) in two snapshots.
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .ops import leading_bytes, numbered
+from .ops import numbered
 
 OVERWRITTEN = ["name", "url", "rank", "subscribers_count", "source_page", "source_path"]
 NON_EMPTY = ["full_url", "displayed_count", "description", "icon_url"]
@@ -31,7 +31,7 @@ def upsert_communities(old: DataFrame, new: DataFrame) -> DataFrame:
 
 def extend_dictionary(known: DataFrame, terms: DataFrame) -> DataFrame:
     """known(id, term) and new terms with ids that follow the highest, in the terms' order; a term keeps its id."""
-    new = numbered(terms.select("term").distinct().join(known, "term", "left_anti"), leading_bytes("term"), ["term"])
+    new = numbered(terms.select("term").distinct().join(known, "term", "left_anti"), ["term"])
     top = known.agg(F.coalesce(F.max("id"), F.lit(0)).alias("top"))
     return known.select("id", "term").unionByName(new.crossJoin(F.broadcast(top)).select((F.col("top") + F.col("at") + 1).cast("long").alias("id"), "term"))  # one row
 
@@ -71,7 +71,7 @@ def one_per_page(rows: DataFrame) -> DataFrame:
 def log_rows(loads: DataFrame, log: DataFrame) -> DataFrame:
     """Rows for the ingest log from loads(input_file, file_hash, processed_at, error): ids follow the log's highest in order of file; a load with an error says so."""
     top = log.agg(F.coalesce(F.max("id"), F.lit(0)).alias("_top"))
-    new = numbered(loads, leading_bytes("input_file"), ["input_file", "processed_at"], "_at").crossJoin(F.broadcast(top))  # one row
+    new = numbered(loads, ["input_file", "processed_at"], "_at").crossJoin(F.broadcast(top))  # one row
     bad = F.coalesce("error", F.lit("")) != ""
     return new.select((F.col("_top") + F.col("_at") + 1).cast("long").alias("id"), "input_file", "file_hash", "processed_at", F.when(bad, "error").otherwise("ok").alias("status"), F.when(bad, F.col("error")).alias("error"))
 
@@ -91,16 +91,3 @@ def integrity(communities: DataFrame, dictionary: DataFrame, links: DataFrame) -
     """One row of counts: the three tables' rows and the links without a community or keyword."""
     counts = communities.agg(F.count("*").alias("communities")).crossJoin(dictionary.agg(F.count("*").alias("keywords"))).crossJoin(links.agg(F.count("*").alias("links")))  # one row each
     return counts.crossJoin(orphans(links, communities, dictionary))
-
-
-def write_warehouse(tables: dict[str, DataFrame], path: str, rebuild: bool = False, dry_run: bool = False) -> dict[str, int]:
-    """Write each table as Parquet under path and return its rows: over what was there if rebuilding, else only where nothing is; a dry run writes nothing.
-
-    A table that was read from its own place must be checkpointed or written elsewhere first, as with any overwrite in Spark.
-    """
-    counts = {}
-    for name, table in tables.items():
-        if not dry_run:
-            table.write.mode("overwrite" if rebuild else "errorifexists").parquet(f"{path}/{name}")
-        counts[name] = (table.sparkSession.read.parquet(f"{path}/{name}") if not dry_run else table).count()
-    return counts

@@ -9,12 +9,12 @@ from pyspark.sql import functions as F
 
 from ..config import KeywordConfig
 from ..functions import scores, text
-from ..operators import terms
+from ..operators import segment, terms
 
 
 def description_terms(docs: DataFrame, key: str, cfg: KeywordConfig, extra: list[str] | None = None) -> DataFrame:
     """(key, term, n, tf, pos) of docs(key, text): n-grams within sentences, none across a stopword."""
-    words = text.stop_filtered(text.bounded(text.sentences(F.col("text"))), cfg.stopwords, cfg.min_token_len, text.strings(extra) if extra else None)
+    words = text.stop_filtered(text.bounded(text.sentences(F.col("text"))), [*cfg.stopwords, *cfg.frequent_words, *(extra or [])], cfg.min_token_len)
     return terms.term_frequency(terms.grams(terms.spread(docs), key, words, cfg.max_ngram), key)
 
 
@@ -33,21 +33,25 @@ def description_scores(docs: DataFrame, key: str, cfg: KeywordConfig, dynamic: b
 
 
 def usable_posts(posts: DataFrame, cfg: KeywordConfig) -> DataFrame:
-    """Posts that the gates let through: not promoted, and, where asked for, in Latin script and mostly ASCII."""
+    """Posts that the gates let through: not promoted, and, where asked for, in Latin script and mostly ASCII, their preview too where there is one."""
     out = posts.filter(~F.coalesce("is_promoted", F.lit(False))) if cfg.skip_promoted else posts
+    every = F.trim(F.concat_ws(" ", "text", "preview")) if "preview" in posts.columns else F.col("text")
     if cfg.drop_nonlatin_posts:
-        out = out.filter(~text.has_script(F.col("text")))
+        out = out.filter(~text.has_script(every))
     if cfg.max_nonascii_ratio >= 0:
-        out = out.filter(text.nonascii_ratio(F.col("text")) <= cfg.max_nonascii_ratio)
+        out = out.filter(text.nonascii_ratio(every) <= cfg.max_nonascii_ratio)
     return out
 
 
 def posts_terms(posts: DataFrame, key: str, cfg: KeywordConfig) -> DataFrame:
-    """(key, term, n, tf, weighted, pos) of posts(key, post, text, score, comments, age_days, is_promoted)."""
-    words = text.stop_filtered(text.tokens(F.col("text")), cfg.stopwords, cfg.min_token_len)
+    """(key, term, n, tf, weighted, pos) of posts(key, post, text, score, comments, age_days, is_promoted[, preview])."""
+    read = F.concat_ws(" ", "text", "preview") if cfg.include_preview and "preview" in posts.columns else F.col("text")
+    words = text.stop_filtered(text.tokens(read), [*cfg.stopwords, *cfg.frequent_words, *cfg.posts_stopwords], cfg.min_token_len)
     weight = scores.post_weight(F.col("age_days"), F.col("score"), F.col("comments"), cfg.halflife_days, cfg.engagement_alpha)
     p = usable_posts(terms.spread(posts), cfg).select(key, "post", weight.alias("w"), words.alias("_words"))
     p = p.select(key, "post", "w", F.explode(text.all_ngrams(F.col("_words"), cfg.max_ngram)).alias("g"))
+    if cfg.posts_phrases:
+        p = p.filter(~F.col("g.gram").isin(list(cfg.posts_phrases)))
     one = p.groupBy(key, "post", "w", F.col("g.gram").alias("term"), F.col("g.n").alias("n")).agg(F.count("*").alias("c"), F.min("g.pos").alias("pos"))
     return one.groupBy(key, "term", "n").agg(F.sum("c").alias("tf"), F.sum(F.col("c") * F.col("w")).alias("weighted"), F.min("pos").alias("pos"))
 
@@ -63,31 +67,38 @@ def posts_documents(tf: DataFrame, key: str) -> DataFrame:
     return tf.agg(F.countDistinct(key).alias("n"))
 
 
-def name_terms(names: DataFrame, key: str, cfg: KeywordConfig) -> DataFrame:
-    """(key, term, full) of names(key, name): the whole phrase, words, pairs, and what acronyms stand for."""
-    bare = F.regexp_replace(F.regexp_replace(F.trim(F.col("name")), "(?i)^r/+", ""), "/+$", "")
-    rough = F.filter(F.split(F.regexp_replace(bare, r"[_\-.\s]+", " "), " "), lambda t: t != "")
-    parts = F.flatten(F.transform(rough, text.camel_split))
-    cut = names.select(key, text.segment_words(parts).alias("parts")).select(key, F.transform("parts", F.lower).alias("parts"))
+def name_parts(names: DataFrame, key: str, counts: DataFrame | None = None) -> DataFrame:
+    """(key, parts) of names(key, name): a name's words in its own case, long lower-case ones cut further (by counts(word, n) where given).
+
+    Glued words are cut once each, however many names hold them.
+    """
+    rough = F.filter(F.split(F.regexp_replace(text.display_key(F.col("name")), r"[_\-.\s]+", " "), " "), lambda t: t != "")
+    parts = names.select(key, F.posexplode(F.flatten(F.transform(rough, text.camel_split))).alias("pos", "word"))
+    glued = F.col("word").rlike(f"^[a-z]{{{segment.SHORTEST},}}$")
+    cut = segment.segmented(parts.filter(glued).select("word"), counts)
+    whole = parts.join(cut, "word", "left").select(key, "pos", F.coalesce("parts", F.array("word")).alias("parts"))
+    return whole.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("pos", "parts"))).alias("p")).select(key, F.flatten(F.transform("p", lambda x: x["parts"])).alias("parts"))
+
+
+def name_terms(names: DataFrame, key: str, cfg: KeywordConfig, counts: DataFrame | None = None) -> DataFrame:
+    """(key, term, pos) of names(key, name): the phrase without stopwords, words, pairs, and what acronyms stand for, once each."""
+    cut = name_parts(names, key, counts).select(key, F.transform("parts", F.lower).alias("parts"))
     kept = F.filter(text.stop_filtered(F.col("parts"), cfg.stopwords, cfg.min_token_len), lambda t: t.isNotNull())
     c = cut.select(key, kept.alias("kept"), F.array_compact(F.transform("parts", text.expand)).alias("more"))
     pairs = F.when(F.size("kept") >= 2, F.zip_with(F.slice("kept", F.lit(1), F.greatest(F.size("kept") - 1, F.lit(0))), F.slice("kept", F.lit(2), F.greatest(F.size("kept") - 1, F.lit(0))), lambda a, b: F.concat_ws(" ", a, b))).otherwise(F.array().cast("array<string>"))
-    phrase = F.array_join("kept", " ")
-    every = F.array_distinct(F.filter(F.concat(F.array(phrase), "kept", pairs, "more"), lambda t: t != ""))
-    return c.select(key, phrase.alias("_phrase"), F.posexplode(every).alias("pos", "term")).select(key, "term", ((F.col("term") == F.col("_phrase")) & F.col("term").contains(" ")).alias("full"), "pos")
+    every = F.array_distinct(F.filter(F.concat(F.array(F.array_join("kept", " ")), "kept", pairs, "more"), lambda t: t != ""))
+    return c.select(key, F.posexplode(every).alias("pos", "term")).select(key, "term", "pos")
 
 
-def name_phrases(names: DataFrame, key: str) -> DataFrame:
+def name_phrases(names: DataFrame, key: str, counts: DataFrame | None = None) -> DataFrame:
     """(key, phrase, shown): all words of a name, stopwords too, in lower case and for display."""
-    bare = text.display_key(F.col("name"))
-    rough = F.filter(F.split(F.regexp_replace(bare, r"[_\-.\s]+", " "), " "), lambda t: t != "")
-    cut = names.select(key, text.segment_words(F.flatten(F.transform(rough, text.camel_split))).alias("parts"))
+    cut = name_parts(names, key, counts)
     return cut.select(key, F.lower(F.array_join("parts", " ")).alias("phrase"), F.array_join(F.transform("parts", text.display_word), " ").alias("shown"))
 
 
-def anchors(names: DataFrame, key: str, cfg: KeywordConfig) -> DataFrame:
+def anchors(names: DataFrame, key: str, cfg: KeywordConfig, counts: DataFrame | None = None) -> DataFrame:
     """(key, token, phrase, ckey) of names(key, name[, title]): the first longest single word, else the canonical key; the title's words; the canonical key."""
-    t = name_terms(names, key, cfg).filter(~F.col("term").contains(" ")).groupBy(key).agg(F.max_by("term", F.struct(F.length("term").alias("l"), (-F.col("pos")).alias("p"))).alias("token"))
+    t = name_terms(names, key, cfg, counts).filter(~F.col("term").contains(" ")).groupBy(key).agg(F.max_by("term", F.struct(F.length("term").alias("l"), (-F.col("pos")).alias("p"))).alias("token"))
     title = F.col("title") if "title" in names.columns else F.col("name")
     ckey = text.canonical_key(F.col("name"))
     return names.select(key, F.array_join(text.tokens(title), " ").alias("phrase"), ckey.alias("ckey")).join(t, key, "left").select(key, F.coalesce("token", F.nullif("ckey", F.lit(""))).alias("token"), "phrase", "ckey")
@@ -134,7 +145,8 @@ def sources(docs: DataFrame, posts: DataFrame, names: DataFrame, key: str, cfg:
     desc, tf = description_scores(docs, key, cfg, cfg.dynamic_common), posts_terms(posts, key, cfg)
     df, n = terms.document_frequency(tf, key), posts_documents(tf, key)
     post = posts_scores(posts, key, cfg, tf).select(key, "term", "n", "df", "score")
-    named, anchor = name_terms(names, key, cfg), anchors(names, key, cfg)
+    counts = segment.word_counts(docs.select(F.explode(text.tokens(F.col("text"))).alias("word"))) if cfg.segment_by_counts else None
+    named, anchor, whole = name_terms(names, key, cfg, counts), anchors(names, key, cfg, counts), name_phrases(names, key, counts)
     if cfg.anchor_generics:
         marked = post.crossJoin(F.broadcast(n.select(F.col("n").alias("_docs")))).withColumn("share", F.col("df") / F.col("_docs")).join(anchor.select(key, F.col("token").alias("anchor"), "phrase"), key, "left")
         post = terms.anchored_variants(marked.withColumn("anchor", F.coalesce("anchor", F.lit(""))), key, cfg)
@@ -143,8 +155,8 @@ def sources(docs: DataFrame, posts: DataFrame, names: DataFrame, key: str, cfg:
         seeds = terms.rerank_seeds(seeds, vectors, theme_vectors, key, cfg.seed_embed_alpha, cfg.seed_pool)
     composed = composed_scores(seeds, anchor, n, df, key, cfg)
     penalised = terms.theme_penalty(post, themes(desc, named, key, cfg), key, cfg.theme_penalty)
-    phrases = name_phrases(names, key).filter("phrase like '% %'").select(key, "phrase")
-    return {"description": desc, "name": terms.name_scores(named, key), "posts": penalised, "posts_composed": composed, "phrases": phrases}
+    phrases = whole.filter("phrase like '% %'").select(key, "phrase")
+    return {"description": desc, "name": terms.name_scores(named, whole, key), "posts": penalised, "posts_composed": composed, "phrases": phrases}
 
 
 def _merged(found: dict[str, DataFrame], which: list[str], key: str, cfg: KeywordConfig, vectors: DataFrame | None, theme_vectors: DataFrame | None) -> DataFrame:

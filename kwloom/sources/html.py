@@ -103,13 +103,17 @@ def extracted(pages: DataFrame, make: Callable[[Node], list[dict]], schema: str,
     def run(batches):
         from pyspark.sql.pandas.types import to_arrow_schema
 
-        arrow = to_arrow_schema(full)
+        fields = to_arrow_schema(found)
         for b in batches:
+            pages_of, at, rows = [], [], []
             for i, page in enumerate(b.column(html).to_pylist()):
-                keep = {f.name: b.column(f.name)[i].as_py() for f in own.fields}
-                rows = [keep | {"pos": k} | {n: r.get(n) for n in names} for k, r in enumerate(make(parse(page)))]
-                if rows:
-                    yield pa.RecordBatch.from_pylist(rows, schema=arrow)
+                for k, r in enumerate(make(parse(page))):
+                    pages_of.append(i)
+                    at.append(k)
+                    rows.append({n: r.get(n) for n in names})
+            if rows:
+                which, made = pa.array(pages_of, pa.int64()), pa.RecordBatch.from_pylist(rows, schema=fields)
+                yield pa.RecordBatch.from_arrays([*[b.column(f.name).take(which) for f in own.fields], pa.array(at, pa.int32()), *made.columns], [f.name for f in full.fields])
 
     return pages.mapInArrow(run, full)
 

@@ -26,16 +26,25 @@ def test_numbers_follow_the_order_whatever_the_ties(spark):
     r = random.Random(2)
     rows = [(r.choice([1, 2, 10**12]), f"é{r.randint(0, 10**6)}x{i}") for i in range(500)]
     df = spark.createDataFrame(rows, "rank bigint, name string").repartition(7)
-    got = {(x["rank"], x["name"]): x["at"] for x in ops.numbered(df, F.col("rank"), ["rank", "name"]).collect()}
+    got = {(x["rank"], x["name"]): x["at"] for x in ops.numbered(df, ["rank", "name"], per_bin=40).collect()}
     assert got == {k: i for i, k in enumerate(sorted(rows))}
-    names = {x["name"]: x["at"] for x in ops.numbered(df, ops.leading_bytes("name"), ["name"]).collect()}
+    names = {x["name"]: x["at"] for x in ops.numbered(df, ["name"]).collect()}
     assert names == {n: i for i, n in enumerate(sorted(n for _, n in rows))}
-    assert ops.numbered(df.limit(0), F.col("rank"), ["rank"]).count() == 0
+    assert ops.numbered(df.limit(0), ["rank"]).count() == 0
     known = spark.createDataFrame([(7, "b")], "id bigint, term string")
     ids = {x.term: x.id for x in warehouse.extend_dictionary(known, spark.createDataFrame([("c",), ("a",), ("b",), ("a",)], "term string")).collect()}
     assert ids == {"b": 7, "a": 8, "c": 9}
 
 
+def test_no_task_numbers_names_of_one_prefix_alone(spark):
+    """Names that begin alike, and rows without a rank, are dealt to bins of like size."""
+    df = spark.range(20_000).selectExpr("1000000000000 rank", "concat('https://example.org/communities/', lpad(id, 9, '0')) name")
+    out = ops.numbered(df, ["rank", "name"], per_bin=1000)
+    assert [r["at"] for r in out.orderBy("name").collect()] == list(range(20_000))
+    bins = ops.binned(df, ["rank", "name"], 1000).groupBy("_bin").count().collect()
+    assert len(bins) > 15 and max(r["count"] for r in bins) < 2500
+
+
 def test_display_forms(spark):
     row = spark.createDataFrame([("r/CX5owners/", "cx5owners oil", "mazda cx 5 oil change")], "name string, a string, b string")
     key, shown = text.canonical_key(F.col("name")), text.display_key(F.col("name"))
