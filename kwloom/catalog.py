@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from . import catalog_sql as sql
 from . import catalog_sql_lists as sql_lists
 from . import catalog_sql_measures as sql_measures
+from . import catalog_sql_plan as sql_plan
 from .config import SHORT_WORDS, KeywordConfig
 from .functions import scores, text
 from .operators import clean, measures, ops, quality, redundancy, reports, segment, subjects, terms, trend, warehouse, wordlists
@@ -47,7 +48,7 @@ def _posts(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _names(spark: SparkSession, d: str) -> DataFrame:
-    return _t(spark, d, "part").select(F.col("p_partkey").alias("doc_id"), F.col("p_name").alias("name"))
+    return _t(spark, d, "part").select(F.col("p_partkey").alias("doc_id"), F.col("p_name").alias("name"), F.when(F.col("p_partkey") % 2 == 0, F.concat("p_name", F.lit("!"))).alias("title"))
 
 
 def _round6(c) -> Column:
@@ -727,6 +728,14 @@ def communities_with_posts(spark, d):
     return measures.requiring(docs, front).withColumn("cached", F.lit(False)).unionByName(measures.missing_from(docs, front).withColumn("cached", F.lit(True)))
 
 
+@_query
+def communities_frontpages(spark, d):
+    """Communities whose name, address or folder leads to a front page."""
+    c = _t(spark, d, "customer").select(F.col("c_custkey").alias("doc_id"), F.when(F.col("c_custkey") % 3 == 0, F.concat(F.lit("r/C"), "c_custkey")).otherwise(F.concat(F.lit("C"), "c_custkey")).alias("name"), F.when(F.col("c_custkey") % 2 == 0, F.concat(F.lit("https://x.example/r/Other"), "c_custkey", F.lit("/"))).alias("url"))
+    front = _t(spark, d, "supplier").select(F.explode(F.array(F.concat(F.lit("c"), F.col("s_suppkey") * 2), F.concat(F.lit("other"), F.col("s_suppkey") * 4))).alias("key"))
+    return measures.frontpage_of(c, front, "doc_id")
+
+
 @_query
 def available_targets(spark, d):
     return measures.available(ops.best_ranks(_targets(spark, d)), _results(spark, d).filter("error = ''").select(F.lower("name").alias("name")))
@@ -861,7 +870,7 @@ def subject_compositions(spark, d):
 @_query
 def community_inspection(spark, d):
     k = _mixed(spark, d)
-    c = _names(spark, d).withColumn("url", F.concat(F.lit("/r/C"), "doc_id", F.lit("x/")))
+    c = _names(spark, d).drop("title").withColumn("url", F.concat(F.lit("/r/C"), "doc_id", F.lit("x/")))
     i = lookup.inspect(k, c, _posts(spark, d), "doc_id", 10, 3, 4).filter("terms is not null")
     return _rounded(i.select("doc_id", F.array_join(F.transform("terms", lambda x: x["term"]), "|").alias("terms"), "description", "posts", "posts_composed", F.array_join("theme", " ").alias("theme"), F.md5(F.array_join("titles", "|")).alias("titles")), "description", "posts", "posts_composed")
 
@@ -954,4 +963,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return sql.build(CFG) | sql_measures.build(CFG) | sql_lists.build(CFG)
+    return sql.build(CFG) | sql_measures.build(CFG) | sql_lists.build(CFG) | sql_plan.build(CFG)

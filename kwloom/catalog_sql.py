@@ -214,7 +214,7 @@ def build(cfg: KeywordConfig) -> dict[str, str]:
             y AS (SELECT *, max(CASE WHEN own THEN place END) OVER (PARTITION BY doc_id) AS own_at FROM x)
             SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, term) AS INTEGER) AS rank, term, score FROM y WHERE coalesce(own, false) OR place <= CASE WHEN own_at > 10 THEN 9 ELSE 10 END""",
         "core_and_extended": keywords + f" SELECT doc_id, rank, term FROM k e WHERE rank >= 5 AND NOT EXISTS (SELECT 1 FROM k c WHERE c.rank <= 8 AND c.doc_id = e.doc_id AND {_key('c.term')} = {_key('e.term')})",
-        "theme_penalised": keywords + f", {theme('rank <= 12')} SELECT k.doc_id, rank, term, round(CASE WHEN len(theme) > 0 AND NOT list_has_any(string_split(term, ' '), theme) THEN score * 0.65::DOUBLE ELSE score END, 6) AS score FROM k LEFT JOIN th USING (doc_id)",
+        "theme_penalised": keywords + f", {theme('rank <= 12')}, zz AS MATERIALIZED (SELECT k.doc_id, rank, term, round(CASE WHEN len(theme) > 0 AND NOT list_has_any(string_split(term, ' '), theme) THEN score * 0.65::DOUBLE ELSE score END, 6) AS score FROM k LEFT JOIN th USING (doc_id)) SELECT * FROM zz",
         "anchored_keywords": keywords + f""", v AS (SELECT doc_id, 'f o o ' || term AS term, score * {cfg.anchor_multiplier}::DOUBLE AS score FROM k WHERE len(string_split(term, ' ')) <= 2 AND rank / 100 >= {cfg.anchor_generic_ratio} AND NOT contains(' ' || term || ' ', ' foo '))
             SELECT doc_id, term, round(score, 6) AS score FROM k UNION ALL SELECT doc_id, term, round(score, 6) FROM v WHERE NOT EXISTS (SELECT 1 FROM k WHERE k.doc_id = v.doc_id AND k.term = v.term)""",
         "vector_similarity": f"SELECT a.vec_id, round({cosine('a.embedding', 'b.embedding')}, 6) AS cosine FROM embeddings a JOIN embeddings b ON b.vec_id = a.vec_id + 1",
@@ -246,7 +246,7 @@ def build(cfg: KeywordConfig) -> dict[str, str]:
         "threshold_retention": keywords + ", per AS (SELECT t AS threshold, doc_id, count(*) FILTER (WHERE score >= t) AS kept, count(*) AS n FROM k, (SELECT unnest([2, 5, 8, 12, 20])::DOUBLE AS t) GROUP BY ALL) SELECT threshold, CAST(sum(kept) AS BIGINT) AS kept, round(sum(kept) / sum(n), 6) AS share, round(avg(kept), 6) AS mean_kept, round(quantile_cont(kept, 0.5), 6) AS median_kept FROM per GROUP BY 1",
         "rank_decay": keywords + ", m AS (SELECT rank, count(*) AS n, avg(score) AS mean FROM k GROUP BY 1) SELECT rank, n, round(mean, 6) AS mean, round((mean - lead(mean, 5) OVER o) / mean * 100, 6) AS drop_ahead, CASE WHEN n >= 10 THEN round((lag(mean, 1) OVER o - mean) / lag(mean, 1) OVER o * 100, 6) END AS drop_before FROM m WINDOW o AS (ORDER BY rank)",
         "variant_groups": "WITH e AS (SELECT DISTINCT unnest(regexp_split_to_array(text, '\\s+')) AS term FROM documents), g AS (SELECT regexp_replace(lower(term), '[^0-9a-z]+', '', 'g') AS dkey, list_sort(list(term)) AS v FROM e GROUP BY 1) SELECT dkey, CAST(len(v) AS INTEGER) AS n, md5(array_to_string(v, ' ')) AS digest FROM g WHERE len(v) > 1 AND dkey <> ''",
-        "redundant_pairs": keywords + ", rj AS (SELECT a.doc_id, a.rank AS rank_a, a.term AS a, b.rank AS rank_b, b.term AS b FROM k a JOIN k b ON a.doc_id = b.doc_id AND a.rank < b.rank), c AS (SELECT *, CASE WHEN contains(a, b) OR contains(b, a) THEN 'substring' WHEN len(list_intersect(string_split(a, ' '), string_split(b, ' '))) / len(list_distinct(list_concat(string_split(a, ' '), string_split(b, ' ')))) >= 0.7 THEN 'overlap' END AS kind FROM rj) SELECT * FROM c WHERE kind IS NOT NULL",
+        "redundant_pairs": keywords + ", rj AS MATERIALIZED (SELECT a.doc_id, a.rank AS rank_a, a.term AS a, b.rank AS rank_b, b.term AS b FROM k a JOIN k b ON a.doc_id = b.doc_id AND a.rank < b.rank), c AS MATERIALIZED (SELECT *, CASE WHEN contains(a, b) OR contains(b, a) THEN 'substring' WHEN len(list_intersect(string_split(a, ' '), string_split(b, ' '))) / len(list_distinct(list_concat(string_split(a, ' '), string_split(b, ' ')))) >= 0.7 THEN 'overlap' END AS kind FROM rj) SELECT * FROM c WHERE kind IS NOT NULL",
         "source_mix": keywords + " SELECT source, count(*) AS n, round(avg(score), 6) AS mean, contains(source, '+') AS several FROM k GROUP BY source",
         "tier_issues": keywords + f" SELECT CASE WHEN score >= 50 THEN '50+' WHEN score >= 20 THEN '20-50' WHEN score >= 10 THEN '10-20' WHEN score >= 5 THEN '5-10' ELSE '0-5' END AS tier, count(*) AS n, {share(_issue('term'))} AS issues FROM k GROUP BY 1",
         "dominant_words": keywords + ", dw AS (SELECT doc_id, word, count(*) AS n FROM (SELECT doc_id, unnest(string_split(lower(term), ' ')) AS word FROM k) GROUP BY ALL), s AS (SELECT *, n / sum(n) OVER (PARTITION BY doc_id) AS share FROM dw) SELECT doc_id, word, n, round(share, 6) AS share FROM s WHERE share > 0.1",

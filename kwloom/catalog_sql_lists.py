@@ -114,6 +114,9 @@ def build(cfg: KeywordConfig) -> dict[str, str]:
               UNION ALL SELECT l_suppkey, p_brand, score, 'two', 2, 2, row_number() OVER (PARTITION BY l_suppkey ORDER BY f, l_partkey) FROM x WHERE l_partkey % 3 > 0
               UNION ALL SELECT l_suppkey, p_name, score, 'two', 3, 2, row_number() OVER (PARTITION BY l_suppkey ORDER BY f, l_partkey) FROM x WHERE l_partkey % 6 = 1)
             SELECT l_suppkey::VARCHAR AS community_id, term, CAST(rank AS INTEGER) AS rank, score, source, version::BIGINT AS version FROM e QUALIFY row_number() OVER (PARTITION BY l_suppkey, term ORDER BY o DESC, rank DESC) = 1""",
+        "communities_frontpages": """WITH c AS (SELECT c_custkey AS doc_id, CASE WHEN c_custkey % 3 = 0 THEN 'c' || c_custkey WHEN c_custkey % 2 = 0 THEN 'other' || c_custkey ELSE 'c' || c_custkey END AS a, 'c' || c_custkey AS b FROM customer),
+            f AS (SELECT DISTINCT unnest(['c' || (s_suppkey * 2), 'other' || (s_suppkey * 4)]) AS key FROM supplier)
+            SELECT doc_id, CASE WHEN a IN (SELECT key FROM f) THEN a ELSE b END AS front_key FROM c WHERE a IN (SELECT key FROM f) OR b IN (SELECT key FROM f)""",
         "segmented_words": GLUED + " SELECT word, array_to_string(parts, ' ') AS parts FROM sg",
         "glued_name_keywords": GLUED + ", nn AS (SELECT doc_id, parts FROM gl JOIN sg ON sg.word = gl.name), " + _names("nn", stop),
         "name_keywords": "WITH nn AS (SELECT p_partkey AS doc_id, string_split(p_name, ' ') AS parts FROM part), " + _names("nn", stop),

@@ -26,7 +26,7 @@ def build(cfg: KeywordConfig) -> dict[str, str]:
     seeded = keywords + """, an AS (SELECT doc_id, term AS phrase, string_split(term, ' ')[1] AS token FROM k WHERE rank = 1),
         mk AS (SELECT doc_id, rank + 100 AS rank, CASE WHEN rank % 2 = 0 THEN phrase ELSE token END || ' ' || term AS term, score * 2.5::DOUBLE + rank AS score FROM k JOIN an USING (doc_id) WHERE rank > 1 AND length(term) % 2 = 1),
         sd AS (SELECT mk.*, CASE WHEN starts_with(term, phrase || ' ') THEN substring(term, length(phrase) + 2) WHEN starts_with(term, token || ' ') THEN substring(term, length(token) + 2) END AS seed FROM mk JOIN an USING (doc_id)),
-        se AS (SELECT sd.doc_id, sd.rank, sd.term, seed, k.score AS seed_score, CASE WHEN k.score > 0 THEN sd.score / k.score END AS ratio FROM sd LEFT JOIN k ON k.doc_id = sd.doc_id AND k.term = seed)"""
+        se AS MATERIALIZED (SELECT sd.doc_id, sd.rank, sd.term, seed, k.score AS seed_score, CASE WHEN k.score > 0 THEN sd.score / k.score END AS ratio FROM sd LEFT JOIN k ON k.doc_id = sd.doc_id AND k.term = seed)"""
     rate = lambda test: f"avg(CASE WHEN {test} THEN 1.0::DOUBLE ELSE 0 END)"
     bad = f"({_repeats('term')} OR {_mechanical('term')})"
     holds = lambda c, ws: "(" + " OR ".join(f"contains({c}, '{w}')" for w in ws) + ")"

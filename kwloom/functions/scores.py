@@ -39,7 +39,7 @@ def cosine(a: Column, b: Column) -> Column:
 
 
 def anchor_factor(phrase_df: Column, token_df: Column, n: Column, power: float, mode: str, alpha: float, floor: float, cap: float, multiplier: float) -> Column:
-    """How much a seed gains by an anchor: a fraction, or blended with the anchor's damped IDF; capped, then floored."""
+    """How much a seed gains by an anchor: a fraction, or blended with the anchor's damped IDF; capped, then floored. A null frequency is that of no anchor."""
     if mode == "fraction":
         base = F.lit(float(multiplier))
     else:

@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import text
 from . import quality
 
 # Words that lists should not hold, by category, and words of adverts in list tails.
@@ -203,6 +204,16 @@ def with_page(keywords: DataFrame, pages: DataFrame, key: str) -> DataFrame:
     return keywords.join(pages, key, "left")
 
 
+def frontpage_of(communities: DataFrame, front: DataFrame, key: str) -> DataFrame:
+    """(key, front_key): the front page of each of communities(key, name, url) that has one among front(key), by its canonical key, else by its name's folder."""
+    canonical = text.community_key(F.col("name"), F.col("url"))
+    folder = F.lower(text.crawl_name(F.coalesce("name", F.lit(""))))
+    ways = F.array(F.struct(F.lit(0).alias("way"), F.when(canonical != "", canonical).otherwise(text.canonical_key(F.col("name"))).alias("front_key")), F.struct(F.lit(1).alias("way"), folder.alias("front_key")))
+    asked = communities.select(F.col(key).alias("_c"), F.explode(ways).alias("w")).select("_c", "w.way", "w.front_key").filter("front_key <> ''")
+    found = asked.join(front.select(F.lower("key").alias("front_key")).distinct(), "front_key")
+    return found.groupBy("_c").agg(F.min_by("front_key", "way").alias("front_key")).withColumnRenamed("_c", key)
+
+
 def requiring(communities: DataFrame, front: DataFrame, key: str = "key") -> DataFrame:
     """Communities that have a front page, by canonical key."""
     return communities.join(front.select(key), key, "left_semi")
@@ -224,15 +235,23 @@ def top_posts(posts: DataFrame, key: str, k: int) -> DataFrame:
     return posts.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= k)
 
 
-def source_posts(phrases: DataFrame, posts: DataFrame, key: str, share: float = 0.6, most: int = 2) -> DataFrame:
-    """(key, term, post, overlap): of each phrase's community the posts whose text holds most of its distinct words, the best `most`; ties by post."""
+def source_posts(phrases: DataFrame, posts: DataFrame, key: str, share: float = 0.6, most: int = 2, any_word: bool = False) -> DataFrame:
+    """(key, term, post, overlap): of each phrase's community the posts whose text holds most of its distinct words, the best `most`; ties by post.
+
+    any_word: a phrase without such a post gets those that hold any word of it.
+    """
     words = F.array_distinct(F.split(F.lower("term"), " "))
     p = phrases.select(key, "term", words.alias("w"))
     j = p.join(posts.select(key, "post", F.lower("text").alias("text")), key)
     hit = F.size(F.filter("w", lambda x: F.col("text").contains(x))) / F.size("w")
     order = Window.partitionBy(key, "term").orderBy(F.desc("overlap"), "post")
-    j = j.select(key, "term", "post", hit.alias("overlap")).filter(F.col("overlap") >= share)
-    return j.withColumn("_r", F.row_number().over(order)).filter(F.col("_r") <= most).drop("_r")
+    # the best of a phrase come first, so whether any reaches the share shows in what is kept
+    j = j.select(key, "term", "post", hit.alias("overlap")).filter(F.col("overlap") > 0 if any_word else F.col("overlap") >= share)
+    j = j.withColumn("_r", F.row_number().over(order)).filter(F.col("_r") <= most).drop("_r")
+    if any_word:
+        best = F.max("overlap").over(Window.partitionBy(key, "term"))
+        j = j.withColumn("_b", best).filter((F.col("overlap") >= share) | (F.col("_b") < share)).drop("_b")
+    return j
 
 
 def comment_tree(comments: DataFrame) -> DataFrame:

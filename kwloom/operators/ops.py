@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 NO_RANK = 10**12
 
 
-def best_ranks(rows: DataFrame) -> DataFrame:
-    """(name, rank) with each name's smallest rank; without any it sorts last."""
+def best_ranks(rows: DataFrame, ranked_only: bool = False) -> DataFrame:
+    """(name, rank) with each name's smallest rank; without any it sorts last, or is left out."""
+    rows = rows.filter(F.col("rank").try_cast("long").isNotNull()) if ranked_only else rows
     return rows.groupBy(F.lower("name").alias("name")).agg(F.min(F.coalesce(F.col("rank").cast("long"), F.lit(NO_RANK))).alias("rank"))
 
 

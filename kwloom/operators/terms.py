@@ -13,13 +13,12 @@ from ..config import KeywordConfig
 from ..functions import scores, text
 
 
-def spread(docs: DataFrame) -> DataFrame:
-    """The rows, dealt to all cores if so few bytes that the files alone might not occupy them; larger tables stay as they are read."""
-    spark = docs.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    per_task = int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
-    size = int(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    return docs.repartition(cores) if size < cores * per_task else docs
+def together(docs: DataFrame, key: str) -> DataFrame:
+    """The rows dealt out by key, before their texts become many terms: what is counted by key and term afterwards needs no shuffle of the terms.
+
+    To as many partitions as shuffles have: few bytes of text become many of terms, so they are not to be put together by their size.
+    """
+    return docs.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), F.col(key))
 
 
 def grams(docs: DataFrame, key: str, words: Column, max_n: int) -> DataFrame:
@@ -27,7 +26,7 @@ def grams(docs: DataFrame, key: str, words: Column, max_n: int) -> DataFrame:
 
     The words are a column of their own first: the n-grams' expressions look at it once for each place.
     """
-    w = docs.select(key, words.alias("_words"))
+    w = together(docs, key).select(key, words.alias("_words"))
     return w.select(key, F.explode(text.all_ngrams(F.col("_words"), max_n)).alias("g")).select(key, "g.gram", "g.n", "g.pos")
 
 

@@ -15,7 +15,7 @@ from ..operators import segment, terms
 def description_terms(docs: DataFrame, key: str, cfg: KeywordConfig, extra: list[str] | None = None) -> DataFrame:
     """(key, term, n, tf, pos) of docs(key, text): n-grams within sentences, none across a stopword."""
     words = text.stop_filtered(text.bounded(text.sentences(F.col("text"))), [*cfg.stopwords, *cfg.frequent_words, *(extra or [])], cfg.min_token_len)
-    return terms.term_frequency(terms.grams(terms.spread(docs), key, words, cfg.max_ngram), key)
+    return terms.term_frequency(terms.grams(docs.select(key, "text"), key, words, cfg.max_ngram), key)
 
 
 def description_scores(docs: DataFrame, key: str, cfg: KeywordConfig, dynamic: bool = False) -> DataFrame:
@@ -48,7 +48,7 @@ def posts_terms(posts: DataFrame, key: str, cfg: KeywordConfig) -> DataFrame:
     read = F.concat_ws(" ", "text", "preview") if cfg.include_preview and "preview" in posts.columns else F.col("text")
     words = text.stop_filtered(text.tokens(read), [*cfg.stopwords, *cfg.frequent_words, *cfg.posts_stopwords], cfg.min_token_len)
     weight = scores.post_weight(F.col("age_days"), F.col("score"), F.col("comments"), cfg.halflife_days, cfg.engagement_alpha)
-    p = usable_posts(terms.spread(posts), cfg).select(key, "post", weight.alias("w"), words.alias("_words"))
+    p = terms.together(usable_posts(posts, cfg), key).select(key, "post", weight.alias("w"), words.alias("_words"))
     p = p.select(key, "post", "w", F.explode(text.all_ngrams(F.col("_words"), cfg.max_ngram)).alias("g"))
     if cfg.posts_phrases:
         p = p.filter(~F.col("g.gram").isin(list(cfg.posts_phrases)))
@@ -97,9 +97,10 @@ def name_phrases(names: DataFrame, key: str, counts: DataFrame | None = None) ->
 
 
 def anchors(names: DataFrame, key: str, cfg: KeywordConfig, counts: DataFrame | None = None) -> DataFrame:
-    """(key, token, phrase, ckey) of names(key, name[, title]): the first longest single word, else the canonical key; the title's words; the canonical key."""
+    """(key, token, phrase, ckey) of names(key, name[, title]): the first longest single word, else the canonical key; the title's words, empty without one; the
+    canonical key."""
     t = name_terms(names, key, cfg, counts).filter(~F.col("term").contains(" ")).groupBy(key).agg(F.max_by("term", F.struct(F.length("term").alias("l"), (-F.col("pos")).alias("p"))).alias("token"))
-    title = F.col("title") if "title" in names.columns else F.col("name")
+    title = F.col("title") if "title" in names.columns else F.lit("")
     ckey = text.canonical_key(F.col("name"))
     return names.select(key, F.array_join(text.tokens(title), " ").alias("phrase"), ckey.alias("ckey")).join(t, key, "left").select(key, F.coalesce("token", F.nullif("ckey", F.lit(""))).alias("token"), "phrase", "ckey")
 
@@ -109,7 +110,8 @@ def composed_scores(seeds: DataFrame, anchor: DataFrame, n_docs: DataFrame, df:
     a = anchor.select(key, "phrase", F.col("ckey").alias("token"))
     a = a.join(df.select(F.col("term").alias("phrase"), F.col("df").alias("phrase_df")), "phrase", "left").join(df.select(F.col("term").alias("token"), F.col("df").alias("token_df")), "token", "left")
     a = a.crossJoin(F.broadcast(n_docs.select(F.greatest(F.col(n_docs.columns[0]), F.lit(1)).alias("_docs"))))
-    factor = scores.anchor_factor(F.coalesce("phrase_df", F.lit(0)), F.coalesce("token_df", F.lit(0)), F.col("_docs"), cfg.posts_idf_power, cfg.compose_mode, cfg.compose_alpha, cfg.compose_floor, cfg.compose_cap, cfg.compose_multiplier)
+    of = lambda c: F.when(F.coalesce(c, F.lit("")) != "", F.coalesce(f"{c}_df", F.lit(0)))
+    factor = scores.anchor_factor(of("phrase"), of("token"), F.col("_docs"), cfg.posts_idf_power, cfg.compose_mode, cfg.compose_alpha, cfg.compose_floor, cfg.compose_cap, cfg.compose_multiplier)
     a = a.select(key, "token", "phrase", factor.alias("factor"))
     return terms.compose(seeds.join(a, key), key, cfg)
 
@@ -172,10 +174,10 @@ def keywords(docs: DataFrame, posts: DataFrame, names: DataFrame, key: str, cfg:
     return _finished(_merged(found, ["description", "name", "posts", "posts_composed"], key, cfg, vectors, theme_vectors), found["phrases"], key, cfg, cfg.topk)
 
 
-def core_and_extended(docs: DataFrame, posts: DataFrame, names: DataFrame, key: str, cfg: KeywordConfig) -> tuple[DataFrame, DataFrame]:
-    """Two ranked lists: from descriptions and names, and from posts and compositions, without a term of the first."""
-    found = sources(docs, posts, names, key, cfg)
-    core = _finished(_merged(found, ["description", "name"], key, cfg, None, None), found["phrases"], key, cfg, cfg.core_topk or cfg.topk)
+def core_and_extended(docs: DataFrame, posts: DataFrame, names: DataFrame, key: str, cfg: KeywordConfig, vectors: DataFrame | None = None, theme_vectors: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """Two ranked lists: from descriptions and names, and from posts and compositions, without a term of the first; each reranked where vectors are given."""
+    found = sources(docs, posts, names, key, cfg, vectors, theme_vectors)
+    core = _finished(_merged(found, ["description", "name"], key, cfg, vectors, theme_vectors), found["phrases"], key, cfg, cfg.core_topk or cfg.topk)
     plain = replace(cfg, ensure_name=False)
-    extended = _merged(found, ["posts", "posts_composed"], key, cfg, None, None)
+    extended = _merged(found, ["posts", "posts_composed"], key, cfg, vectors, theme_vectors)
     return core, _finished(terms.core_and_extended(core, extended, key)[1], found["phrases"], key, plain, cfg.topk)

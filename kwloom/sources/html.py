@@ -48,6 +48,16 @@ class Node:
     def classes(self) -> list[str]:
         return self.get("class").split()
 
+    def strings(self) -> Iterator[tuple[str, str]]:
+        """The element's texts in order, each with the name of the element that it stands in."""
+        stack: list[tuple[str, Node | str]] = [(self.tag, self)]
+        while stack:
+            tag, n = stack.pop()
+            if isinstance(n, str):
+                yield tag, n.strip()
+            else:
+                stack += [(n.tag, c) for c in reversed(n.children)]
+
     def text(self, sep: str = " ") -> str:
         out, stack = [], [self]
         while stack:
@@ -172,18 +182,60 @@ def posts(pages: DataFrame, site: str = "") -> DataFrame:
     return raw.withColumn("permalink", link).withColumn("content_preview", preview).withColumn("score", text.count_text(F.col("score_text"))).withColumn("comments", text.count_text(F.col("comments_text"))).drop("candidates", "score_text", "comments_text")
 
 
+# Elements whose own text is no part of a widget's, markers in texts, and titles of widgets that are read elsewhere.
+NO_BODY, MARKERS, READ_ELSEWHERE = {"script", "style", "button", "a", "h2", "h3", "span"}, ("SC_OFF", "SC_ON"), {"rules", "moderators"}
+
+
+def _link_text(link: Node) -> str:
+    """What a link shows: its first translatable span that isn't there for hovering only, else the first; else its text, once where it says it twice."""
+    spans = link.find_all("span", lambda n: "i18n-translatable-text" in n.get("class"))
+    shown = [n for n in spans if not {"hidden", "group-hover:block"} & set(n.classes())]
+    for n in (shown[:1] or []) + spans[:1]:
+        if n.text(""):
+            return n.text("")
+    whole = link.text("")
+    words = whole.split()
+    return " ".join(words[: len(words) // 3]) if len(words) >= 3 and words[0] == words[len(words) // 2] else whole
+
+
+def _widgets(root: Node) -> list[dict]:
+    """The sidebar's widgets: those of two links or more as links, the others as text."""
+    side, out = root.find(None, lambda n: n.get("id") == "right-sidebar-contents"), []
+    boxes = [c for d in (side.find_all("div", lambda n: "py-md" in n.classes()) if side else []) for c in d.children if isinstance(c, Node) and c.tag == "div" and "px-md" in c.classes()]
+    for box in boxes:
+        head = box.find(None, lambda n: n.tag in ("h2", "h3", "span") and re.search("font-bold|text-12", n.get("class"), re.I) is not None)
+        if head is None:
+            continue
+        title, links = head.text(""), box.find_all("a", lambda n: "href" in n.attrs)
+        if len(links) >= 2:
+            found = [{"text": _link_text(a), "url": a.get("href")} for a in links]
+            found = [x for x in found if x["text"] and x["url"]]
+            if found:
+                out.append({"title": title, "content": None, "links": found})
+            continue
+        body = ""
+        if "community info" in title.lower():
+            div = box.find("div", lambda n: re.search("i18n-translatable-text.*overflow-hidden", n.get("class")) is not None)
+            body = "\n\n".join(x for x in (p.text() for p in (div.find_all("p") if div else [])) if x)
+        if not body:
+            body = " ".join(t for tag, t in box.strings() if tag not in NO_BODY and len(t) > 2 and t != title and not any(m in t for m in MARKERS))
+        if title and body and title.lower() not in READ_ELSEWHERE:
+            out.append({"title": title, "content": body, "links": []})
+    return out
+
+
 def _metadata(root: Node) -> list[dict]:
     title, header = root.find("title"), root.find(None, lambda n: n.tag.endswith("subreddit-header") or "data-subscribers" in n.attrs)
     rules = [{"title": n.text(), "description": n.get("data-description")} for n in root.find_all(None, lambda n: "data-rule" in n.attrs or "rule-title" in n.classes())]
     description = root.find("meta", lambda n: n.get("name") == "description")
     get = header.get if header else lambda _: ""
     h1 = root.find("h1")
-    return [{"title": title.text() if title else "", "description": get("description") or (description.get("content") if description else ""), "subscribers_text": get("subscribers") or get("data-subscribers"), "online_text": get("active") or get("data-active"), "rules": rules, "title_old": h1.text() if h1 else ""}]
+    return [{"title": title.text() if title else "", "description": get("description") or (description.get("content") if description else ""), "subscribers_text": get("subscribers") or get("data-subscribers"), "online_text": get("active") or get("data-active"), "rules": rules, "title_old": h1.text() if h1 else "", "sidebar_widgets": _widgets(root)}]
 
 
 def metadata(pages: DataFrame) -> DataFrame:
-    """A row a page: title, description, subscriber and online counts, rules."""
-    raw = extracted(pages, _metadata, "title string, description string, subscribers_text string, online_text string, rules array<struct<title:string,description:string>>, title_old string")
+    """A row a page: title, description, subscriber and online counts, rules, sidebar widgets."""
+    raw = extracted(pages, _metadata, "title string, description string, subscribers_text string, online_text string, rules array<struct<title:string,description:string>>, title_old string, sidebar_widgets array<struct<title:string,content:string,links:array<struct<text:string,url:string>>>>")
     return raw.withColumn("subscribers", text.count_text(F.col("subscribers_text"))).withColumn("online_users", text.count_text(F.col("online_text"))).drop("pos", "subscribers_text", "online_text")
 
 
@@ -214,12 +266,18 @@ def _details(root: Node) -> list[dict]:
         return []
     media = {"images": ("img", "src"), "videos": ("video", "src"), "embeds": ("iframe", "src")}
     body = p.find(None, lambda n: n.get("slot") == "text-body")
-    return [{"post_title": p.get("post-title"), "text_body": body.text() if body else "", "attrs": {k.replace("-", "_"): v for k, v in p.attrs.items()}} | {f"media_{k}": [n.get(a) for n in p.find_all(t) if n.get(a)] for k, (t, a) in media.items()}]
+    bar = p.find("div", lambda n: "awards-bar" in n.get("class"))
+    awards = []
+    for a in bar.find_all("span", lambda n: "award" in n.get("class")) if bar else []:
+        icon = a.find("img", lambda n: n.get("src") != "")
+        awards.append({"id": a.get("data-award-id"), "count": a.get("data-count"), "name": a.text(""), "icon": icon.get("src") if icon else None})
+    named = lambda word: [n.text("") for n in p.find_all("span", lambda n: word in n.get("class"))]
+    return [{"awards": awards, "flair": named("flair"), "badges": named("badge"), "post_title": p.get("post-title"), "text_body": body.text() if body else "", "attrs": {k.replace("-", "_"): v for k, v in p.attrs.items()}} | {f"media_{k}": [n.get(a) for n in p.find_all(t) if n.get(a)] for k, (t, a) in media.items()}]
 
 
 def post_details(pages: DataFrame) -> DataFrame:
-    """A row a post page: title, body, all attributes as a map, and media links without repeats."""
-    raw = extracted(pages, _details, "post_title string, text_body string, attrs map<string,string>, media_images array<string>, media_videos array<string>, media_embeds array<string>")
+    """A row a post page: title, body, all attributes as a map, media links without repeats, awards, flair and badges."""
+    raw = extracted(pages, _details, "post_title string, text_body string, attrs map<string,string>, media_images array<string>, media_videos array<string>, media_embeds array<string>, awards array<struct<id:string,count:string,name:string,icon:string>>, flair array<string>, badges array<string>")
     return raw.drop("pos").withColumns({c: F.array_distinct(c) for c in ("media_images", "media_videos", "media_embeds")})
 
 

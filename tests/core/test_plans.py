@@ -103,5 +103,9 @@ def test_leaks_and_sources(spark):
     assert got == {("discourse_markers", "just", "just things"), ("generic_conversation", "thing", "just things"), ("generic_conversation", "things", "just things"), ("phrase_stoplist", "on the", "on the road"), ("extra_stopwords", "road", "on the road")}
     posts = spark.createDataFrame([(1, 1, "Oil for a change"), (1, 2, "nothing"), (1, 3, None)], "doc int, post int, text string")
     assert [(r.term, r.post, r.overlap) for r in measures.source_posts(k.filter("rank = 2"), posts, "doc").collect()] == [("oil change", 1, 1.0)]
+    loose = measures.source_posts(spark.createDataFrame([(1, "oil change"), (1, "nothing to see"), (1, "road")], "doc int, term string"), posts, "doc", any_word=True)
+    assert {(r.term, r.post, round(r.overlap, 3)) for r in loose.collect()} == {("oil change", 1, 1.0), ("nothing to see", 2, 0.333)}
+    ranked = spark.createDataFrame([("a", 3), ("A", 1), ("b", None)], "name string, rank int")
+    assert {(r.name, r["rank"]) for r in ops.best_ranks(ranked, True).collect()} == {("a", 1)} and ops.best_ranks(ranked).count() == 2
     hashes = {r.key_hash for r in (warehouse.key_set_hash(spark.createDataFrame([(x,) for x in xs], "k string"), "k").first() for xs in (["a", "b"], ["b", "a", "a"]))}
     assert len(hashes) == 1
