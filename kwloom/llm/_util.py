@@ -6,6 +6,7 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -44,6 +45,27 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete what was written under a path of `scratch`, once nothing reads it any more."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+@contextmanager
+def released(spark: SparkSession):
+    """Within it, a query's shuffle files go when it has ended, as Spark's own setting for that says: for steps that each end in a checkpoint or a written table."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """The rows of df, computed once and kept in the shared folder, so a lost executor costs no recomputation."""
     sc = df.sparkSession.sparkContext

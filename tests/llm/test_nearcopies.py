@@ -1,7 +1,9 @@
 import random
 import re
 
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from kwloom.llm import nearcopies, simhash
 
@@ -78,3 +80,52 @@ def test_null_and_shared_ids(spark):
     kept = sorted(((r.doc_id, r.text) for r in nearcopies.keep_one(df).collect()), key=str)
     want = [(None, "a clean text"), (None, "another clean text"), (7, "two texts"), (7, "of one id"), (3, "X y z"), (None, "null alone")]
     assert kept == sorted(want, key=str)
+
+
+def family(r, n):
+    """Texts of one family, each with two words of its own: most pairs of them are just below the similarity asked for."""
+    whole = [f"w{i}" for i in range(100)]
+    return [" ".join(edited(r, whole, 2)) for _ in range(n)]
+
+
+def family_classes(texts):
+    """The number of the class of each text, by comparing all pairs as matrices of what is left of the family's shingles."""
+    base = [tuple(f"w{i}" for i in range(k, k + 5)) for k in range(96)]
+    sets = [shingles(t) for t in texts]
+    held = np.array([[b in s for b in base] for s in sets], np.float32)
+    sizes = np.array([len(s) for s in sets])
+    near = 9 * (held @ held.T) >= 4 * (sizes[:, None] + sizes[None, :])
+    root = np.arange(len(texts))
+    while True:
+        low = np.where(near, root[None, :], len(texts)).min(1)
+        low = low[low]
+        if (low == root).all():
+            return root, int(near.sum() - len(texts)) // 2
+        root = low
+
+
+def test_a_family_below_the_threshold_makes_few_rows(spark):
+    """2,000 texts just below the threshold to most of each other: classes are right, and no more pairs become rows than a few a text."""
+    texts = family(random.Random(11), 2000)
+    root, similar = family_classes(texts)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    kept = sorted(x.doc_id for x in nearcopies.keep_one(df, 1).collect())
+    assert kept == sorted(set(root.tolist()))
+    keyed = df.select(F.col("doc_id").alias("key"), "text")
+    common = nearcopies._common(keyed, 1, nearcopies.COMMON)
+    cell = nearcopies._prefixes(keyed, common).groupBy("sh").agg(F.collect_list(F.struct("key", "n", "at")).alias("c"), F.count("*").alias("size"))
+    left = cell.orderBy(F.desc("size"), "sh").limit(3).select("sh", "size", F.explode("c").alias("x")).select("sh", "x.*", F.col("x.key").alias("root"), "size")
+    pairs = nearcopies._in_blocks(left, keyed, 128).collect()
+    sizes = [r["size"] for r in left.select("sh", "size").distinct().collect()]
+    every = max(n * (n - 1) // 2 for n in sizes)
+    # what comes out are the similar pairs and the few whose sketches hide a difference
+    assert max(sizes) > 128 and len(pairs) < 0.25 * every + 10 and len(pairs) <= 3 * similar + 100
+    # and all of these that the cells' places allow
+    sets, rows = [shingles(t) for t in texts], left.collect()
+    found = {(r.a, r.b) for r in pairs}
+    for sh in {r.sh for r in rows}:
+        mine = [r for r in rows if r.sh == sh]
+        for i, x in enumerate(mine):
+            for y in mine[i + 1 :]:
+                if 9 * min(x.n - x.at, y.n - y.at) >= 4 * (x.n + y.n) and 9 * len(sets[x.key] & sets[y.key]) >= 4 * (x.n + y.n):
+                    assert (min(x.key, y.key), max(x.key, y.key)) in found
