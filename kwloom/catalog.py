@@ -20,9 +20,9 @@ from .config import SHORT_WORDS, KeywordConfig
 from .functions import scores, text
 from .operators import clean, measures, ops, quality, redundancy, reports, segment, subjects, terms, trend, warehouse, wordlists
 from .plans import keywords as plans
-from .sources import html, lookup, warehouse_store
+from .sources import filechecks, files, html, lookup, manifests, warehouse_store
 from .sources.storage import shared_folder
-from .streaming import incremental
+from .streaming import frequency_cache, incremental
 
 FLAGSHIP = "doc_keywords_topk"
 CFG = KeywordConfig()
@@ -236,6 +236,12 @@ def reranked_communities(spark, d):
     return _rounded(plans.keywords(docs, posts, names, "doc_id", CFG, words, v.select(F.col("vec_id").alias("doc_id"), "vector")), "score", "weight")
 
 
+@_query
+def displayed_keywords(spark, d):
+    named = _names(spark, d).select("doc_id", F.initcap("name").alias("name"), F.initcap("title").alias("title"))
+    return plans.displayed(composed_keywords(spark, d).select("doc_id", "term"), named, "doc_id")
+
+
 @_query
 def anchored_keywords(spark, d):
     k = _sourced(spark, d).select("doc_id", "term", F.size(F.split("term", " ")).alias("n"), "score", (F.col("rank") / 100).alias("share"), F.lit("foo").alias("anchor"), F.lit("f o o").alias("phrase"))
@@ -448,6 +454,75 @@ def stratified_files(spark, d):
     return ops.stratified_sample(_targets(spark, d).select("name"), "name", 5)
 
 
+# --- files ------------------------------------------------------------------------------------------------------------------
+
+
+@_query
+def keyword_files(spark, d):
+    """Keyword lists written as lines of JSON, read again and dealt out by rank."""
+    path = shared_folder(spark, "keywords")
+    k = terms.normalise(_sourced(spark, d).filter("rank <= 10"), "doc_id").withColumn("community_id", F.col("doc_id").cast("string"))
+    files.write_keywords(k, "community_id", path)
+    return files.explode_keywords(files.read_keywords(spark, path)).drop("name")
+
+
+@_query
+def page_files(spark, d):
+    """Listing pages written as a file each and read again."""
+    path = shared_folder(spark, "pages")
+    c = _t(spark, d, "customer").select((F.col("c_nationkey") + 1).cast("int").alias("page"), F.struct(F.col("c_custkey").cast("int").alias("rank"), F.col("c_custkey").cast("string").alias("community_id"), F.concat(F.lit("r/"), "c_name").alias("name"), F.when(F.col("c_custkey") % 2 == 0, F.concat(F.lit("/r/"), F.col("c_custkey").cast("string"), F.lit("/"))).alias("url"), F.floor(F.abs("c_acctbal")).alias("subscribers_count"), F.when(F.col("c_custkey") % 3 > 0, F.col("c_mktsegment")).alias("description")).alias("s"))
+    c.groupBy("page").agg(F.sort_array(F.collect_list("s")).alias("subreddits")).write.option("maxRecordsPerFile", 1).json(path)
+    return files.read_pages(spark, path).select("page", "rank", "community_id", "name", "url", "subscribers_count", "description", "key")
+
+
+@_query
+def frontpage_files(spark, d):
+    """Front pages written as a folder each and read again, with their posts."""
+    path = shared_folder(spark, "frontpages")
+    at = lambda s: F.date_format(F.timestamp_seconds(F.lit(1_700_000_000) - s), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+0000'")
+    c = _t(spark, d, "conversations").select("conv_id", F.struct("turn", F.struct(F.col("text").alias("title"), (F.col("turn") * 3).alias("score"), F.when(F.col("turn") % 2 == 0, at(F.col("turn") * 43_200)).alias("created_ts"), F.col("role").alias("content_preview"), (F.col("role") == "system").alias("is_promoted")).alias("p")).alias("s"))
+    pages = c.groupBy("conv_id").agg(F.transform(F.sort_array(F.collect_list("s")), lambda x: x["p"]).alias("posts"))
+    pages.select(F.concat(F.lit("C"), "conv_id").alias("sub"), "posts", at(F.lit(0)).alias("scraped_at")).write.partitionBy("sub").option("maxRecordsPerFile", 1).json(path)
+    p = files.frontpage_posts(files.read_frontpages(spark, path))
+    return _rounded(p.select("key", "post", F.md5("text").alias("digest"), "score", "age_days", "is_promoted", "preview"), "age_days")
+
+
+@_query
+def phrase_files(spark, d):
+    """Words and phrases of a list file."""
+    path = shared_folder(spark, "lists")
+    files.write_lines(_t(spark, d, "part").select(F.concat("p_name", F.lit(", "), F.replace(F.upper("p_brand"), F.lit("#"), F.lit("-")), F.when(F.col("p_partkey") % 2 == 0, " # no word").otherwise("")).alias("value")), path)
+    return files.read_words(spark, path).select("word", F.lit("word").alias("kind")).unionByName(files.read_phrases(spark, path).select(F.col("phrase").alias("word"), F.lit("phrase").alias("kind")))
+
+
+@_query
+def page_run_counters(spark, d):
+    """Counters of a run of pages, observed while the pages are written."""
+    o = _t(spark, d, "orders").groupBy(F.col("o_custkey").cast("int").alias("page")).agg(F.max(F.when(F.col("o_orderkey") % 50 == 0, "timeout")).alias("error"), F.collect_list(F.col("o_orderkey")).alias("subreddits"))
+    return spark.createDataFrame([manifests.written(o, shared_folder(spark, "run"), manifests.page_counters())], "pages long, failed long, communities long, first_page int, last_page int, empty long")
+
+
+@_query
+def output_states(spark, d):
+    """What checks by size and first bytes say of output files, some of them without an object."""
+    path = shared_folder(spark, "outputs")
+    s = _t(spark, d, "supplier").select(F.col("s_suppkey").alias("n"), F.when(F.col("s_suppkey") % 3 == 0, F.lit("no object")).otherwise(F.concat(F.lit('{"name": "'), "s_name", F.lit('"}'))).alias("value"))
+    s.write.partitionBy("n").option("maxRecordsPerFile", 1).text(path)
+    states = filechecks.verified(manifests.file_listing(spark, path, "part-*"))
+    return states.select(F.regexp_extract("path", "/n=([0-9]+)/", 1).cast("long").alias("n"), "length", "state")
+
+
+@_query
+def cached_frequencies(spark, d):
+    """Document frequencies of a cache that took in every other document first and the rest later."""
+    docs = _docs(spark, d)
+    cache = frequency_cache.FrequencyCache(spark, shared_folder(spark, "frequencies"), "doc_id")
+    count = lambda rows: plans.description_terms(rows, "doc_id", CFG)
+    cache.extend(docs.filter("doc_id % 2 = 0"), count)
+    cache.extend(docs, count)
+    return cache.frequencies(docs.select("doc_id"))[0]
+
+
 # --- quality -----------------------------------------------------------------------------------------------------------------
 
 
@@ -472,6 +547,21 @@ def threshold_retention(spark, d):
     return _rounded(quality.retention(_sourced(spark, d), "doc_id", [2, 5, 8, 12, 20]), "share", "mean_kept", "median_kept")
 
 
+@_query
+def retention_by_source(spark, d):
+    return _rounded(quality.retention_by_category(_mixed(spark, d), "doc_id", [3, 6, 10]), "share", "mean_kept", "median_kept")
+
+
+@_query
+def source_effect(spark, d):
+    return _rounded(quality.source_effect(_mixed(spark, d)), "mean", "median", "stdev")
+
+
+@_query
+def source_by_rank(spark, d):
+    return _rounded(quality.source_by_rank(_mixed(spark, d)), "share")
+
+
 @_query
 def rank_decay(spark, d):
     return _rounded(quality.rank_decay(_sourced(spark, d)), "mean", "drop_ahead", "drop_before")
@@ -569,6 +659,31 @@ def version_scores(spark, d):
     return _rounded(s, "theme_gain", "phrase_gain", "spread_gain", "overall")
 
 
+def _reissued(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """Ranked terms of which some grow by repeats, numbers and odd pieces, and the same lists without every third and with others moved."""
+    t, at = F.col("term"), F.col("rank")
+    grown = F.when(at % 5 == 0, F.concat_ws(" ", t, t)).when(at % 7 == 0, F.concat(F.lit("4 "), t, F.lit(" 2"))).when(at % 6 == 1, F.concat(t, F.lit(" medicare.com "), t)).when(at % 4 == 2, F.concat(t, F.lit(" x elephantine y"))).otherwise(t)
+    k = _sourced(spark, d).select("doc_id", "rank", grown.alias("term"), "score", "source")
+    return k, k.filter("rank % 3 <> 0").withColumn("rank", F.when(F.col("rank") % 2 == 0, F.col("rank") + 4).otherwise(F.col("rank") - 1))
+
+
+@_query
+def issue_deltas(spark, d):
+    r = reports.issue_delta(*_reissued(spark, d), "doc_id")
+    return _rounded(r.withColumn("filtered", F.array_join("filtered", "|")), "gain")
+
+
+@_query
+def mechanical_demotions(spark, d):
+    return _rounded(reports.demotions(*_reissued(spark, d), "doc_id"), "rate")
+
+
+@_query
+def keyword_flags(spark, d):
+    k = _reissued(spark, d)[0].filter("rank <= 15")
+    return k.select("doc_id", "rank", "term", F.array_join(reports.flags(F.col("term")), "|").alias("flags")).filter("flags <> ''")
+
+
 @_query
 def topk_metrics(spark, d):
     return _rounded(reports.topk_metrics(_composed(spark, d), "doc_id", CFG.topk, 5.0), "full", "low", "promotional")
@@ -579,6 +694,12 @@ def topk_advice(spark, d):
     return reports.topk_advice(reports.topk_metrics(_composed(spark, d), "doc_id", CFG.topk), CFG.topk)
 
 
+@_query
+def tuning_advice(spark, d):
+    k, _ = _reissued(spark, d)
+    return reports.tuning_advice(reports.tuning_metrics(k.withColumn("source", F.when(F.length("term") % 2 == 0, "posts_composed").otherwise("posts")), "doc_id", 20), 20)
+
+
 @_query
 def side_by_side(spark, d):
     a, b = _versions(spark, d)

@@ -107,7 +107,7 @@ def _reports(keywords: str, cfg: KeywordConfig) -> dict[str, str]:
         "phrase_issues": keywords + f", pt AS (SELECT DISTINCT CASE WHEN length(term) % 5 = 0 THEN upper(left(term, 1)) || substr(term, 2) ELSE term END AS term FROM k WHERE contains(term, ' ')), pw AS (SELECT term, {words} FROM pt) SELECT term, {issues} AS issues, {unrelated} AS unrelated, {kind} AS class FROM pw",
         "phrase_scores": made + f" SELECT DISTINCT term, source, round({score}, 6) AS quality FROM kc",
         "community_themes": f"WITH {themes} SELECT doc_id, array_to_string({first}, ' ') AS theme FROM th2",
-        "version_scores": made + versions + f", {themes}, {measured('1')}, {measured('2')}, gains AS (SELECT doc_id, b.theme - a.theme AS t, b.phrase - a.phrase AS p, b.spread - a.spread AS s FROM m1 a JOIN m2 b USING (doc_id)), total AS (SELECT *, t * 0.4::DOUBLE + p * 0.4::DOUBLE + s * 0.2::DOUBLE AS overall FROM gains) SELECT doc_id, round(t, 6) + 0.0::DOUBLE AS theme_gain, round(p, 6) + 0.0::DOUBLE AS phrase_gain, round(s, 6) + 0.0::DOUBLE AS spread_gain, round(overall, 6) + 0.0::DOUBLE AS overall, CASE WHEN overall > {reports.LEAST_GAIN} THEN 'improvement' ELSE 'degradation' END AS verdict FROM total",
+        "version_scores": made + versions + f", {themes}, {measured('1')}, {measured('2')}, gains AS (SELECT doc_id, b.theme - a.theme AS t, b.phrase - a.phrase AS p, b.spread - a.spread AS s FROM m1 a JOIN m2 b USING (doc_id)), total AS (SELECT *, t * 0.4::DOUBLE + p * 0.4::DOUBLE + s * 0.2::DOUBLE AS overall FROM gains) SELECT doc_id, round(t, 6) + 0.0::DOUBLE AS theme_gain, round(p, 6) + 0.0::DOUBLE AS phrase_gain, round(s, 6) + 0.0::DOUBLE AS spread_gain, round(overall, 6) + 0.0::DOUBLE AS overall, CASE WHEN round(overall, 9) > 0 THEN 'improvement' ELSE 'degradation' END AS verdict FROM total",
         "topk_metrics": made + metrics(5.0) + ' SELECT round("full", 6) AS "full", cliff, round(low, 6) AS low, round(promotional, 6) AS promotional FROM mm',
         "topk_advice": made + metrics(20.0) + f""" SELECT 'increase' AS action, CAST(CASE WHEN cliff > {cfg.topk} THEN least(cliff - 2, 60) ELSE 50 END AS INTEGER) AS new_topk, CASE WHEN cliff > {cfg.topk} THEN 'high' ELSE 'medium' END AS priority FROM mm WHERE "full" > 90
             UNION ALL SELECT 'decrease', CAST(greatest(cliff - 2, 20) AS INTEGER), 'medium' FROM mm WHERE "full" < 50 AND cliff < {cfg.topk} UNION ALL SELECT 'quality_filter', NULL, 'high' FROM mm WHERE low > 0.3 UNION ALL SELECT 'promotion_filter', NULL, 'high' FROM mm WHERE promotional > 0.1""",

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from .catalog_sql import _collapse, _key, _list, _tokens, common_tables
+from .catalog_sql import _collapse, _key, _list, _mechanical, _pairs, _repeats, _tokens, common_tables
 from .config import EXPANSIONS, SHORT_WORDS, KeywordConfig
-from .operators import segment, wordlists
+from .operators import reports, segment, wordlists
+from .operators.quality import PROMOTION
 
 #: Glued names and the corpus's word counts.
 GLUED = f"""WITH RECURSIVE tk AS (SELECT conv_id * 1000 + turn AS doc_id, list_filter({_tokens('text')}, lambda t: regexp_full_match(t, '[a-z]+')) AS w FROM conversations),
@@ -53,6 +54,15 @@ def _grouped(kind: str, source: str, top: int, tag: str) -> str:
         m{tag} AS (SELECT doc_id, ts, j, list_filter(leads, lambda x: x = j OR (x < j AND {_alike(kind, 'ts[x]', 'ts[j]')}))[1] AS lead FROM u{tag})"""
 
 
+def _fragment() -> str:
+    """Mean likeness of neighbouring words of the list w: 0.3 by length, 0.4 by shared letters over the longer word, 0.3 if one begins or ends as the other."""
+    a, b = "w[i]", "w[i + 1]"
+    longer = f"greatest(length({a}), length({b}), 1)"
+    same = f"len(list_intersect(list_distinct(string_split({a}, '')), list_distinct(string_split({b}, ''))))"
+    ends = f"(starts_with({a}, left({b}, 2)) OR starts_with({b}, left({a}, 2)) OR ends_with({a}, right({b}, 2)) OR ends_with({b}, right({a}, 2)))"
+    return _pairs(f"(1 - abs(length({a}) - length({b})) / {longer}) * 0.3::DOUBLE + {same} / {longer} * 0.4::DOUBLE + CASE WHEN {ends} AND length({a}) > 2 THEN 0.3::DOUBLE ELSE 0 END")
+
+
 def _pages() -> dict[str, str]:
     """What extractors must find in pages that are made of the tables' values: these values."""
     thousands = lambda c: f"CAST(floor({c} / 10.0::DOUBLE * 1000) AS BIGINT)"
@@ -96,6 +106,14 @@ def build(cfg: KeywordConfig) -> dict[str, str]:
     frequent = core["desc"].replace("WITH src", f"WITH {counts}, fw AS (SELECT word FROM zf WHERE zipf >= 6.5 AND NOT list_contains({_list(SHORT_WORDS)}, word)), src", 1).replace("OR regexp_full_match(t0,", "OR t0 IN (SELECT word FROM fw) OR regexp_full_match(t0,", 1)
     subject = core["posts"] + f""", sj AS (SELECT DISTINCT unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS subject FROM (SELECT {_tokens('text')} AS w FROM documents)),
         fo AS (SELECT doc_id, term, tf::DOUBLE AS score FROM tf WHERE n >= 2 AND term IN (SELECT subject FROM sj))"""
+    held = "CASE category WHEN 'all' THEN true WHEN 'posts_composed' THEN source = 'posts_composed' WHEN 'posts' THEN list_contains(string_split(source, '+'), 'posts') ELSE list_contains(string_split(source, '+'), category) END"
+    grown = "CASE WHEN rank % 5 = 0 THEN term || ' ' || term WHEN rank % 7 = 0 THEN '4 ' || term || ' 2' WHEN rank % 6 = 1 THEN term || ' medicare.com ' || term WHEN rank % 4 = 2 THEN term || ' x elephantine y' ELSE term END"
+    reissued = core["keywords"] + f""", ra AS MATERIALIZED (SELECT doc_id, rank, {grown} AS term FROM k),
+        rb AS MATERIALIZED (SELECT doc_id, CASE WHEN rank % 2 = 0 THEN rank + 4 ELSE rank - 1 END AS rank, term FROM ra WHERE rank % 3 <> 0)"""
+    plain = "string_split(term, ' ')"
+    kind = f"CASE WHEN len(list_distinct({plain})) < len({plain}) THEN 'repeat' WHEN len({plain}) >= 4 AND NOT list_has_any(string_split(lower(term), ' '), {_list(reports.HOLDS)}) THEN 'mechanical' END"
+    # a first word that is repeated is said without a back reference
+    made_up = "(" + " OR ".join(f"regexp_matches(lower(term), '{p}')" for p in reports.MECHANICAL[:3]) + " OR w[1] = w[2])"
     return _pages() | {
         "generic_unigrams": core["keywords"] + f", {counts} SELECT doc_id, rank, term FROM k LEFT JOIN zf ON zf.word = lower(trim(term)) WHERE NOT contains(trim(term), ' ') AND (list_contains({_list(cfg.stopwords)}, lower(trim(term))) OR coalesce(zipf >= 5.5, false))",
         "frequent_word_terms": frequent + " SELECT term, df FROM df",
@@ -117,6 +135,42 @@ def build(cfg: KeywordConfig) -> dict[str, str]:
         "communities_frontpages": """WITH c AS (SELECT c_custkey AS doc_id, CASE WHEN c_custkey % 3 = 0 THEN 'c' || c_custkey WHEN c_custkey % 2 = 0 THEN 'other' || c_custkey ELSE 'c' || c_custkey END AS a, 'c' || c_custkey AS b FROM customer),
             f AS (SELECT DISTINCT unnest(['c' || (s_suppkey * 2), 'other' || (s_suppkey * 4)]) AS key FROM supplier)
             SELECT doc_id, CASE WHEN a IN (SELECT key FROM f) THEN a ELSE b END AS front_key FROM c WHERE a IN (SELECT key FROM f) OR b IN (SELECT key FROM f)""",
+        "retention_by_source": mixed + f""", ca AS (SELECT unnest(['all', 'posts_composed', 'posts', 'description']) AS category UNION ALL SELECT 'name'), th AS (SELECT unnest([3.0, 6.0, 10.0])::DOUBLE AS threshold), dk AS (SELECT DISTINCT doc_id FROM kc),
+            pr AS (SELECT doc_id, category, threshold, count(*) FILTER (WHERE {held}) AS n, count(*) FILTER (WHERE ({held}) AND score >= threshold) AS kept FROM kc, ca, th GROUP BY ALL)
+            SELECT category, threshold, sum(kept)::BIGINT AS kept, round(sum(kept) / greatest(sum(n), 1), 6) AS share, round(avg(kept), 6) AS mean_kept, round(quantile_cont(kept, 0.5), 6) AS median_kept FROM pr GROUP BY 1, 2""",
+        "source_effect": mixed + " SELECT source, count(*) AS n, round(avg(score), 6) AS mean, round(quantile_cont(score, 0.5), 6) AS median, round(stddev_pop(score), 6) AS stdev FROM kc GROUP BY 1 HAVING count(*) >= 100",
+        "source_by_rank": mixed + ", c AS (SELECT rank, source, count(*) AS n FROM kc GROUP BY ALL) SELECT rank, source, round(n / every, 6) AS share FROM (SELECT *, sum(n) OVER (PARTITION BY rank) AS every FROM c) QUALIFY row_number() OVER (PARTITION BY rank ORDER BY n DESC, source) = 1",
+        "issue_deltas": reissued + f""", xa AS (SELECT doc_id, rank, term, {kind} AS kind FROM ra WHERE rank <= 15), xb AS (SELECT doc_id, rank, term, {kind} AS kind FROM rb WHERE rank <= 15),
+            ca AS (SELECT doc_id, count(*) AS n, count(kind) AS issues FROM xa GROUP BY 1), cb AS (SELECT doc_id, count(kind) AS issues FROM xb GROUP BY 1),
+            go AS (SELECT doc_id, string_agg(kind || ': ' || term, '|' ORDER BY rank, term) AS filtered FROM xa WHERE kind IS NOT NULL AND NOT EXISTS (SELECT 1 FROM xb WHERE xb.doc_id = xa.doc_id AND xb.term = xa.term) GROUP BY 1),
+            gg AS (SELECT doc_id, ca.issues AS issues_a, cb.issues AS issues_b, (ca.issues - cb.issues) / greatest(n, 1) AS gain, coalesce(filtered, '') AS filtered FROM ca JOIN cb USING (doc_id) LEFT JOIN go USING (doc_id))
+            SELECT doc_id, issues_a, issues_b, round(gain, 6) AS gain, CASE WHEN gain > 0.1::DOUBLE THEN 'improvement' WHEN gain < -0.1::DOUBLE THEN 'degradation' ELSE 'no change' END AS verdict, filtered FROM gg""",
+        "mechanical_demotions": reissued + f""", bt AS (SELECT ra.rank AS a, rb.rank AS b, term, string_split(lower(term), ' ') AS w FROM ra JOIN rb USING (doc_id, term)),
+            md AS (SELECT * FROM bt WHERE {made_up} OR (len(w) >= 4 AND least(1, {_fragment()}) < 0.3))
+            SELECT count(*) AS mechanical, count(*) FILTER (WHERE b > a) AS demoted, round(coalesce(count(*) FILTER (WHERE b > a) / nullif(count(*), 0), 0), 6) AS rate FROM md""",
+        "keyword_flags": reissued + f""", fl AS (SELECT doc_id, rank, term, string_split(lower(term), ' ') AS w FROM ra WHERE rank <= 15),
+            fg AS (SELECT doc_id, rank, term, list_filter([CASE WHEN regexp_matches(term, '{reports.FLAG_ADDRESS}') THEN 'address' END, CASE WHEN regexp_matches(term, '[^\x00-\x7F]') THEN 'foreign' END, CASE WHEN {holds('term', reports.FLAG_ADVERTS)} THEN 'advert' END,
+              CASE WHEN len(w) >= 4 AND NOT {holds('term', reports.FLAG_CONNECTORS)} AND len(list_filter(range(1, len(w)), lambda i: contains(w[i], w[i + 1]) OR contains(w[i + 1], w[i]) OR abs(length(w[i]) - length(w[i + 1])) <= 2)) < len(w) * 0.3::DOUBLE THEN 'fragmented' END], lambda x: x IS NOT NULL) AS f FROM fl)
+            SELECT doc_id, rank, term, array_to_string(f, '|') AS flags FROM fg WHERE len(f) > 0""",
+        "tuning_advice": core["keywords"] + f""", tk AS MATERIALIZED (SELECT doc_id, rank, score, {grown} AS term FROM k), ts AS MATERIALIZED (SELECT *, length(term) % 2 = 0 AS made, string_split(lower(term), ' ') AS w FROM tk),
+            mr AS (SELECT rank, count(*) AS n, avg(score) AS mean FROM ts GROUP BY 1), dr AS (SELECT rank, CASE WHEN n >= 10 THEN (lag(mean, 1) OVER o - mean) / lag(mean, 1) OVER o * 100 END AS fall FROM mr WINDOW o AS (ORDER BY rank)),
+            mt AS (SELECT (SELECT avg(CASE WHEN n >= 20 THEN 1.0::DOUBLE ELSE 0 END) FROM (SELECT count(*) AS n FROM ts GROUP BY doc_id)) AS full_, (SELECT min(rank) FROM dr WHERE fall > 30) AS cliff,
+              count(*) FILTER (WHERE {_repeats('term')}) AS repeating, count(*) FILTER (WHERE regexp_matches(term, '{reports.ADDRESS}')) AS addresses, count(*) FILTER (WHERE list_has_any(w, {_list(PROMOTION)})) AS promotional,
+              count(*) FILTER (WHERE made AND NOT {holds('term', reports.ADVERTS)} AND (len(list_distinct(w)) < len(w) OR (len(w) > 3 AND len(list_filter(w, lambda x: length(x) > 2)) < len(w) * 0.6::DOUBLE))) AS low, count(*) FILTER (WHERE made AND {_mechanical('term')}) AS mechanical,
+              quantile_cont(score, 0.5) AS p50, quantile_cont(score, 0.75) AS p75, quantile_cont(score, 0.95) AS p95 FROM ts)
+            SELECT r.parameter AS parameter, r.advice AS advice, r.priority AS priority FROM (SELECT unnest(list_filter([
+              CASE WHEN full_ > 0.8 THEN {{'parameter': 'topk', 'advice': 'increase to 30-40', 'priority': 'high'}} END, CASE WHEN full_ < 0.3 AND cliff IS NOT NULL THEN {{'parameter': 'topk', 'advice': 'reduce to ' || (cliff + 5), 'priority': 'medium'}} END,
+              CASE WHEN p95 / p50 > 10 THEN {{'parameter': 'score_threshold', 'advice': 'filter below ' || printf('%.1f', p75), 'priority': 'medium'}} END, {{'parameter': 'source_weights', 'advice': 'increase name and description weights', 'priority': 'low'}},
+              CASE WHEN repeating > 10 THEN {{'parameter': 'stopwords', 'advice': 'filter repeated words', 'priority': 'medium'}} END, CASE WHEN low > 5 THEN {{'parameter': 'composition', 'advice': 'raise the threshold or check coherence', 'priority': 'high'}} END,
+              CASE WHEN addresses > 5 THEN {{'parameter': 'artefacts', 'advice': 'filter addresses', 'priority': 'medium'}} END, CASE WHEN promotional > 5 THEN {{'parameter': 'promotion', 'advice': 'filter adverts', 'priority': 'medium'}} END,
+              CASE WHEN mechanical > 0 THEN {{'parameter': 'composition', 'advice': 'score coherence and filter fragments', 'priority': 'low'}} END], lambda x: x IS NOT NULL)) AS r FROM mt)""",
+        "keyword_files": core["keywords"] + " SELECT doc_id::VARCHAR AS community_id, CAST(rank AS INTEGER) AS topk_rank, term, round(score / CASE WHEN sum(score) OVER o = 0 THEN 1 ELSE sum(score) OVER o END, 6) AS weight, score, source FROM k WHERE rank <= 10 WINDOW o AS (PARTITION BY doc_id)",
+        "page_files": "SELECT CAST(c_nationkey + 1 AS INTEGER) AS page, CAST(c_custkey AS INTEGER) AS rank, c_custkey::VARCHAR AS community_id, 'r/' || c_name AS name, CASE WHEN c_custkey % 2 = 0 THEN '/r/' || c_custkey || '/' ELSE '' END AS url, CAST(floor(abs(c_acctbal)) AS BIGINT) AS subscribers_count, CASE WHEN c_custkey % 3 > 0 THEN c_mktsegment ELSE '' END AS description, lower(c_name) AS key FROM customer",
+        "frontpage_files": "SELECT 'sub=c' || conv_id AS key, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS INTEGER) AS post, md5(text) AS digest, turn * 3::BIGINT AS score, CASE WHEN turn % 2 = 0 THEN round(turn * 0.5::DOUBLE, 6) END AS age_days, role = 'system' AS is_promoted, role AS preview FROM conversations",
+        "phrase_files": "WITH l AS (SELECT lower(p_name) AS a, replace(lower(p_brand), '#', '-') AS b FROM part) SELECT DISTINCT unnest(list_concat(string_split(a, ' '), [b])) AS word, 'word' AS kind FROM l UNION ALL SELECT DISTINCT unnest([a, b]), 'phrase' FROM l",
+        "page_run_counters": "WITH p AS (SELECT CAST(o_custkey AS INTEGER) AS page, max(CASE WHEN o_orderkey % 50 = 0 THEN 1 ELSE 0 END) AS bad, count(*) AS n FROM orders GROUP BY 1) SELECT count(*) AS pages, count(*) FILTER (WHERE bad = 1) AS failed, sum(n)::BIGINT AS communities, min(page) AS first_page, max(page) AS last_page, count(*) FILTER (WHERE bad = 0 AND n = 0) AS empty FROM p",
+        "output_states": """SELECT s_suppkey AS n, CASE WHEN s_suppkey % 3 = 0 THEN 10 ELSE strlen('{"name": "' || s_name || '"}') + 1 END::BIGINT AS length, CASE WHEN s_suppkey % 3 = 0 THEN 'broken' ELSE 'valid' END AS state FROM supplier""",
+        "cached_frequencies": core["desc"] + " SELECT term, df FROM df",
         "segmented_words": GLUED + " SELECT word, array_to_string(parts, ' ') AS parts FROM sg",
         "glued_name_keywords": GLUED + ", nn AS (SELECT doc_id, parts FROM gl JOIN sg ON sg.word = gl.name), " + _names("nn", stop),
         "name_keywords": "WITH nn AS (SELECT p_partkey AS doc_id, string_split(p_name, ' ') AS parts FROM part), " + _names("nn", stop),

@@ -127,6 +127,43 @@ def retention(keywords: DataFrame, key: str, thresholds: list[float]) -> DataFra
     return per.groupBy("threshold").agg(F.sum("kept").alias("kept"), (F.sum("kept") / F.sum("n")).alias("share"), F.avg("kept").alias("mean_kept"), F.percentile("kept", F.lit(0.5)).alias("median_kept"))
 
 
+#: What each category of sources asks of a keyword's sources.
+CATEGORIES = {
+    "all": lambda s: F.lit(True), "posts_composed": lambda s: F.array_contains(s, "posts_composed"), "posts": lambda s: F.array_contains(s, "posts") & ~F.array_contains(s, "posts_composed"),
+    "description": lambda s: F.array_contains(s, "description"), "name": lambda s: F.array_contains(s, "name"),
+}
+
+
+def retention_by_category(keywords: DataFrame, key: str, thresholds: list[float]) -> DataFrame:
+    """(category, threshold, kept, share, mean_kept, median_kept): retention for each category of sources, over all documents, those without a term of it too."""
+    s, score = F.split(F.coalesce("source", F.lit("")), r"\+"), F.coalesce("score", F.lit(0.0))
+    count = lambda c: F.sum(F.when(c, 1).otherwise(0)).cast("long")
+    each = [
+        F.struct(F.lit(name).alias("category"), count(test(s)).alias("n"), F.array(*[F.struct(F.lit(float(t)).alias("threshold"), count(test(s) & (score >= t)).alias("kept")) for t in thresholds]).alias("at"))
+        for name, test in CATEGORIES.items()
+    ]
+    per = keywords.groupBy(key).agg(*[c.alias(f"c{i}") for i, c in enumerate(each)])
+    rows = per.select(F.explode(F.array(*[f"c{i}" for i in range(len(each))])).alias("c")).select("c.category", "c.n", F.explode("c.at").alias("a")).select("category", "n", "a.threshold", "a.kept")
+    # lists are short, so their counts are few values
+    return rows.groupBy("category", "threshold").agg(F.sum("kept").alias("kept"), (F.sum("kept") / F.greatest(F.sum("n"), F.lit(1))).alias("share"), F.avg("kept").alias("mean_kept"), F.percentile("kept", F.lit(0.5)).alias("median_kept"))
+
+
+def source_effect(keywords: DataFrame, least: int = 100) -> DataFrame:
+    """(source, n, mean, median, stdev) of sources with `least` keywords or more."""
+    k = keywords.withColumn("source", F.coalesce("source", F.lit("unknown")))
+    per = k.groupBy("source").agg(F.count("*").alias("n"), F.avg("score").alias("mean"), F.stddev_pop("score").alias("stdev")).filter(F.col("n") >= least)
+    # a row a source, of which there are few
+    return per.join(F.broadcast(quantile_linear(k, "score", 0.5, by=("source",)).withColumnRenamed("p50", "median")), "source", "left")
+
+
+def source_by_rank(keywords: DataFrame) -> DataFrame:
+    """(rank, source, share): the most frequent source at each rank (of equals the first by name) and its share there."""
+    n = keywords.groupBy("rank", "source").agg(F.count("*").alias("n"))
+    per = n.groupBy("rank").agg(F.max("n").alias("most"), F.sum("n").alias("all"))
+    first = n.join(per, "rank").filter(F.col("n") == F.col("most"))
+    return first.groupBy("rank").agg(F.min("source").alias("source"), F.max(F.col("most") / F.col("all")).alias("share"))
+
+
 def rank_decay(keywords: DataFrame, step: int = 5) -> DataFrame:
     """Mean score by rank, how far it falls to the rank `step` below, and from the rank above (per cent)."""
     by = keywords.groupBy("rank").agg(F.avg("score").alias("mean"), F.count("*").alias("n"))

@@ -21,6 +21,11 @@ def together(docs: DataFrame, key: str) -> DataFrame:
     return docs.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), F.col(key))
 
 
+def once(tf: DataFrame, key: str) -> DataFrame:
+    """tf dealt out by document and term: where several parts of a plan read it, they read this one shuffle, and texts become terms once."""
+    return tf.repartition(int(tf.sparkSession.conf.get("spark.sql.shuffle.partitions")), F.col(key), F.col("term"))
+
+
 def grams(docs: DataFrame, key: str, words: Column, max_n: int) -> DataFrame:
     """(key, gram, n, pos) of every n-gram in the token arrays `words`.
 

@@ -105,6 +105,14 @@ def anchors(names: DataFrame, key: str, cfg: KeywordConfig, counts: DataFrame |
     return names.select(key, F.array_join(text.tokens(title), " ").alias("phrase"), ckey.alias("ckey")).join(t, key, "left").select(key, F.coalesce("token", F.nullif("ckey", F.lit(""))).alias("token"), "phrase", "ckey")
 
 
+def displayed(ranked: DataFrame, names: DataFrame, key: str) -> DataFrame:
+    """ranked(key, term, ...) with `shown`: the title in place of the anchor phrase at a term's start, or the name in its own case in place of its key; names(key, name[, title])."""
+    title = F.coalesce("title", F.lit("")) if "title" in names.columns else F.lit("")
+    forms = names.select(key, text.canonical_key(F.col("name")).alias("_key"), text.display_key(F.col("name")).alias("_shown"), F.array_join(text.tokens(title), " ").alias("_phrase"), F.trim(title).alias("_title"))
+    out = ranked.join(forms, key, "left").withColumn("shown", text.recased(F.col("term"), F.col("_key"), F.col("_shown"), F.col("_phrase"), F.col("_title")))
+    return out.drop("_key", "_shown", "_phrase", "_title")
+
+
 def composed_scores(seeds: DataFrame, anchor: DataFrame, n_docs: DataFrame, df: DataFrame, key: str, cfg: KeywordConfig) -> DataFrame:
     """Composed (key, term, score) from seeds(key, term, order_score, base_score) and anchors(key, phrase, ckey); n_docs has one row."""
     a = anchor.select(key, "phrase", F.col("ckey").alias("token"))
@@ -144,7 +152,7 @@ def sources(docs: DataFrame, posts: DataFrame, names: DataFrame, key: str, cfg:
     if cfg.require_posts:
         with_posts = posts.select(key).distinct()
         docs, names = docs.join(with_posts, key, "left_semi"), names.join(with_posts, key, "left_semi")
-    desc, tf = description_scores(docs, key, cfg, cfg.dynamic_common), posts_terms(posts, key, cfg)
+    desc, tf = description_scores(docs, key, cfg, cfg.dynamic_common), terms.once(posts_terms(posts, key, cfg), key)
     df, n = terms.document_frequency(tf, key), posts_documents(tf, key)
     post = posts_scores(posts, key, cfg, tf).select(key, "term", "n", "df", "score")
     counts = segment.word_counts(docs.select(F.explode(text.tokens(F.col("text"))).alias("word"))) if cfg.segment_by_counts else None
