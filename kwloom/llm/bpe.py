@@ -7,7 +7,7 @@ bytes along; executors need no path.
 A text is cut where no pre-token can reach across; pieces are encoded once and kept in a table of bounded size (`pieces`), since
 prose repeats them.
 
-Cases: a null text counts as empty and gives no ids; repeated rows are encoded each; an empty table gives no rows; very long
+Cases: a null text counts as empty and gives no ids; a null doc_id is an id as any other; repeated rows are encoded each; an empty table gives no rows; very long
 texts are worked on piece by piece; other columns are ignored.
 """
 

@@ -9,8 +9,8 @@ place word by word. The bare phrases are templates that are all key phrase, so t
 Everything is decided within a row: nothing but the licence words' document frequencies is shuffled, so neither copies nor a hot
 source make a large task.
 
-Cases: a null text counts as empty; no words or no licence gives zero counts, empty labels and score 0; repeated rows are scanned
-each; an empty table gives no rows; other columns are ignored.
+Cases: a null text counts as empty; no words or no licence gives zero counts, empty labels and score 0; a null doc_id is an id as any other; repeated
+rows are scanned each; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations

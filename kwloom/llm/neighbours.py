@@ -98,8 +98,9 @@ def search(vectors: DataFrame, queries: str, k: int = K, eps: float = EPS, seed:
     sought = cut(each.join(asked.select(F.col("qid").alias("gid")).distinct(), "gid", "left_semi").select("gid", "embedding"))
     coded, centre = index(each, dim, seed)
     n, m = each.count(), sought.count()
-    # blocks are small enough for every core to have some
-    chunks, groups = n // chunk + 1, max(m // block + 1, min(m // 64 + 1, spark.sparkContext.defaultParallelism))
+    # more blocks than queries ask for only where there are fewer chunks than cores: each block is a copy of all candidates
+    chunks = n // chunk + 1
+    groups = max(m // block + 1, min(m // 64 + 1, -(-spark.sparkContext.defaultParallelism // chunks)))
     part = lambda of: F.pmod(F.xxhash64("gid"), F.lit(of)).cast("int")
     every = lambda of: F.explode(F.sequence(F.lit(0), F.lit(of - 1)))
     left = coded.select("*", part(chunks).alias("chunk"), every(groups).alias("block"))

@@ -11,7 +11,7 @@ The network adds what the patterns don't take: phone numbers without a plus, spe
 with other separators. An added span touches none of the patterns' spans, has a marginal probability under the CRF of SURE or more at its every
 character, and as many digits, parts or the Luhn sum that its kind must have.
 
-Cases: a null text counts as empty; repeated rows are treated each; an empty table gives no rows; a text of any length is worked
+Cases: a null text counts as empty; a null doc_id is an id as any other; repeated rows are treated each; an empty table gives no rows; a text of any length is worked
 on in whole (only its places with digits or @ cost time); other columns are ignored.
 """
 

@@ -9,8 +9,9 @@ A cell of more than `hot` fingerprints isn't paired. Its members go to all point
 most four bits apart share such a midpoint and any two that share one are at most four bits apart, so linking each midpoint's
 members to the smallest of them gives the same components with 2,081 rows a member, whatever the size of the group.
 
-Cases: a null or empty text has fingerprint zero, which links like any other; repeated rows are kept, each with its class; an
-empty table gives an empty result; other columns are ignored.
+Cases: a null or empty text has fingerprint zero, which links like any other; repeated rows are kept, each with its class; a row with a
+null doc_id is in its class as any other but names none: component_id is the smallest id that isn't null, and null in a class without
+one; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -165,10 +166,3 @@ def near_duplicates(docs: DataFrame, hot: int = 512) -> DataFrame:
     smallest = classes.groupBy("root").agg(F.min("least").alias("component_id"))
     named = classes.join(smallest, "root").select("fp", "component_id")
     return rows.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
-
-
-def keep_one(docs: DataFrame) -> DataFrame:
-    """One document of each class of near copies; the pipeline's stage has a rule of its own, see nearcopies."""
-    from . import nearcopies
-
-    return nearcopies.keep_one(docs)

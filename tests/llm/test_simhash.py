@@ -79,9 +79,9 @@ def test_components_of_a_long_path_and_of_nothing(spark):
     assert simhash.components(path.limit(0)).count() == 0
 
 
-def test_keep_one_and_empty_table(spark):
-    kept = simhash.keep_one(docs(spark))
-    fp = {r[0]: fingerprint(r[1]) for r in documents()}
-    assert sorted(r.doc_id for r in kept.collect()) == sorted(set(classes(list(fp.items())).values()))
-    assert kept.columns == docs(spark).columns
+def test_null_ids_and_empty_table(spark):
+    rows = [(None, "alone in its class"), (None, "alone in its class"), (None, "the very same"), (5, "the very same"), (3, "the very same"), (9, "of its own " * 30_000), (None, None), (8, "")]
+    got = sorted(((r.doc_id, r.fingerprint, r.component_id) for r in simhash.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()), key=str)
+    want = [(i, f"{fingerprint(t):016x}", {"alone in its class": None, "the very same": 3}.get(t, 9 if i == 9 else 8)) for i, t in rows]
+    assert got == sorted(want, key=str)
     assert simhash.near_duplicates(none(spark)).count() == 0
