@@ -261,7 +261,7 @@ def test_sidebar_widgets_and_post_awards(spark):
 
     side = """<html><body><div id="right-sidebar-contents">
       <div class="py-md x"><div class="px-md"><h2 class="font-bold">Links</h2><a href="/a"><span class="i18n-translatable-text hidden">no</span><span class="i18n-translatable-text">Yes</span></a>
-        <a href="/b">Wiki page Wiki page Wiki page</a><a href="">none</a></div></div>
+        <a href="/b">Home Home Home</a><a href="">none</a></div></div>
       <div class="py-md"><div class="px-md"><span class="text-12">Community Info</span><div class="i18n-translatable-text a overflow-hidden"><p>One <a href="/x">two</a></p><p></p><p>three</p></div></div></div>
       <div class="py-md"><div class="px-md"><h3 class="text-12">About</h3><p>Some words</p><p>ab</p><button>Join</button>SC_OFF<p>and more</p></div></div>
       <div class="py-md"><div class="px-md"><h3 class="text-12">Rules</h3><p>be kind</p></div></div><div class="py-md"><div class="px-md"><p>untitled</p></div></div></div>
@@ -269,7 +269,7 @@ def test_sidebar_widgets_and_post_awards(spark):
     post = """<shreddit-post post-title="T"><div class="x awards-bar"><span class="award" data-award-id="a1" data-count="3">Gold<img src="/g.png"></span><span class="award big">Plain</span></div><span class="post-flair">Oil</span><span class="author-badge">Mod</span></shreddit-post>"""
     pages = spark.createDataFrame([(1, side), (2, None)], "page int, html string")
     got = {r.page: [(w.title, w.content, [(x.text, x.url) for x in w.links]) for w in r.sidebar_widgets] for r in html.metadata(pages).collect()}
-    assert got == {1: [("Links", None, [("Yes", "/a"), ("Wiki page", "/b")]), ("Community Info", "One two\n\nthree", []), ("About", "Some words and more", [])], 2: []}
+    assert got == {1: [("Links", None, [("Yes", "/a"), ("Home", "/b")]), ("Community Info", "One two\n\nthree", []), ("About", "Some words and more", [])], 2: []}
     r = html.post_details(spark.createDataFrame([(1, post)], "page int, html string")).first()
     assert [tuple(a) for a in r.awards] == [("a1", "3", "Gold", "/g.png"), ("", "", "Plain", None)] and (r.flair, r.badges) == (["Oil"], ["Mod"])
     many = spark.createDataFrame([(i, f"<h1>{i}</h1>" if i % 2 else "") for i in range(50)], "page_id int, html string")
