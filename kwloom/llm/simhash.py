@@ -127,10 +127,10 @@ def links(fps: DataFrame, hot: int = 512) -> DataFrame:
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """node and root (the smallest node reachable) of the graph edges(a, b), by alternating large-star and small-star steps.
 
-    Each step links a node's neighbours to its smallest one; the edges end as stars. Nothing is gathered on the driver but a
-    sum that tells whether a round changed anything. Each round is cut, so lineage stays short.
+    Each step links a node's neighbours to its smallest one; the edges end as stars. Nothing is gathered on the driver but
+    whether they have. Edges that are stars from the start take no round. Each round is cut, so lineage stays short.
     """
-    edges = cut(edges.filter("a <> b").select("a", "b").distinct())
+    edges = cut(edges.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
 
     def star(pairs: DataFrame, large: bool) -> DataFrame:
         # pairs (u, v): v are neighbours of u; m is the smallest of u and all of them
@@ -139,18 +139,21 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         out = linked.filter("v > u").select(F.col("v").alias("x"), "m") if large else linked.select(F.col("v").alias("x"), "m").unionByName(linked.select(F.col("u").alias("x"), "m"))
         return out.filter("x <> m").distinct()
 
-    seen = None
-    for _ in range(rounds):
+    def stars() -> bool:
+        # whether each node hangs on one smaller node, and on none that hangs itself
+        ends = edges.select(F.explode(F.array(F.struct(F.col("a").alias("node"), F.lit(0).alias("up")), F.struct(F.col("b").alias("node"), F.lit(1).alias("up")))).alias("e"))
+        nodes = ends.groupBy("e.node").agg(F.sum("e.up").alias("up"), F.count("*").alias("n"))
+        return nodes.agg(F.coalesce(F.max((F.col("up") > 1) | ((F.col("up") > 0) & (F.col("n") > F.col("up")))), F.lit(False))).first()[0] is False
+
+    for at in range(rounds + 1):
+        if stars():
+            break
+        if at == rounds:
+            raise RuntimeError(f"components: not settled after {rounds} rounds")
         both = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(edges.select(F.col("b").alias("u"), F.col("a").alias("v")))
         grown = star(both, large=True).select(F.greatest("x", "m").alias("u"), F.least("x", "m").alias("v"))
         edges = cut(star(grown, large=False).select(F.col("m").alias("a"), F.col("x").alias("b")))
-        state = tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
-        if state == seen:
-            break
-        seen = state
-    else:
-        raise RuntimeError(f"components: not settled after {rounds} rounds")
-    return edges.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("root"))
+    return edges.select(F.col("b").alias("node"), F.col("a").alias("root"))
 
 
 def near_duplicates(docs: DataFrame, hot: int = 512) -> DataFrame:

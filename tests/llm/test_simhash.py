@@ -85,3 +85,15 @@ def test_null_ids_and_empty_table(spark):
     want = [(i, f"{fingerprint(t):016x}", {"alone in its class": None, "the very same": 3}.get(t, 9 if i == 9 else 8)) for i, t in rows]
     assert got == sorted(want, key=str)
     assert simhash.near_duplicates(none(spark)).count() == 0
+
+
+def test_components_of_stars_take_no_round(spark, monkeypatch):
+    steps = []
+    whole = simhash.cut
+    monkeypatch.setattr(simhash, "cut", lambda df: steps.append(1) or whole(df))
+    edges = spark.createDataFrame([(1, 2), (1, 3), (5, 4), (7, 7), (1, 2)], "a long, b long")
+    assert {(x.node, x.root) for x in simhash.components(edges).collect()} == {(2, 1), (3, 1), (5, 4)}
+    assert len(steps) == 1
+    chain = spark.createDataFrame([(i, i + 1) for i in range(40)], "a long, b long")
+    assert {(x.node, x.root) for x in simhash.components(chain).collect()} == {(i, 0) for i in range(1, 41)}
+    assert simhash.components(chain.limit(0)).count() == 0
