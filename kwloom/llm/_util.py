@@ -6,12 +6,13 @@ import atexit
 import shutil
 import tempfile
 import uuid
-from contextlib import contextmanager
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..sources.storage import released  # noqa: F401
+
 #: Bytes of a text that are not part of a word: ASCII except letters and digits; A-Z become a-z.
 WORD_TABLE = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256))
 
@@ -51,21 +52,6 @@ def remove(spark: SparkSession, path: str) -> None:
     at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
-@contextmanager
-def released(spark: SparkSession):
-    """Within it, a query's shuffle files go when it has ended, as Spark's own setting for that says: for steps that each end in a checkpoint or a written table."""
-    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = spark.conf.get(name, None)
-    spark.conf.set(name, "true")
-    try:
-        yield
-    finally:
-        if before is None:
-            spark.conf.unset(name)
-        else:
-            spark.conf.set(name, before)
-
-
 def cut(df: DataFrame) -> DataFrame:
     """The rows of df, computed once and kept in the shared folder, so a lost executor costs no recomputation."""
     sc = df.sparkSession.sparkContext

@@ -35,3 +35,27 @@ def test_few_terms_of_a_document_meet_the_frequencies(spark):
     df = terms.document_frequency(tf, "doc_id")
     often = df.filter("df > 1")
     assert terms.candidates(tf, often, 1, 30, cfg, "doc_id", 2).count() < tf.count() / 10
+
+
+def test_top_is_read_from_what_was_written_once(spark, tmp_path):
+    docs = spark.createDataFrame([(i, f"alpha beta w{i}a. w{i}b alpha beta gamma") for i in range(40)], "doc_id int, text string")
+    before = spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", None)
+    got = plans.description_top(docs, "doc_id", CFG, 3, f"file://{tmp_path}/work")
+    assert sorted(p.name for p in (tmp_path / "work").iterdir() if not p.name.startswith(".")) == ["top"]
+    shown = got._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in shown and "Aggregate" not in shown
+    assert got.count() == 120 and spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", None) == before
+
+
+def test_known_scores_leave_fewer_terms_to_rank(spark):
+    # a phrase of one document may be one of two as long as its frequency isn't known
+    docs = spark.createDataFrame([(i, f"shared rare shared rare lone{i}x. " + " ".join(f"u{i}v{j} and" for j in range(3)) + f" q{i}a q{i}b q{i}c q{i}d q{i}e") for i in range(40)], "doc_id int, text string")
+    tf = plans.description_terms(docs, "doc_id", CFG)
+    df = terms.document_frequency(tf, "doc_id")
+    some = terms.candidates(tf, df.limit(0), 40, 40, CFG, "doc_id", 2)
+    scored = terms.tfidf(some, df, 40, CFG)
+    left = terms.reaching(scored, CFG)
+    assert left.columns == [c for c in scored.columns if c != "floor"]
+    assert left.count() < scored.count()
+    shown = lambda d: sorted(map(str, terms.top_k(terms.ensure_phrases(d, "doc_id", CFG), "doc_id", 2).select("doc_id", "rank", "term", "score").collect()))
+    assert shown(left) == shown(terms.tfidf(tf, df, 40, CFG))
