@@ -6,11 +6,12 @@ context) * P(token | group). The first two factors are softmaxes over the log sh
 features: the word before, the two before, the word two before (a skip), the classes of the three before. The last is the token's smoothed share
 of its group's counts (an unseen word has what one more word with no count would have), so the scores are probabilities and no word is left out.
 
-Learning: the training documents are dealt by a hash of their text to a first round (14 of 16) and two more (1 of 16 each). A round's gradient
-is summed on the executors, by blocks of weights and in two steps, and the driver takes one step, scaled per weight by its counts. The first
-round starts from zero weights, where the expectation is the shares whatever the context, so its gradient needs the counts of (feature, class) alone and its step
-can be a whole Newton step; the others refine it by full softmax gradients. Counts of words grow with the corpus and stay in tables; the table of weights
-is hashed to 2**BITS rows. Only weights, shares and the `common` most frequent words (all bounded) are broadcast; the counts of all other words meet the documents in a join.
+Learning: a first round counts every training document, from zero weights, where the expectation is the shares whatever the context, so its gradient
+needs the counts of (feature, class) alone and its step can be a whole Newton step. Then the training documents are dealt by a hash of their text to ROUNDS
+rounds, each of which refines the weights by the full softmax gradient over all its documents: every training document is in the counts and in one gradient. A round's
+sums are made on the executors, by blocks of weights and in two steps, and the driver takes one step, scaled per weight by its counts. Counts of words grow
+with the corpus and stay in tables; the table of weights is hashed to 2**BITS rows. Only weights, shares and the `common` most frequent words (all bounded)
+are broadcast; the counts of all other words meet the documents in a join.
 
 Two words of one 64-bit hash would count as one: with a thousand million distinct words that happens to some pair with a chance of 3 in 100.
 
@@ -31,7 +32,7 @@ from ._util import HashTable, SpanHasher, blocks, cut, mix, modest_batches, rema
 
 CLASSES, GROUPS, BITS, COMMON = 32, 16, 16, 1 << 18
 ENDINGS, NEIGHBOURS = 12, 6  # bits of a hashed word ending, and of that of the word before it
-PARTS, BLOCKS, FOLD, SLICE, PER_TASK = (14, 1, 1), 256, 256, 1 << 13, 4_000_000
+ROUNDS, BLOCKS, FOLD, SLICE, WIDE, PER_TASK = 2, 256, 256, 1 << 13, 1 << 16, 4_000_000
 #: How far the first step goes for each feature, and how many tokens a feature must outweigh.
 RATES, PRIOR, STEP = (0.5, 0.2, 0.3, 0.5), 5.0, 0.2
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else 32 if 9 <= b <= 13 else b for b in range(256))
@@ -147,16 +148,21 @@ class Model:
         """Add expectation less observation under the present weights."""
         classes, groups = self.place(hashes, endings)
         outer, inner = self.rows(hashes, classes, starts)
-        for at in range(0, len(hashes), SLICE):
-            s = slice(at, at + SLICE)
-            for total, (logits, right, rows) in zip(sums, self._factors(outer[s], inner[s], classes[s], groups[s]), strict=True):
-                p = np.exp(logits)
-                p /= p.sum(1, keepdims=True)
-                p[np.arange(len(p)), right] -= 1
-                flat = rows.ravel()
-                order = np.argsort(flat, kind="stable")
-                own, first = np.unique(flat[order], return_index=True)
-                total[own] += np.add.reduceat(p[order // rows.shape[1]], first, axis=0)
+        for lo in range(0, len(hashes), WIDE):
+            hi = min(lo + WIDE, len(hashes))
+            found = np.empty((CLASSES, hi - lo)), np.empty((GROUPS, hi - lo))
+            for at in range(lo, hi, SLICE):
+                s = slice(at, min(at + SLICE, hi))
+                for p, (logits, right, _) in zip(found, self._factors(outer[s], inner[s], classes[s], groups[s]), strict=True):
+                    np.exp(logits, out=logits)
+                    logits /= logits.sum(1, keepdims=True)
+                    logits[np.arange(len(right)), right] -= 1
+                    p[:, at - lo : s.stop - lo] = logits.T
+            # a column at a time: the features' rows are counted with the column's values as weights
+            for total, p, rows in zip(sums, found, (outer, inner), strict=True):
+                flat = rows[lo:hi].T.ravel()
+                for c, values in enumerate(p):
+                    total[:, c] += np.bincount(flat, np.tile(values, rows.shape[1]), len(total))
 
     def first_step(self, sums: tuple[np.ndarray, np.ndarray]) -> None:
         """From zero weights: the logarithm of each count over what the shares expect, at the rate of the feature."""
@@ -168,7 +174,7 @@ class Model:
                 part *= rate
 
     def step(self, sums: tuple[np.ndarray, np.ndarray], part: float) -> None:
-        """One gradient step from a part of the documents, given as a share of those of the first."""
+        """One gradient step from a part of the documents, given as a share of those counted."""
         for weights, g, n in zip((self.outer, self.inner), sums, self.counts, strict=True):
             weights -= STEP * g / (n * part + PRIOR)
 
@@ -271,18 +277,13 @@ def _summed(learn: DataFrame, model: Model, first: bool) -> tuple[np.ndarray, np
 def train(docs: DataFrame, counts: DataFrame, bits: int = BITS) -> Model:
     """The model of the training documents of docs(doc_id, text); counts: what word_counts makes of them."""
     model = prepared(counts, bits)
-    part = F.pmod(F.xxhash64("text"), F.lit(sum(PARTS)))
     # every task hands on a whole table of sums: small partitions are read by one task, so that tables stay few beside the texts
     tasks = max(docs.sparkSession.sparkContext.defaultParallelism, int(model.mass.sum()) // PER_TASK + 1)
     learn = docs.filter(remainder("doc_id", 10) != 0).coalesce(tasks)
-    low = 0
-    for i, size in enumerate(PARTS):
-        sums = _summed(learn.filter((part >= low) & (part < low + size)), model, i == 0)
-        if i == 0:
-            model.first_step(sums)
-        else:
-            model.step(sums, size / PARTS[0])
-        low += size
+    model.first_step(_summed(learn, model, True))
+    mine = F.pmod(F.xxhash64("text"), F.lit(ROUNDS))
+    for i in range(ROUNDS):
+        model.step(_summed(learn.filter(mine == i), model, False), 1 / ROUNDS)
     del model.counts
     return model
 

@@ -240,6 +240,20 @@ def test_perplexity_gradients_match_differences():
         assert abs((down - up) / 2e-2 - g[row, col]) < 1e-2
 
 
+def test_every_training_document_is_counted_and_in_one_softmax_gradient(spark, monkeypatch):
+    rounds, whole = [], perplexity._summed
+
+    def summed(learn, model, first):
+        rounds.append((first, sorted(r.text or "" for r in learn.select("text").collect())))
+        return whole(learn, model, first)
+
+    monkeypatch.setattr(perplexity, "_summed", summed)
+    perplexity.train(docs(spark), perplexity.word_counts(docs(spark)))
+    learnt = sorted(r[1] or "" for r in documents() if held(r[0], 10))
+    assert [t for first, t in rounds if first] == [learnt]
+    assert sorted(x for first, t in rounds if not first for x in t) == learnt
+
+
 def test_perplexity_learns_from_every_word_and_counts_like_a_dictionary(spark):
     counts = perplexity.word_counts(docs(spark)).toPandas()
     words = counts[counts.ending >= 0]
