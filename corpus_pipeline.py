@@ -21,8 +21,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near copies (five-word shingles, Jaccard 0.8), that with the smallest doc_id."""
-    return nearcopies.keep_one(docs)
+    """One document of each class of near copies (SimHash at four bits, and five-word shingles at Jaccard 0.8), that with the smallest doc_id."""
+    return nearcopies.keep_one(docs, fingerprints=True)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

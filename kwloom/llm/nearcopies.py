@@ -1,7 +1,10 @@
-"""Near copies by an exact set-similarity join on word shingles: the pipeline's near-duplicate stage.
+"""Near copies by SimHash and by an exact set-similarity join on word shingles: the pipeline's near-duplicate stage.
+
+The stage begins with the classes of `simhash.near_duplicates`: fingerprints of four-word shingles at four or fewer differing bits, by the segment-popcount
+embedding. The join then adds what such fingerprints miss, and compares no texts that are in one class already: classes are the components of both kinds of links.
 
 Words are runs of anything but ASCII white space, A-Z in lower case; a text's set holds its runs of WORDS words (all its words if
-it has fewer). Two texts are linked if their sets' Jaccard similarity is 0.8 or more; classes are the components of the links.
+it has fewer). The join links two texts if their sets' Jaccard similarity is 0.8 or more.
 
 Of sets of a and b members with that similarity, each one's first n - ceil(0.8 n) + 1 members in an order common to all sets
 (the prefix) share a member, and the first one shared stands so early that what follows can still make 4/9 (a + b) common
@@ -26,7 +29,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ._util import SpanHasher, blocks, cut, fresh, mix, modest_batches, released, remove, scratch, word_spans
-from .simhash import components
+from .simhash import components, near_duplicates
 
 WORDS, SAMPLE, COMMON, ROUNDS, LARGE, BLOCK, SKETCH, ROWS = 5, 8, 1 << 20, 2, 32, 512, 1024, 1_000
 
@@ -200,13 +203,20 @@ def _joined(cells: DataFrame, roots: DataFrame) -> DataFrame:
     return left.join(several, "sh")
 
 
-def links(docs: DataFrame, sample: int = SAMPLE, most: int = COMMON, rounds: int = ROUNDS, large: int = LARGE, block: int = BLOCK) -> DataFrame:
-    """Edges (a, b) between the keys of docs(key, text) whose components are those of all similar pairs."""
+def by_fingerprints(docs: DataFrame) -> DataFrame:
+    """Edges (a, b) between the keys of docs(key, text): each text's to the smallest of its SimHash class."""
+    found = near_duplicates(docs.select(F.col("key").alias("doc_id"), "text"))
+    return cut(found.filter("doc_id <> component_id").select(F.col("component_id").alias("a"), F.col("doc_id").alias("b")).distinct())
+
+
+def links(docs: DataFrame, sample: int = SAMPLE, most: int = COMMON, rounds: int = ROUNDS, large: int = LARGE, block: int = BLOCK, linked: DataFrame | None = None) -> DataFrame:
+    """Edges (a, b) between the keys of docs(key, text) whose components are those of all similar pairs and of linked(a, b), where given."""
     cell = Window.partitionBy("sh")
     rows = _prefixes(docs, _common(docs, sample, most))
     rows = rows.withColumn("least", F.min("key").over(cell)).withColumn("last", F.max("key").over(cell))
     cells = cut(rows.filter("least < last").dropDuplicates(["sh", "key"]).select("sh", "key", "n", "at"))
-    edges = tested = None
+    edges, tested = linked, None
+    roots = None if linked is None else components(linked).select(F.col("node").alias("key"), "root")
     for _ in range(rounds):
         # in each cell all texts of other components meet one: that with most links so far, the smallest of equals
         if edges is None:
@@ -221,7 +231,8 @@ def links(docs: DataFrame, sample: int = SAMPLE, most: int = COMMON, rounds: int
         pairs = meet.select(F.least("key", "to_key").alias("a"), F.greatest("key", "to_key").alias("b")).distinct()
         pairs = cut(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"))
         found = _alike(pairs, docs)
-        edges, tested = (found, pairs) if edges is None else (edges.unionByName(found), tested.unionByName(pairs))
+        edges = found if edges is None else edges.unionByName(found)
+        tested = pairs if tested is None else tested.unionByName(pairs)
         roots = components(edges).select(F.col("node").alias("key"), "root")
     # of the texts that a cell holds then, those of two components meet where the cell's member can be the first that they share
     left = cut(_joined(cells, roots))
@@ -237,17 +248,21 @@ def links(docs: DataFrame, sample: int = SAMPLE, most: int = COMMON, rounds: int
     return edges.unionByName(_alike(more, docs))
 
 
-def keep_one(docs: DataFrame, sample: int = SAMPLE, most: int = COMMON) -> DataFrame:
-    """Of each class of near copies the document with the smallest doc_id (of texts that share it, one); of repeated rows one stays."""
+def keep_one(docs: DataFrame, sample: int = SAMPLE, most: int = COMMON, fingerprints: bool = False) -> DataFrame:
+    """Of each class of near copies the document with the smallest doc_id (of texts that share it, one); of repeated rows one stays.
+
+    fingerprints: copies by SimHash are in one class too; else classes are those of the join alone.
+    """
     modest_batches(docs.sparkSession)
     with released(docs.sparkSession):
-        return _kept(docs, sample, most)
+        return _kept(docs, sample, most, fingerprints)
 
 
-def _kept(docs: DataFrame, sample: int, most: int) -> DataFrame:
+def _kept(docs: DataFrame, sample: int, most: int, fingerprints: bool) -> DataFrame:
     own, kept_id, kept_key, times = (fresh(docs, c) for c in ("_text_key", "_kept_id", "_kept_key", "_rows"))
     keyed = docs.withColumn(own, text_key())
-    roots = components(links(docs.select(text_key().alias("key"), "text"), sample, most)).select(F.col("node").alias("key"), "root")
+    texts = docs.select(text_key().alias("key"), "text")
+    roots = components(links(texts, sample, most, linked=by_fingerprints(texts) if fingerprints else None)).select(F.col("node").alias("key"), "root")
     rows = docs.select("doc_id", text_key().alias("key")).groupBy("key", "doc_id").agg(F.count("*").alias("rows"))
     texts = rows.groupBy("key").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key", "rows")).alias("first"))
     kept = texts.join(roots, "key", "left").groupBy(F.coalesce("root", "key").alias("root")).agg(F.min("first").alias("first"))

@@ -5,6 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from kwloom.llm import nearcopies, simhash
 
 from .fixtures import docs, none
@@ -129,3 +130,13 @@ def test_a_family_below_the_threshold_makes_few_rows(spark):
             for y in mine[i + 1 :]:
                 if 9 * min(x.n - x.at, y.n - y.at) >= 4 * (x.n + y.n) and 9 * len(sets[x.key] & sets[y.key]) >= 4 * (x.n + y.n):
                     assert (min(x.key, y.key), max(x.key, y.key)) in found
+
+
+def test_the_stage_takes_copies_by_fingerprint_too(spark):
+    # what repeats decides the fingerprint, what doesn't the sets
+    base = "one two three four five " * 200
+    rows = [(i, base + " ".join(f"t{i}w{j}" for j in range(40))) for i in (4, 2, 7)] + [(1, "a text of its own that nothing is like at all"), (5, base + "and a tail " * 3)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert {r.component_id for r in simhash.near_duplicates(df.filter("doc_id <> 1")).collect()} == {2}
+    assert set(kept_ids(rows)) == {i for i, _ in rows}
+    assert sorted(r.doc_id for r in corpus_pipeline.drop_near_duplicates(spark, df, "").collect()) == [1, 2]
