@@ -62,18 +62,22 @@ def features(texts: list[str | None], hasher: SpanHasher, bits: int = BITS) -> t
     return hashed[order], np.searchsorted(owner[order], np.arange(len(texts) + 1))
 
 
+def counted(batches, bits: int = BITS):
+    """For batches of (key, text, label) those of (key, toxic, at): the distinct features of each text, found for a block of texts at a time."""
+    hasher = SpanHasher()
+    for b in batches:
+        keys, marks, texts = b.column("key"), b.column("label"), b.column("text").to_pylist()
+        for first, last in blocks(texts):
+            at, starts = features(texts[first:last], hasher, bits)
+            found = [np.unique(at[s:e]).astype(np.int32).tobytes() for s, e in zip(starts, starts[1:], strict=False)]
+            yield pa.RecordBatch.from_arrays([keys.slice(first, last - first), marks.slice(first, last - first), pa.array(found, pa.binary())], ["key", "toxic", "at"])
+
+
 def train(docs: DataFrame, labels: DataFrame, rows: int = ROWS, size: int = SIZE, bits: int = BITS, epochs: int = 4) -> tuple[np.ndarray, np.ndarray, float]:
     """Feature numbers and weights that are not zero, and the bias, learnt from labelled documents outside the held-out quarter."""
+    modest_batches(docs.sparkSession)
     texts = labelled(docs, labels, "toxic", remainder("doc_id", 4) != 2, rows, size)
-
-    def count(batches):
-        hasher = SpanHasher()
-        for b in batches:
-            at, starts = features(b.column("text").to_pylist(), hasher, bits)
-            found = [np.unique(at[s:e]).astype(np.int32) for s, e in zip(starts, starts[1:], strict=False)]
-            yield pa.RecordBatch.from_arrays([b.column("key"), b.column("label"), pa.array([f.tobytes() for f in found], pa.binary())], ["key", "toxic", "at"])
-
-    sample = texts.mapInArrow(count, "key bigint, toxic int, at binary").toPandas()
+    sample = texts.mapInArrow(lambda batches: counted(batches, bits), "key bigint, toxic int, at binary").toPandas()
     order = sorted(range(len(sample)), key=lambda i: (int(sample.key[i]), sample["at"][i]))
     model = Ftrl(bits)
     for _ in range(epochs):

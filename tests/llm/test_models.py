@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from kwloom.llm import language, license, neighbours, perplexity, pii, toxicity
@@ -41,6 +42,23 @@ def test_toxicity(spark):
     assert {x.score for x in toxicity.toxicity(d, labels.limit(0)).collect()} == {0.0}
 
 
+def test_toxicity_learns_from_a_block_of_texts_at_a_time(monkeypatch):
+    texts = [None, "", *[f"w{i} v{i} " * 500 for i in range(600)], "z " * 300_000, "last one"]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array([i % 2 for i in range(len(texts))]), pa.array(texts)], ["key", "label", "text"])
+    whole, seen = toxicity.features, []
+    at, starts = whole(texts, SpanHasher())
+
+    def noted(some, *rest):
+        seen.append(max(sum(len(t or "") for t in some[:-1]), 0))
+        return whole(some, *rest)
+
+    monkeypatch.setattr(toxicity, "features", noted)
+    got = [r for b in toxicity.counted([batch]) for r in b.to_pylist()]
+    assert max(seen) < 1 << 18 and len(seen) > 10
+    assert [r["key"] for r in got] == list(range(len(texts))) and [r["toxic"] for r in got] == [i % 2 for i in range(len(texts))]
+    assert [r["at"] for r in got] == [np.unique(at[s:e]).astype(np.int32).tobytes() for s, e in zip(starts, starts[1:], strict=False)]
+
+
 def test_labelled_rows_are_bounded(spark):
     """One id with very many rows, and long texts: at most `rows` rows and `size` bytes are learnt from, of each (id, text) one."""
     hot = spark.createDataFrame([(1, f"text {i % 5000}") for i in range(20_000)] + [(2, "x" * 1000), (2, "x" * 1000), (3, "y" * 10), (4, None), (None, "z"), (5, "no label")], "doc_id bigint, text string")
