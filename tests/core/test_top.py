@@ -8,7 +8,7 @@ from dataclasses import replace
 import pytest
 
 from kwloom.config import KeywordConfig
-from kwloom.operators import terms
+from kwloom.operators import bloom, terms
 from kwloom.plans import keywords as plans
 
 CFG = KeywordConfig()
@@ -59,3 +59,37 @@ def test_known_scores_leave_fewer_terms_to_rank(spark):
     assert left.count() < scored.count()
     shown = lambda d: sorted(map(str, terms.top_k(terms.ensure_phrases(d, "doc_id", CFG), "doc_id", 2).select("doc_id", "rank", "term", "score").collect()))
     assert shown(left) == shown(terms.tfidf(tf, df, 40, CFG))
+
+
+@pytest.mark.parametrize("cfg", [CFG, replace(CFG, desc_generic_phrase_ratio=0.5), replace(CFG, min_df_bigram=3, min_df_trigram=2), replace(CFG, max_ngram=1)])
+def test_frequencies_counted_in_steps_are_those_of_all_terms(spark, tmp_path, cfg):
+    r = random.Random(3)
+    docs = spark.createDataFrame([(i % 70 or None, " ".join(f"w{int(r.paretovariate(0.7)) % 90}" + r.choice(["", ".", " the"]) for _ in range(25))) for i in range(80)], "doc_id int, text string")
+    every = {x.term: x.df for x in terms.document_frequency(plans.description_terms(docs, "doc_id", cfg), "doc_id").collect()}
+    got = plans.description_frequencies(docs, "doc_id", cfg, f"file://{tmp_path}/df", parts=7, steps=3).collect()
+    least = min(cfg.min_df_bigram, cfg.min_df_trigram) if cfg.desc_generic_phrase_ratio is None else 1
+    assert len(got) == len({x.term for x in got})
+    assert {x.term: x.df for x in got} == {t: n for t, n in every.items() if " " not in t or n >= least}
+
+
+def test_phrases_of_one_document_do_not_meet_the_frequencies(spark):
+    docs = spark.createDataFrame([(i, " ".join(f"c{j}x" for j in range(60)) + " . " + " ".join(f"q{i}v{j}" for j in range(60))) for i in range(30)], "doc_id int, text string")
+    cfg = replace(CFG, desc_generic_ratio=None)
+    tf = plans.description_terms(docs, "doc_id", cfg)
+    df = terms.document_frequency(tf, "doc_id")
+    often, kept = df.filter("df > 1 and term not like '% %'"), df.filter("df > 1 and term like '% %'")
+    # every document's 60 words of its own have the largest scores for sure; a phrase of its own might have a larger one if it were in two
+    plain = terms.candidates(tf, often, 1, 30, cfg, "doc_id", 25)
+    few = terms.candidates(tf, often, 1, 30, cfg, "doc_id", 25, (bloom.of(kept, "term", 16), 16))
+    own = "n > 1 and term like 'q%'"
+    assert plain.filter(own).count() == 30 * (59 + 58) and few.filter(own).count() < 30
+    assert few.filter("n = 1").count() == plain.filter("n = 1").count()
+
+
+def test_bloom_filters_lose_no_value(spark):
+    held = spark.range(3000).selectExpr("concat('v', id) v")
+    bits = bloom.bits_for(3000)
+    asked = spark.range(9000).selectExpr("concat('v', id) v").union(spark.createDataFrame([(None,)], "v string"))
+    got = {r.v for r in bloom.marked(asked, "v", bloom.of(held, "v", bits), bits, "may").filter("may").collect()}
+    assert {f"v{i}" for i in range(3000)} <= got and len(got) < 3300
+    assert bloom.bits_for(10**12) == bloom.MOST and bloom.marked(asked, "v", bloom.of(held.limit(0), "v", 10), 10, "may").filter("may").count() == 0
