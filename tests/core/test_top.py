@@ -8,7 +8,7 @@ from dataclasses import replace
 import pytest
 
 from kwloom.config import KeywordConfig
-from kwloom.operators import bloom, terms
+from kwloom.operators import bloom, subjects, terms
 from kwloom.plans import keywords as plans
 
 CFG = KeywordConfig()
@@ -93,3 +93,8 @@ def test_bloom_filters_lose_no_value(spark):
     got = {r.v for r in bloom.marked(asked, "v", bloom.of(held, "v", bits), bits, "may").filter("may").collect()}
     assert {f"v{i}" for i in range(3000)} <= got and len(got) < 3300
     assert bloom.bits_for(10**12) == bloom.MOST and bloom.marked(asked, "v", bloom.of(held.limit(0), "v", 10), 10, "may").filter("may").count() == 0
+
+
+def test_a_filter_of_subjects_is_looked_up_by_place(spark):
+    words = subjects.bloom(spark.createDataFrame([("a b",)], "s string"), "s", 12).first().words
+    assert isinstance(words, list) and len(words) == (1 << 12) // 64 and 1 <= sum(bin(w & (1 << 64) - 1).count("1") for w in words) <= bloom.HASHES
