@@ -10,6 +10,7 @@ import pytest
 from kwloom.config import KeywordConfig
 from kwloom.operators import bloom, subjects, terms
 from kwloom.plans import keywords as plans
+from kwloom.sources import storage
 
 CFG = KeywordConfig()
 CASES = [(CFG, 25, 5), (CFG, 3, 40), (CFG, 4, 100_000), (replace(CFG, desc_generic_phrase_ratio=0.02), 4, 30), (replace(CFG, min_df_bigram=1, min_df_trigram=3), 5, 20)]
@@ -98,3 +99,27 @@ def test_bloom_filters_lose_no_value(spark):
 def test_a_filter_of_subjects_is_looked_up_by_place(spark):
     words = subjects.bloom(spark.createDataFrame([("a b",)], "s string"), "s", 12).first().words
     assert isinstance(words, list) and len(words) == (1 << 12) // 64 and 1 <= sum(bin(w & (1 << 64) - 1).count("1") for w in words) <= bloom.HASHES
+
+
+def test_words_dealt_out_once_are_counted_without_another_shuffle_of_texts(spark, tmp_path):
+    docs = spark.createDataFrame([(i % 9 or None, f"alpha beta w{i}a. w{i % 4}b alpha beta gamma") for i in range(40)], "doc_id int, text string")
+    store = storage.Store(spark, f"file://{tmp_path}/work")
+    with storage.dealt(plans.description_words(docs, "doc_id", CFG), "doc_id", 4, store, "words") as words:
+        got = plans.description_terms(docs, "doc_id", CFG, words=words)
+        assert "Exchange" not in got._jdf.queryExecution().executedPlan().toString()
+        assert sorted(map(str, got.collect())) == sorted(map(str, plans.description_terms(docs, "doc_id", CFG).collect()))
+    assert not store.exists("words") and not [t for t in spark.catalog.listTables() if t.name.startswith("kwloom_")]
+
+
+def test_most_frequent_terms_are_all_or_none_of_a_frequency(spark):
+    df = spark.createDataFrame([("a", 9), ("b", 4), ("c", 4), ("d", 1)], "term string, df bigint")
+    shown = [(sorted(r.term for r in often.collect()), most) for often, most in (terms.most_frequent(df, n) for n in (0, 1, 2, 3, 4, 9))]
+    assert shown == [([], 9), (["a"], 4), (["a"], 4), (["a", "b", "c"], 1), (["a", "b", "c", "d"], 1), (["a", "b", "c", "d"], 1)]
+    assert terms.most_frequent(df.limit(0), 3)[1] == 1
+
+
+@pytest.mark.parametrize("texts", [[], [None, "", "the of"]])
+def test_top_of_documents_without_terms_is_empty(spark, tmp_path, texts):
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id int, text string")
+    got = plans.description_top(docs, "doc_id", CFG, 3, f"file://{tmp_path}/work")
+    assert got.collect() == [] and sorted(got.columns) == sorted(["doc_id", "rank", "term", "n", "tf", "pos", "df", "score"])
