@@ -13,7 +13,7 @@ from kwloom.config import KeywordConfig
 from kwloom.functions import text
 from kwloom.operators import quality, subjects, terms
 from kwloom.plans import keywords as plans
-from kwloom.sources import filechecks, files, lookup, manifests, snapshots
+from kwloom.sources import filechecks, files, html, lookup, manifests, snapshots
 from kwloom.sources.storage import Store
 from kwloom.sources.warehouse_store import Conflict, Warehouse
 from kwloom.streaming.frequency_cache import FrequencyCache, Refused
@@ -274,3 +274,10 @@ def test_sidebar_widgets_and_post_awards(spark):
     assert [tuple(a) for a in r.awards] == [("a1", "3", "Gold", "/g.png"), ("", "", "Plain", None)] and (r.flair, r.badges) == (["Oil"], ["Mod"])
     many = spark.createDataFrame([(i, f"<h1>{i}</h1>" if i % 2 else "") for i in range(50)], "page_id int, html string")
     assert sorted((x.page_id, x.heading) for x in html.page_parts(many).collect()) == [(i, str(i) if i % 2 else "") for i in range(50)]
+
+
+def test_bodies_of_comments_are_found_without_an_expression_for_each(monkeypatch):
+    page = "".join(f"<shreddit-comment thingid='{i}'><div id='x{i}-post-rtjson-content'>no</div><div id='{i}{more}-post-rtjson-content'>yes</div></shreddit-comment>" for i, more in (("a.b", ""), ("a(b", "-1"), ("c", "\n"), ("", "")))
+    root = html.parse(page)
+    monkeypatch.setattr(html.re, "match", lambda *_: pytest.fail("an expression for a comment"))
+    assert [c["text"] for c in html._comments(root)] == ["yes", "yes", "", ""]
