@@ -281,3 +281,13 @@ def test_bodies_of_comments_are_found_without_an_expression_for_each(monkeypatch
     root = html.parse(page)
     monkeypatch.setattr(html.re, "match", lambda *_: pytest.fail("an expression for a comment"))
     assert [c["text"] for c in html._comments(root)] == ["yes", "yes", "", ""]
+
+
+def test_output_files_are_written_by_several_tasks(spark, tmp_path, monkeypatch):
+    from kwloom import catalog
+
+    spark.range(24).selectExpr("id s_suppkey", "concat('S', id) s_name").coalesce(1).write.parquet(f"{tmp_path}/in/supplier.parquet")
+    monkeypatch.setattr(catalog, "shared_folder", lambda spark, name: f"file://{tmp_path}/{name}")
+    got = {r.n: r.state for r in catalog.output_states(spark, f"{tmp_path}/in").collect()}
+    assert got == {n: "broken" if n % 3 == 0 else "valid" for n in range(24)}
+    assert len({p.name.split("-")[1] for p in (tmp_path / "outputs").glob("n=*/part-*")}) > 1
