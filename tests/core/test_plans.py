@@ -109,3 +109,17 @@ def test_leaks_and_sources(spark):
     assert {(r.name, r["rank"]) for r in ops.best_ranks(ranked, True).collect()} == {("a", 1)} and ops.best_ranks(ranked).count() == 2
     hashes = {r.key_hash for r in (warehouse.key_set_hash(spark.createDataFrame([(x,) for x in xs], "k string"), "k").first() for xs in (["a", "b"], ["b", "a", "a"]))}
     assert len(hashes) == 1
+
+
+def test_compositions_of_posts_are_written_in_steps_that_go(spark, tmp_path):
+    from kwloom.sources.storage import Store
+
+    cfg = KeywordConfig(compose_min_base=0.0)
+    posts = spark.createDataFrame([(c, p, f"engine oil change number{c} engine oil filter w{p}x", 3, 1, 0.5, False) for c in range(6) for p in range(3)], "doc_id int, post int, text string, score int, comments int, age_days double, is_promoted boolean")
+    names = spark.createDataFrame([(c, f"MotorClub{c}", "Motor Club") for c in range(6)], "doc_id int, name string, title string")
+    tf = plans.posts_terms(posts, "doc_id", cfg)
+    seeds = terms.seed_base(plans.posts_scores(posts, "doc_id", cfg, tf), tf, "doc_id", cfg.compose_seeds)
+    want = plans.composed_scores(seeds, plans.anchors(names, "doc_id", cfg), plans.posts_documents(tf, "doc_id"), terms.document_frequency(tf, "doc_id"), "doc_id", cfg)
+    got = plans.posts_composed(posts, names, "doc_id", cfg, f"file://{tmp_path}/work")
+    assert got.count() > 0 and sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    assert Store(spark, f"file://{tmp_path}/work").names() == ["composed"]
