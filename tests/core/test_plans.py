@@ -123,3 +123,12 @@ def test_compositions_of_posts_are_written_in_steps_that_go(spark, tmp_path):
     got = plans.posts_composed(posts, names, "doc_id", cfg, f"file://{tmp_path}/work")
     assert got.count() > 0 and sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
     assert Store(spark, f"file://{tmp_path}/work").names() == ["composed"]
+
+
+def test_extended_lists_are_written_after_the_core(spark, tmp_path):
+    docs = spark.createDataFrame([(c, f"engine oil club number{c}. oil change") for c in range(5)], "doc_id int, text string")
+    posts = spark.createDataFrame([(c, p, f"gear box repair w{p}x engine oil", 3, 1, 0.5, False) for c in range(5) for p in range(2)], "doc_id int, post int, text string, score int, comments int, age_days double, is_promoted boolean")
+    names = spark.createDataFrame([(c, f"MotorClub{c}") for c in range(5)], "doc_id int, name string")
+    core, extended = plans.core_and_extended(docs, posts, names, "doc_id", KeywordConfig(), folder=f"file://{tmp_path}/lists")
+    assert "Exchange" not in core._jdf.queryExecution().executedPlan().toString() + extended._jdf.queryExecution().executedPlan().toString()
+    assert {r.doc_id for r in extended.collect()} == set(range(5)) and not {(r.doc_id, r.term) for r in core.collect()} & {(r.doc_id, r.term) for r in extended.collect()}
