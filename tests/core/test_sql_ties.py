@@ -7,7 +7,7 @@ import math
 from pyspark.sql import functions as F
 
 from kwloom.config import KeywordConfig
-from kwloom.functions import scores
+from kwloom.functions import scores, text
 from kwloom.operators import segment, terms
 from kwloom.plans import keywords as plans
 
@@ -37,3 +37,9 @@ def test_names_cut_by_counts_alone_stay_whole_where_the_cheapest_cut_is(spark):
     rows = plans.name_phrases(names, "doc_id", counts, by_look=False).collect()
     assert {x.doc_id: x.phrase for x in rows} == {1: "andthwhinha", 2: "southern food"}
     assert {x.doc_id: x.phrase for x in plans.name_phrases(names, "doc_id", counts).collect()}[1] != "andthwhinha"
+
+
+def test_a_capital_is_one_letter(spark):
+    terms_ = ["ßach enauen", "ébene", "ﬁn de", "ᾳ x", "ŉ x", "ǆ x", "Already", "9 lives", "", "a" * 1500]
+    rows = spark.createDataFrame([(t,) for t in terms_], "t string").select("t", text.capitalised(F.col("t")).alias("shown")).collect()
+    assert {x.t: x.shown for x in rows} == dict(zip(terms_, ["ẞach enauen", "Ébene", "ﬁn de", "ᾼ x", "ŉ x", "Ǆ x", "Already", "9 lives", "", "A" + "a" * 1499], strict=True))
