@@ -60,6 +60,11 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def many(df: DataFrame) -> DataFrame:
+    """df for a join that mustn't broadcast it: Spark takes what explode makes of a row for one row, so by its size it would send rows by the million through the driver."""
+    return df.hint("merge")
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """A column name that df doesn't have, whatever the case."""
     taken = {c.lower() for c in df.columns}

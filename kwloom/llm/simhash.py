@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._util import cut, modest_batches
+from ._util import cut, many, modest_batches
 
 WORDS, SEED, BITS = 4, 42, 4
 AXES, SEGMENTS_PER_AXIS = 8, 4
@@ -82,19 +82,36 @@ def _grids() -> list[tuple[int, int]]:
     ]
 
 
-def links(fps: DataFrame, hot: int = 512) -> DataFrame:
-    """Edges (a, b), a < b, between distinct fingerprints of fps(fp): their components are those of all links at most four bits long.
-
-    A pair that shares several cells is made in the first of them only: every axis before the last chosen one differs.
-    """
+def _in_cells(fps: DataFrame) -> DataFrame:
+    """cell, fp, grid and n (fingerprints in the cell) of the fingerprints of fps(fp) in each cell that several share."""
     masks = F.array(*[F.lit(m) for m, _ in _grids()])
-    rests = F.array(*[F.lit(r).cast("long") for _, r in _grids()])
     # each fingerprint makes 70 rows: dealt to a fixed number of tasks first, or few small partitions would make all of them
     fps = fps.repartition(int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     cells = fps.select("fp", _thermometer(F.col("fp")).alias("code")).select("fp", "code", F.posexplode(masks).alias("grid", "mask"))
     cells = cells.select("fp", "grid", F.xxhash64("grid", F.col("code").bitwiseAND(F.col("mask"))).alias("cell"))
     sized = cells.groupBy("cell").agg(F.count("*").alias("n")).filter("n > 1")
-    full = cut(cells.join(sized, "cell"))
+    return many(cells).join(sized, "cell")
+
+
+def _midpoints(fps: DataFrame) -> DataFrame:
+    """mid, fp, a and n: of fps(fp) all points two bit flips away or less that several share, with the smallest fingerprint there and how many."""
+    one = lambda c: F.when(F.col(c) < 64, F.expr(f"shiftleft(1L, {c})")).otherwise(F.lit(0).cast("long"))
+    points = (
+        fps.select("fp", F.explode(F.sequence(F.lit(0), F.lit(64))).alias("i"))
+        .select("fp", "i", F.explode(F.when(F.col("i") == 64, F.array(F.lit(64))).otherwise(F.sequence(F.col("i") + 1, F.lit(64)))).alias("j"))
+        .select("fp", F.col("fp").bitwiseXOR(one("i")).bitwiseXOR(one("j")).alias("mid"))
+    )
+    least = points.groupBy("mid").agg(F.min("fp").alias("a"), F.count("*").alias("n")).filter("n > 1")
+    return many(points).join(many(least), "mid")
+
+
+def links(fps: DataFrame, hot: int = 512) -> DataFrame:
+    """Edges (a, b), a < b, between distinct fingerprints of fps(fp): their components are those of all links at most four bits long.
+
+    A pair that shares several cells is made in the first of them only: every axis before the last chosen one differs.
+    """
+    rests = F.array(*[F.lit(r).cast("long") for _, r in _grids()])
+    full = cut(_in_cells(fps))
     some = full.filter(F.col("n") <= hot)
     a = some.select(F.col("cell").alias("cell_a"), "grid", F.col("fp").alias("a"), _thermometer(F.col("fp")).alias("code_a"), F.element_at(rests, F.col("grid") + 1).alias("rest"))
     b = some.select(F.col("cell").alias("cell_b"), F.col("grid").alias("grid_b"), F.col("fp").alias("b"), _thermometer(F.col("fp")).alias("code_b"))
@@ -109,18 +126,11 @@ def links(fps: DataFrame, hot: int = 512) -> DataFrame:
         & (F.col("grid") == F.col("grid_b"))
         & (differs.bitwiseAND(F.col("rest")) == F.col("rest"))
     )
-    pairs = a.join(b, (F.col("cell_a") == F.col("cell_b")) & near).select("a", "b")
+    pairs = many(a).join(many(b), (F.col("cell_a") == F.col("cell_b")) & near).select("a", "b")
     flips = full.filter(F.col("n") > hot).select("fp").distinct()
     if flips.isEmpty():
         return pairs.distinct()
-    one = lambda c: F.when(F.col(c) < 64, F.expr(f"shiftleft(1L, {c})")).otherwise(F.lit(0).cast("long"))
-    points = (
-        flips.select("fp", F.explode(F.sequence(F.lit(0), F.lit(64))).alias("i"))
-        .select("fp", "i", F.explode(F.when(F.col("i") == 64, F.array(F.lit(64))).otherwise(F.sequence(F.col("i") + 1, F.lit(64)))).alias("j"))
-        .select("fp", F.col("fp").bitwiseXOR(one("i")).bitwiseXOR(one("j")).alias("mid"))
-    )
-    least = points.groupBy("mid").agg(F.min("fp").alias("a"), F.count("*").alias("n")).filter("n > 1")
-    stars = points.join(least, "mid").filter("a < fp").select("a", F.col("fp").alias("b"))
+    stars = _midpoints(flips).filter("a < fp").select("a", F.col("fp").alias("b"))
     return pairs.unionByName(stars).distinct()
 
 

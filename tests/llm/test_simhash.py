@@ -97,3 +97,17 @@ def test_components_of_stars_take_no_round(spark, monkeypatch):
     chain = spark.createDataFrame([(i, i + 1) for i in range(40)], "a long, b long")
     assert {(x.node, x.root) for x in simhash.components(chain).collect()} == {(i, 0) for i in range(1, 41)}
     assert simhash.components(chain.limit(0)).count() == 0
+
+
+def test_exploded_rows_are_not_broadcast(spark):
+    # 2,000 fingerprints are small enough to broadcast, and Spark takes what they are exploded to for as small
+    fps = spark.range(2000).selectExpr("id as fp")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "100m")
+    try:
+        for joined in (simhash._in_cells(fps), simhash._midpoints(fps.limit(20))):
+            joined.collect()
+            shown = joined._jdf.queryExecution().executedPlan().toString()
+            assert "SortMergeJoin" in shown and "Broadcast" not in shown
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
