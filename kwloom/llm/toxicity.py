@@ -77,17 +77,25 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = ROWS, size: int = SIZE
     """Feature numbers and weights that are not zero, and the bias, learnt from labelled documents outside the held-out quarter."""
     modest_batches(docs.sparkSession)
     texts = labelled(docs, labels, "toxic", remainder("doc_id", 4) != 2, rows, size)
-    sample = texts.mapInArrow(lambda batches: counted(batches, bits), "key bigint, toxic int, at binary").toPandas()
-    order = sorted(range(len(sample)), key=lambda i: (int(sample.key[i]), sample["at"][i]))
-    model = Ftrl(bits)
-    for _ in range(epochs):
-        for i in order:
-            model.learn(np.append(np.frombuffer(sample["at"][i], np.int32), 1 << bits), int(sample.toxic[i]))
-    if not order:
+
+    def fit(batches):
+        rows = sorted(row for b in batches for row in zip(b.column("key").to_pylist(), b.column("at").to_pylist(), b.column("toxic").to_pylist(), strict=True))
+        model = Ftrl(bits)
+        for _ in range(epochs):
+            for _, at, toxic in rows:
+                model.learn(np.append(np.frombuffer(at, np.int32), 1 << bits), toxic)
+        if rows:
+            weights = model.weights(np.arange((1 << bits) + 1))
+            used = np.append(np.flatnonzero(weights[:-1]), 1 << bits)
+            yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(weights[used])], ["at", "weight"])
+
+    # one task learns, as rows and size bound it; only the weights come to the driver, the bias last
+    sample = texts.mapInArrow(lambda batches: counted(batches, bits), "key bigint, toxic int, at binary")
+    found = sample.repartition(1).mapInArrow(fit, "at bigint, weight double").toArrow()
+    if not found.num_rows:
         return np.zeros(0, np.int64), np.zeros(0), -np.inf
-    all_weights = model.weights(np.arange((1 << bits) + 1))
-    used = np.flatnonzero(all_weights[:-1])
-    return used, all_weights[used], float(all_weights[-1])
+    at, weights = found["at"].to_numpy(), found["weight"].to_numpy()
+    return at[:-1], weights[:-1], float(weights[-1])
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, rows: int = ROWS, bits: int = BITS) -> DataFrame:

@@ -42,6 +42,15 @@ def test_toxicity(spark):
     assert {x.score for x in toxicity.toxicity(d, labels.limit(0)).collect()} == {0.0}
 
 
+def test_toxicity_learns_in_a_task(spark, monkeypatch):
+    monkeypatch.delattr(toxicity.Ftrl, "learn")  # in the driver only
+    d = spark.createDataFrame([(i, "bad word" if i % 2 else "good text") for i in range(200)], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(200)], "doc_id bigint, toxic int")
+    used, weights, bias = toxicity.train(d, labels)
+    assert len(used) == len(weights) > 0 and weights.all() and np.isfinite(bias)
+    assert toxicity.train(d, labels.limit(0))[2] == -np.inf
+
+
 def test_toxicity_learns_from_a_block_of_texts_at_a_time(monkeypatch):
     texts = [None, "", *[f"w{i} v{i} " * 500 for i in range(600)], "z " * 300_000, "last one"]
     batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array([i % 2 for i in range(len(texts))]), pa.array(texts)], ["key", "label", "text"])
